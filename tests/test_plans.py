@@ -1,0 +1,50 @@
+"""Plan properties that must hold at any scale."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as E
+from tests.util import plan_text
+
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas"]
+
+
+@pytest.fixture(scope="module")
+def plans(spark, sf_small):
+    out = {}
+    for key, fn in E.queries().items():
+        df = fn(spark, sf_small)
+        df.write.format("noop").mode("overwrite").save()
+        out[key] = plan_text(df)
+    return out
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_no_cross_products_or_python(plans, key):
+    for bad in FORBIDDEN:
+        assert bad not in plans[key], f"{key}: {bad}"
+
+
+def test_first_visit_filter_reaches_the_scan(plans):
+    for key in ("combined_view", "work_orders_violations", "audit_mismatch"):
+        assert "EqualTo(l_linenumber,1)" in plans[key], key
+
+
+def test_projection_is_pruned(plans):
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plans["project_cols"]
+
+
+def test_pivot_values_given_up_front(plans):
+    # with the weekday list passed in, no extra distinct job runs: a single
+    # two-phase aggregation (partial, exchange, final) produces the pivot
+    nodes = re.findall(r"^\(\d+\) HashAggregate", plans["queue_heatmap"], re.M)
+    assert len(nodes) == 2
+
+
+def test_no_global_window_over_detail_rows(plans):
+    # a window without partition must only ever see aggregated rows
+    for key in ("share_window", "rank_types"):
+        text = plans[key]
+        assert text.index("Window") < text.rindex("HashAggregate"), key

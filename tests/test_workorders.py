@@ -1,0 +1,85 @@
+"""W10/W11 work orders (FIXTURES.md: work_orders, violations)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from wellspring.plans import workorders as W
+
+SOURCES = "source_id long, type_of_water_source string, number_of_people_served int"
+POLL = "source_id long, description string, results string, biological double"
+VISITS = "record_id long, location_id long, source_id long, visit_count int, time_in_queue int"
+LOC = "location_id long, address string, province_name string, town_name string, location_type string"
+
+
+def _inputs(spark):
+    sources = spark.createDataFrame([
+        (1, "well", 10), (2, "well", 10), (3, "well", 10), (4, "well", 10), (5, "river", 10),
+        (6, "shared_tap", 10), (7, "shared_tap", 10), (8, "tap_in_home_broken", 10),
+        (9, "tap_in_home", 10), (10, "shared_tap", 10), (11, "tap_in_home", 10),
+    ], SOURCES)
+    pollution = spark.createDataFrame([
+        (1, "", "Contaminated: Chemical", 0.0), (2, "", "Contaminated: Biological", 0.2),
+        (3, "", "Clean", 0.0), (11, "", "Contaminated: Chemical", 0.0),
+    ], POLL)
+    queue = {6: 30, 7: 95, 10: 29}
+    visits = spark.createDataFrame(
+        [(s, s, s, 1, queue.get(s, 0)) for s in range(1, 12)] + [(100, 5, 5, 2, 0)], VISITS)
+    loc = spark.createDataFrame([(s, f"addr {s}", "P", "T", "Rural") for s in range(1, 12)], LOC)
+    return sources, pollution, visits, loc
+
+
+def test_rules_first_match_wins(spark):
+    orders = W.work_orders(*_inputs(spark), run_date="2024-05-01")
+    got = {int(r.source_id): (r.Improvement, r.Source_status) for r in orders.collect()}
+    assert got == {
+        1: ("Install RO filter", "In progress"),
+        2: ("Install UV filter", "In progress"),
+        5: ("Drill well", "Backlog"),
+        6: ("Install 1 taps nearby", "Backlog"),
+        7: ("Install 3 taps nearby", "Backlog"),
+        8: ("Diagnose infrastructure", "Backlog"),
+        11: ("Install RO filter", "In progress"),
+    }
+    assert orders.columns == W.OUTPUT_COLUMNS
+    assert {str(r.Date_of_completion) for r in orders.collect()} == {"2024-05-01"}
+
+
+def test_violations_catch_each_rule(spark):
+    sources = spark.createDataFrame([(1, "river", 5)], SOURCES)
+    rows = [
+        ("ok", "T", "P", "1", "river", "Drill well", "Backlog"),
+        ("x" * 60, "T", "P", "1", "river", "Drill well", "Backlog"),
+        ("ok", "T", "P", None, "river", "Drill well", "Backlog"),
+        ("ok", "T", "P", "999", "river", "Drill well", "Backlog"),
+        ("ok", "T", "P", "1", "river", "Drill well", "Done"),
+        ("ok", "T", "P", "1", "river", "Drill well", None),   # NULL takes the default
+    ]
+    orders = spark.createDataFrame(rows, "address string, town_name string, province_name string, "
+                                         "source_id string, type_of_water_source string, "
+                                         "Improvement string, Source_status string")
+    r = W.violations(orders, sources).first()
+    assert r.orders_checked == 6
+    assert (r.address_too_long, r.null_source_id, r.unknown_source_id, r.invalid_status) == (1, 1, 1, 1)
+    assert r.town_name_too_long == 0
+
+
+def test_publish_is_idempotent_and_gated(spark, tmp_path):
+    sources, pollution, visits, loc = _inputs(spark)
+    orders = W.work_orders(sources, pollution, visits, loc, run_date="2024-05-01")
+    path = str(tmp_path / "progress")
+    first = W.publish_work_orders(orders, sources, "2024-05-01", path=path).count()
+    second = W.publish_work_orders(orders, sources, "2024-05-01", path=path).count()
+    assert first == second == 7
+    W.publish_work_orders(orders, sources, "2024-05-02", path=path)
+    assert spark.read.parquet(path).count() == 14
+    bad = orders.withColumn("Source_status", F.lit("Done"))
+    with pytest.raises(ValueError):
+        W.publish_work_orders(bad, sources, "2024-05-03", path=path)
+
+
+def test_rollup_levels(spark):
+    orders = W.work_orders(*_inputs(spark))
+    rows = W.progress_rollup(orders).collect()
+    national = [r for r in rows if r.level == 3]
+    assert len(national) == 1 and national[0].work_orders == 7
+    assert national[0].in_progress == 3 and national[0].backlog == 4

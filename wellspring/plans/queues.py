@@ -61,12 +61,13 @@ def queue_by_hour_label(log: DataFrame) -> DataFrame:
 def queue_heatmap(log: DataFrame) -> DataFrame:
     """Hour rows x weekday columns of mean queue; a cell with no visit is NULL.
 
-    The weekday list is passed to ``pivot`` so Spark needs no extra job to
-    discover it, and the pivot runs as one two-phase aggregation.
+    One aggregation with a conditional mean per weekday: a single shuffle of
+    per-task partial sums (``groupBy().pivot()`` would aggregate by
+    (hour, day) first and pivot in a second aggregation).
     """
+    day = weekday_name(F.col(TS))
+    cells = [F.round(F.avg(F.when(day == d, F.col(Q))), 0).alias(d) for d in WEEKDAYS]
     return (log.filter(F.col(Q) != 0)
-            .withColumn("_day", weekday_name(F.col(TS)))
             .groupBy(hour_label(F.col(TS)).alias("hour_of_day"))
-            .pivot("_day", WEEKDAYS)
-            .agg(F.round(F.avg(Q), 0))
+            .agg(*cells)
             .orderBy("hour_of_day"))
