@@ -10,8 +10,12 @@ WEEKDAYS = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "S
 
 
 def weekday_name(ts: Column) -> Column:
-    """Full weekday name ('Saturday'); Spark's ``dayname`` gives 'Sat'."""
-    return F.date_format(ts, "EEEE")
+    """Full weekday name ('Saturday'); Spark's ``dayname`` gives 'Sat'.
+
+    Looked up by ``dayofweek`` (1 = Sunday), so a wall-clock timestamp is
+    never shifted through the session time zone.
+    """
+    return F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.dayofweek(ts))
 
 
 def hour_of_day(ts: Column) -> Column:
@@ -20,7 +24,7 @@ def hour_of_day(ts: Column) -> Column:
 
 def hour_label(ts: Column) -> Column:
     """Hour as 'HH:00' text, e.g. '06:00'."""
-    return F.date_format(ts, "HH:00")
+    return F.concat(F.lpad(F.hour(ts).cast("string"), 2, "0"), F.lit(":00"))
 
 
 def day_span(late: Column, early: Column) -> Column:

@@ -21,7 +21,7 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return _checked[key]
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast hint only for a side proven to hold at most ``max_rows`` rows.
 
     Beyond the bound the frame is returned unchanged, so Spark plans a
@@ -31,7 +31,7 @@ def checked_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
 
 
 def semi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None,
-              max_broadcast_rows: int = 2_000_000) -> DataFrame:
+              max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """``left WHERE left_col IN (SELECT right_col FROM right)``."""
     right_col = right_col or left_col
     keys = right.select(F.col(right_col).alias("_ws_key"))

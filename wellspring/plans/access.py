@@ -80,6 +80,20 @@ def broken_tap_ratio(town_access: DataFrame) -> DataFrame:
     )
 
 
+def broken_tap_ratio_exact(view: DataFrame) -> DataFrame:
+    """Broken share of in-home taps per town from unrounded people counts
+    (the survey's ratio divides percents that were already rounded)."""
+    t, people = F.col("source_type"), F.col("people_served")
+    sums = view.groupBy("province_name", "town_name").agg(
+        F.sum(F.when(t == "tap_in_home_broken", people).otherwise(0)).alias("_ws_broken"),
+        F.sum(F.when(t == "tap_in_home", people).otherwise(0)).alias("_ws_home"))
+    return sums.select(
+        "province_name", "town_name",
+        safe_ratio_pct(F.col("_ws_broken"), F.col("_ws_home"), 0).alias("Pct_broken_taps"),
+        safe_ratio_pct(F.col("_ws_home"), F.col("_ws_broken"), 0).alias("pct_home"),
+    )
+
+
 def headline_shares(view: DataFrame) -> DataFrame:
     """The report's headline figures in one pass over the view."""
     people = F.col("people_served")

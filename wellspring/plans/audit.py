@@ -67,7 +67,7 @@ def with_survey_source(pairs: DataFrame, sources: DataFrame) -> DataFrame:
     return pairs.join(s, "source_id")
 
 
-def with_employee(pairs: DataFrame, employee: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def with_employee(pairs: DataFrame, employee: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Attach employee names. The employee table is a dimension: broadcast
     when it is proven small, otherwise a shuffle join (AQE splits a hot id)."""
     e = employee.select("assigned_employee_id", "employee_name")

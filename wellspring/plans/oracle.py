@@ -415,6 +415,13 @@ ORACLE: dict[str, str] = {
                ROUND(tap_in_home_broken / NULLIF(tap_in_home_broken + tap_in_home, 0) * 100, 0) AS Pct_broken_taps,
                ROUND(tap_in_home / NULLIF(tap_in_home_broken + tap_in_home, 0) * 100, 0) AS pct_home
         FROM town_aggregated_water_access"""),
+    "ratio_broken_exact": _combined_with(f"""
+        SELECT province_name, town_name,
+               ROUND(CAST({_people_where("source_type = 'tap_in_home_broken'")} AS DOUBLE)
+                     / CAST(NULLIF({_people_where(_HOME)}, 0) AS DOUBLE) * 100, 0) AS Pct_broken_taps,
+               ROUND(CAST({_people_where("source_type = 'tap_in_home'")} AS DOUBLE)
+                     / CAST(NULLIF({_people_where(_HOME)}, 0) AS DOUBLE) * 100, 0) AS pct_home
+        FROM combined_analysis_table GROUP BY province_name, town_name"""),
     "headline_shares": _combined_with(f"""
         SELECT {_pct(_people_where("source_type = 'shared_tap'"), 'SUM(people_served)')} AS shared_tap_pct,
                {_pct(_people_where(_HOME), 'SUM(people_served)')} AS home_tap_pct,

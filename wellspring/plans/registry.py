@@ -391,6 +391,11 @@ def ratio_broken(spark, d):
     return access.broken_tap_ratio(access.town_access_table(_combined(_t(spark, d))))
 
 
+@register("ratio_broken_exact")
+def ratio_broken_exact(spark, d):
+    return access.broken_tap_ratio_exact(_combined(_t(spark, d)))
+
+
 @register("headline_shares")
 def headline_shares(spark, d):
     return access.headline_shares(_combined(_t(spark, d)))

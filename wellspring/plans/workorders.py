@@ -41,8 +41,9 @@ OUTPUT_COLUMNS = ["address", "town_name", "province_name", "source_id", "type_of
 DEFAULT_RUN_DATE = "2024-01-31"
 
 
-def improvement(queue_threshold: int = QUEUE_MINUTES_PER_TAP) -> Column:
-    """First matching rule wins."""
+def improvement(queue_threshold: int = QUEUE_MINUTES_PER_TAP, null_text: bool = True) -> Column:
+    """First matching rule wins. With ``null_text=False`` a source no rule
+    matches gets a real NULL instead of the survey's text 'Null'."""
     results, kind, queue = F.col("results"), F.col("type_of_water_source"), F.col("time_in_queue")
     taps = F.floor(queue / QUEUE_MINUTES_PER_TAP).cast("bigint").cast("string")
     return first_match([
@@ -52,7 +53,7 @@ def improvement(queue_threshold: int = QUEUE_MINUTES_PER_TAP) -> Column:
         ((kind == SHARED_TAP) & (queue >= queue_threshold),
          F.concat(F.lit("Install "), taps, F.lit(" taps nearby"))),
         (kind == BROKEN_TAP, F.lit(DIAGNOSE)),
-    ], F.lit(NO_IMPROVEMENT))
+    ], F.lit(NO_IMPROVEMENT) if null_text else F.lit(None).cast("string"))
 
 
 def status() -> Column:
@@ -71,7 +72,7 @@ def needs_work(queue_threshold: int = QUEUE_MINUTES_PER_TAP) -> Column:
 
 def work_orders(sources: DataFrame, pollution: DataFrame, visits: DataFrame, location: DataFrame,
                 run_date: str = DEFAULT_RUN_DATE, queue_threshold: int = QUEUE_MINUTES_PER_TAP,
-                comment: str = DEFAULT_COMMENT) -> DataFrame:
+                comment: str = DEFAULT_COMMENT, null_text: bool = True) -> DataFrame:
     """One order per first visit of a source that needs work, in the output
     table's column order."""
     src = sources_with_results(sources, pollution)
@@ -82,7 +83,7 @@ def work_orders(sources: DataFrame, pollution: DataFrame, visits: DataFrame, loc
         "address", "town_name", "province_name",
         F.col("source_id").cast("string").alias("source_id"),
         "type_of_water_source",
-        improvement(queue_threshold).alias("Improvement"),
+        improvement(queue_threshold, null_text).alias("Improvement"),
         status().alias("Source_status"),
         F.lit(dt.date.fromisoformat(run_date)).alias("Date_of_completion"),
         F.lit(comment).alias("Comments"),
