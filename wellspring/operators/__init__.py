@@ -1,10 +1,10 @@
 """Table operators the survey jobs are composed of."""
 
-from wellspring.operators.joins import checked_broadcast, has_at_most, not_in, semi_join
+from wellspring.operators.joins import not_in, semi_join
 from wellspring.operators.ranking import row_number_within, top_n_within
-from wellspring.operators.scans import append_partition, materialize, preview, snapshot
+from wellspring.operators.scans import append_partition, materialize, preview, shared_stage, snapshot
 
 __all__ = [
-    "append_partition", "checked_broadcast", "has_at_most", "materialize", "not_in", "preview",
-    "row_number_within", "semi_join", "snapshot", "top_n_within",
+    "append_partition", "materialize", "not_in", "preview",
+    "row_number_within", "semi_join", "shared_stage", "snapshot", "top_n_within",
 ]

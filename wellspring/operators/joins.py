@@ -1,41 +1,26 @@
-"""Join helpers: size-checked broadcast, semi join, null-aware anti join."""
+"""Join helpers: semi join and null-aware anti join.
+
+No explicit broadcast hints: Spark broadcasts a side only when its size is
+known to be under ``spark.sql.autoBroadcastJoinThreshold`` — from file
+sizes at planning time, or from the measured shuffle output once AQE has
+run the side's stage. Beyond that bound the join stays a shuffle join, and
+AQE splits a partition made large by a hot key.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_checked: dict[tuple, bool] = {}
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows.
-
-    Runs ``limit(max_rows + 1).count()``: the scan stops as soon as the bound
-    is exceeded, so checking a huge table costs one small job. Memoised per
-    application and plan.
-    """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    if key not in _checked:
-        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _checked[key]
-
 
-def checked_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only for a side proven to hold at most ``max_rows`` rows.
+def semi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None) -> DataFrame:
+    """``left WHERE left_col IN (SELECT right_col FROM right)``.
 
-    Beyond the bound the frame is returned unchanged, so Spark plans a
-    shuffle join (and AQE may still broadcast it from measured sizes).
+    A left semi join emits each left row at most once however often its key
+    repeats on the right, so the list needs no DISTINCT (and no extra shuffle).
     """
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def semi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None,
-              max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """``left WHERE left_col IN (SELECT right_col FROM right)``."""
     right_col = right_col or left_col
     keys = right.select(F.col(right_col).alias("_ws_key"))
-    keys = checked_broadcast(keys, max_broadcast_rows)
     return left.join(keys, left[left_col] == keys["_ws_key"], "left_semi")
 
 

@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.functions import mentions, percent
-from wellspring.operators import checked_broadcast, not_in, semi_join
-from wellspring.operators.scans import shared_stage
+from wellspring.operators import not_in, semi_join, shared_stage
 
 # Fixed value: the word that marks an incriminating statement.
 KEYWORD = "cash"
@@ -67,11 +66,11 @@ def with_survey_source(pairs: DataFrame, sources: DataFrame) -> DataFrame:
     return pairs.join(s, "source_id")
 
 
-def with_employee(pairs: DataFrame, employee: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Attach employee names. The employee table is a dimension: broadcast
-    when it is proven small, otherwise a shuffle join (AQE splits a hot id)."""
+def with_employee(pairs: DataFrame, employee: DataFrame) -> DataFrame:
+    """Attach employee names (a dimension join: broadcast by Spark when the
+    table is measured small, else a shuffle join whose hot ids AQE splits)."""
     e = employee.select("assigned_employee_id", "employee_name")
-    return pairs.join(checked_broadcast(e, max_broadcast_rows), "assigned_employee_id")
+    return pairs.join(e, "assigned_employee_id")
 
 
 def incorrect_records(auditor: DataFrame, visits: DataFrame, employee: DataFrame,

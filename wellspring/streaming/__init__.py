@@ -1,0 +1,7 @@
+"""Streaming jobs.
+
+The survey is a historical batch: visits, audits and pollution results are
+analysed after the fact, with no stream, event-time window, watermark or
+per-key state in any of its queries. Nothing is built here; every job in
+``wellspring.plans`` is a batch DataFrame job.
+"""
