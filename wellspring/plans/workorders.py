@@ -94,21 +94,25 @@ def violations(orders: DataFrame, sources: DataFrame) -> DataFrame:
     """One row of rule-violation counts for a batch of work orders.
 
     Parquet enforces neither NOT NULL nor CHECK nor REFERENCES, so the
-    declared constraints are checked here: one aggregation pass for the row
-    rules, and a left anti join (shuffle-able at any size) for orders whose
-    source is unknown.
+    declared constraints are checked here, all in one pass over the batch:
+    the batch is left-joined to the distinct known source ids (a join that
+    shuffles at any size; the DISTINCT is pre-aggregated per task and keeps
+    the join from multiplying rows), and every rule is a conditional count
+    of the same aggregation.
     """
     status_col = F.coalesce(F.col("Source_status"), F.lit(BACKLOG))
-    row_rules = [
+    known = (sources.select(F.col("source_id").cast("string").alias("_ws_known_id")).distinct()
+             .withColumn("_ws_known", F.lit(True)))
+    checked = orders.join(known, orders["source_id"] == known["_ws_known_id"], "left")
+    return checked.agg(
         F.count(F.lit(1)).alias("orders_checked"),
         F.count_if(F.col("source_id").isNull()).cast("bigint").alias("null_source_id"),
+        F.count_if(F.col("source_id").isNotNull() & F.col("_ws_known").isNull()).cast("bigint")
+        .alias("unknown_source_id"),
         F.count_if(~status_col.isin(*STATUSES)).cast("bigint").alias("invalid_status"),
-    ] + [F.count_if(F.length(F.col(c)) > n).cast("bigint").alias(f"{c.lower()}_too_long")
-         for c, n in MAX_LENGTHS]
-    known = sources.select(F.col("source_id").cast("string").alias("source_id"))
-    orphans = (orders.filter(F.col("source_id").isNotNull())
-               .join(known, "source_id", "left_anti").select(F.count(F.lit(1))).scalar())
-    return orders.agg(*row_rules).withColumn("unknown_source_id", orphans)
+        *[F.count_if(F.length(F.col(c)) > n).cast("bigint").alias(f"{c.lower()}_too_long")
+          for c, n in MAX_LENGTHS],
+    )
 
 
 def publish_work_orders(orders: DataFrame, sources: DataFrame, run_date: str = DEFAULT_RUN_DATE,
