@@ -64,6 +64,8 @@ def test_violations_catch_each_rule(spark):
 
 
 def test_publish_is_idempotent_and_gated(spark, tmp_path):
+    # must not depend on the session's overwrite mode: the write sets its own
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     sources, pollution, visits, loc = _inputs(spark)
     orders = W.work_orders(sources, pollution, visits, loc, run_date="2024-05-01")
     path = str(tmp_path / "progress")
@@ -75,6 +77,8 @@ def test_publish_is_idempotent_and_gated(spark, tmp_path):
     bad = orders.withColumn("Source_status", F.lit("Done"))
     with pytest.raises(ValueError):
         W.publish_work_orders(bad, sources, "2024-05-03", path=path)
+    assert spark.read.parquet(path).count() == 14
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
 def test_rollup_levels(spark):

@@ -1,12 +1,44 @@
-"""Parquet table access.
+"""Parquet table access with declared schemas.
 
-Reads are lazy: ``spark.read.parquet`` only lists files and reads the schema
-from a footer; Catalyst later prunes columns and pushes filters into the scan.
+Reads are lazy: ``spark.read.schema(s).parquet`` only lists files, and with
+the schema declared no file footer is opened while planning. Catalyst later
+prunes columns and pushes filters into the scan. A table handle is reused
+per session and path, the way a catalog hands out the same table; call
+``Tables.refresh()`` after rewriting the files of an input.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+_L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
+
+
+def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(n, t, True) for n, t in fields])
+
+
+# Declared schemas of the input tables the roles read.
+SCHEMAS: dict[str, T.StructType] = {
+    "region": _schema(("r_regionkey", _I), ("r_name", _S)),
+    "nation": _schema(("n_nationkey", _I), ("n_name", _S), ("n_regionkey", _I)),
+    "customer": _schema(("c_custkey", _L), ("c_name", _S), ("c_nationkey", _I), ("c_acctbal", _D),
+                        ("c_mktsegment", _S)),
+    "supplier": _schema(("s_suppkey", _L), ("s_name", _S), ("s_nationkey", _I), ("s_acctbal", _D)),
+    "part": _schema(("p_partkey", _L), ("p_name", _S), ("p_brand", _S), ("p_type", _S), ("p_size", _I),
+                    ("p_retailprice", _D)),
+    "orders": _schema(("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S), ("o_totalprice", _D),
+                      ("o_orderdate", _TS), ("o_orderpriority", _S)),
+    "lineitem": _schema(("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L), ("l_linenumber", _I),
+                        ("l_quantity", _D), ("l_extendedprice", _D), ("l_discount", _D), ("l_tax", _D),
+                        ("l_returnflag", _S), ("l_linestatus", _S), ("l_shipdate", _TS)),
+    "events": _schema(("event_id", _L), ("ts", _TS), ("user_id", _L), ("event_type", _S), ("value", _D),
+                      ("props", _S)),
+    "documents": _schema(("doc_id", _L), ("text", _S), ("lang", _S), ("source", _S), ("n_chars", _L)),
+}
+
+_handles: dict[tuple, DataFrame] = {}
 
 
 class Tables:
@@ -15,17 +47,28 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
 
+    def _key(self, name: str) -> tuple:
+        return (self.spark.sparkContext.applicationId, id(self.spark), self.path(name))
+
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._frames:
-            self._frames[name] = self.spark.read.parquet(self.path(name))
-        return self._frames[name]
+        key = self._key(name)
+        if key not in _handles:
+            reader = self.spark.read
+            if name in SCHEMAS:
+                reader = reader.schema(SCHEMAS[name])
+            _handles[key] = reader.parquet(self.path(name))
+        return _handles[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         return self[name]
+
+    def refresh(self) -> None:
+        """Forget the handles of this folder (after its files were rewritten)."""
+        for key in [k for k in _handles if k[2].startswith(self.root + "/")]:
+            del _handles[key]
