@@ -16,15 +16,16 @@ def _inputs(spark):
         (1, "well", 10), (2, "well", 10), (3, "well", 10), (4, "well", 10), (5, "river", 10),
         (6, "shared_tap", 10), (7, "shared_tap", 10), (8, "tap_in_home_broken", 10),
         (9, "tap_in_home", 10), (10, "shared_tap", 10), (11, "tap_in_home", 10),
+        (12, "shared_tap", 10), (13, "shared_tap", 10),
     ], SOURCES)
     pollution = spark.createDataFrame([
         (1, "", "Contaminated: Chemical", 0.0), (2, "", "Contaminated: Biological", 0.2),
         (3, "", "Clean", 0.0), (11, "", "Contaminated: Chemical", 0.0),
     ], POLL)
-    queue = {6: 30, 7: 95, 10: 29}
+    queue = {6: 30, 7: 95, 10: 29, 12: 59, 13: 60}
     visits = spark.createDataFrame(
-        [(s, s, s, 1, queue.get(s, 0)) for s in range(1, 12)] + [(100, 5, 5, 2, 0)], VISITS)
-    loc = spark.createDataFrame([(s, f"addr {s}", "P", "T", "Rural") for s in range(1, 12)], LOC)
+        [(s, s, s, 1, queue.get(s, 0)) for s in range(1, 14)] + [(100, 5, 5, 2, 0)], VISITS)
+    loc = spark.createDataFrame([(s, f"addr {s}", "P", "T", "Rural") for s in range(1, 14)], LOC)
     return sources, pollution, visits, loc
 
 
@@ -39,6 +40,8 @@ def test_rules_first_match_wins(spark):
         7: ("Install 3 taps nearby", "Backlog"),
         8: ("Diagnose infrastructure", "Backlog"),
         11: ("Install RO filter", "In progress"),
+        12: ("Install 1 taps nearby", "Backlog"),
+        13: ("Install 2 taps nearby", "Backlog"),
     }
     assert orders.columns == W.OUTPUT_COLUMNS
     assert {str(r.Date_of_completion) for r in orders.collect()} == {"2024-05-01"}
@@ -71,13 +74,13 @@ def test_publish_is_idempotent_and_gated(spark, tmp_path):
     path = str(tmp_path / "progress")
     first = W.publish_work_orders(orders, sources, "2024-05-01", path=path).count()
     second = W.publish_work_orders(orders, sources, "2024-05-01", path=path).count()
-    assert first == second == 7
+    assert first == second == 9
     W.publish_work_orders(orders, sources, "2024-05-02", path=path)
-    assert spark.read.parquet(path).count() == 14
+    assert spark.read.parquet(path).count() == 18
     bad = orders.withColumn("Source_status", F.lit("Done"))
     with pytest.raises(ValueError):
         W.publish_work_orders(bad, sources, "2024-05-03", path=path)
-    assert spark.read.parquet(path).count() == 14
+    assert spark.read.parquet(path).count() == 18
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
@@ -85,5 +88,5 @@ def test_rollup_levels(spark):
     orders = W.work_orders(*_inputs(spark))
     rows = W.progress_rollup(orders).collect()
     national = [r for r in rows if r.level == 3]
-    assert len(national) == 1 and national[0].work_orders == 7
-    assert national[0].in_progress == 3 and national[0].backlog == 4
+    assert len(national) == 1 and national[0].work_orders == 9
+    assert national[0].in_progress == 3 and national[0].backlog == 6

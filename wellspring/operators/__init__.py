@@ -1,10 +1,10 @@
 """Table operators the survey jobs are composed of."""
 
-from wellspring.operators.joins import not_in, semi_join
+from wellspring.operators.joins import hot_keys, not_in, semi_join, skew_join
 from wellspring.operators.ranking import row_number_within, top_n_within
 from wellspring.operators.scans import append_partition, materialize, preview, shared_stage, snapshot
 
 __all__ = [
-    "append_partition", "materialize", "not_in", "preview",
-    "row_number_within", "semi_join", "shared_stage", "snapshot", "top_n_within",
+    "append_partition", "hot_keys", "materialize", "not_in", "preview",
+    "row_number_within", "semi_join", "shared_stage", "skew_join", "snapshot", "top_n_within",
 ]

@@ -46,3 +46,51 @@ def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | No
     joined = left.join(hits, left[left_col] == hits["_ws_key"], "left")
     keep = (n_listed == 0) | ((n_nulls == 0) & F.col(left_col).isNotNull() & F.col("_ws_hit").isNull())
     return joined.filter(keep).drop("_ws_key", "_ws_hit")
+
+
+def hot_keys(df: DataFrame, keys: list[str], min_share: float = 0.01, fraction: float = 0.001,
+             min_hits: int = 5, seed: int = 7) -> DataFrame:
+    """Keys holding at least ``min_share`` of the rows of ``df``, estimated on a sample.
+
+    A key must reach ``min_share`` of the sampled rows and at least
+    ``min_hits`` sampled rows (so sampling noise on small inputs does not
+    flag ordinary keys). At most ``1 / min_share`` keys can pass, so the
+    result is small by construction. The sample only steers the plan; no
+    row is ever dropped.
+    """
+    sample = df.select(*keys).sample(fraction=fraction, seed=seed)
+    total = sample.select(F.count(F.lit(1))).scalar()
+    threshold = F.greatest(total * min_share, F.lit(min_hits))
+    return (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ws_n"))
+            .filter(F.col("_ws_n") >= threshold).select(*keys))
+
+
+def skew_join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner",
+              salts: int = 16, min_share: float = 0.01, hot: DataFrame | None = None) -> DataFrame:
+    """``fact JOIN dim USING (keys)`` that stays balanced when one key holds
+    a large share of ``fact`` (a third of all visits at one source, say).
+
+    Rows of a hot key get a salt in ``[0, salts)`` from a hash of the row
+    (deterministic, so a retried task salts the same way) and the dimension
+    rows of that key are repeated once per salt; every other row has salt 0.
+    The join then runs on (keys, salt), so a hot key is spread over
+    ``salts`` tasks. Only hot dimension rows are repeated: at most
+    ``salts / min_share`` extra rows. The hot-key list is broadcast, which
+    is safe because it holds at most ``1 / min_share`` keys.
+
+    ``how`` is ``inner`` or ``left`` (fact rows kept).
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("skew_join supports inner and left joins")
+    flags = (hot if hot is not None else hot_keys(fact, keys, min_share)).select(*keys) \
+        .withColumn("_ws_hot", F.lit(True))
+    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    f = (fact.join(F.broadcast(flags), keys, "left")
+         .withColumn("_ws_salt", F.when(F.col("_ws_hot"), F.pmod(row_hash, F.lit(salts)).cast("int"))
+                     .otherwise(F.lit(0)))
+         .drop("_ws_hot"))
+    d = (dim.join(F.broadcast(flags), keys, "left")
+         .withColumn("_ws_salt", F.explode(F.when(F.col("_ws_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                          .otherwise(F.array(F.lit(0)))))
+         .drop("_ws_hot"))
+    return f.join(d, [*keys, "_ws_salt"], how).drop("_ws_salt")

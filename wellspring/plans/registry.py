@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.functions import byte_length
-from wellspring.operators import preview, snapshot
+from wellspring.operators import hot_keys, preview, skew_join, snapshot
 from wellspring.operators.scans import materialize
 from wellspring.plans import access, audit, clean, profile, queues, workorders
 from wellspring.session import table_path
@@ -243,7 +243,7 @@ def queue_heatmap(spark, d):
 def _visits_located(t: Tables) -> DataFrame:
     v = R.visits(t).select("location_id", "source_id", "visit_count")
     loc = R.location(t).select("location_id", "province_name", "town_name")
-    return v.join(loc, "location_id")
+    return skew_join(v, loc, ["location_id"])
 
 
 @register("join_two")
@@ -253,7 +253,8 @@ def join_two(spark, d):
 
 def _visits_located_sourced(t: Tables) -> DataFrame:
     ws = R.water_source(t)
-    return (_visits_located(t).join(ws, "source_id")
+    busy_sources = hot_keys(R.visits(t), ["source_id"])
+    return (skew_join(_visits_located(t), ws, ["source_id"], hot=busy_sources)
             .select("province_name", "town_name", "visit_count", "location_id",
                     "type_of_water_source", "number_of_people_served"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wellspring.functions import first_match, percent
 from wellspring.operators import append_partition, materialize
-from wellspring.plans.access import sources_with_results
+from wellspring.plans.access import located_sources, sources_with_results
 from wellspring.session import table_path
 
 # ---------------------------------------------------------------------------
@@ -78,7 +78,7 @@ def work_orders(sources: DataFrame, pollution: DataFrame, visits: DataFrame, loc
     src = sources_with_results(sources, pollution)
     v = visits.filter(F.col("visit_count") == 1).select("source_id", "location_id", "time_in_queue")
     loc = location.select("location_id", "address", "town_name", "province_name")
-    rows = src.join(v, "source_id").join(loc, "location_id").filter(needs_work(queue_threshold))
+    rows = located_sources(v, src, loc).filter(needs_work(queue_threshold))
     return rows.select(
         "address", "town_name", "province_name",
         F.col("source_id").cast("string").alias("source_id"),
