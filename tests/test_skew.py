@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.util import plan_text
 from wellspring.operators import hot_keys, row_number_within, skew_join
 from wellspring.plans import access
 
