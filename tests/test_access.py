@@ -75,3 +75,15 @@ def test_combined_view_keeps_non_wells_and_first_visits(spark):
     assert got == [("river", "T2", 70, None), ("well", "T1", 20, None),
                    ("well", "T1", 50, "Contaminated: Chemical")]
     assert view.filter(F.col("results").isNull()).count() == 2
+
+
+def test_repeated_pollution_rows_are_reported(spark):
+    pollution = spark.createDataFrame([(1, "a", "Clean", 0.0), (1, "b", "Clean", 0.0), (2, "c", "Clean", 0.0)],
+                                      "source_id long, description string, results string, biological double")
+    assert [(r.source_id, r.rows) for r in access.repeated_sources(pollution).collect()] == [(1, 2)]
+
+
+def test_role_pollution_has_one_row_per_source(spark, sf_mid):
+    from wellspring.sources import Tables
+    from wellspring.sources import roles as R
+    assert access.repeated_sources(R.well_pollution(Tables(spark, sf_mid))).count() == 0

@@ -20,6 +20,17 @@ def sources_with_results(sources: DataFrame, pollution: DataFrame) -> DataFrame:
     return sources.join(pollution.select("source_id", "results"), "source_id", "left")
 
 
+def repeated_sources(pollution: DataFrame) -> DataFrame:
+    """Sources with more than one pollution row (should be none).
+
+    The view joins pollution results onto visits by source; a repeated
+    source would repeat its visits and inflate people served, so run this
+    check on a new pollution table before trusting the shares.
+    """
+    return (pollution.groupBy("source_id").agg(F.count(F.lit(1)).alias("rows"))
+            .filter(F.col("rows") > 1))
+
+
 def combined_view(visits: DataFrame, pollution: DataFrame, location: DataFrame,
                   sources: DataFrame) -> DataFrame:
     """First visits with their source type, place, people served and result.
