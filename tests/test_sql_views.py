@@ -20,47 +20,37 @@ def _same(a, b):
 
 
 def test_town_share_in_sql(spark, sf_small, views):
-    sql = """
-    WITH town_totals AS (
-      SELECT province_name, town_name, SUM(people_served) AS total_ppl_serv
-      FROM combined_analysis_table GROUP BY province_name, town_name)
-    SELECT ct.province_name, ct.town_name,
-      ROUND(SUM(CASE WHEN source_type = 'river' THEN people_served ELSE 0 END) * 100D / tt.total_ppl_serv, 0) AS river,
-      ROUND(SUM(CASE WHEN source_type = 'shared_tap' THEN people_served ELSE 0 END) * 100D / tt.total_ppl_serv, 0) AS shared_tap,
-      ROUND(SUM(CASE WHEN source_type = 'tap_in_home' THEN people_served ELSE 0 END) * 100D / tt.total_ppl_serv, 0) AS tap_in_home,
-      ROUND(SUM(CASE WHEN source_type = 'tap_in_home_broken' THEN people_served ELSE 0 END) * 100D / tt.total_ppl_serv, 0) AS tap_in_home_broken,
-      ROUND(SUM(CASE WHEN source_type = 'well' THEN people_served ELSE 0 END) * 100D / tt.total_ppl_serv, 0) AS well
-    FROM combined_analysis_table ct
-    JOIN town_totals tt ON ct.province_name = tt.province_name AND ct.town_name = tt.town_name
-    GROUP BY ct.province_name, ct.town_name, tt.total_ppl_serv"""
+    cols = ",\n".join(
+        f"round(sum(if(source_type = '{t}', people_served, 0)) * 100D / sum(people_served), 0) as {t}"
+        for t in ["river", "shared_tap", "tap_in_home", "tap_in_home_broken", "well"])
+    sql = f"""
+    select province_name, town_name,
+    {cols}
+    from combined_analysis_table
+    group by province_name, town_name"""
     assert _same(spark.sql(sql), E.queries()["town_source_share"](spark, sf_small))
 
 
 def test_suspects_in_sql(spark, sf_small, views):
     sql = """
-    WITH error_count AS (
-      SELECT employee_name, COUNT(employee_name) AS number_of_mistakes
-      FROM Incorrect_records GROUP BY employee_name),
-    suspect_list AS (
-      SELECT employee_name, number_of_mistakes FROM error_count
-      WHERE number_of_mistakes > (SELECT AVG(number_of_mistakes) FROM error_count))
-    SELECT employee_name, location_id, statements FROM Incorrect_records
-    WHERE employee_name IN (SELECT employee_name FROM suspect_list)
-      AND LOWER(statements) LIKE '%urgent%'"""
+    with per_name as (
+      select employee_name, count(employee_name) as n from Incorrect_records group by employee_name)
+    select i.employee_name, i.location_id, i.statements
+    from Incorrect_records i
+    where i.employee_name in (select employee_name from per_name
+                              where n > (select avg(n) from per_name))
+      and lower(i.statements) like '%urgent%'"""
     assert _same(spark.sql(sql), E.queries()["suspect_statements"](spark, sf_small))
 
 
 def test_first_visit_audit_in_sql(spark, sf_small, views):
     sql = """
-    SELECT auditor_report.location_id AS location_id, visits.record_id,
-           auditor_report.true_water_source_score AS auditor_score,
-           water_quality.subjective_quality_score AS surveyor_score
-    FROM auditor_report
-    JOIN visits ON auditor_report.location_id = visits.location_id
-    JOIN water_quality ON visits.record_id = water_quality.record_id
-                      AND visits.visit_count = water_quality.visit_count
-    WHERE auditor_report.true_water_source_score = water_quality.subjective_quality_score
-      AND visits.visit_count = 1"""
+    select a.location_id, v.record_id, a.true_water_source_score as auditor_score,
+           q.subjective_quality_score as surveyor_score
+    from auditor_report a
+    join visits v on v.location_id = a.location_id and v.visit_count = 1
+    join water_quality q on q.record_id = v.record_id and q.visit_count = v.visit_count
+    where a.true_water_source_score = q.subjective_quality_score"""
     got = spark.sql(sql)
     want = E.queries()["audit_match_first"](spark, sf_small)
     # record ids repeat in the role data, so the SQL join may fan out; the
@@ -74,7 +64,7 @@ def test_queue_weekday_in_sql(spark, sf_small, views):
     from wellspring.sources import roles as R
     R.queue_log(Tables(spark, sf_small)).createOrReplaceTempView("queue_log")
     sql = """
-    SELECT date_format(time_of_record, 'EEEE') AS day_of_week, ROUND(AVG(time_in_queue)) AS avg_queue_time
-    FROM queue_log WHERE time_in_queue > 0 GROUP BY day_of_week"""
+    select date_format(time_of_record, 'EEEE') as day_of_week, round(avg(time_in_queue)) as avg_queue_time
+    from queue_log where time_in_queue > 0 group by 1"""
     assert _same(spark.sql(sql), E.queries()["queue_by_weekday"](spark, sf_small))
     spark.catalog.dropTempView("queue_log")

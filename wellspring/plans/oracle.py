@@ -2,11 +2,11 @@
 
 The driver's tables are views of the same names. Each statement first
 rebuilds the survey roles it needs as CTEs (the same mapping as
-``wellspring.sources.roles``, written out in SQL), then states the survey's
-query in the survey's own form: CTEs, joins to per-group totals, a cross
-join with a one-row total, ``NOT IN`` and so on. Only typing differs: sums
-are cast to BIGINT, percents computed in DOUBLE, and ranks/hours/day counts
-cast to BIGINT, so both engines return the same column types.
+``wellspring.sources.roles``, written out in SQL), then answers the question
+the plain relational way, deliberately unlike the Spark plan: per-group
+totals joined back to the detail, a cross join with a one-row total, window
+ranks over whole partitions, ``NOT IN`` subqueries. Sums are cast to BIGINT
+and percents computed in DOUBLE so both engines return the same types.
 """
 
 from __future__ import annotations
@@ -63,401 +63,375 @@ ROLE_SQL = {
         SELECT doc_id, text FROM documents""",
 }
 
-# Shared query fragments, written as the survey writes them.
-COMBINED = """
-    SELECT water_source.type_of_water_source AS source_type, location.town_name,
-           location.province_name, location.location_type,
-           water_source.number_of_people_served AS people_served,
-           visits.time_in_queue, well_pollution.results
-    FROM visits
-    LEFT JOIN well_pollution ON well_pollution.source_id = visits.source_id
-    INNER JOIN location ON location.location_id = visits.location_id
-    INNER JOIN water_source ON water_source.source_id = visits.source_id
-    WHERE visits.visit_count = 1"""
-
-COMBINED_ROLES = ["visits", "well_pollution", "location", "water_source"]
-
 TYPES = ["river", "shared_tap", "tap_in_home", "tap_in_home_broken", "well"]
+DAYS = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 
 
-def _pct_cols(total: str) -> str:
-    return ",\n".join(
-        f"ROUND(CAST(SUM(CASE WHEN source_type = '{t}' THEN people_served ELSE 0 END) AS DOUBLE)"
-        f" * 100 / CAST(NULLIF({total}, 0) AS DOUBLE), 0) AS {t}" for t in TYPES)
-
-
-TOWN_SHARE = f"""
-    SELECT ct.province_name, ct.town_name,
-    {_pct_cols('tt.total_ppl_serv')}
-    FROM combined_analysis_table ct
-    JOIN town_totals tt ON ct.province_name = tt.province_name AND ct.town_name = tt.town_name
-    GROUP BY ct.province_name, ct.town_name, tt.total_ppl_serv"""
-
-TOWN_TOTALS = """
-    SELECT province_name, town_name, CAST(SUM(people_served) AS BIGINT) AS total_ppl_serv
-    FROM combined_analysis_table GROUP BY province_name, town_name"""
-
-PAIRS_FROM = """
-    FROM auditor_report
-    JOIN visits ON auditor_report.location_id = visits.location_id"""
-
-INCORRECT = """
-    SELECT auditor_report.location_id AS location_id,
-           auditor_report.type_of_water_source AS auditor_source,
-           visits.record_id, employee.assigned_employee_id, employee.employee_name,
-           auditor_report.true_water_source_score AS auditor_score,
-           visits.subjective_quality_score AS surveyor_score,
-           auditor_report.statements AS statements
-    FROM auditor_report
-    JOIN visits ON auditor_report.location_id = visits.location_id
-    JOIN employee ON visits.assigned_employee_id = employee.assigned_employee_id
-    WHERE auditor_report.true_water_source_score != visits.subjective_quality_score
-      AND visits.visit_count = 1"""
-
-ERROR_COUNT = """
-    SELECT employee_name, CAST(COUNT(employee_name) AS BIGINT) AS number_of_mistakes
-    FROM Incorrect_records GROUP BY employee_name"""
-
-SUSPECTS = """
-    SELECT employee_name, number_of_mistakes FROM error_count
-    WHERE number_of_mistakes > (SELECT AVG(number_of_mistakes) FROM error_count)"""
-
-WORK_ORDERS = """
-    SELECT location.address, location.town_name, location.province_name,
-           CAST(water_source.source_id AS VARCHAR) AS source_id,
-           water_source.type_of_water_source,
-           CASE
-             WHEN well_pollution.results = 'Contaminated: Chemical' THEN 'Install RO filter'
-             WHEN well_pollution.results = 'Contaminated: Biological' THEN 'Install UV filter'
-             WHEN water_source.type_of_water_source = 'river' THEN 'Drill well'
-             WHEN water_source.type_of_water_source = 'shared_tap' AND visits.time_in_queue >= 30
-               THEN 'Install ' || CAST(CAST(FLOOR(visits.time_in_queue / 30) AS BIGINT) AS VARCHAR) || ' taps nearby'
-             WHEN water_source.type_of_water_source = 'tap_in_home_broken' THEN 'Diagnose infrastructure'
-             ELSE 'Null'
-           END AS Improvement,
-           CASE WHEN well_pollution.results IN ('Contaminated: Chemical', 'Contaminated: Biological')
-                THEN 'In progress' ELSE 'Backlog' END AS Source_status,
-           DATE '2024-01-31' AS Date_of_completion,
-           'Monitoring required' AS Comments
-    FROM water_source
-    LEFT JOIN well_pollution ON water_source.source_id = well_pollution.source_id
-    INNER JOIN visits ON water_source.source_id = visits.source_id
-    INNER JOIN location ON location.location_id = visits.location_id
-    WHERE visits.visit_count = 1
-      AND (well_pollution.results != 'Clean'
-           OR water_source.type_of_water_source IN ('tap_in_home_broken', 'river')
-           OR (water_source.type_of_water_source = 'shared_tap' AND visits.time_in_queue >= 30))"""
-
-CORRECTED = """
-    SELECT source_id,
-           CASE WHEN description = 'Clean Bacteria: E. coli' THEN 'Bacteria: E. coli'
-                WHEN description = 'Clean Bacteria: Giardia Lamblia' THEN 'Bacteria: Giardia Lamblia'
-                ELSE description END AS description,
-           CASE WHEN biological > 0.01 AND results = 'Clean' THEN 'Contaminated: Biological'
-                ELSE results END AS results,
+def with_roles(roles: list[str], body: str, ctes: list[tuple[str, str]] | None = None) -> str:
+    parts = [f"{name} as ({ROLE_SQL[name]}\n)" for name in roles]
+    parts += [f"{name} as ({sql}\n)" for name, sql in (ctes or [])]
+    return "with " + ",\n".join(parts) + "\n" + body.strip()
+
+
+# first visits with source, place and pollution result
+CV_ROLES = ["visits", "well_pollution", "location", "water_source"]
+CV = """
+    select ws.type_of_water_source as source_type, loc.town_name, loc.province_name,
+           loc.location_type, ws.number_of_people_served as people_served,
+           v.time_in_queue, wp.results
+    from visits v
+    join water_source ws on ws.source_id = v.source_id
+    join location loc on loc.location_id = v.location_id
+    left join well_pollution wp on wp.source_id = v.source_id
+    where v.visit_count = 1"""
+
+
+def _cv(body: str, extra: list[tuple[str, str]] | None = None) -> str:
+    return with_roles(CV_ROLES, body, [("cv", CV)] + (extra or []))
+
+
+def _type_pct(t: str, total: str) -> str:
+    return (f"round(cast(sum(case when c.source_type = '{t}' then c.people_served else 0 end) as double)"
+            f" * 100 / cast(nullif({total}, 0) as double), 0) as {t}")
+
+
+def _share_by(keys: list[str]) -> tuple[str, str]:
+    """(totals CTE, pivot select) for the percent-of-group pivot, totals joined back."""
+    k = ", ".join(keys)
+    on = " and ".join(f"c.{x} = g.{x}" for x in keys)
+    totals = f"select {k}, cast(sum(people_served) as bigint) as grp_total from cv group by {k}"
+    cols = ",\n".join(_type_pct(t, "g.grp_total") for t in TYPES)
+    pivot = f"""
+    select {", ".join("c." + x for x in keys)},
+    {cols}
+    from cv c join grp g on {on}
+    group by {", ".join("c." + x for x in keys)}, g.grp_total"""
+    return totals, pivot
+
+
+TOWN_TOTALS, TOWN_PCT = _share_by(["province_name", "town_name"])
+PROV_TOTALS, PROV_PCT = _share_by(["province_name"])
+
+# first-visit pairs where the two scores differ, with the surveyor's name
+WRONG = """
+    select a.location_id, a.type_of_water_source as auditor_source, v.record_id,
+           e.assigned_employee_id, e.employee_name,
+           a.true_water_source_score as auditor_score,
+           v.subjective_quality_score as surveyor_score, a.statements
+    from auditor_report a
+    join visits v on v.location_id = a.location_id and v.visit_count = 1
+    join employee e on e.assigned_employee_id = v.assigned_employee_id
+    where a.true_water_source_score <> v.subjective_quality_score"""
+AUDIT_ROLES = ["auditor_report", "visits", "employee"]
+PER_NAME = """
+    select employee_name, cast(count(employee_name) as bigint) as number_of_mistakes
+    from wrong group by employee_name"""
+FLAGGED = """
+    select p.employee_name, p.number_of_mistakes
+    from per_name p cross join (select avg(number_of_mistakes) as m from per_name) mean
+    where p.number_of_mistakes > mean.m"""
+
+# work orders: one row per first visit of a source that needs work
+ORDERS = """
+    select loc.address, loc.town_name, loc.province_name,
+           cast(ws.source_id as varchar) as source_id, ws.type_of_water_source,
+           case when wp.results = 'Contaminated: Chemical' then 'Install RO filter'
+                when wp.results = 'Contaminated: Biological' then 'Install UV filter'
+                when ws.type_of_water_source = 'river' then 'Drill well'
+                when ws.type_of_water_source = 'shared_tap' and v.time_in_queue >= 30
+                  then concat('Install ', cast(v.time_in_queue // 30 as varchar), ' taps nearby')
+                when ws.type_of_water_source = 'tap_in_home_broken' then 'Diagnose infrastructure'
+                else 'Null' end as Improvement,
+           case when wp.results in ('Contaminated: Chemical', 'Contaminated: Biological')
+                then 'In progress' else 'Backlog' end as Source_status,
+           date '2024-01-31' as Date_of_completion,
+           'Monitoring required' as Comments
+    from visits v
+    join water_source ws on ws.source_id = v.source_id
+    join location loc on loc.location_id = v.location_id
+    left join well_pollution wp on wp.source_id = ws.source_id
+    where v.visit_count = 1
+      and (wp.results <> 'Clean'
+           or ws.type_of_water_source in ('river', 'tap_in_home_broken')
+           or (ws.type_of_water_source = 'shared_tap' and v.time_in_queue >= 30))"""
+
+FIXED_POLLUTION = """
+    select source_id,
+           case description when 'Clean Bacteria: E. coli' then 'Bacteria: E. coli'
+                            when 'Clean Bacteria: Giardia Lamblia' then 'Bacteria: Giardia Lamblia'
+                            else description end as description,
+           case when results = 'Clean' and biological > 0.01 then 'Contaminated: Biological'
+                else results end as results,
            biological
-    FROM well_pollution"""
+    from well_pollution"""
+BAD_ROW = "(description like 'Clean_%' or (results = 'Clean' and biological > 0.01))"
 
-VIOLATION = "description LIKE 'Clean_%' OR (results = 'Clean' AND biological > 0.01)"
+PAIRS = """
+    from auditor_report a
+    join visits v on v.location_id = a.location_id"""
 
 
-def with_roles(roles: list[str], body: str, ctes: list[tuple[str, str]] | None = None) -> str:
-    parts = [f"{name} AS ({ROLE_SQL[name]}\n)" for name in roles]
-    parts += [f"{name} AS ({sql}\n)" for name, sql in (ctes or [])]
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
-
-
-def _ranked(where: str) -> str:
+def _numbered(where: str) -> str:
     return with_roles(["water_source"], f"""
-        SELECT source_id, type_of_water_source, number_of_people_served, source_rank
-        FROM RankedSources WHERE {where}
-        ORDER BY type_of_water_source ASC, source_rank DESC""", [("RankedSources", """
-        SELECT s.source_id, s.number_of_people_served, s.type_of_water_source,
-               CAST(ROW_NUMBER() OVER (PARTITION BY s.type_of_water_source
-                                       ORDER BY s.number_of_people_served DESC, s.source_id) AS BIGINT)
-                 AS source_rank
-        FROM water_source s""")])
+    select source_id, type_of_water_source, number_of_people_served, source_rank
+    from numbered where {where}
+    order by type_of_water_source, source_rank desc""", [("numbered", """
+    select source_id, type_of_water_source, number_of_people_served,
+           cast(row_number() over (partition by type_of_water_source
+                                   order by number_of_people_served desc, source_id) as bigint) as source_rank
+    from water_source""")])
 
 
 def _heatmap() -> str:
-    days = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
     cols = ",\n".join(
-        f"ROUND(AVG(CASE WHEN dayname(time_of_record) = '{d}' THEN time_in_queue ELSE NULL END), 0) AS {d}"
-        for d in days)
+        f"round(avg(time_in_queue) filter (where dayname(time_of_record) = '{d}'), 0) as {d}" for d in DAYS)
     return with_roles(["queue_log"], f"""
-        SELECT strftime(time_of_record, '%H:00') AS hour_of_day,
-        {cols}
-        FROM queue_log WHERE time_in_queue != 0
-        GROUP BY hour_of_day ORDER BY hour_of_day""")
-
+    select strftime(time_of_record, '%H:00') as hour_of_day,
+    {cols}
+    from queue_log where time_in_queue <> 0
+    group by 1 order by 1""")
 
-def _statements(op: str) -> str:
-    return with_roles(["auditor_report", "visits", "employee"], f"""
-        SELECT employee_name, location_id, statements
-        FROM Incorrect_records
-        WHERE employee_name {op} (SELECT employee_name FROM suspect_list)
-          AND LOWER(statements) LIKE '%urgent%'""",
-                      [("Incorrect_records", INCORRECT), ("error_count", ERROR_COUNT),
-                       ("suspect_list", SUSPECTS)])
 
+def _evidence(op: str) -> str:
+    return with_roles(AUDIT_ROLES, f"""
+    select w.employee_name, w.location_id, w.statements
+    from wrong w
+    where w.employee_name {op} (select employee_name from flagged)
+      and lower(w.statements) like '%urgent%'""",
+                      [("wrong", WRONG), ("per_name", PER_NAME), ("flagged", FLAGGED)])
 
-def _combined_with(body: str, extra: list[tuple[str, str]] | None = None) -> str:
-    return with_roles(COMBINED_ROLES, body, [("combined_analysis_table", COMBINED)] + (extra or []))
 
+def _people(cond: str) -> str:
+    return f"sum(case when {cond} then people_served else 0 end)"
 
-def _town_share_with(body: str) -> str:
-    return _combined_with(body, [("town_totals", TOWN_TOTALS), ("town_aggregated_water_access", TOWN_SHARE)])
 
+def _pct(num: str, den: str, digits: int = 0) -> str:
+    return f"round(cast({num} as double) * 100 / cast(nullif({den}, 0) as double), {digits})"
 
-def _people_where(cond: str) -> str:
-    return f"SUM(CASE WHEN {cond} THEN people_served ELSE 0 END)"
 
+HOME = "source_type in ('tap_in_home', 'tap_in_home_broken')"
 
-def _pct(num: str, den: str, digits: int = 0) -> str:
-    return f"ROUND(CAST({num} AS DOUBLE) * 100 / CAST(NULLIF({den}, 0) AS DOUBLE), {digits})"
 
+def _violations() -> str:
+    widths = [("address", 50), ("town_name", 30), ("province_name", 30), ("source_id", 20),
+              ("type_of_water_source", 50), ("Improvement", 50), ("Source_status", 50)]
+    long_cols = ",\n".join(f"count(*) filter (where length(o.{c}) > {n}) as {c.lower()}_too_long"
+                            for c, n in widths)
+    return with_roles(CV_ROLES, f"""
+    select count(*) as orders_checked,
+           count(*) filter (where o.source_id is null) as null_source_id,
+           count(*) filter (where o.source_id is not null and k.source_id is null) as unknown_source_id,
+           count(*) filter (where coalesce(o.Source_status, 'Backlog')
+                            not in ('Backlog', 'In progress', 'Complete')) as invalid_status,
+    {long_cols}
+    from orders o
+    left join (select distinct cast(source_id as varchar) as source_id from water_source) k
+      on k.source_id = o.source_id""", [("orders", ORDERS)])
 
-_HOME = "source_type IN ('tap_in_home', 'tap_in_home_broken')"
 
 ORACLE: dict[str, str] = {
     # A: scans, sources, sinks
-    "scan_full": with_roles(["visits"], "SELECT * FROM visits"),
+    "scan_full": with_roles(["visits"], "select * from visits"),
     "project_cols": with_roles(["auditor_report"],
-                               "SELECT location_id, true_water_source_score FROM auditor_report"),
-    "preview_limit": with_roles(["location"], "SELECT * FROM location ORDER BY location_id LIMIT 5"),
-    "snapshot_copy": with_roles(["well_pollution"], "SELECT * FROM well_pollution"),
-    "correct_rows": with_roles(["well_pollution"], CORRECTED),
+                               "select location_id, true_water_source_score from auditor_report"),
+    "preview_limit": with_roles(["location"], "select * from location order by location_id limit 5"),
+    "snapshot_copy": with_roles(["well_pollution"], "select * from well_pollution"),
+    "correct_rows": with_roles(["well_pollution"], FIXED_POLLUTION),
     "verify_clean": with_roles(["well_pollution"], f"""
-        SELECT (SELECT COUNT(*) FROM well_pollution WHERE {VIOLATION}) AS violations_before,
-               (SELECT COUNT(*) FROM well_pollution_copy WHERE {VIOLATION}) AS violations_after""",
-                               [("well_pollution_copy", CORRECTED)]),
+    select count(*) filter (where {BAD_ROW.replace('description', 'w.description')
+                                   .replace('results', 'w.results').replace('biological', 'w.biological')})
+             as violations_before,
+           count(*) filter (where {BAD_ROW.replace('description', 'f.description')
+                                   .replace('results', 'f.results').replace('biological', 'f.biological')})
+             as violations_after
+    from well_pollution w join fixed f on f.source_id = w.source_id""", [("fixed", FIXED_POLLUTION)]),
     "email_expr": with_roles(["staff_names"],
-                             "SELECT LOWER(REPLACE(employee_name, ' ', '.')) AS email_local FROM staff_names"),
+                             "select lower(replace(employee_name, ' ', '.')) as email_local from staff_names"),
     "fill_email": with_roles(["staff_names"], """
-        SELECT assigned_employee_id, employee_name,
-               LOWER(REPLACE(employee_name, ' ', '.')) || '@ndogowater.gov' AS email
-        FROM staff_names"""),
+    select assigned_employee_id, employee_name,
+           lower(replace(employee_name, ' ', '.')) || '@ndogowater.gov' as email
+    from staff_names"""),
     "phone_length": with_roles(["documents_text"],
-                               "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS length_bytes FROM documents_text"),
+                               "select doc_id, cast(strlen(text) as bigint) as length_bytes from documents_text"),
     # B/C: projections and filters
-    "distinct_types": with_roles(["water_source"], "SELECT DISTINCT type_of_water_source FROM water_source"),
-    "filter_gt": with_roles(["visits"], "SELECT * FROM visits WHERE time_in_queue > 49"),
+    "distinct_types": with_roles(["water_source"], "select type_of_water_source from water_source group by 1"),
+    "filter_gt": with_roles(["visits"], "select * from visits where time_in_queue > 49"),
     "filter_in": with_roles(["water_source"],
-                            "SELECT * FROM water_source WHERE source_id IN (7, 42, 99, 123, 150)"),
+                            "select * from water_source where source_id in (7, 42, 99, 123, 150)"),
     "filter_and": with_roles(["visits"], """
-        SELECT record_id, subjective_quality_score, visit_count FROM visits
-        WHERE subjective_quality_score = 'F' AND visit_count = 2"""),
+    select record_id, subjective_quality_score, visit_count from visits
+    where visit_count = 2 and subjective_quality_score = 'F'"""),
     "filter_contradiction": with_roles(["well_pollution"],
-                                       "SELECT * FROM well_pollution WHERE results = 'Clean' AND biological > 0.01"),
-    "filter_like_prefix": with_roles(["well_pollution"],
-                                     "SELECT * FROM well_pollution WHERE description LIKE 'Clean_%' AND biological > 0.01"),
+                                       "select * from well_pollution where biological > 0.01 and results = 'Clean'"),
+    "filter_like_prefix": with_roles(["well_pollution"], """
+    select * from well_pollution where biological > 0.01 and description like 'Clean_%'"""),
     # D/E/F: profile
     "count_by_key": with_roles(["employee"], """
-        SELECT town_name, COUNT(*) AS num_employees FROM employee
-        GROUP BY town_name ORDER BY num_employees DESC"""),
+    select town_name, count(*) as num_employees from employee group by 1 order by 2 desc"""),
     "count_by_two": with_roles(["location"], """
-        SELECT province_name, town_name, records_per_town FROM TownCounts
-        ORDER BY province_name ASC, records_per_town DESC""", [("TownCounts", """
-        SELECT province_name, town_name, COUNT(*) AS records_per_town
-        FROM location GROUP BY province_name, town_name""")]),
+    select province_name, town_name, count(*) as records_per_town
+    from location group by 1, 2 order by 1, 3 desc"""),
     "top_visitors": with_roles(["visits"], """
-        SELECT assigned_employee_id, COUNT(visit_count) AS number_of_visits FROM visits
-        GROUP BY assigned_employee_id ORDER BY number_of_visits DESC, assigned_employee_id LIMIT 3"""),
+    select assigned_employee_id, count(visit_count) as number_of_visits
+    from visits group by 1 order by 2 desc, 1 limit 3"""),
     "total_served": with_roles(["water_source"],
-                               "SELECT CAST(SUM(number_of_people_served) AS BIGINT) AS total FROM water_source"),
+                               "select cast(sum(number_of_people_served) as bigint) as total from water_source"),
     "served_by_type": with_roles(["water_source"], """
-        SELECT type_of_water_source, CAST(SUM(number_of_people_served) AS BIGINT) AS total_people_served
-        FROM water_source GROUP BY type_of_water_source ORDER BY total_people_served DESC"""),
+    select type_of_water_source, cast(sum(number_of_people_served) as bigint) as total_people_served
+    from water_source group by 1 order by 2 desc"""),
     "avg_by_type": with_roles(["water_source"], """
-        SELECT type_of_water_source, ROUND(AVG(number_of_people_served), 0) AS avg_people_served
-        FROM water_source GROUP BY type_of_water_source"""),
+    select type_of_water_source, round(avg(number_of_people_served), 0) as avg_people_served
+    from water_source group by 1"""),
     "rank_types": with_roles(["water_source"], """
-        SELECT type_of_water_source, CAST(SUM(number_of_people_served) AS BIGINT) AS total_people_served,
-               CAST(RANK() OVER (ORDER BY SUM(number_of_people_served) DESC) AS BIGINT) AS rank_by_people_served
-        FROM water_source GROUP BY type_of_water_source ORDER BY total_people_served DESC"""),
+    select t.type_of_water_source, t.total_people_served,
+           cast(1 + (select count(*) from per_type u where u.total_people_served > t.total_people_served)
+                as bigint) as rank_by_people_served
+    from per_type t order by 2 desc""", [("per_type", """
+    select type_of_water_source, cast(sum(number_of_people_served) as bigint) as total_people_served
+    from water_source group by 1""")]),
     "share_window": with_roles(["location"], """
-        SELECT location_type, COUNT(*) AS record_count,
-               ROUND(CAST(COUNT(*) AS DOUBLE) * 100 / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 2) AS percentage
-        FROM location GROUP BY location_type ORDER BY record_count DESC"""),
+    select location_type, count(*) as record_count,
+           round(cast(count(*) as double) * 100 / cast(sum(count(*)) over () as double), 2) as percentage
+    from location group by 1 order by 2 desc"""),
     "share_crossjoin": with_roles(["location"], """
-        SELECT lc.location_type, lc.record_count,
-               ROUND(CAST(lc.record_count AS DOUBLE) * 100 / CAST(tc.total_records AS DOUBLE), 2) AS percentage
-        FROM LocationCounts lc CROSS JOIN TotalCount tc ORDER BY lc.record_count DESC""", [
-        ("LocationCounts", "SELECT location_type, COUNT(*) AS record_count FROM location GROUP BY location_type"),
-        ("TotalCount", "SELECT SUM(record_count) AS total_records FROM LocationCounts")]),
+    select n.location_type, n.record_count,
+           round(cast(n.record_count as double) * 100 / cast(t.all_rows as double), 2) as percentage
+    from per_type n cross join (select sum(record_count) as all_rows from per_type) t
+    order by 2 desc""", [("per_type", "select location_type, count(*) as record_count from location group by 1")]),
     "share_subquery": with_roles(["water_source"], """
-        SELECT type_of_water_source, CAST(SUM(number_of_people_served) AS BIGINT) AS total_people_served,
-               ROUND(CAST(SUM(number_of_people_served) AS DOUBLE) * 100
-                     / (SELECT CAST(SUM(number_of_people_served) AS DOUBLE) FROM water_source), 0) AS percentage
-        FROM water_source GROUP BY type_of_water_source ORDER BY total_people_served DESC"""),
-    "rank_then_filter": _ranked("source_id IN (3, 58, 101, 144, 199)"),
-    "top_n_per_type": _ranked("source_rank <= 10"),
+    select type_of_water_source, cast(sum(number_of_people_served) as bigint) as total_people_served,
+           round(cast(sum(number_of_people_served) as double) * 100
+                 / (select cast(sum(number_of_people_served) as double) from water_source), 0) as percentage
+    from water_source group by 1 order by 2 desc"""),
+    "rank_then_filter": _numbered("source_id in (3, 58, 101, 144, 199)"),
+    "top_n_per_type": _numbered("source_rank <= 10"),
     # W5: queues
     "survey_span": with_roles(["queue_log"], """
-        SELECT MIN(time_of_record) AS survey_start, MAX(time_of_record) AS survey_end,
-               CAST(date_diff('day', MIN(time_of_record), MAX(time_of_record)) AS BIGINT) AS survey_duration_days,
-               ROUND(date_diff('day', MIN(time_of_record), MAX(time_of_record)) / 365, 4) AS survey_duration_years
-        FROM queue_log"""),
+    select min(time_of_record) as survey_start, max(time_of_record) as survey_end,
+           cast(date_diff('day', min(time_of_record), max(time_of_record)) as bigint) as survey_duration_days,
+           round(date_diff('day', min(time_of_record), max(time_of_record)) / 365, 4) as survey_duration_years
+    from queue_log"""),
     "avg_queue_filter": with_roles(["queue_log"], """
-        SELECT ROUND(AVG(time_in_queue), 4) AS avg_queue_time_minutes FROM queue_log WHERE time_in_queue > 0"""),
+    select round(avg(time_in_queue), 4) as avg_queue_time_minutes from queue_log where time_in_queue > 0"""),
     "avg_queue_nullif": with_roles(["queue_log"], """
-        SELECT ROUND(AVG(NULLIF(time_in_queue, 0)), 4) AS avg_queue_time_minutes FROM queue_log"""),
+    select round(sum(time_in_queue) filter (where time_in_queue <> 0)
+                 / count(*) filter (where time_in_queue <> 0), 4) as avg_queue_time_minutes
+    from queue_log"""),
     "queue_by_weekday": with_roles(["queue_log"], """
-        SELECT dayname(time_of_record) AS day_of_week, ROUND(AVG(time_in_queue), 0) AS avg_queue_time
-        FROM queue_log WHERE time_in_queue > 0 GROUP BY day_of_week"""),
+    select dayname(time_of_record) as day_of_week, round(avg(time_in_queue), 0) as avg_queue_time
+    from queue_log where time_in_queue > 0 group by 1"""),
     "queue_by_hour": with_roles(["queue_log"], """
-        SELECT CAST(hour(time_of_record) AS BIGINT) AS hour_of_day, ROUND(AVG(time_in_queue), 0) AS avg_queue_time
-        FROM queue_log WHERE time_in_queue > 0 GROUP BY hour_of_day ORDER BY hour_of_day ASC"""),
+    select cast(hour(time_of_record) as bigint) as hour_of_day, round(avg(time_in_queue), 0) as avg_queue_time
+    from queue_log where time_in_queue > 0 group by 1 order by 1"""),
     "queue_by_hour_label": with_roles(["queue_log"], """
-        SELECT strftime(time_of_record, '%H:00') AS hour_of_day, ROUND(AVG(time_in_queue), 0) AS avg_queue_time
-        FROM queue_log WHERE time_in_queue > 0 GROUP BY hour_of_day ORDER BY hour_of_day ASC"""),
+    select strftime(time_of_record, '%H:00') as hour_of_day, round(avg(time_in_queue), 0) as avg_queue_time
+    from queue_log where time_in_queue > 0 group by 1 order by 1"""),
     "queue_heatmap": _heatmap(),
     # J: joins
     "join_two": with_roles(["visits", "location"], """
-        SELECT location.province_name, location.town_name, visits.visit_count, location.location_id
-        FROM visits JOIN location ON location.location_id = visits.location_id"""),
+    select loc.province_name, loc.town_name, v.visit_count, loc.location_id
+    from visits v join location loc on loc.location_id = v.location_id"""),
     "join_three": with_roles(["visits", "location", "water_source"], """
-        SELECT location.province_name, location.town_name, visits.visit_count, location.location_id,
-               water_source.type_of_water_source, water_source.number_of_people_served
-        FROM visits JOIN location ON location.location_id = visits.location_id
-        JOIN water_source ON water_source.source_id = visits.source_id
-        WHERE visits.visit_count = 1"""),
+    select loc.province_name, loc.town_name, v.visit_count, loc.location_id,
+           ws.type_of_water_source, ws.number_of_people_served
+    from visits v
+    join location loc on loc.location_id = v.location_id
+    join water_source ws on ws.source_id = v.source_id
+    where v.visit_count = 1"""),
     "join_point_lookup": with_roles(["visits", "location", "water_source"], """
-        SELECT location.province_name, location.town_name, visits.visit_count, location.location_id,
-               water_source.type_of_water_source, water_source.number_of_people_served
-        FROM visits JOIN location ON location.location_id = visits.location_id
-        JOIN water_source ON water_source.source_id = visits.source_id
-        WHERE visits.location_id = 42"""),
+    select loc.province_name, loc.town_name, v.visit_count, loc.location_id,
+           ws.type_of_water_source, ws.number_of_people_served
+    from visits v
+    join location loc on loc.location_id = v.location_id
+    join water_source ws on ws.source_id = v.source_id
+    where loc.location_id = 42"""),
     # W6/W7: audit
     "audit_match": with_roles(["auditor_report", "visits"], f"""
-        SELECT auditor_report.location_id AS location_id, visits.record_id,
-               auditor_report.true_water_source_score AS auditor_score,
-               visits.subjective_quality_score AS surveyor_score
-        {PAIRS_FROM}
-        WHERE auditor_report.true_water_source_score = visits.subjective_quality_score"""),
+    select a.location_id, v.record_id, a.true_water_source_score as auditor_score,
+           v.subjective_quality_score as surveyor_score
+    {PAIRS}
+    where a.true_water_source_score = v.subjective_quality_score"""),
     "audit_match_first": with_roles(["auditor_report", "visits"], f"""
-        SELECT auditor_report.location_id AS location_id, visits.record_id,
-               auditor_report.true_water_source_score AS auditor_score,
-               visits.subjective_quality_score AS surveyor_score
-        {PAIRS_FROM}
-        WHERE auditor_report.true_water_source_score = visits.subjective_quality_score
-          AND visits.visit_count = 1"""),
+    select a.location_id, v.record_id, a.true_water_source_score as auditor_score,
+           v.subjective_quality_score as surveyor_score
+    {PAIRS}
+    where v.visit_count = 1 and a.true_water_source_score = v.subjective_quality_score"""),
     "audit_mismatch": with_roles(["auditor_report", "visits"], f"""
-        SELECT auditor_report.location_id AS location_id,
-               auditor_report.type_of_water_source AS auditor_source, visits.record_id,
-               auditor_report.true_water_source_score AS auditor_score,
-               visits.subjective_quality_score AS surveyor_score
-        {PAIRS_FROM}
-        WHERE auditor_report.true_water_source_score != visits.subjective_quality_score
-          AND visits.visit_count = 1"""),
+    select a.location_id, a.type_of_water_source as auditor_source, v.record_id,
+           a.true_water_source_score as auditor_score, v.subjective_quality_score as surveyor_score
+    {PAIRS}
+    where v.visit_count = 1 and a.true_water_source_score <> v.subjective_quality_score"""),
     "audit_accuracy": with_roles(["auditor_report", "visits"], f"""
-        SELECT COUNT(*) AS audited,
-               COUNT(*) FILTER (WHERE auditor_report.true_water_source_score = visits.subjective_quality_score) AS agreeing,
-               COUNT(*) FILTER (WHERE auditor_report.true_water_source_score != visits.subjective_quality_score) AS disagreeing,
-               ROUND(CAST(COUNT(*) FILTER (WHERE auditor_report.true_water_source_score = visits.subjective_quality_score)
-                          AS DOUBLE) * 100 / CAST(NULLIF(COUNT(*), 0) AS DOUBLE), 2) AS accuracy_pct
-        {PAIRS_FROM}
-        WHERE visits.visit_count = 1
-          AND auditor_report.true_water_source_score IS NOT NULL
-          AND visits.subjective_quality_score IS NOT NULL"""),
+    select count(*) as audited,
+           count(*) filter (where same) as agreeing,
+           count(*) filter (where not same) as disagreeing,
+           round(cast(count(*) filter (where same) as double) * 100
+                 / cast(nullif(count(*), 0) as double), 2) as accuracy_pct
+    from (select a.true_water_source_score = v.subjective_quality_score as same
+          {PAIRS}
+          where v.visit_count = 1) p
+    where same is not null"""),
     "audit_source_compare": with_roles(["auditor_report", "visits", "water_source"], f"""
-        SELECT auditor_report.location_id AS location_id,
-               auditor_report.type_of_water_source AS auditor_source,
-               water_source.type_of_water_source AS survey_source, visits.record_id,
-               auditor_report.true_water_source_score AS auditor_score,
-               visits.subjective_quality_score AS surveyor_score
-        {PAIRS_FROM}
-        JOIN water_source ON water_source.source_id = visits.source_id
-        WHERE auditor_report.true_water_source_score != visits.subjective_quality_score
-          AND visits.visit_count = 1"""),
-    "audit_by_employee": with_roles(["auditor_report", "visits", "employee"], f"""
-        SELECT auditor_report.location_id AS location_id, visits.record_id, employee_name,
-               auditor_report.true_water_source_score AS auditor_score,
-               visits.subjective_quality_score AS surveyor_score
-        {PAIRS_FROM}
-        JOIN employee ON employee.assigned_employee_id = visits.assigned_employee_id
-        WHERE auditor_report.true_water_source_score != visits.subjective_quality_score
-          AND visits.visit_count = 1"""),
-    "incorrect_view": with_roles(["auditor_report", "visits", "employee"], """
-        SELECT location_id, record_id, employee_name, auditor_score, surveyor_score, statements
-        FROM Incorrect_records""", [("Incorrect_records", INCORRECT)]),
-    "distinct_offenders": with_roles(["auditor_report", "visits", "employee"], f"""
-        SELECT DISTINCT employee_name
-        {PAIRS_FROM}
-        JOIN employee ON employee.assigned_employee_id = visits.assigned_employee_id
-        WHERE auditor_report.true_water_source_score != visits.subjective_quality_score
-          AND visits.visit_count = 1"""),
-    "mistakes_per_employee": with_roles(["auditor_report", "visits", "employee"], """
-        SELECT employee_name, number_of_mistakes FROM error_count ORDER BY number_of_mistakes DESC""",
-                                        [("Incorrect_records", INCORRECT), ("error_count", ERROR_COUNT)]),
-    "avg_mistakes": with_roles(["auditor_report", "visits", "employee"], """
-        SELECT ROUND(AVG(number_of_mistakes), 4) AS avg_error_count_per_empl FROM error_count""",
-                               [("Incorrect_records", INCORRECT), ("error_count", ERROR_COUNT)]),
-    "suspect_list": with_roles(["auditor_report", "visits", "employee"], SUSPECTS,
-                               [("Incorrect_records", INCORRECT), ("error_count", ERROR_COUNT)]),
-    "suspect_statements": _statements("IN"),
-    "nonsuspect_statements": _statements("NOT IN"),
+    select a.location_id, a.type_of_water_source as auditor_source,
+           ws.type_of_water_source as survey_source, v.record_id,
+           a.true_water_source_score as auditor_score, v.subjective_quality_score as surveyor_score
+    {PAIRS}
+    join water_source ws on ws.source_id = v.source_id
+    where v.visit_count = 1 and a.true_water_source_score <> v.subjective_quality_score"""),
+    "audit_by_employee": with_roles(AUDIT_ROLES, """
+    select location_id, record_id, employee_name, auditor_score, surveyor_score from wrong""",
+                                    [("wrong", WRONG)]),
+    "incorrect_view": with_roles(AUDIT_ROLES, """
+    select location_id, record_id, employee_name, auditor_score, surveyor_score, statements from wrong""",
+                                 [("wrong", WRONG)]),
+    "distinct_offenders": with_roles(AUDIT_ROLES, "select employee_name from wrong group by 1",
+                                     [("wrong", WRONG)]),
+    "mistakes_per_employee": with_roles(AUDIT_ROLES, "select * from per_name order by number_of_mistakes desc",
+                                        [("wrong", WRONG), ("per_name", PER_NAME)]),
+    "avg_mistakes": with_roles(AUDIT_ROLES, """
+    select round(avg(number_of_mistakes), 4) as avg_error_count_per_empl from per_name""",
+                               [("wrong", WRONG), ("per_name", PER_NAME)]),
+    "suspect_list": with_roles(AUDIT_ROLES, "select * from flagged",
+                               [("wrong", WRONG), ("per_name", PER_NAME), ("flagged", FLAGGED)]),
+    "suspect_statements": _evidence("in"),
+    "nonsuspect_statements": _evidence("not in"),
     # W8/W9: access
-    "combined_view": _combined_with("SELECT * FROM combined_analysis_table"),
-    "province_source_share": _combined_with(f"""
-        SELECT ct.province_name,
-        {_pct_cols('pt.total_ppl_serv')}
-        FROM combined_analysis_table ct
-        JOIN province_totals pt ON ct.province_name = pt.province_name
-        GROUP BY ct.province_name, pt.total_ppl_serv
-        ORDER BY ct.province_name""", [("province_totals", """
-        SELECT province_name, CAST(SUM(people_served) AS BIGINT) AS total_ppl_serv
-        FROM combined_analysis_table GROUP BY province_name""")]),
-    "town_source_share": _combined_with(TOWN_SHARE + "\nORDER BY ct.town_name", [("town_totals", TOWN_TOTALS)]),
-    "town_access_mat": _town_share_with("SELECT * FROM town_aggregated_water_access"),
-    "ratio_broken": _town_share_with("""
-        SELECT province_name, town_name,
-               ROUND(tap_in_home_broken / NULLIF(tap_in_home_broken + tap_in_home, 0) * 100, 0) AS Pct_broken_taps,
-               ROUND(tap_in_home / NULLIF(tap_in_home_broken + tap_in_home, 0) * 100, 0) AS pct_home
-        FROM town_aggregated_water_access"""),
-    "ratio_broken_exact": _combined_with(f"""
-        SELECT province_name, town_name,
-               ROUND(CAST({_people_where("source_type = 'tap_in_home_broken'")} AS DOUBLE)
-                     / CAST(NULLIF({_people_where(_HOME)}, 0) AS DOUBLE) * 100, 0) AS Pct_broken_taps,
-               ROUND(CAST({_people_where("source_type = 'tap_in_home'")} AS DOUBLE)
-                     / CAST(NULLIF({_people_where(_HOME)}, 0) AS DOUBLE) * 100, 0) AS pct_home
-        FROM combined_analysis_table GROUP BY province_name, town_name"""),
-    "headline_shares": _combined_with(f"""
-        SELECT {_pct(_people_where("source_type = 'shared_tap'"), 'SUM(people_served)')} AS shared_tap_pct,
-               {_pct(_people_where(_HOME), 'SUM(people_served)')} AS home_tap_pct,
-               {_pct(_people_where("source_type = 'tap_in_home_broken'"), _people_where(_HOME))}
-                 AS broken_within_home_pct,
-               {_pct(_people_where("source_type = 'well'"), 'SUM(people_served)')} AS well_pct,
-               {_pct(_people_where("source_type = 'well' AND results = 'Clean'"),
-                     _people_where("source_type = 'well'"))} AS clean_within_wells_pct,
-               ROUND(AVG(NULLIF(time_in_queue, 0)), 4) AS avg_queue_minutes
-        FROM combined_analysis_table"""),
+    "combined_view": _cv("select * from cv"),
+    "province_source_share": _cv(PROV_PCT + "\n    order by 1", [("grp", PROV_TOTALS)]),
+    "town_source_share": _cv(TOWN_PCT + "\n    order by 2", [("grp", TOWN_TOTALS)]),
+    "town_access_mat": _cv("select * from town_pct", [("grp", TOWN_TOTALS), ("town_pct", TOWN_PCT)]),
+    "ratio_broken": _cv("""
+    select province_name, town_name,
+           round(tap_in_home_broken / nullif(tap_in_home_broken + tap_in_home, 0) * 100, 0) as Pct_broken_taps,
+           round(tap_in_home / nullif(tap_in_home_broken + tap_in_home, 0) * 100, 0) as pct_home
+    from town_pct""", [("grp", TOWN_TOTALS), ("town_pct", TOWN_PCT)]),
+    "ratio_broken_exact": _cv(f"""
+    select province_name, town_name,
+           round(cast({_people("source_type = 'tap_in_home_broken'")} as double)
+                 / cast(nullif({_people(HOME)}, 0) as double) * 100, 0) as Pct_broken_taps,
+           round(cast({_people("source_type = 'tap_in_home'")} as double)
+                 / cast(nullif({_people(HOME)}, 0) as double) * 100, 0) as pct_home
+    from cv group by 1, 2"""),
+    "headline_shares": _cv(f"""
+    select {_pct(_people("source_type = 'shared_tap'"), 'sum(people_served)')} as shared_tap_pct,
+           {_pct(_people(HOME), 'sum(people_served)')} as home_tap_pct,
+           {_pct(_people("source_type = 'tap_in_home_broken'"), _people(HOME))} as broken_within_home_pct,
+           {_pct(_people("source_type = 'well'"), 'sum(people_served)')} as well_pct,
+           {_pct(_people("source_type = 'well' and results = 'Clean'"), _people("source_type = 'well'"))}
+             as clean_within_wells_pct,
+           round(avg(nullif(time_in_queue, 0)), 4) as avg_queue_minutes
+    from cv"""),
     # W10/W11: work orders
-    "work_orders": with_roles(COMBINED_ROLES, WORK_ORDERS),
-    "work_orders_violations": with_roles(COMBINED_ROLES, """
-        SELECT COUNT(*) AS orders_checked,
-               COUNT(*) FILTER (WHERE source_id IS NULL) AS null_source_id,
-               COUNT(*) FILTER (WHERE COALESCE(Source_status, 'Backlog')
-                                NOT IN ('Backlog', 'In progress', 'Complete')) AS invalid_status,
-               COUNT(*) FILTER (WHERE length(address) > 50) AS address_too_long,
-               COUNT(*) FILTER (WHERE length(town_name) > 30) AS town_name_too_long,
-               COUNT(*) FILTER (WHERE length(province_name) > 30) AS province_name_too_long,
-               COUNT(*) FILTER (WHERE length(source_id) > 20) AS source_id_too_long,
-               COUNT(*) FILTER (WHERE length(type_of_water_source) > 50) AS type_of_water_source_too_long,
-               COUNT(*) FILTER (WHERE length(Improvement) > 50) AS improvement_too_long,
-               COUNT(*) FILTER (WHERE length(Source_status) > 50) AS source_status_too_long,
-               COUNT(*) FILTER (WHERE source_id IS NOT NULL AND NOT EXISTS (
-                   SELECT 1 FROM water_source ws WHERE CAST(ws.source_id AS VARCHAR) = po.source_id))
-                 AS unknown_source_id
-        FROM project_progress po""", [("project_progress", WORK_ORDERS)]),
-    "progress_rollup": with_roles(COMBINED_ROLES, """
-        SELECT province_name, town_name, COUNT(*) AS work_orders,
-               COUNT(*) FILTER (WHERE COALESCE(Source_status, 'Backlog') = 'Complete') AS complete,
-               COUNT(*) FILTER (WHERE COALESCE(Source_status, 'Backlog') = 'In progress') AS in_progress,
-               COUNT(*) FILTER (WHERE COALESCE(Source_status, 'Backlog') = 'Backlog') AS backlog,
-               ROUND(CAST(COUNT(*) FILTER (WHERE COALESCE(Source_status, 'Backlog') = 'Complete') AS DOUBLE)
-                     * 100 / CAST(COUNT(*) AS DOUBLE), 2) AS pct_complete,
-               CAST(GROUPING(province_name, town_name) AS BIGINT) AS level
-        FROM project_progress
-        GROUP BY ROLLUP (province_name, town_name)""", [("project_progress", WORK_ORDERS)]),
+    "work_orders": with_roles(CV_ROLES, "select * from orders", [("orders", ORDERS)]),
+    "work_orders_violations": _violations(),
+    "progress_rollup": with_roles(CV_ROLES, """
+    select province_name, town_name, count(*) as work_orders,
+           count(*) filter (where st = 'Complete') as complete,
+           count(*) filter (where st = 'In progress') as in_progress,
+           count(*) filter (where st = 'Backlog') as backlog,
+           round(cast(count(*) filter (where st = 'Complete') as double) * 100
+                 / cast(count(*) as double), 2) as pct_complete,
+           cast(grouping(province_name, town_name) as bigint) as level
+    from (select *, coalesce(Source_status, 'Backlog') as st from orders) o
+    group by rollup (province_name, town_name)""", [("orders", ORDERS)]),
 }
