@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def semi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None) -> DataFrame:
@@ -84,7 +85,8 @@ def skew_join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inne
         raise ValueError("skew_join supports inner and left joins")
     flags = (hot if hot is not None else hot_keys(fact, keys, min_share)).select(*keys) \
         .withColumn("_ws_hot", F.lit(True))
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    hashable = [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
+    row_hash = F.xxhash64(*[F.col(c) for c in hashable])
     f = (fact.join(F.broadcast(flags), keys, "left")
          .withColumn("_ws_salt", F.when(F.col("_ws_hot"), F.pmod(row_hash, F.lit(salts)).cast("int"))
                      .otherwise(F.lit(0)))
