@@ -1,10 +1,11 @@
 """Table operators the survey jobs are composed of."""
 
-from wellspring.operators.joins import hot_keys, not_in, semi_join, skew_join
+from wellspring.operators.joins import hot_keys, not_in, semi_join, skew_join, skew_join_chain
 from wellspring.operators.ranking import row_number_within, top_n_within
 from wellspring.operators.scans import append_partition, materialize, preview, shared_stage, snapshot
 
 __all__ = [
     "append_partition", "hot_keys", "materialize", "not_in", "preview",
-    "row_number_within", "semi_join", "shared_stage", "skew_join", "snapshot", "top_n_within",
+    "row_number_within", "semi_join", "shared_stage", "skew_join", "skew_join_chain", "snapshot",
+    "top_n_within",
 ]

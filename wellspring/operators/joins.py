@@ -81,18 +81,33 @@ def skew_join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inne
 
     ``how`` is ``inner`` or ``left`` (fact rows kept).
     """
-    if how not in ("inner", "left"):
-        raise ValueError("skew_join supports inner and left joins")
+    return skew_join_chain(fact, keys, [(dim, how)], salts, min_share, hot)
+
+
+def skew_join_chain(fact: DataFrame, keys: list[str], dims: list[tuple[DataFrame, str]],
+                    salts: int = 16, min_share: float = 0.01, hot: DataFrame | None = None) -> DataFrame:
+    """Several joins of ``fact`` on the same keys, salted once (see ``skew_join``).
+
+    All joins use (keys, salt), so after the first one the fact side is
+    already partitioned the way the next one needs: the fact is shuffled
+    once and every dimension once, however many dimensions hang off the key.
+    """
+    for _, how in dims:
+        if how not in ("inner", "left"):
+            raise ValueError("skew joins support inner and left joins")
     flags = (hot if hot is not None else hot_keys(fact, keys, min_share)).select(*keys) \
         .withColumn("_ws_hot", F.lit(True))
     hashable = [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
     row_hash = F.xxhash64(*[F.col(c) for c in hashable])
-    f = (fact.join(F.broadcast(flags), keys, "left")
-         .withColumn("_ws_salt", F.when(F.col("_ws_hot"), F.pmod(row_hash, F.lit(salts)).cast("int"))
-                     .otherwise(F.lit(0)))
-         .drop("_ws_hot"))
-    d = (dim.join(F.broadcast(flags), keys, "left")
-         .withColumn("_ws_salt", F.explode(F.when(F.col("_ws_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                          .otherwise(F.array(F.lit(0)))))
-         .drop("_ws_hot"))
-    return f.join(d, [*keys, "_ws_salt"], how).drop("_ws_salt")
+    out = (fact.join(F.broadcast(flags), keys, "left")
+           .withColumn("_ws_salt", F.when(F.col("_ws_hot"), F.pmod(row_hash, F.lit(salts)).cast("int"))
+                       .otherwise(F.lit(0)))
+           .drop("_ws_hot"))
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    for dim, how in dims:
+        d = (dim.join(F.broadcast(flags), keys, "left")
+             .withColumn("_ws_salt", F.explode(F.when(F.col("_ws_hot"), every_salt)
+                                              .otherwise(F.array(F.lit(0)))))
+             .drop("_ws_hot"))
+        out = out.join(d, [*keys, "_ws_salt"], how)
+    return out.drop("_ws_salt")

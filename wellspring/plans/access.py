@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.functions import percent, safe_ratio_pct
-from wellspring.operators import hot_keys, materialize, skew_join
+from wellspring.operators import hot_keys, materialize, skew_join, skew_join_chain
 
 # The five source types, in the survey's column order.
 SOURCE_TYPES = ["river", "shared_tap", "tap_in_home", "tap_in_home_broken", "well"]
@@ -37,29 +37,33 @@ def combined_view(visits: DataFrame, pollution: DataFrame, location: DataFrame,
 
     The survey writes ``visits LEFT JOIN well_pollution JOIN location JOIN
     water_source``; both source joins use the visit's source_id, so they are
-    done as one: sources ⟕ pollution first (the smaller side), then one join
-    of the visits on source_id and one on location_id. The big table is
-    shuffled twice instead of three times, and both of its joins split hot
-    sources and hot sites over several tasks (``skew_join``).
+    chained on one salted partitioning, then one join on location_id. The
+    big table is shuffled twice instead of three times, and both of its
+    shuffles split hot sources and hot sites over several tasks.
     """
     v = visits.filter(F.col("visit_count") == 1).select("source_id", "location_id", "time_in_queue")
-    src = sources_with_results(sources, pollution)
     loc = location.select("location_id", "town_name", "province_name", "location_type")
-    return (located_sources(v, src, loc)
+    return (located_sources(v, sources, pollution, loc)
             .select(F.col("type_of_water_source").alias("source_type"), "town_name",
                     "province_name", "location_type",
                     F.col("number_of_people_served").alias("people_served"),
                     "time_in_queue", "results"))
 
 
-def located_sources(visits: DataFrame, sources: DataFrame, location: DataFrame) -> DataFrame:
-    """Visits joined to their source (on source_id) and site (on location_id).
+def located_sources(visits: DataFrame, sources: DataFrame, pollution: DataFrame,
+                    location: DataFrame) -> DataFrame:
+    """Visits joined to their source and pollution result (on source_id) and
+    their site (on location_id).
 
-    Hot keys of both joins are found on the visits themselves, before any
-    join, so detecting them costs a sampled scan and not a second join.
+    ``visits ⋈ sources ⟕ pollution`` equals ``visits ⋈ (sources ⟕ pollution)``
+    because both joins use the visit's source_id; written as one salted chain
+    on source_id, the visits are shuffled once for both. Hot keys of both
+    keys are found on the visits themselves, before any join, so detecting
+    them costs a sampled scan and not a second join.
     """
     hot_sites = hot_keys(visits, ["location_id"])
-    by_source = skew_join(visits, sources, ["source_id"])
+    by_source = skew_join_chain(visits, ["source_id"],
+                                [(sources, "inner"), (pollution.select("source_id", "results"), "left")])
     return skew_join(by_source, location, ["location_id"], hot=hot_sites)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wellspring.functions import first_match, percent
 from wellspring.operators import append_partition, materialize
-from wellspring.plans.access import located_sources, sources_with_results
+from wellspring.plans.access import located_sources
 from wellspring.session import table_path
 
 # ---------------------------------------------------------------------------
@@ -75,10 +75,9 @@ def work_orders(sources: DataFrame, pollution: DataFrame, visits: DataFrame, loc
                 comment: str = DEFAULT_COMMENT, null_text: bool = True) -> DataFrame:
     """One order per first visit of a source that needs work, in the output
     table's column order."""
-    src = sources_with_results(sources, pollution)
     v = visits.filter(F.col("visit_count") == 1).select("source_id", "location_id", "time_in_queue")
     loc = location.select("location_id", "address", "town_name", "province_name")
-    rows = located_sources(v, src, loc).filter(needs_work(queue_threshold))
+    rows = located_sources(v, sources, pollution, loc).filter(needs_work(queue_threshold))
     return rows.select(
         "address", "town_name", "province_name",
         F.col("source_id").cast("string").alias("source_id"),
