@@ -2,10 +2,10 @@
 
 from wellspring.operators.joins import hot_keys, not_in, semi_join, skew_join, skew_join_chain
 from wellspring.operators.ranking import row_number_within, top_n_within
-from wellspring.operators.scans import append_partition, materialize, preview, shared_stage, snapshot
+from wellspring.operators.scans import append_partition, materialize, preview, snapshot
 
 __all__ = [
     "append_partition", "hot_keys", "materialize", "not_in", "preview",
-    "row_number_within", "semi_join", "shared_stage", "skew_join", "skew_join_chain", "snapshot",
+    "row_number_within", "semi_join", "skew_join", "skew_join_chain", "snapshot",
     "top_n_within",
 ]

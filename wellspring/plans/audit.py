@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.functions import mentions, percent
-from wellspring.operators import hot_keys, not_in, semi_join, shared_stage, skew_join
+from wellspring.operators import hot_keys, materialize, not_in, semi_join, skew_join
 
 # Fixed value: the word that marks an incriminating statement.
 KEYWORD = "cash"
@@ -122,9 +122,10 @@ def suspect_evidence(auditor: DataFrame, visits: DataFrame, employee: DataFrame,
     ``suspected=False``, about everyone else: the control query).
 
     ``Incorrect_records`` feeds the counts, the mean and the evidence, so it
-    is computed once into the shared checkpoint folder and re-read.
+    is computed once into a Parquet table in the shared folder: the count
+    branch reads two of its columns, the evidence branch pushes its filter.
     """
-    incorrect = shared_stage(incorrect_records(auditor, visits, employee, quality))
+    incorrect = materialize(incorrect_records(auditor, visits, employee, quality), "incorrect_records")
     per_id = incorrect.groupBy("assigned_employee_id", "employee_name").agg(
         F.count(F.lit(1)).alias("_n"))
     counted = F.when(F.col("employee_name").isNotNull(), F.col("_n")).otherwise(0)
