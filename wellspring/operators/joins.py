@@ -49,65 +49,67 @@ def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | No
     return joined.filter(keep).drop("_ws_key", "_ws_hit")
 
 
-def hot_keys(df: DataFrame, keys: list[str], min_share: float = 0.01, fraction: float = 0.001,
-             min_hits: int = 5, seed: int = 7) -> DataFrame:
-    """Keys holding at least ``min_share`` of the rows of ``df``, estimated on a sample.
-
-    A key must reach ``min_share`` of the sampled rows and at least
-    ``min_hits`` sampled rows (so sampling noise on small inputs does not
-    flag ordinary keys). At most ``1 / min_share`` keys can pass, so the
-    result is small by construction. The sample only steers the plan; no
-    row is ever dropped.
+def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction: float = 0.001,
+             min_hits: int = 5, seed: int = 7) -> list:
+    """Values of ``key`` holding at least ``min_share`` of the rows of ``df``,
+    estimated on a sample.
+
+    A value must reach ``min_share`` of the sampled rows and at least
+    ``min_hits`` sampled rows (so sampling noise on small inputs flags
+    nothing). At most ``1 / min_share`` values can pass, so the list brought
+    to the driver is small by construction. The sample only steers the plan;
+    no row is ever dropped.
     """
-    sample = df.select(*keys).sample(fraction=fraction, seed=seed)
+    sample = df.select(key).sample(fraction=fraction, seed=seed)
     total = sample.select(F.count(F.lit(1))).scalar()
     threshold = F.greatest(total * min_share, F.lit(min_hits))
-    return (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ws_n"))
-            .filter(F.col("_ws_n") >= threshold).select(*keys))
+    hot = (sample.groupBy(key).agg(F.count(F.lit(1)).alias("_ws_n"))
+           .filter((F.col("_ws_n") >= threshold) & F.col(key).isNotNull()).select(key))
+    return [r[0] for r in hot.limit(int(1 / min_share)).collect()]
 
 
-def skew_join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner",
-              salts: int = 16, min_share: float = 0.01, hot: DataFrame | None = None) -> DataFrame:
-    """``fact JOIN dim USING (keys)`` that stays balanced when one key holds
+def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
+              salts: int = 16, min_share: float = 0.01, hot: list | None = None) -> DataFrame:
+    """``fact JOIN dim USING (key)`` that stays balanced when one key holds
     a large share of ``fact`` (a third of all visits at one source, say).
 
-    Rows of a hot key get a salt in ``[0, salts)`` from a hash of the row
-    (deterministic, so a retried task salts the same way) and the dimension
-    rows of that key are repeated once per salt; every other row has salt 0.
-    The join then runs on (keys, salt), so a hot key is spread over
-    ``salts`` tasks. Only hot dimension rows are repeated: at most
-    ``salts / min_share`` extra rows. The hot-key list is broadcast, which
-    is safe because it holds at most ``1 / min_share`` keys.
+    Without hot keys this is the plain join, so Spark may still broadcast a
+    small dimension. With hot keys, their fact rows get a salt in
+    ``[0, salts)`` from a hash of the row (deterministic, so a retried task
+    salts the same way) and their dimension rows are repeated once per salt;
+    every other row has salt 0. The join then runs on (key, salt), so a hot
+    key is spread over ``salts`` tasks, and only hot dimension rows are
+    repeated: at most ``salts / min_share`` extra rows.
 
-    ``how`` is ``inner`` or ``left`` (fact rows kept).
+    ``hot`` may be given (found on an input scan); otherwise it is sampled
+    from ``fact``. ``how`` is ``inner`` or ``left`` (fact rows kept).
     """
-    return skew_join_chain(fact, keys, [(dim, how)], salts, min_share, hot)
+    return skew_join_chain(fact, key, [(dim, how)], salts, min_share, hot)
 
 
-def skew_join_chain(fact: DataFrame, keys: list[str], dims: list[tuple[DataFrame, str]],
-                    salts: int = 16, min_share: float = 0.01, hot: DataFrame | None = None) -> DataFrame:
-    """Several joins of ``fact`` on the same keys, salted once (see ``skew_join``).
+def skew_join_chain(fact: DataFrame, key: str, dims: list[tuple[DataFrame, str]],
+                    salts: int = 16, min_share: float = 0.01, hot: list | None = None) -> DataFrame:
+    """Several joins of ``fact`` on the same key, salted once (see ``skew_join``).
 
-    All joins use (keys, salt), so after the first one the fact side is
+    All joins use (key, salt), so after the first one the fact side is
     already partitioned the way the next one needs: the fact is shuffled
     once and every dimension once, however many dimensions hang off the key.
     """
     for _, how in dims:
         if how not in ("inner", "left"):
             raise ValueError("skew joins support inner and left joins")
-    flags = (hot if hot is not None else hot_keys(fact, keys, min_share)).select(*keys) \
-        .withColumn("_ws_hot", F.lit(True))
+    hot = hot_keys(fact, key, min_share) if hot is None else hot
+    if not hot:
+        out = fact
+        for dim, how in dims:
+            out = out.join(dim, key, how)
+        return out
+    is_hot = F.col(key).isin(hot)
     hashable = [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
-    row_hash = F.xxhash64(*[F.col(c) for c in hashable])
-    out = (fact.join(F.broadcast(flags), keys, "left")
-           .withColumn("_ws_salt", F.when(F.col("_ws_hot"), F.pmod(row_hash, F.lit(salts)).cast("int"))
-                       .otherwise(F.lit(0)))
-           .drop("_ws_hot"))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(salts)).cast("int")
+    out = fact.withColumn("_ws_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     for dim, how in dims:
-        d = (dim.join(F.broadcast(flags), keys, "left")
-             .withColumn("_ws_salt", F.explode(F.when(F.col("_ws_hot"), every_salt)
-                                              .otherwise(F.array(F.lit(0)))))
-             .drop("_ws_hot"))
-        out = out.join(d, [*keys, "_ws_salt"], how)
+        d = dim.withColumn("_ws_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
+        out = out.join(d, [key, "_ws_salt"], how)
     return out.drop("_ws_salt")

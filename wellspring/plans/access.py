@@ -61,10 +61,10 @@ def located_sources(visits: DataFrame, sources: DataFrame, pollution: DataFrame,
     keys are found on the visits themselves, before any join, so detecting
     them costs a sampled scan and not a second join.
     """
-    hot_sites = hot_keys(visits, ["location_id"])
-    by_source = skew_join_chain(visits, ["source_id"],
+    hot_sites = hot_keys(visits, "location_id")
+    by_source = skew_join_chain(visits, "source_id",
                                 [(sources, "inner"), (pollution.select("source_id", "results"), "left")])
-    return skew_join(by_source, location, ["location_id"], hot=hot_sites)
+    return skew_join(by_source, location, "location_id", hot=hot_sites)
 
 
 def source_share(view: DataFrame, keys: Sequence[str], types: Sequence[str] = SOURCE_TYPES,

@@ -39,7 +39,7 @@ def audit_pairs(auditor: DataFrame, visits: DataFrame, quality: DataFrame | None
     a = auditor.select("location_id", F.col("type_of_water_source").alias("auditor_source"),
                        F.col("true_water_source_score").alias("auditor_score"), "statements")
     # visits are the large side; a site visited very often is split over tasks
-    return skew_join(v, a, ["location_id"])
+    return skew_join(v, a, "location_id")
 
 
 def agreeing(pairs: DataFrame) -> DataFrame:
@@ -67,19 +67,19 @@ def with_survey_source(pairs: DataFrame, sources: DataFrame) -> DataFrame:
     return pairs.join(s, "source_id")
 
 
-def with_employee(pairs: DataFrame, employee: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def with_employee(pairs: DataFrame, employee: DataFrame, hot: list | None = None) -> DataFrame:
     """Attach employee names; an employee with a large share of the pairs
     is split over several tasks. ``hot`` (ids found on an input scan) saves
     sampling the joined pairs."""
     e = employee.select("assigned_employee_id", "employee_name")
-    return skew_join(pairs, e, ["assigned_employee_id"], hot=hot)
+    return skew_join(pairs, e, "assigned_employee_id", hot=hot)
 
 
 def incorrect_records(auditor: DataFrame, visits: DataFrame, employee: DataFrame,
                       quality: DataFrame | None = None) -> DataFrame:
     """First visits whose surveyor score differs from the auditor's, with names."""
     wrong = disagreeing(audit_pairs(auditor, visits, quality))
-    busy = hot_keys(visits.filter(F.col("visit_count") == 1), ["assigned_employee_id"])
+    busy = hot_keys(visits.filter(F.col("visit_count") == 1), "assigned_employee_id")
     return with_employee(wrong, employee, hot=busy).select(
         "location_id", "auditor_source", "record_id", "assigned_employee_id", "employee_name",
         "auditor_score", "surveyor_score", "statements")

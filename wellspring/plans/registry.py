@@ -243,7 +243,7 @@ def queue_heatmap(spark, d):
 def _visits_located(t: Tables) -> DataFrame:
     v = R.visits(t).select("location_id", "source_id", "visit_count")
     loc = R.location(t).select("location_id", "province_name", "town_name")
-    return skew_join(v, loc, ["location_id"])
+    return skew_join(v, loc, "location_id")
 
 
 @register("join_two")
@@ -253,8 +253,8 @@ def join_two(spark, d):
 
 def _visits_located_sourced(t: Tables) -> DataFrame:
     ws = R.water_source(t)
-    busy_sources = hot_keys(R.visits(t), ["source_id"])
-    return (skew_join(_visits_located(t), ws, ["source_id"], hot=busy_sources)
+    busy_sources = hot_keys(R.visits(t), "source_id")
+    return (skew_join(_visits_located(t), ws, "source_id", hot=busy_sources)
             .select("province_name", "town_name", "visit_count", "location_id",
                     "type_of_water_source", "number_of_people_served"))
 
@@ -310,7 +310,8 @@ def audit_source_compare(spark, d):
 @register("audit_by_employee")
 def audit_by_employee(spark, d):
     t = _t(spark, d)
-    wrong = audit.with_employee(audit.disagreeing(_pairs(t)), R.employee(t))
+    busy = hot_keys(R.visits(t).filter(F.col("visit_count") == 1), "assigned_employee_id")
+    wrong = audit.with_employee(audit.disagreeing(_pairs(t)), R.employee(t), hot=busy)
     return wrong.select("location_id", "record_id", "employee_name", "auditor_score", "surveyor_score")
 
 
