@@ -1,0 +1,59 @@
+"""Property tests of the custom operators against brute force."""
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from wellspring.functions import apply_updates
+from wellspring.operators import not_in, skew_join
+
+SETTINGS = settings(max_examples=10, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+keys = st.one_of(st.none(), st.integers(0, 4))
+
+
+def _rows(df, cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
+
+
+@SETTINGS
+@given(st.lists(keys, max_size=12), st.lists(keys, max_size=6))
+def test_not_in_equals_sql(spark, left, right):
+    l_df = spark.createDataFrame([(i, k) for i, k in enumerate(left)], "id long, k long")
+    r_df = spark.createDataFrame([(k,) for k in right], "k long")
+    l_df.createOrReplaceTempView("prop_l")
+    r_df.createOrReplaceTempView("prop_r")
+    want = spark.sql("select id, k from prop_l where k not in (select k from prop_r)")
+    assert _rows(not_in(l_df, r_df, "k"), ["id", "k"]) == _rows(want, ["id", "k"])
+
+
+@SETTINGS
+@given(st.lists(keys, min_size=1, max_size=40), st.lists(st.integers(0, 4), max_size=5, unique=True),
+       st.lists(st.integers(0, 4), max_size=3, unique=True), st.sampled_from(["inner", "left"]))
+def test_skew_join_equals_plain_join(spark, fact_keys, dim_keys, hot, how):
+    fact = spark.createDataFrame([(i, k) for i, k in enumerate(fact_keys)], "id long, k long")
+    dim = spark.createDataFrame([(k, f"d{k}") for k in dim_keys], "k long, name string")
+    got = skew_join(fact, dim, "k", how, salts=3, hot=hot)
+    want = fact.join(dim, "k", how)
+    assert _rows(got, ["id", "k", "name"]) == _rows(want, ["id", "k", "name"])
+
+
+updates = st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 3), st.integers(0, 3)),
+                   min_size=1, max_size=4)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3)), min_size=1, max_size=8), updates)
+def test_updates_apply_in_sequence(spark, rows, stmts):
+    # UPDATE t SET <col> = <value> WHERE a = <match>, one statement after another
+    df = spark.createDataFrame(rows, "a int, b int")
+    rules = [(col, F.lit(value), F.col("a") == match) for col, value, match in stmts]
+    got = sorted(tuple(r) for r in apply_updates(df, rules).collect())
+    want = []
+    for a, b in rows:
+        row = {"a": a, "b": b}
+        for col, value, match in stmts:
+            if row["a"] == match:
+                row[col] = value
+        want.append((row["a"], row["b"]))
+    assert got == sorted(want)
