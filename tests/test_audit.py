@@ -32,7 +32,7 @@ def _visits(spark):
 
 
 def _employee(spark):
-    return spark.createDataFrame([(1, "Bello Azibo"), (2, "Lalitha Kaburi"), (3, "Bello Azibo")], EMPLOYEE)
+    return spark.createDataFrame([(1, "Ada Obi"), (2, "Esi Owusu"), (3, "Ada Obi")], EMPLOYEE)
 
 
 def test_first_visit_filter_removes_fanout(spark):
@@ -64,7 +64,7 @@ def test_separate_quality_table(spark):
 
 def test_mistakes_merge_namesakes(spark):
     m = audit.mistakes_per_employee(_auditor(spark), _visits(spark), _employee(spark))
-    assert {r.employee_name: r.number_of_mistakes for r in m.collect()} == {"Bello Azibo": 2}
+    assert {r.employee_name: r.number_of_mistakes for r in m.collect()} == {"Ada Obi": 2}
 
 
 def test_suspects_need_strictly_more_than_mean(spark):

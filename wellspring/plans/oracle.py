@@ -11,6 +11,8 @@ and percents computed in DOUBLE so both engines return the same types.
 
 from __future__ import annotations
 
+from wellspring.plans.clean import EMAIL_DOMAIN
+
 ROLE_SQL = {
     "location": """
         SELECT o.o_orderkey AS location_id, c.c_name AS address, r.r_name AS province_name,
@@ -247,9 +249,9 @@ ORACLE: dict[str, str] = {
     from well_pollution w join fixed f on f.source_id = w.source_id""", [("fixed", FIXED_POLLUTION)]),
     "email_expr": with_roles(["staff_names"],
                              "select lower(replace(employee_name, ' ', '.')) as email_local from staff_names"),
-    "fill_email": with_roles(["staff_names"], """
+    "fill_email": with_roles(["staff_names"], f"""
     select assigned_employee_id, employee_name,
-           lower(replace(employee_name, ' ', '.')) || '@ndogowater.gov' as email
+           lower(replace(employee_name, ' ', '.')) || '@{EMAIL_DOMAIN}' as email
     from staff_names"""),
     "phone_length": with_roles(["documents_text"],
                                "select doc_id, cast(strlen(text) as bigint) as length_bytes from documents_text"),
