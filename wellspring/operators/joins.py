@@ -1,10 +1,10 @@
-"""Join helpers: semi join and null-aware anti join.
+"""Join helpers: semi join, null-aware anti join, and joins that split hot keys.
 
-No explicit broadcast hints: Spark broadcasts a side only when its size is
-known to be under ``spark.sql.autoBroadcastJoinThreshold`` — from file
-sizes at planning time, or from the measured shuffle output once AQE has
-run the side's stage. Beyond that bound the join stays a shuffle join, and
-AQE splits a partition made large by a hot key.
+No broadcast hints: Spark broadcasts a side only when its size is known to
+be under ``spark.sql.autoBroadcastJoinThreshold`` — from file sizes at
+planning time, or from the measured shuffle output once AQE has run the
+side's stage. Beyond that bound the join shuffles, and ``skew_join`` keeps a
+key that holds a large share of the rows from landing in a single task.
 """
 
 from __future__ import annotations
