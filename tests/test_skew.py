@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wellspring.operators import hot_keys, row_number_within, skew_join
+from wellspring.operators import hot_keys, hot_keys_by, row_number_within, skew_join
 from wellspring.plans import access
 
 
@@ -56,6 +56,7 @@ def test_hot_source_join_is_split_and_whole(shuffle_only):
     spark = shuffle_only
     visits, pollution, location, sources = _skewed_inputs(spark)
     assert hot_keys(visits, "source_id") == [0]
+    assert hot_keys_by(visits, ["source_id", "location_id"]) == {"source_id": [0], "location_id": []}
     # the join on the hot source: no task holds the third of the rows
     joined = skew_join(visits, sources, "source_id")
     sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]

@@ -49,23 +49,37 @@ def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | No
     return joined.filter(keep).drop("_ws_key", "_ws_hit")
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction: float = 0.001,
-             min_hits: int = 5, seed: int = 7) -> list:
-    """Values of ``key`` holding at least ``min_share`` of the rows of ``df``,
-    estimated on a sample.
+def hot_keys_by(df: DataFrame, keys: list[str], min_share: float = 0.01, fraction: float = 0.001,
+                min_hits: int = 5, seed: int = 7) -> dict[str, list]:
+    """For each column in ``keys``, the values holding at least ``min_share``
+    of the rows of ``df``, estimated on one sample.
 
     A value must reach ``min_share`` of the sampled rows and at least
     ``min_hits`` sampled rows (so sampling noise on small inputs flags
-    nothing). At most ``1 / min_share`` values can pass, so the list brought
-    to the driver is small by construction. The sample only steers the plan;
-    no row is ever dropped.
+    nothing). All columns are counted in one pass over the sample (grouping
+    sets, one set per column). At most ``1 / min_share`` values per column
+    can pass, so what reaches the driver is small by construction. The
+    sample only steers the plan; no row is ever dropped.
     """
-    sample = df.select(key).sample(fraction=fraction, seed=seed)
+    sample = df.select(*keys).sample(fraction=fraction, seed=seed)
     total = sample.select(F.count(F.lit(1))).scalar()
     threshold = F.greatest(total * min_share, F.lit(min_hits))
-    hot = (sample.groupBy(key).agg(F.count(F.lit(1)).alias("_ws_n"))
-           .filter((F.col("_ws_n") >= threshold) & F.col(key).isNotNull()).select(key))
-    return [r[0] for r in hot.limit(int(1 / min_share)).collect()]
+    counts = sample.groupingSets([[k] for k in keys], *keys).agg(
+        F.count(F.lit(1)).alias("_ws_n"), *[F.grouping(k).alias("_ws_g_" + k) for k in keys])
+    hot = counts.filter(F.col("_ws_n") >= threshold)
+    found: dict[str, list] = {k: [] for k in keys}
+    for row in hot.limit(len(keys) * int(1 / min_share)).collect():
+        for k in keys:
+            if row["_ws_g_" + k] == 0 and row[k] is not None:
+                found[k].append(row[k])
+    return found
+
+
+def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction: float = 0.001,
+             min_hits: int = 5, seed: int = 7) -> list:
+    """The values of one column holding at least ``min_share`` of the rows
+    (see ``hot_keys_by``)."""
+    return hot_keys_by(df, [key], min_share, fraction, min_hits, seed)[key]
 
 
 def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",

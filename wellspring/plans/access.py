@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.functions import percent, safe_ratio_pct
-from wellspring.operators import hot_keys, materialize, skew_join, skew_join_chain
+from wellspring.operators import hot_keys_by, materialize, skew_join, skew_join_chain
 
 # The five source types, in the survey's column order.
 SOURCE_TYPES = ["river", "shared_tap", "tap_in_home", "tap_in_home_broken", "well"]
@@ -57,14 +57,14 @@ def located_sources(visits: DataFrame, sources: DataFrame, pollution: DataFrame,
 
     ``visits ⋈ sources ⟕ pollution`` equals ``visits ⋈ (sources ⟕ pollution)``
     because both joins use the visit's source_id; written as one salted chain
-    on source_id, the visits are shuffled once for both. Hot keys of both
-    keys are found on the visits themselves, before any join, so detecting
-    them costs a sampled scan and not a second join.
+    on source_id, the visits are shuffled once for both. Hot values of both
+    keys are found in one sampled scan of the visits, before any join.
     """
-    hot_sites = hot_keys(visits, "location_id")
+    hot = hot_keys_by(visits, ["source_id", "location_id"])
     by_source = skew_join_chain(visits, "source_id",
-                                [(sources, "inner"), (pollution.select("source_id", "results"), "left")])
-    return skew_join(by_source, location, "location_id", hot=hot_sites)
+                                [(sources, "inner"), (pollution.select("source_id", "results"), "left")],
+                                hot=hot["source_id"])
+    return skew_join(by_source, location, "location_id", hot=hot["location_id"])
 
 
 def source_share(view: DataFrame, keys: Sequence[str], types: Sequence[str] = SOURCE_TYPES,

@@ -19,14 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.functions import mentions, percent
-from wellspring.operators import hot_keys, materialize, not_in, semi_join, skew_join
+from wellspring.operators import hot_keys_by, materialize, not_in, semi_join, skew_join
 
 # Fixed value: the word that marks an incriminating statement.
 KEYWORD = "cash"
 
 
 def audit_pairs(auditor: DataFrame, visits: DataFrame, quality: DataFrame | None = None,
-                first_visit_only: bool = True) -> DataFrame:
+                first_visit_only: bool = True, hot_sites: list | None = None) -> DataFrame:
     """Auditor rows joined to the surveyors' visits of the same site."""
     v = visits
     if first_visit_only:
@@ -39,7 +39,7 @@ def audit_pairs(auditor: DataFrame, visits: DataFrame, quality: DataFrame | None
     a = auditor.select("location_id", F.col("type_of_water_source").alias("auditor_source"),
                        F.col("true_water_source_score").alias("auditor_score"), "statements")
     # visits are the large side; a site visited very often is split over tasks
-    return skew_join(v, a, "location_id")
+    return skew_join(v, a, "location_id", hot=hot_sites)
 
 
 def agreeing(pairs: DataFrame) -> DataFrame:
@@ -78,9 +78,9 @@ def with_employee(pairs: DataFrame, employee: DataFrame, hot: list | None = None
 def incorrect_records(auditor: DataFrame, visits: DataFrame, employee: DataFrame,
                       quality: DataFrame | None = None) -> DataFrame:
     """First visits whose surveyor score differs from the auditor's, with names."""
-    wrong = disagreeing(audit_pairs(auditor, visits, quality))
-    busy = hot_keys(visits.filter(F.col("visit_count") == 1), "assigned_employee_id")
-    return with_employee(wrong, employee, hot=busy).select(
+    hot = hot_keys_by(visits.filter(F.col("visit_count") == 1), ["location_id", "assigned_employee_id"])
+    wrong = disagreeing(audit_pairs(auditor, visits, quality, hot_sites=hot["location_id"]))
+    return with_employee(wrong, employee, hot=hot["assigned_employee_id"]).select(
         "location_id", "auditor_source", "record_id", "assigned_employee_id", "employee_name",
         "auditor_score", "surveyor_score", "statements")
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.functions import byte_length
-from wellspring.operators import hot_keys, preview, skew_join, snapshot
+from wellspring.operators import hot_keys_by, preview, skew_join, snapshot
 from wellspring.operators.scans import materialize
 from wellspring.plans import access, audit, clean, profile, queues, workorders
 from wellspring.session import table_path
@@ -240,10 +240,10 @@ def queue_heatmap(spark, d):
 
 # --- J: joins --------------------------------------------------------------------
 
-def _visits_located(t: Tables) -> DataFrame:
+def _visits_located(t: Tables, hot: list | None = None) -> DataFrame:
     v = R.visits(t).select("location_id", "source_id", "visit_count")
     loc = R.location(t).select("location_id", "province_name", "town_name")
-    return skew_join(v, loc, "location_id")
+    return skew_join(v, loc, "location_id", hot=hot)
 
 
 @register("join_two")
@@ -253,8 +253,8 @@ def join_two(spark, d):
 
 def _visits_located_sourced(t: Tables) -> DataFrame:
     ws = R.water_source(t)
-    busy_sources = hot_keys(R.visits(t), "source_id")
-    return (skew_join(_visits_located(t), ws, "source_id", hot=busy_sources)
+    hot = hot_keys_by(R.visits(t), ["location_id", "source_id"])
+    return (skew_join(_visits_located(t, hot["location_id"]), ws, "source_id", hot=hot["source_id"])
             .select("province_name", "town_name", "visit_count", "location_id",
                     "type_of_water_source", "number_of_people_served"))
 
@@ -310,8 +310,9 @@ def audit_source_compare(spark, d):
 @register("audit_by_employee")
 def audit_by_employee(spark, d):
     t = _t(spark, d)
-    busy = hot_keys(R.visits(t).filter(F.col("visit_count") == 1), "assigned_employee_id")
-    wrong = audit.with_employee(audit.disagreeing(_pairs(t)), R.employee(t), hot=busy)
+    hot = hot_keys_by(R.visits(t).filter(F.col("visit_count") == 1), ["location_id", "assigned_employee_id"])
+    pairs = audit.audit_pairs(R.auditor_report(t), R.visits(t), hot_sites=hot["location_id"])
+    wrong = audit.with_employee(audit.disagreeing(pairs), R.employee(t), hot=hot["assigned_employee_id"])
     return wrong.select("location_id", "record_id", "employee_name", "auditor_score", "surveyor_score")
 
 
