@@ -57,3 +57,21 @@ def test_updates_apply_in_sequence(spark, rows, stmts):
                 row[col] = value
         want.append((row["a"], row["b"]))
     assert got == sorted(want)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["river", "well", None]), st.one_of(st.none(), st.integers(0, 3))),
+                min_size=1, max_size=30),
+       st.lists(st.integers(0, 35), max_size=6))
+def test_pick_ranked_equals_full_rank(spark, rows, picked):
+    from pyspark.sql import Window
+
+    from wellspring.plans import profile
+    src = spark.createDataFrame([(i, t, p) for i, (t, p) in enumerate(rows)],
+                                "source_id long, type_of_water_source string, number_of_people_served int")
+    w = Window.partitionBy("type_of_water_source").orderBy(F.desc("number_of_people_served"),
+                                                           F.asc("source_id"))
+    want = (src.withColumn("source_rank", F.row_number().over(w).cast("bigint"))
+            .filter(F.col("source_id").isin(picked)))
+    cols = ["source_id", "type_of_water_source", "number_of_people_served", "source_rank"]
+    assert _rows(profile.pick_ranked(src, picked), cols) == _rows(want, cols)

@@ -307,6 +307,11 @@ ORACLE: dict[str, str] = {
     from water_source group by 1 order by 2 desc"""),
     "rank_then_filter": _numbered("source_id in (3, 58, 101, 144, 199)"),
     "top_n_per_type": _numbered("source_rank <= 10"),
+    "priority_ranks": with_roles(["water_source"], """
+    select source_id, type_of_water_source, number_of_people_served,
+           cast(rank() over (partition by type_of_water_source
+                             order by number_of_people_served desc, source_id) as bigint) as source_rank
+    from water_source"""),
     # W5: queues
     "survey_span": with_roles(["queue_log"], """
     select min(time_of_record) as survey_start, max(time_of_record) as survey_end,

@@ -89,10 +89,36 @@ def ranked_sources(sources: DataFrame) -> DataFrame:
     return ranked.withColumn("source_rank", F.col("source_rank").cast("bigint"))
 
 
-def pick_ranked(sources: DataFrame, source_ids: Sequence) -> DataFrame:
-    """Rank first, then keep the listed sources (the filter must stay above
-    the ranking, or ranks would be computed among the picked rows only)."""
-    ranked = ranked_sources(sources).filter(F.col("source_id").isin(list(source_ids)))
+def pick_ranked(sources: DataFrame, source_ids: Sequence, max_picks: int = 10_000) -> DataFrame:
+    """Rank inside type of the listed sources only, ranks counted among all
+    sources of the type (the filter must not narrow the ranking).
+
+    A source's rank is 1 + the number of same-type sources ordered before it
+    (more people, or as many people and a smaller id). For a few picked
+    sources that is one scan of the table against the picks, broadcast
+    after checking they number at most ``max_picks``, and a count per pick:
+    no shuffle of the table. Beyond the bound the full skew-proof ranking
+    runs and is filtered.
+    """
+    ids = list(source_ids)
+    picks = sources.filter(F.col("source_id").isin(ids)).select("source_id", TYPE, PEOPLE)
+    if picks.limit(max_picks + 1).count() > max_picks:
+        ranked = ranked_sources(sources).filter(F.col("source_id").isin(ids))
+        return ranked.orderBy(F.asc(TYPE), F.desc("source_rank"))
+    p = picks.select(F.col("source_id").alias("_ws_pid"), F.col(TYPE).alias("_ws_ptype"),
+                     F.col(PEOPLE).alias("_ws_ppeople"))
+    people, mine = F.col(PEOPLE), F.col("_ws_ppeople")
+    # ORDER BY people DESC (NULLS LAST), source_id ASC
+    ahead = ((people.isNotNull() & (mine.isNull() | (people > mine)))
+             | (people.eqNullSafe(mine) & (F.col("source_id") < F.col("_ws_pid"))))
+    pick_cols = ["_ws_pid", "_ws_ptype", "_ws_ppeople"]
+    before = (sources.join(F.broadcast(p), F.col(TYPE).eqNullSafe(F.col("_ws_ptype")) & ahead)
+              .groupBy(*pick_cols).agg(F.count(F.lit(1)).alias("_ws_before")))
+    same_pick = ((F.col("source_id") == F.col("_ws_pid")) & F.col(TYPE).eqNullSafe(F.col("_ws_ptype"))
+                 & F.col(PEOPLE).eqNullSafe(F.col("_ws_ppeople")))
+    ranked = (picks.join(before, same_pick, "left")
+              .select("source_id", TYPE, PEOPLE,
+                      (F.coalesce(F.col("_ws_before"), F.lit(0)) + 1).cast("bigint").alias("source_rank")))
     return ranked.orderBy(F.asc(TYPE), F.desc("source_rank"))
 
 

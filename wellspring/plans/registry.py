@@ -196,6 +196,11 @@ def rank_then_filter(spark, d):
     return profile.pick_ranked(R.water_source(_t(spark, d)), RANKED_PICKS)
 
 
+@register("priority_ranks")
+def priority_ranks(spark, d):
+    return profile.ranked_sources(R.water_source(_t(spark, d)))
+
+
 @register("top_n_per_type")
 def top_n_per_type(spark, d):
     return profile.top_sources_per_type(R.water_source(_t(spark, d)), TOP_N)
