@@ -270,6 +270,12 @@ ORACLE: dict[str, str] = {
     # D/E/F: profile
     "count_by_key": with_roles(["employee"], """
     select town_name, count(*) as num_employees from employee group by 1 order by 2 desc"""),
+    "count_by_town": with_roles(["location"], """
+    select town_name, count(*) as record_count from location group by 1 order by 1"""),
+    "count_by_location_type": with_roles(["location"], """
+    select location_type, count(*) as record_count from location group by 1 order by 2 desc"""),
+    "count_by_type": with_roles(["water_source"], """
+    select type_of_water_source, count(*) as "count" from water_source group by 1"""),
     "count_by_two": with_roles(["location"], """
     select province_name, town_name, count(*) as records_per_town
     from location group by 1, 2 order by 1, 3 desc"""),

@@ -142,6 +142,24 @@ def count_by_key(spark, d):
     return profile.count_by(emp, ["town_name"], "num_employees").orderBy(F.desc("num_employees"))
 
 
+@register("count_by_town")
+def count_by_town(spark, d):
+    loc = R.location(_t(spark, d))
+    return profile.count_by(loc, ["town_name"]).orderBy("town_name")
+
+
+@register("count_by_location_type")
+def count_by_location_type(spark, d):
+    loc = R.location(_t(spark, d))
+    return profile.count_by(loc, ["location_type"]).orderBy(F.desc("record_count"))
+
+
+@register("count_by_type")
+def count_by_type(spark, d):
+    ws = R.water_source(_t(spark, d))
+    return profile.count_by(ws, ["type_of_water_source"], "count")
+
+
 @register("count_by_two")
 def count_by_two(spark, d):
     loc = R.location(_t(spark, d))
