@@ -40,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
 
     from wellspring.session import DEFAULT_CONF
+    existing = SparkSession.getActiveSession()
     builder = SparkSession.builder.appName("wellspring")
     if ns.master:
         builder = builder.master(ns.master)
@@ -54,7 +55,8 @@ def main(argv: list[str] | None = None) -> int:
         else:
             print(f"== {key}")
             df.show(ns.show, truncate=False)
-    spark.stop()
+    if existing is None:
+        spark.stop()
     return 0
 
 

@@ -61,7 +61,12 @@ def rank_types_by_people(sources: DataFrame) -> DataFrame:
 
 
 def share_window(df: DataFrame, key: str, digits: int = 2) -> DataFrame:
-    """Share of rows per key, total taken by ``SUM(COUNT(*)) OVER ()``."""
+    """Share of rows per key, total taken by ``SUM(COUNT(*)) OVER ()``.
+
+    The window has no partition, so it runs in one task over one row per
+    key: meant for few-valued keys (location types). For keys with many
+    values use ``share_of_summed_counts``, whose total is a distributed sum.
+    """
     counts = count_by(df, [key])
     total = F.sum("record_count").over(Window.partitionBy())
     return counts.withColumn("percentage", percent(F.col("record_count"), total, digits))
