@@ -48,3 +48,16 @@ def test_no_global_window_over_detail_rows(plans):
     for key in ("share_window", "rank_types"):
         text = plans[key]
         assert text.index("Window") < text.rindex("HashAggregate"), key
+
+
+@pytest.fixture(scope="module")
+def simple_plans(spark, sf_small):
+    return {key: plan_text(fn(spark, sf_small), "simple") for key, fn in E.queries().items()}
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_single_partition_exchanges_only_over_aggregates(simple_plans, key):
+    lines = simple_plans[key].splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert "Aggregate" in lines[i + 1], f"{key}: {lines[i + 1].strip()}"
