@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wellspring.functions import first_match, percent
@@ -89,21 +89,20 @@ def work_orders(sources: DataFrame, pollution: DataFrame, visits: DataFrame, loc
     )
 
 
-def violations(orders: DataFrame, sources: DataFrame) -> DataFrame:
-    """One row of rule-violation counts for a batch of work orders.
+def _with_known_flag(orders: DataFrame, sources: DataFrame) -> DataFrame:
+    """The batch with ``_ws_known`` set where its source id exists.
 
-    Parquet enforces neither NOT NULL nor CHECK nor REFERENCES, so the
-    declared constraints are checked here, all in one pass over the batch:
-    the batch is left-joined to the distinct known source ids (a join that
-    shuffles at any size; the DISTINCT is pre-aggregated per task and keeps
-    the join from multiplying rows), and every rule is a conditional count
-    of the same aggregation.
+    A left join to the distinct known ids: it shuffles at any size, and the
+    DISTINCT (pre-aggregated per task) keeps it from multiplying rows.
     """
-    status_col = F.coalesce(F.col("Source_status"), F.lit(BACKLOG))
     known = (sources.select(F.col("source_id").cast("string").alias("_ws_known_id")).distinct()
              .withColumn("_ws_known", F.lit(True)))
-    checked = orders.join(known, orders["source_id"] == known["_ws_known_id"], "left")
-    return checked.agg(
+    return orders.join(known, orders["source_id"] == known["_ws_known_id"], "left")
+
+
+def _rule_counts() -> list[Column]:
+    status_col = F.coalesce(F.col("Source_status"), F.lit(BACKLOG))
+    return [
         F.count(F.lit(1)).alias("orders_checked"),
         F.count_if(F.col("source_id").isNull()).cast("bigint").alias("null_source_id"),
         F.count_if(F.col("source_id").isNotNull() & F.col("_ws_known").isNull()).cast("bigint")
@@ -111,22 +110,36 @@ def violations(orders: DataFrame, sources: DataFrame) -> DataFrame:
         F.count_if(~status_col.isin(*STATUSES)).cast("bigint").alias("invalid_status"),
         *[F.count_if(F.length(F.col(c)) > n).cast("bigint").alias(f"{c.lower()}_too_long")
           for c, n in MAX_LENGTHS],
-    )
+    ]
+
+
+def violations(orders: DataFrame, sources: DataFrame) -> DataFrame:
+    """One row of rule-violation counts for a batch of work orders.
+
+    Parquet enforces neither NOT NULL nor CHECK nor REFERENCES, so the
+    declared constraints are checked here, all in one pass over the batch:
+    every rule is a conditional count of one aggregation over the batch
+    joined to the known source ids.
+    """
+    return _with_known_flag(orders, sources).agg(*_rule_counts())
 
 
 def publish_work_orders(orders: DataFrame, sources: DataFrame, run_date: str = DEFAULT_RUN_DATE,
                         table: str = "project_progress", path: str | None = None) -> DataFrame:
     """Stage the batch, check it, and only then append it under its run date.
 
-    The batch is computed once into the shared folder; the check and the
-    append both read the staged files. Appending by run-date partition with
-    dynamic overwrite makes a re-run replace its own rows instead of
-    duplicating them. Returns the published rows of this run.
+    The batch is computed once into a staging folder of the shared folder,
+    and the rule counts are gathered in that same pass (``observe``), so the
+    check costs no extra read. Only a clean batch is appended, by run-date
+    partition with dynamic overwrite: a re-run replaces its own rows instead
+    of duplicating them. Returns the published rows of this run.
     """
     spark = orders.sparkSession
-    staged = materialize(orders, table + "_staging")
-    found = violations(staged, sources).first().asDict()
-    bad = {k: v for k, v in found.items() if k != "orders_checked" and v}
+    rules = Observation("work_order_rules")
+    checked = (_with_known_flag(orders, sources).observe(rules, *_rule_counts())
+               .drop("_ws_known_id", "_ws_known"))
+    staged = materialize(checked, table + "_staging")
+    bad = {k: v for k, v in rules.get.items() if k != "orders_checked" and v}
     if bad:
         raise ValueError(f"work orders rejected, rule violations: {bad}")
     path = path or table_path(spark, table)
