@@ -90,3 +90,13 @@ def test_rollup_levels(spark):
     national = [r for r in rows if r.level == 3]
     assert len(national) == 1 and national[0].work_orders == 9
     assert national[0].in_progress == 3 and national[0].backlog == 6
+
+
+def test_earlier_result_survives_a_later_publish(spark, tmp_path):
+    sources, pollution, visits, loc = _inputs(spark)
+    orders = W.work_orders(sources, pollution, visits, loc, run_date="2024-05-01")
+    path = str(tmp_path / "progress")
+    first = W.publish_work_orders(orders, sources, "2024-05-01", path=path)
+    W.publish_work_orders(orders, sources, "2024-05-01", path=path)  # rewrites the partition
+    assert first.count() == 9
+    assert spark.read.parquet(path).count() == 9

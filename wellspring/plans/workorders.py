@@ -132,7 +132,9 @@ def publish_work_orders(orders: DataFrame, sources: DataFrame, run_date: str = D
     and the rule counts are gathered in that same pass (``observe``), so the
     check costs no extra read. Only a clean batch is appended, by run-date
     partition with dynamic overwrite: a re-run replaces its own rows instead
-    of duplicating them. Returns the published rows of this run.
+    of duplicating them. Returns this run's rows, read from the staging
+    copy: it holds exactly what was appended and, unlike the table's
+    partition, is never rewritten by a later run.
     """
     spark = orders.sparkSession
     rules = Observation("work_order_rules")
@@ -144,7 +146,7 @@ def publish_work_orders(orders: DataFrame, sources: DataFrame, run_date: str = D
         raise ValueError(f"work orders rejected, rule violations: {bad}")
     path = path or table_path(spark, table)
     append_partition(staged.withColumn("run_date", F.lit(run_date)), path, "run_date")
-    return spark.read.parquet(f"{path}/run_date={run_date}").select(*OUTPUT_COLUMNS)
+    return staged.select(*OUTPUT_COLUMNS)
 
 
 def progress_rollup(orders: DataFrame) -> DataFrame:
