@@ -48,3 +48,9 @@ ANCHORS = {
 @pytest.mark.parametrize("key,n", sorted(ANCHORS.items()))
 def test_anchor_counts(spark, sf_mid, key, n):
     assert E.queries()[key](spark, sf_mid).count() == n
+
+
+def test_queries_are_independent_when_built_before_collecting(spark, sf_small, small_report):
+    frames = {k: fn(spark, sf_small) for k, fn in E.queries().items()}
+    counts = {k: df.count() for k, df in frames.items()}
+    assert counts == {k: small_report[k]["rows"] for k in frames}
