@@ -100,3 +100,13 @@ def test_earlier_result_survives_a_later_publish(spark, tmp_path):
     W.publish_work_orders(orders, sources, "2024-05-01", path=path)  # rewrites the partition
     assert first.count() == 9
     assert spark.read.parquet(path).count() == 9
+
+
+def test_cleaned_option_relabels_contaminated_clean_wells(spark):
+    sources = spark.createDataFrame([(1, "well", 10)], SOURCES)
+    pollution = spark.createDataFrame([(1, "Clean Bacteria: E. coli", "Clean", 0.5)], POLL)
+    visits = spark.createDataFrame([(1, 1, 1, 1, 0)], VISITS)
+    loc = spark.createDataFrame([(1, "a", "P", "T", "Rural")], LOC)
+    assert W.work_orders(sources, pollution, visits, loc).count() == 0
+    r = W.work_orders(sources, pollution, visits, loc, cleaned=True).first()
+    assert (r.Improvement, r.Source_status) == ("Install UV filter", "In progress")

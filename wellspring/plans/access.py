@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wellspring.functions import percent, safe_ratio_pct
 from wellspring.operators import hot_keys_by, materialize, skew_join, skew_join_chain
+from wellspring.plans import clean
 
 # The five source types, in the survey's column order.
 SOURCE_TYPES = ["river", "shared_tap", "tap_in_home", "tap_in_home_broken", "well"]
@@ -32,9 +33,13 @@ def repeated_sources(pollution: DataFrame) -> DataFrame:
 
 
 def combined_view(visits: DataFrame, pollution: DataFrame, location: DataFrame,
-                  sources: DataFrame) -> DataFrame:
+                  sources: DataFrame, cleaned: bool = False) -> DataFrame:
     """First visits with their source type, place, people served and result.
 
+    The survey's later analyses read the pollution table as recorded (its
+    corrections were applied to a copy that was then dropped); ``cleaned``
+    applies the cleaning job's corrections first.
+
     The survey writes ``visits LEFT JOIN well_pollution JOIN location JOIN
     water_source``; both source joins use the visit's source_id, so they are
     chained on one salted partitioning, then one join on location_id. The
@@ -43,6 +48,8 @@ def combined_view(visits: DataFrame, pollution: DataFrame, location: DataFrame,
     """
     v = visits.filter(F.col("visit_count") == 1).select("source_id", "location_id", "time_in_queue")
     loc = location.select("location_id", "town_name", "province_name", "location_type")
+    if cleaned:
+        pollution = clean.correct(pollution)
     return (located_sources(v, sources, pollution, loc)
             .select(F.col("type_of_water_source").alias("source_type"), "town_name",
                     "province_name", "location_type",

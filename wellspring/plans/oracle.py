@@ -436,6 +436,11 @@ ORACLE: dict[str, str] = {
     from cv"""),
     # W10/W11: work orders
     "work_orders": with_roles(CV_ROLES, "select * from orders", [("orders", ORDERS)]),
+    "work_orders_cleaned": with_roles(["visits", "well_pollution", "location", "water_source"],
+                                      "select * from orders",
+                                      [("fixed", FIXED_POLLUTION),
+                                       ("orders", ORDERS.replace("left join well_pollution wp",
+                                                                 "left join fixed wp"))]),
     "work_orders_violations": _violations(),
     "progress_rollup": with_roles(CV_ROLES, """
     select province_name, town_name, count(*) as work_orders,

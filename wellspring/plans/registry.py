@@ -444,6 +444,13 @@ def work_orders(spark, d):
     return _published(spark, d)
 
 
+@register("work_orders_cleaned")
+def work_orders_cleaned(spark, d):
+    t = _t(spark, d)
+    return workorders.work_orders(R.water_source(t), R.well_pollution(t), R.visits(t), R.location(t),
+                                  cleaned=True)
+
+
 @register("work_orders_violations")
 def work_orders_violations(spark, d):
     t = _t(spark, d)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wellspring.functions import first_match, percent
 from wellspring.operators import append_partition, materialize
+from wellspring.plans import clean
 from wellspring.plans.access import located_sources
 from wellspring.session import table_path
 
@@ -72,9 +73,12 @@ def needs_work(queue_threshold: int = QUEUE_MINUTES_PER_TAP) -> Column:
 
 def work_orders(sources: DataFrame, pollution: DataFrame, visits: DataFrame, location: DataFrame,
                 run_date: str = DEFAULT_RUN_DATE, queue_threshold: int = QUEUE_MINUTES_PER_TAP,
-                comment: str = DEFAULT_COMMENT, null_text: bool = True) -> DataFrame:
+                comment: str = DEFAULT_COMMENT, null_text: bool = True, cleaned: bool = False) -> DataFrame:
     """One order per first visit of a source that needs work, in the output
-    table's column order."""
+    table's column order. ``cleaned`` corrects the pollution results first
+    (the survey itself planned from the uncorrected table)."""
+    if cleaned:
+        pollution = clean.correct(pollution)
     v = visits.filter(F.col("visit_count") == 1).select("source_id", "location_id", "time_in_queue")
     loc = location.select("location_id", "address", "town_name", "province_name")
     rows = located_sources(v, sources, pollution, loc).filter(needs_work(queue_threshold))
