@@ -61,3 +61,19 @@ def test_single_partition_exchanges_only_over_aggregates(simple_plans, key):
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             assert "Aggregate" in lines[i + 1], f"{key}: {lines[i + 1].strip()}"
+
+
+def test_visits_shuffled_once_per_join_key_at_scale(spark, sf_small):
+    """With nothing small enough to broadcast (as at 100 TB), the combined view
+    exchanges on source_id three times (visits once for both source joins,
+    sources, pollution) and on location_id twice (joined visits, sites)."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan_text(E.queries()["combined_view"](spark, sf_small), "simple")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(re.findall(r"hashpartitioning\(source_id", text)) == 3
+    assert len(re.findall(r"hashpartitioning\(location_id", text)) == 2
