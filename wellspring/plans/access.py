@@ -16,11 +16,6 @@ SOURCE_TYPES = ["river", "shared_tap", "tap_in_home", "tap_in_home_broken", "wel
 CLEAN = "Clean"
 
 
-def sources_with_results(sources: DataFrame, pollution: DataFrame) -> DataFrame:
-    """Every source with its pollution result (NULL for non-wells)."""
-    return sources.join(pollution.select("source_id", "results"), "source_id", "left")
-
-
 def repeated_sources(pollution: DataFrame) -> DataFrame:
     """Sources with more than one pollution row (should be none).
 
