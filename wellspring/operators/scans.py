@@ -16,28 +16,35 @@ def preview(df: DataFrame, n: int = 5, order_by: Sequence | None = None) -> Data
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
-def fresh_path(df: DataFrame, name: str) -> str:
-    return table_path(df.sparkSession, name, uuid.uuid4().hex)
+def fresh_path(df: DataFrame, name: str, temporary: bool = False) -> str:
+    """A new folder for one write. Temporaries of one application share the
+    prefix ``tmp/<application id>/`` so a storage lifecycle rule (or one
+    delete) clears them after the run; other tables live under their name."""
+    spark = df.sparkSession
+    if temporary:
+        return table_path(spark, "tmp", spark.sparkContext.applicationId, name, uuid.uuid4().hex)
+    return table_path(spark, name, uuid.uuid4().hex)
+
+
+def _write_once(df: DataFrame, path: str) -> DataFrame:
+    # errorifexists: an accidental second write fails instead of replacing
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def snapshot(df: DataFrame, name: str) -> DataFrame:
-    """``CREATE TABLE copy AS SELECT ...``: write once to a new folder, read back.
-
-    ``errorifexists`` makes an accidental second write fail instead of
-    silently replacing the copy.
-    """
-    path = fresh_path(df, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """``CREATE TABLE copy AS SELECT ...``: write once to a new folder, read back."""
+    return _write_once(df, fresh_path(df, name))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Temporary table: compute once into the shared folder, reuse the files.
 
     Cuts the lineage, so later queries and retried tasks read the stored
-    rows instead of re-running the joins behind them.
+    rows instead of re-running the joins behind them, and readers prune
+    columns and push filters into the Parquet files.
     """
-    return snapshot(df, name)
+    return _write_once(df, fresh_path(df, name, temporary=True))
 
 
 def append_partition(df: DataFrame, path: str, partition_col: str) -> DataFrame:

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from wellspring.functions import byte_length
 from wellspring.operators import hot_keys_by, preview, skew_join, snapshot
-from wellspring.operators.scans import materialize
 from wellspring.plans import access, audit, clean, profile, queues, workorders
 from wellspring.session import table_path
 from wellspring.sources import Tables
@@ -91,7 +90,7 @@ def email_expr(spark, d):
 
 @register("fill_email")
 def fill_email(spark, d):
-    return materialize(clean.with_email(R.staff_names(_t(spark, d))), "employee_with_email")
+    return snapshot(clean.with_email(R.staff_names(_t(spark, d))), "employee_with_email")
 
 
 @register("phone_length")
