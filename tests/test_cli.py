@@ -16,3 +16,13 @@ def test_run_to_parquet(spark, sf_small, tmp_path):
     assert got.count() == 6
     assert spark.read.parquet(f"{out}/served_by_type").count() == 6
     assert spark.range(3).count() == 3  # the session is still usable
+
+
+def test_sql_over_survey_views(spark, sf_small, tmp_path):
+    out = str(tmp_path / "sql")
+    sql = "select source_type, count(*) as n from combined_analysis_table group by source_type"
+    assert main(["--sql", sql, sf_small, "--out", out]) == 0
+    got = {r.source_type: r.n for r in spark.read.parquet(f"{out}/sql").collect()}
+    assert sum(got.values()) == 874  # combined view rows at sf0.001
+    for name in ("combined_analysis_table", "Incorrect_records", "queue_log", "water_quality"):
+        assert spark.catalog.tableExists(name)

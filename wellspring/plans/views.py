@@ -14,7 +14,7 @@ from wellspring.plans import access, audit
 from wellspring.sources import Tables
 from wellspring.sources import roles as R
 
-BASE = ["location", "visits", "water_source", "well_pollution", "employee", "auditor_report"]
+BASE = ["location", "visits", "water_source", "well_pollution", "employee", "auditor_report", "queue_log"]
 
 
 def role_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
