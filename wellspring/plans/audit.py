@@ -126,10 +126,8 @@ def suspect_evidence(auditor: DataFrame, visits: DataFrame, employee: DataFrame,
     branch reads two of its columns, the evidence branch pushes its filter.
     """
     incorrect = materialize(incorrect_records(auditor, visits, employee, quality), "incorrect_records")
-    per_id = incorrect.groupBy("assigned_employee_id", "employee_name").agg(
-        F.count(F.lit(1)).alias("_n"))
-    counted = F.when(F.col("employee_name").isNotNull(), F.col("_n")).otherwise(0)
-    mistakes = per_id.groupBy("employee_name").agg(F.sum(counted).alias("number_of_mistakes"))
+    mistakes = incorrect.groupBy("employee_name").agg(
+        F.count("employee_name").alias("number_of_mistakes"))
     flagged = suspects(mistakes)
     evidence = statements_of(incorrect, keyword)
     if suspected:
