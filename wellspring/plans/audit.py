@@ -85,6 +85,19 @@ def incorrect_records(auditor: DataFrame, visits: DataFrame, employee: DataFrame
         "auditor_score", "surveyor_score", "statements")
 
 
+def offenders(auditor: DataFrame, visits: DataFrame, employee: DataFrame,
+              quality: DataFrame | None = None) -> DataFrame:
+    """Distinct names of employees with at least one disagreeing first visit.
+
+    Distinct ids are taken before the employee table is joined (partial
+    de-duplication per task), so only one row per employee reaches that
+    join instead of every disagreeing visit.
+    """
+    ids = disagreeing(audit_pairs(auditor, visits, quality)).select("assigned_employee_id").distinct()
+    return (ids.join(employee.select("assigned_employee_id", "employee_name"), "assigned_employee_id")
+            .select("employee_name").distinct())
+
+
 def mistakes_per_employee(auditor: DataFrame, visits: DataFrame, employee: DataFrame,
                           quality: DataFrame | None = None) -> DataFrame:
     """``COUNT(employee_name)`` of disagreeing first visits per employee *name*.

@@ -349,8 +349,7 @@ def incorrect_view(spark, d):
 @register("distinct_offenders")
 def distinct_offenders(spark, d):
     t = _t(spark, d)
-    return (audit.incorrect_records(R.auditor_report(t), R.visits(t), R.employee(t))
-            .select("employee_name").distinct())
+    return audit.offenders(R.auditor_report(t), R.visits(t), R.employee(t))
 
 
 def _mistakes(t: Tables) -> DataFrame:
