@@ -62,9 +62,11 @@ def accuracy(pairs: DataFrame) -> DataFrame:
     )
 
 
-def with_survey_source(pairs: DataFrame, sources: DataFrame) -> DataFrame:
+def with_survey_source(pairs: DataFrame, sources: DataFrame, hot: list | None = None) -> DataFrame:
+    """Attach the surveyed source type; a source with a large share of the
+    pairs is split over several tasks (``hot``: ids found on an input scan)."""
     s = sources.select("source_id", F.col("type_of_water_source").alias("survey_source"))
-    return pairs.join(s, "source_id")
+    return skew_join(pairs, s, "source_id", hot=hot)
 
 
 def with_employee(pairs: DataFrame, employee: DataFrame, hot: list | None = None) -> DataFrame:

@@ -324,7 +324,9 @@ def audit_accuracy(spark, d):
 @register("audit_source_compare")
 def audit_source_compare(spark, d):
     t = _t(spark, d)
-    wrong = audit.with_survey_source(audit.disagreeing(_pairs(t)), R.water_source(t))
+    hot = hot_keys_by(R.visits(t).filter(F.col("visit_count") == 1), ["location_id", "source_id"])
+    pairs = audit.audit_pairs(R.auditor_report(t), R.visits(t), hot_sites=hot["location_id"])
+    wrong = audit.with_survey_source(audit.disagreeing(pairs), R.water_source(t), hot=hot["source_id"])
     return wrong.select("location_id", "auditor_source", "survey_source", "record_id",
                         "auditor_score", "surveyor_score")
 
