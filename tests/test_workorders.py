@@ -110,3 +110,9 @@ def test_cleaned_option_relabels_contaminated_clean_wells(spark):
     assert W.work_orders(sources, pollution, visits, loc).count() == 0
     r = W.work_orders(sources, pollution, visits, loc, cleaned=True).first()
     assert (r.Improvement, r.Source_status) == ("Install UV filter", "In progress")
+
+
+def test_unknown_sources_counted_per_order_row(spark):
+    sources = spark.createDataFrame([(1, "river", 5)], SOURCES)
+    orders = spark.createDataFrame([("1",)] * 50 + [("999",)] * 3 + [(None,)], "source_id string")
+    assert W.unknown_source_rows(orders, sources).first()[0] == 3

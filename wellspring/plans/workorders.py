@@ -93,39 +93,44 @@ def work_orders(sources: DataFrame, pollution: DataFrame, visits: DataFrame, loc
     )
 
 
-def _with_known_flag(orders: DataFrame, sources: DataFrame) -> DataFrame:
-    """The batch with ``_ws_known`` set where its source id exists.
-
-    A left join to the distinct known ids: it shuffles at any size, and the
-    DISTINCT (pre-aggregated per task) keeps it from multiplying rows.
-    """
-    known = (sources.select(F.col("source_id").cast("string").alias("_ws_known_id")).distinct()
-             .withColumn("_ws_known", F.lit(True)))
-    return orders.join(known, orders["source_id"] == known["_ws_known_id"], "left")
-
-
-def _rule_counts() -> list[Column]:
+def _row_rules() -> list[Column]:
+    """Rules that look at one order at a time, as aggregate counts."""
     status_col = F.coalesce(F.col("Source_status"), F.lit(BACKLOG))
     return [
         F.count(F.lit(1)).alias("orders_checked"),
         F.count_if(F.col("source_id").isNull()).cast("bigint").alias("null_source_id"),
-        F.count_if(F.col("source_id").isNotNull() & F.col("_ws_known").isNull()).cast("bigint")
-        .alias("unknown_source_id"),
         F.count_if(~status_col.isin(*STATUSES)).cast("bigint").alias("invalid_status"),
         *[F.count_if(F.length(F.col(c)) > n).cast("bigint").alias(f"{c.lower()}_too_long")
           for c, n in MAX_LENGTHS],
     ]
 
 
+def unknown_source_rows(orders: DataFrame, sources: DataFrame) -> DataFrame:
+    """One row: how many orders name a source id that is not in ``sources``.
+
+    Orders are first counted per source id (partial counts per task, so a
+    source with a third of the orders costs nothing), and only those counts,
+    one row per id, meet the distinct known ids: neither side of the join
+    can hold a hot key.
+    """
+    per_id = (orders.filter(F.col("source_id").isNotNull())
+              .groupBy("source_id").agg(F.count(F.lit(1)).alias("_ws_n")))
+    known = (sources.select(F.col("source_id").cast("string").alias("source_id")).distinct()
+             .withColumn("_ws_known", F.lit(True)))
+    unknown = per_id.join(known, "source_id", "left").filter(F.col("_ws_known").isNull())
+    return unknown.agg(F.coalesce(F.sum("_ws_n"), F.lit(0)).cast("bigint").alias("unknown_source_id"))
+
+
 def violations(orders: DataFrame, sources: DataFrame) -> DataFrame:
     """One row of rule-violation counts for a batch of work orders.
 
     Parquet enforces neither NOT NULL nor CHECK nor REFERENCES, so the
-    declared constraints are checked here, all in one pass over the batch:
-    every rule is a conditional count of one aggregation over the batch
-    joined to the known source ids.
+    declared constraints are checked here: the per-order rules as one
+    aggregation over the batch, the reference to a known source as a
+    scalar subquery over per-id counts (``unknown_source_rows``).
     """
-    return _with_known_flag(orders, sources).agg(*_rule_counts())
+    unknown = unknown_source_rows(orders, sources).scalar()
+    return orders.agg(*_row_rules()).withColumn("unknown_source_id", unknown)
 
 
 def publish_work_orders(orders: DataFrame, sources: DataFrame, run_date: str = DEFAULT_RUN_DATE,
@@ -133,19 +138,20 @@ def publish_work_orders(orders: DataFrame, sources: DataFrame, run_date: str = D
     """Stage the batch, check it, and only then append it under its run date.
 
     The batch is computed once into a staging folder of the shared folder,
-    and the rule counts are gathered in that same pass (``observe``), so the
-    check costs no extra read. Only a clean batch is appended, by run-date
-    partition with dynamic overwrite: a re-run replaces its own rows instead
-    of duplicating them. Returns this run's rows, read from the staging
-    copy: it holds exactly what was appended and, unlike the table's
-    partition, is never rewritten by a later run.
+    with the per-order rule counts gathered in that same pass (``observe``);
+    the unknown-source check then reads only the staged source ids. Only a
+    clean batch is appended, by run-date partition with dynamic overwrite: a
+    re-run replaces its own rows instead of duplicating them. Returns this
+    run's rows, read from the staging copy: it holds exactly what was
+    appended and, unlike the table's partition, is never rewritten by a
+    later run.
     """
     spark = orders.sparkSession
     rules = Observation("work_order_rules")
-    checked = (_with_known_flag(orders, sources).observe(rules, *_rule_counts())
-               .drop("_ws_known_id", "_ws_known"))
-    staged = materialize(checked, table + "_staging")
-    bad = {k: v for k, v in rules.get.items() if k != "orders_checked" and v}
+    staged = materialize(orders.observe(rules, *_row_rules()), table + "_staging")
+    found = dict(rules.get)
+    found.update(unknown_source_rows(staged, sources).first().asDict())
+    bad = {k: v for k, v in found.items() if k != "orders_checked" and v}
     if bad:
         raise ValueError(f"work orders rejected, rule violations: {bad}")
     path = path or table_path(spark, table)
