@@ -56,19 +56,24 @@ def hot_keys_by(df: DataFrame, keys: list[str], min_share: float = 0.01, fractio
 
     A value must reach ``min_share`` of the sampled rows and at least
     ``min_hits`` sampled rows (so sampling noise on small inputs flags
-    nothing). All columns are counted in one pass over the sample (grouping
-    sets, one set per column). At most ``1 / min_share`` values per column
-    can pass, so what reaches the driver is small by construction. The
-    sample only steers the plan; no row is ever dropped.
+    nothing). One aggregation over the sample counts every column (one
+    grouping set per column) and the sample size (the empty grouping set);
+    since at most ``1 / min_share`` values per column can pass, all of them
+    are among the ``len(keys) / min_share + 1`` largest counts, which is all
+    that reaches the driver. The sample only steers the plan; no row is
+    ever dropped.
     """
     sample = df.select(*keys).sample(fraction=fraction, seed=seed)
-    total = sample.select(F.count(F.lit(1))).scalar()
-    threshold = F.greatest(total * min_share, F.lit(min_hits))
-    counts = sample.groupingSets([[k] for k in keys], *keys).agg(
-        F.count(F.lit(1)).alias("_ws_n"), *[F.grouping(k).alias("_ws_g_" + k) for k in keys])
-    hot = counts.filter(F.col("_ws_n") >= threshold)
+    flags = [F.grouping(k).alias("_ws_g_" + k) for k in keys]
+    counts = sample.groupingSets([[k] for k in keys] + [[]], *keys).agg(
+        F.count(F.lit(1)).alias("_ws_n"), *flags)
+    top = counts.orderBy(F.desc("_ws_n")).limit(len(keys) * int(1 / min_share) + 1).collect()
+    total = next((r["_ws_n"] for r in top if all(r["_ws_g_" + k] == 1 for k in keys)), 0)
+    threshold = max(total * min_share, min_hits)
     found: dict[str, list] = {k: [] for k in keys}
-    for row in hot.limit(len(keys) * int(1 / min_share)).collect():
+    for row in top:
+        if row["_ws_n"] < threshold:
+            continue
         for k in keys:
             if row["_ws_g_" + k] == 0 and row[k] is not None:
                 found[k].append(row[k])

@@ -51,6 +51,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wellspring.operators.joins import skew_join
 from wellspring.sources.parquet import Tables
 
 # ---------------------------------------------------------------------------
@@ -112,13 +113,18 @@ def geography(t: Tables) -> DataFrame:
 
 
 def location(t: Tables) -> DataFrame:
+    """One site per order, placed by its customer's nation and region.
+
+    The orders-to-customer join goes through ``skew_join``: a customer with
+    a large share of the orders is spread over several tasks.
+    """
     cust = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     geo = geography(t)
     placed = (cust.join(geo, cust.c_nationkey == geo.n_nationkey)
-              .select("c_custkey", F.col("c_name").alias("address"), "province_name",
-                      "town_name", F.col("c_mktsegment").alias("location_type")))
+              .select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("address"),
+                      "province_name", "town_name", F.col("c_mktsegment").alias("location_type")))
     orders = t.orders.select("o_orderkey", "o_custkey")
-    return (orders.join(placed, orders.o_custkey == placed.c_custkey)
+    return (skew_join(orders, placed, "o_custkey")
             .select(F.col("o_orderkey").alias("location_id"), "address", "province_name",
                     "town_name", "location_type"))
 
