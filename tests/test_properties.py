@@ -75,3 +75,18 @@ def test_pick_ranked_equals_full_rank(spark, rows, picked):
             .filter(F.col("source_id").isin(picked)))
     cols = ["source_id", "type_of_water_source", "number_of_people_served", "source_rank"]
     assert _rows(profile.pick_ranked(src, picked), cols) == _rows(want, cols)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 6), st.one_of(st.none(), st.integers(0, 2))), max_size=60),
+       st.sampled_from([0.05, 0.2, 0.5]), st.integers(1, 4))
+def test_hot_keys_by_equals_brute_force(spark, rows, share, hits):
+    from collections import Counter
+
+    from wellspring.operators import hot_keys_by
+    df = spark.createDataFrame(rows, "a long, b long")
+    got = hot_keys_by(df, ["a", "b"], min_share=share, fraction=1.0, min_hits=hits)
+    threshold = max(len(rows) * share, hits)
+    for i, col in enumerate(["a", "b"]):
+        counts = Counter(r[i] for r in rows if r[i] is not None)
+        assert sorted(got[col]) == sorted(v for v, n in counts.items() if n >= threshold)
