@@ -262,9 +262,10 @@ def queue_heatmap(spark, d):
 
 # --- J: joins --------------------------------------------------------------------
 
-def _visits_located(t: Tables, hot: list | None = None) -> DataFrame:
-    v = R.visits(t).select("location_id", "source_id", "visit_count")
-    loc = R.location(t).select("location_id", "province_name", "town_name")
+def _visits_located(t: Tables, hot: list | None = None, visits: DataFrame | None = None,
+                    location: DataFrame | None = None) -> DataFrame:
+    v = (R.visits(t) if visits is None else visits).select("location_id", "source_id", "visit_count")
+    loc = (R.location(t) if location is None else location).select("location_id", "province_name", "town_name")
     return skew_join(v, loc, "location_id", hot=hot)
 
 
@@ -273,10 +274,13 @@ def join_two(spark, d):
     return _visits_located(_t(spark, d)).select("province_name", "town_name", "visit_count", "location_id")
 
 
-def _visits_located_sourced(t: Tables) -> DataFrame:
+def _visits_located_sourced(t: Tables, visits: DataFrame | None = None,
+                            location: DataFrame | None = None) -> DataFrame:
     ws = R.water_source(t)
-    hot = hot_keys_by(R.visits(t), ["location_id", "source_id"])
-    return (skew_join(_visits_located(t, hot["location_id"]), ws, "source_id", hot=hot["source_id"])
+    visits = R.visits(t) if visits is None else visits
+    hot = hot_keys_by(visits, ["location_id", "source_id"])
+    return (skew_join(_visits_located(t, hot["location_id"], visits, location), ws, "source_id",
+                      hot=hot["source_id"])
             .select("province_name", "town_name", "visit_count", "location_id",
                     "type_of_water_source", "number_of_people_served"))
 
@@ -289,7 +293,12 @@ def join_three(spark, d):
 
 @register("join_point_lookup")
 def join_point_lookup(spark, d):
-    return _visits_located_sourced(_t(spark, d)).filter(F.col("location_id") == LOOKUP_LOCATION)
+    """One site's visits: the site filter is applied to the inputs, so the
+    scans (and the hot-key samples) read only row groups that can match."""
+    t = _t(spark, d)
+    visits = R.visits(t).filter(F.col("location_id") == LOOKUP_LOCATION)
+    location = R.location(t, orders=t.orders.filter(F.col("o_orderkey") == LOOKUP_LOCATION))
+    return _visits_located_sourced(t, visits, location)
 
 
 # --- W6/W7: audit ------------------------------------------------------------------

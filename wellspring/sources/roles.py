@@ -112,18 +112,20 @@ def geography(t: Tables) -> DataFrame:
                     town_label(F.col("n_nationkey")).alias("town_name")))
 
 
-def location(t: Tables) -> DataFrame:
+def location(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     """One site per order, placed by its customer's nation and region.
 
     The orders-to-customer join goes through ``skew_join``: a customer with
-    a large share of the orders is spread over several tasks.
+    a large share of the orders is spread over several tasks. ``orders``
+    may be a filtered orders table (a point lookup), so that neither the
+    join nor its hot-key sample reads more than the filter lets through.
     """
     cust = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     geo = geography(t)
     placed = (cust.join(geo, cust.c_nationkey == geo.n_nationkey)
               .select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("address"),
                       "province_name", "town_name", F.col("c_mktsegment").alias("location_type")))
-    orders = t.orders.select("o_orderkey", "o_custkey")
+    orders = (t.orders if orders is None else orders).select("o_orderkey", "o_custkey")
     return (skew_join(orders, placed, "o_custkey")
             .select(F.col("o_orderkey").alias("location_id"), "address", "province_name",
                     "town_name", "location_type"))
