@@ -111,3 +111,10 @@ def test_not_in_matches_sql(spark, case):
     want_in = spark.sql("SELECT k FROM l_fixture WHERE k IN (SELECT k FROM r_fixture)").collect()
     got_in = semi_join(left, right, "k").collect()
     assert sorted(map(tuple, got_in), key=str) == sorted(map(tuple, want_in), key=str)
+
+
+def test_semi_and_anti_keep_left_column_order(spark):
+    left = spark.createDataFrame([(1, "x", "s")], "id long, k string, t string")
+    right = spark.createDataFrame([("x",)], "k string")
+    assert semi_join(left, right, "k").columns == ["id", "k", "t"]
+    assert not_in(left, right, "k").columns == ["id", "k", "t"]

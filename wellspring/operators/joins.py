@@ -14,18 +14,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def semi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None) -> DataFrame:
+def semi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None,
+              hot: list | None = None) -> DataFrame:
     """``left WHERE left_col IN (SELECT right_col FROM right)``.
 
-    A left semi join emits each left row at most once however often its key
-    repeats on the right, so the list needs no DISTINCT (and no extra shuffle).
+    Written as a left join to the distinct listed values (pre-aggregated per
+    task) and a filter, through ``skew_join``, so a value holding a large
+    share of ``left`` is spread over several tasks.
     """
     right_col = right_col or left_col
-    keys = right.select(F.col(right_col).alias("_ws_key"))
-    return left.join(keys, left[left_col] == keys["_ws_key"], "left_semi")
+    listed = (right.select(F.col(right_col).alias(left_col)).filter(F.col(left_col).isNotNull())
+              .distinct().withColumn("_ws_hit", F.lit(True)))
+    joined = skew_join(left, listed, left_col, "left", hot=hot)
+    return joined.filter(F.col("_ws_hit")).select(*left.columns)
 
 
-def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None) -> DataFrame:
+def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None,
+           hot: list | None = None) -> DataFrame:
     """``left WHERE left_col NOT IN (SELECT right_col FROM right)`` with SQL's NULL rules.
 
     * empty list: every left row passes, even one whose value is NULL;
@@ -34,19 +39,20 @@ def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | No
 
     Spark plans SQL ``NOT IN`` as a null-aware anti join that must broadcast
     the list (or falls back to a nested loop). Here the list is reduced to its
-    distinct keys (partial aggregation before the shuffle), joined with an
-    ordinary left outer join that can shuffle at any size, and the two list
-    facts (size, NULL present) enter as scalar subqueries evaluated once.
+    distinct keys (partial aggregation before the shuffle), joined with a
+    left join that can shuffle at any size and splits hot values
+    (``skew_join``), and the two list facts (size, NULL present) enter as
+    scalar subqueries evaluated once.
     """
     right_col = right_col or left_col
     listed = right.select(F.col(right_col).alias("_ws_key"))
     n_listed = listed.select(F.count(F.lit(1))).scalar()
     n_nulls = listed.select(F.count_if(F.col("_ws_key").isNull())).scalar()
     hits = (listed.filter(F.col("_ws_key").isNotNull()).distinct()
-            .withColumn("_ws_hit", F.lit(True)))
-    joined = left.join(hits, left[left_col] == hits["_ws_key"], "left")
+            .select(F.col("_ws_key").alias(left_col)).withColumn("_ws_hit", F.lit(True)))
+    joined = skew_join(left, hits, left_col, "left", hot=hot)
     keep = (n_listed == 0) | ((n_nulls == 0) & F.col(left_col).isNotNull() & F.col("_ws_hit").isNull())
-    return joined.filter(keep).drop("_ws_key", "_ws_hit")
+    return joined.filter(keep).select(*left.columns)
 
 
 def hot_keys_by(df: DataFrame, keys: list[str], min_share: float = 0.01, fraction: float = 0.001,
