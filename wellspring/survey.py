@@ -1,6 +1,7 @@
 """One object for a survey database: its tables, and every job as a method.
 
     survey = Survey.from_parquet(spark, "/data/survey")         # survey tables
+    survey = Survey.from_csv(spark, "/dumps/survey")            # CSV dumps, declared types
     survey = Survey.from_test_tables(spark, "/data/tpch-like")  # role mapping
     survey.town_share().show()
     survey.publish_work_orders(run_date="2024-06-30")
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wellspring.plans import access, audit, clean, profile, queues, workorders
 from wellspring.sources import Tables
 from wellspring.sources import roles as R
+from wellspring.sources.schemas import SURVEY_SCHEMAS
 
 TABLES = ["location", "visits", "water_source", "well_pollution", "employee", "auditor_report",
           "queue_log"]
@@ -46,6 +48,18 @@ class Survey:
                 frames[optional] = None
         return cls(**frames)
 
+    @classmethod
+    def from_csv(cls, spark: SparkSession, root: str) -> Survey:
+        """The survey's seven tables dumped as CSV with a header,
+        ``<root>/<table>.csv`` (a file or a folder of parts), read with the
+        declared schemas; a malformed row fails the read. The quality score
+        comes from ``water_quality``, and the queue analyses use the visits'
+        own times, as in the survey."""
+        root = root.rstrip("/")
+        reader = spark.read.option("header", True).option("mode", "FAILFAST")
+        return cls(**{name: reader.schema(schema).csv(f"{root}/{name}.csv")
+                      for name, schema in SURVEY_SCHEMAS.items()})
+
     @classmethod
     def from_test_tables(cls, spark: SparkSession, root: str) -> Survey:
         """The survey roles derived from the TPC-H-like test tables."""
