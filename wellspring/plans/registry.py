@@ -439,12 +439,13 @@ def headline_shares(spark, d):
 # --- W10/W11: work orders -------------------------------------------------------------
 
 def _orders(t: Tables) -> DataFrame:
-    return workorders.work_orders(R.water_source(t), R.well_pollution(t), R.visits(t), R.location(t))
+    return workorders.work_orders(R.water_source(t), R.well_pollution(t), R.visits(t), R.location(t),
+                                  run_date=workorders.REGISTERED_RUN_DATE)
 
 
 def _published(spark: SparkSession, d: str) -> DataFrame:
     t = _t(spark, d)
-    return workorders.publish_work_orders(_orders(t), R.water_source(t),
+    return workorders.publish_work_orders(_orders(t), R.water_source(t), workorders.REGISTERED_RUN_DATE,
                                           path=_run_table(spark, "project_progress", d))
 
 
@@ -457,7 +458,7 @@ def work_orders(spark, d):
 def work_orders_cleaned(spark, d):
     t = _t(spark, d)
     return workorders.work_orders(R.water_source(t), R.well_pollution(t), R.visits(t), R.location(t),
-                                  cleaned=True)
+                                  run_date=workorders.REGISTERED_RUN_DATE, cleaned=True)
 
 
 @register("work_orders_violations")

@@ -39,7 +39,8 @@ MAX_LENGTHS = [
 ]
 OUTPUT_COLUMNS = ["address", "town_name", "province_name", "source_id", "type_of_water_source",
                   "Improvement", "Source_status", "Date_of_completion", "Comments"]
-DEFAULT_RUN_DATE = "2024-01-31"
+# Run date of the registered (compared) queries; library calls default to today.
+REGISTERED_RUN_DATE = "2024-01-31"
 
 
 def improvement(queue_threshold: int = QUEUE_MINUTES_PER_TAP, null_text: bool = True) -> Column:
@@ -72,11 +73,14 @@ def needs_work(queue_threshold: int = QUEUE_MINUTES_PER_TAP) -> Column:
 
 
 def work_orders(sources: DataFrame, pollution: DataFrame, visits: DataFrame, location: DataFrame,
-                run_date: str = DEFAULT_RUN_DATE, queue_threshold: int = QUEUE_MINUTES_PER_TAP,
+                run_date: str | None = None, queue_threshold: int = QUEUE_MINUTES_PER_TAP,
                 comment: str = DEFAULT_COMMENT, null_text: bool = True, cleaned: bool = False) -> DataFrame:
     """One order per first visit of a source that needs work, in the output
-    table's column order. ``cleaned`` corrects the pollution results first
-    (the survey itself planned from the uncorrected table)."""
+    table's column order. ``run_date`` (ISO date, default today) is the
+    completion date written on every order. ``cleaned`` corrects the
+    pollution results first (the survey itself planned from the uncorrected
+    table)."""
+    run_date = run_date or dt.date.today().isoformat()
     if cleaned:
         pollution = clean.correct(pollution)
     v = visits.filter(F.col("visit_count") == 1).select("source_id", "location_id", "time_in_queue")
@@ -133,7 +137,7 @@ def violations(orders: DataFrame, sources: DataFrame) -> DataFrame:
     return orders.agg(*_row_rules()).withColumn("unknown_source_id", unknown)
 
 
-def publish_work_orders(orders: DataFrame, sources: DataFrame, run_date: str = DEFAULT_RUN_DATE,
+def publish_work_orders(orders: DataFrame, sources: DataFrame, run_date: str | None = None,
                         table: str = "project_progress", path: str | None = None) -> DataFrame:
     """Stage the batch, check it, and only then append it under its run date.
 
@@ -147,6 +151,7 @@ def publish_work_orders(orders: DataFrame, sources: DataFrame, run_date: str = D
     later run.
     """
     spark = orders.sparkSession
+    run_date = run_date or dt.date.today().isoformat()
     rules = Observation("work_order_rules")
     staged = materialize(orders.observe(rules, *_row_rules()), table + "_staging")
     found = dict(rules.get)

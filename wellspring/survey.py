@@ -162,14 +162,14 @@ class Survey:
         return access.headline_shares(self.combined_view(cleaned))
 
     # W10, W11
-    def work_orders(self, run_date: str = workorders.DEFAULT_RUN_DATE, cleaned: bool = False) -> DataFrame:
+    def work_orders(self, run_date: str | None = None, cleaned: bool = False) -> DataFrame:
         return workorders.work_orders(self.water_source, self.well_pollution, self.visits, self.location,
                                       run_date=run_date, cleaned=cleaned)
 
-    def work_order_violations(self, run_date: str = workorders.DEFAULT_RUN_DATE) -> DataFrame:
+    def work_order_violations(self, run_date: str | None = None) -> DataFrame:
         return workorders.violations(self.work_orders(run_date), self.water_source)
 
-    def publish_work_orders(self, run_date: str = workorders.DEFAULT_RUN_DATE, cleaned: bool = False,
+    def publish_work_orders(self, run_date: str | None = None, cleaned: bool = False,
                             path: str | None = None) -> DataFrame:
         orders = self.work_orders(run_date, cleaned)
         return workorders.publish_work_orders(orders, self.water_source, run_date, path=path)
