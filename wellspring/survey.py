@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from wellspring.plans import access, audit, clean, profile, queues, workorders
@@ -44,7 +45,7 @@ class Survey:
         for optional in ("queue_log", "water_quality"):
             try:
                 frames[optional] = spark.read.parquet(f"{root}/{optional}")
-            except Exception:  # noqa: BLE001 - an absent optional table
+            except AnalysisException:  # the optional table is absent
                 frames[optional] = None
         return cls(**frames)
 
