@@ -69,3 +69,15 @@ def test_pick_ranked_ranks_before_filtering(spark):
                                 "source_id long, type_of_water_source string, number_of_people_served int")
     got = {r.source_id: r.source_rank for r in profile.pick_ranked(src, [1, 4]).collect()}
     assert got == {1: 3, 4: 1}
+
+
+def test_pick_ranked_falls_back_to_full_rank_beyond_the_bound(spark):
+    src = spark.range(200).select(F.col("id").alias("source_id"),
+                                  F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("type_of_water_source"),
+                                  (F.col("id") % 7).cast("int").alias("number_of_people_served"))
+    picked = list(range(0, 200, 2))  # 100 picks > 64
+    got = sorted(tuple(r) for r in profile.pick_ranked(src, picked).collect())
+    want = sorted(tuple(r) for r in _window_rn(src, ["type_of_water_source"],
+                                                [F.desc("number_of_people_served"), F.asc("source_id")])
+                  .filter(F.col("source_id").isin(picked)).collect())
+    assert got == want

@@ -94,16 +94,18 @@ def ranked_sources(sources: DataFrame) -> DataFrame:
     return ranked.withColumn("source_rank", F.col("source_rank").cast("bigint"))
 
 
-def pick_ranked(sources: DataFrame, source_ids: Sequence, max_picks: int = 10_000) -> DataFrame:
+def pick_ranked(sources: DataFrame, source_ids: Sequence, max_picks: int = 64) -> DataFrame:
     """Rank inside type of the listed sources only, ranks counted among all
     sources of the type (the filter must not narrow the ranking).
 
     A source's rank is 1 + the number of same-type sources ordered before it
     (more people, or as many people and a smaller id). For a few picked
     sources that is one scan of the table against the picks, broadcast
-    after checking they number at most ``max_picks``, and a count per pick:
-    no shuffle of the table. Beyond the bound the full skew-proof ranking
-    runs and is filtered.
+    after checking they number at most ``max_picks``, and a count per pick
+    (fused into the scan, partial per task): no shuffle of the table. Each
+    row is compared with the picks of its type, so the work grows with the
+    number of picks; beyond the bound the full skew-proof ranking runs and
+    is filtered.
     """
     ids = list(source_ids)
     picks = sources.filter(F.col("source_id").isin(ids)).select("source_id", TYPE, PEOPLE)
