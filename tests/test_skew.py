@@ -90,3 +90,23 @@ def test_hot_group_rank_is_spread(spark):
     assert len(sizes) > 1  # the hot group is numbered by several tasks
     hot = ranked.filter(F.col("g") == "hot").agg(F.min("rn"), F.max("rn"), F.count("*")).first()
     assert tuple(hot) == (1, 20_000, 20_000)
+
+
+def test_salted_chain_on_real_tables_equals_plain_joins(spark, sf_mid):
+    from wellspring.operators import skew_join_chain
+    from wellspring.sources import Tables
+    from wellspring.sources import roles as R
+
+    t = Tables(spark, sf_mid)
+    visits = R.visits(t).filter(F.col("visit_count") == 1).select("source_id", "location_id", "time_in_queue")
+    sources, pollution = R.water_source(t), R.well_pollution(t).select("source_id", "results")
+    busiest = [r.source_id for r in visits.groupBy("source_id").count()
+               .orderBy(F.desc("count"), "source_id").limit(3).collect()]
+    wells = [r.source_id for r in pollution.limit(2).collect()]  # hot keys with a pollution row too
+    salted = skew_join_chain(visits, "source_id", [(sources, "inner"), (pollution, "left")],
+                             salts=8, hot=busiest + wells)
+    plain = visits.join(sources, "source_id").join(pollution, "source_id", "left")
+    cols = sorted(plain.columns)
+    assert sorted(salted.columns) == cols
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(salted.select(cols).collect(), key=key) == sorted(plain.select(cols).collect(), key=key)
