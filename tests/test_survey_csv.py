@@ -63,3 +63,17 @@ def test_work_orders_raw_and_cleaned(survey):
     assert cleaned["S1"] == "Install UV filter"
     emails = {r.employee_name: r.email for r in survey.employees_with_email().collect()}
     assert emails["Ada Obi"].startswith("ada.obi@")
+
+
+def test_sql_over_the_survey_views(spark, survey):
+    from wellspring.plans.views import drop_survey_views
+    names = survey.register_views()
+    try:
+        rows = spark.sql("""
+            select employee_name, count(*) as n from Incorrect_records
+            where lower(statements) like '%cash%' group by employee_name""").collect()
+        assert [(r.employee_name, r.n) for r in rows] == [("Kofi Mensah", 2)]
+        total = spark.sql("select sum(people_served) as p from combined_analysis_table").first().p
+        assert total == 450
+    finally:
+        drop_survey_views(spark, names)

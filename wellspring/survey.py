@@ -67,6 +67,13 @@ class Survey:
         t = Tables(spark, root)
         return cls(**{name: getattr(R, name)(t) for name in TABLES})
 
+    def register_views(self) -> list[str]:
+        """Expose the tables and the survey's two views (combined_analysis_table,
+        Incorrect_records) to ``spark.sql``; returns the registered names."""
+        from wellspring.plans.views import register_survey_views
+        tables = {name: df for name, df in vars(self).items() if df is not None}
+        return register_survey_views(self.visits.sparkSession, tables)
+
     # W1, W2
     def contradictions(self) -> DataFrame:
         return clean.contradictions(self.well_pollution)
