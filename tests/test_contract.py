@@ -54,3 +54,21 @@ def test_queries_are_independent_when_built_before_collecting(spark, sf_small, s
     frames = {k: fn(spark, sf_small) for k, fn in E.queries().items()}
     counts = {k: df.count() for k, df in frames.items()}
     assert counts == {k: small_report[k]["rows"] for k in frames}
+
+
+def test_more_role_anchors(spark, sf_mid):
+    from pyspark.sql import functions as F
+
+    from wellspring.sources import Tables
+    from wellspring.sources import roles as R
+    t = Tables(spark, sf_mid)
+    q = E.queries()
+    assert R.queue_log(t).filter(F.col("time_in_queue") == 0).count() == 178
+    docs = R.documents(t)
+    assert docs.filter(F.octet_length("text") != F.length("text")).count() == 385
+    v = q["verify_clean"](spark, sf_mid).first()
+    assert (v.violations_before, v.violations_after) == (202, 0)
+    loc = R.location(t)
+    assert loc.select("province_name", "town_name").distinct().count() == 25
+    assert loc.select("town_name").distinct().count() == 7
+    assert R.well_pollution(t).count() == 311
