@@ -47,15 +47,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return _write_once(df, fresh_path(df, name, temporary=True))
 
 
-def append_partition(df: DataFrame, path: str, partition_col: str) -> DataFrame:
-    """Append ``df`` as the partitions named by ``partition_col``.
+def append_partition(df: DataFrame, path: str, partition_col: str) -> str:
+    """Append ``df`` as the partitions named by ``partition_col``; returns the table path.
 
     Dynamic partition overwrite replaces only those partitions, so a re-run
     for the same run date does not duplicate rows, and a task retried after
-    a lost executor rewrites its own files. Returns the written partitions
-    read back from storage.
+    a lost executor rewrites its own files. Nothing is read back: listing a
+    large table's partitions is left to the reader that needs them.
     """
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
-    return df.sparkSession.read.parquet(path)
+    return path
 
