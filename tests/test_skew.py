@@ -55,8 +55,10 @@ def _skewed_inputs(spark, n=90_000):
 def test_hot_source_join_is_split_and_whole(shuffle_only):
     spark = shuffle_only
     visits, pollution, location, sources = _skewed_inputs(spark)
-    assert hot_keys(visits, "source_id") == [0]
-    assert hot_keys_by(visits, ["source_id", "location_id"]) == {"source_id": [0], "location_id": []}
+    assert list(hot_keys(visits, "source_id")) == [0]
+    found = hot_keys_by(visits, ["source_id", "location_id"])
+    assert list(found["source_id"]) == [0] and found["location_id"] == {}
+    assert 0.2 < found["source_id"][0] < 0.5  # about a third of the rows
     # the join on the hot source: no task holds the third of the rows
     joined = skew_join(visits, sources, "source_id")
     sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
@@ -110,3 +112,17 @@ def test_salted_chain_on_real_tables_equals_plain_joins(spark, sf_mid):
     assert sorted(salted.columns) == cols
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(salted.select(cols).collect(), key=key) == sorted(plain.select(cols).collect(), key=key)
+
+
+def test_salt_counts_scale_with_share_and_partitions(spark):
+    from wellspring.operators import salt_counts
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20000")
+    try:
+        got = salt_counts(spark, {"hot": 1 / 3, "warm": 0.01, "tiny": 0.0001})
+        assert got == {"hot": 13334, "warm": 400, "tiny": 4}
+        assert salt_counts(spark, {"all": 0.9})["all"] == 20000  # never more than the partitions
+        assert salt_counts(spark, ["a"]) == {"a": 2500}            # share unknown: P / 8
+        assert salt_counts(spark, ["a"], salts=3) == {"a": 3}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

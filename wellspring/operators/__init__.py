@@ -1,11 +1,12 @@
 """Table operators the survey jobs are composed of."""
 
-from wellspring.operators.joins import hot_keys, hot_keys_by, not_in, semi_join, skew_join, skew_join_chain
+from wellspring.operators.joins import (hot_keys, hot_keys_by, not_in, salt_counts, semi_join, skew_join,
+                                       skew_join_chain)
 from wellspring.operators.ranking import row_number_within, top_n_within
 from wellspring.operators.scans import append_partition, materialize, preview, snapshot
 
 __all__ = [
     "append_partition", "hot_keys", "hot_keys_by", "materialize", "not_in", "preview",
-    "row_number_within", "semi_join", "skew_join", "skew_join_chain", "snapshot",
+    "row_number_within", "salt_counts", "semi_join", "skew_join", "skew_join_chain", "snapshot",
     "top_n_within",
 ]

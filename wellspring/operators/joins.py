@@ -9,13 +9,15 @@ key that holds a large share of the rows from landing in a single task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def semi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None,
-              hot: list | None = None) -> DataFrame:
+              hot: dict | list | None = None) -> DataFrame:
     """``left WHERE left_col IN (SELECT right_col FROM right)``.
 
     Written as a left join to the distinct listed values (pre-aggregated per
@@ -30,7 +32,7 @@ def semi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str |
 
 
 def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None,
-           hot: list | None = None) -> DataFrame:
+           hot: dict | list | None = None) -> DataFrame:
     """``left WHERE left_col NOT IN (SELECT right_col FROM right)`` with SQL's NULL rules.
 
     * empty list: every left row passes, even one whose value is NULL;
@@ -56,9 +58,9 @@ def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | No
 
 
 def hot_keys_by(df: DataFrame, keys: list[str], min_share: float = 0.01, fraction: float = 0.001,
-                min_hits: int = 5, seed: int = 7) -> dict[str, list]:
+                min_hits: int = 5, seed: int = 7) -> dict[str, dict]:
     """For each column in ``keys``, the values holding at least ``min_share``
-    of the rows of ``df``, estimated on one sample.
+    of the rows of ``df`` with their estimated share, from one sample.
 
     A value must reach ``min_share`` of the sampled rows and at least
     ``min_hits`` sampled rows (so sampling noise on small inputs flags
@@ -76,44 +78,60 @@ def hot_keys_by(df: DataFrame, keys: list[str], min_share: float = 0.01, fractio
     top = counts.orderBy(F.desc("_ws_n")).limit(len(keys) * int(1 / min_share) + 1).collect()
     total = next((r["_ws_n"] for r in top if all(r["_ws_g_" + k] == 1 for k in keys)), 0)
     threshold = max(total * min_share, min_hits)
-    found: dict[str, list] = {k: [] for k in keys}
+    found: dict[str, dict] = {k: {} for k in keys}
     for row in top:
         if row["_ws_n"] < threshold:
             continue
         for k in keys:
             if row["_ws_g_" + k] == 0 and row[k] is not None:
-                found[k].append(row[k])
+                found[k][row[k]] = row["_ws_n"] / total
     return found
 
 
 def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction: float = 0.001,
-             min_hits: int = 5, seed: int = 7) -> list:
-    """The values of one column holding at least ``min_share`` of the rows
-    (see ``hot_keys_by``)."""
+             min_hits: int = 5, seed: int = 7) -> dict:
+    """The values of one column holding at least ``min_share`` of the rows,
+    with their estimated shares (see ``hot_keys_by``)."""
     return hot_keys_by(df, [key], min_share, fraction, min_hits, seed)[key]
 
 
+def salt_counts(spark, hot: dict | list, salts: int | None = None) -> dict:
+    """How many pieces each hot value is cut into.
+
+    A value with share ``s`` of the rows is cut into ``2 * s * P`` pieces
+    (``P`` = shuffle partitions, at most ``P``), so each piece is about half
+    an average partition however hot the value is. A plain list of values
+    (share unknown) gets ``salts`` pieces each, by default ``P / 8``.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if isinstance(hot, dict):
+        return {v: max(2, min(parts, math.ceil(2 * share * parts))) for v, share in hot.items()}
+    return {v: max(2, salts or parts // 8) for v in hot}
+
+
 def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
-              salts: int = 16, min_share: float = 0.01, hot: list | None = None) -> DataFrame:
+              salts: int | None = None, min_share: float = 0.01, hot: dict | list | None = None) -> DataFrame:
     """``fact JOIN dim USING (key)`` that stays balanced when one key holds
     a large share of ``fact`` (a third of all visits at one source, say).
 
     Without hot keys this is the plain join, so Spark may still broadcast a
-    small dimension. With hot keys, their fact rows get a salt in
-    ``[0, salts)`` from a hash of the row (deterministic, so a retried task
-    salts the same way) and their dimension rows are repeated once per salt;
-    every other row has salt 0. The join then runs on (key, salt), so a hot
-    key is spread over ``salts`` tasks, and only hot dimension rows are
-    repeated: at most ``salts / min_share`` extra rows.
-
-    ``hot`` may be given (found on an input scan); otherwise it is sampled
-    from ``fact``. ``how`` is ``inner`` or ``left`` (fact rows kept).
+    small dimension. With hot keys, each hot value is cut into pieces in
+    proportion to its share (``salt_counts``): its fact rows get a salt from
+    a hash of the row (deterministic, so a retried task salts the same way)
+    and its dimension rows are repeated once per piece; every other row has
+    salt 0. The join runs on (key, salt), so no piece is larger than about
+    half an average partition, and only hot dimension rows are repeated.
+
+    ``hot`` may be given (``{value: share}`` or a list of values, found on
+    an input scan); otherwise it is sampled from ``fact``. ``how`` is
+    ``inner`` or ``left`` (fact rows kept).
     """
     return skew_join_chain(fact, key, [(dim, how)], salts, min_share, hot)
 
 
 def skew_join_chain(fact: DataFrame, key: str, dims: list[tuple[DataFrame, str]],
-                    salts: int = 16, min_share: float = 0.01, hot: list | None = None) -> DataFrame:
+                    salts: int | None = None, min_share: float = 0.01,
+                    hot: dict | list | None = None) -> DataFrame:
     """Several joins of ``fact`` on the same key, salted once (see ``skew_join``).
 
     All joins use (key, salt), so after the first one the fact side is
@@ -129,12 +147,14 @@ def skew_join_chain(fact: DataFrame, key: str, dims: list[tuple[DataFrame, str]]
         for dim, how in dims:
             out = out.join(dim, key, how)
         return out
-    is_hot = F.col(key).isin(hot)
+    key_type = fact.schema[key].dataType
+    pieces = salt_counts(fact.sparkSession, hot, salts)
+    lookup = F.create_map(*[c for v, n in pieces.items() for c in (F.lit(v).cast(key_type), F.lit(n))])
+    n_pieces = F.coalesce(F.try_element_at(lookup, F.col(key)), F.lit(1))  # 1: not hot
     hashable = [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(salts)).cast("int")
-    out = fact.withColumn("_ws_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), n_pieces).cast("int")
+    out = fact.withColumn("_ws_salt", salt)
     for dim, how in dims:
-        d = dim.withColumn("_ws_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
+        d = dim.withColumn("_ws_salt", F.explode(F.sequence(F.lit(0), n_pieces.cast("int") - 1)))
         out = out.join(d, [key, "_ws_salt"], how)
     return out.drop("_ws_salt")

@@ -26,7 +26,7 @@ KEYWORD = "cash"
 
 
 def audit_pairs(auditor: DataFrame, visits: DataFrame, quality: DataFrame | None = None,
-                first_visit_only: bool = True, hot_sites: list | None = None) -> DataFrame:
+                first_visit_only: bool = True, hot_sites: dict | list | None = None) -> DataFrame:
     """Auditor rows joined to the surveyors' visits of the same site."""
     v = visits
     if first_visit_only:
@@ -62,14 +62,14 @@ def accuracy(pairs: DataFrame) -> DataFrame:
     )
 
 
-def with_survey_source(pairs: DataFrame, sources: DataFrame, hot: list | None = None) -> DataFrame:
+def with_survey_source(pairs: DataFrame, sources: DataFrame, hot: dict | list | None = None) -> DataFrame:
     """Attach the surveyed source type; a source with a large share of the
     pairs is split over several tasks (``hot``: ids found on an input scan)."""
     s = sources.select("source_id", F.col("type_of_water_source").alias("survey_source"))
     return skew_join(pairs, s, "source_id", hot=hot)
 
 
-def with_employee(pairs: DataFrame, employee: DataFrame, hot: list | None = None) -> DataFrame:
+def with_employee(pairs: DataFrame, employee: DataFrame, hot: dict | list | None = None) -> DataFrame:
     """Attach employee names; an employee with a large share of the pairs
     is split over several tasks. ``hot`` (ids found on an input scan) saves
     sampling the joined pairs."""

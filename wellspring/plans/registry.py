@@ -262,7 +262,7 @@ def queue_heatmap(spark, d):
 
 # --- J: joins --------------------------------------------------------------------
 
-def _visits_located(t: Tables, hot: list | None = None, visits: DataFrame | None = None,
+def _visits_located(t: Tables, hot: dict | list | None = None, visits: DataFrame | None = None,
                     location: DataFrame | None = None) -> DataFrame:
     v = (R.visits(t) if visits is None else visits).select("location_id", "source_id", "visit_count")
     loc = (R.location(t) if location is None else location).select("location_id", "province_name", "town_name")
