@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.functions import byte_length
-from wellspring.operators import hot_keys_by, preview, skew_join, snapshot
+from wellspring.operators import hot_keys_by, skew_join, snapshot
 from wellspring.plans import access, audit, clean, profile, queues, workorders
 from wellspring.session import table_path
 from wellspring.sources import Tables
@@ -65,7 +65,9 @@ def project_cols(spark, d):
 
 @register("preview_limit")
 def preview_limit(spark, d):
-    return preview(R.location(_t(spark, d)), 5, ["location_id"])
+    """The first five locations by id; ``preview`` is the general operator,
+    here the role's join lets the first rows be found without joining all."""
+    return R.first_locations(_t(spark, d), 5)
 
 
 @register("snapshot_copy")

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from wellspring.operators import preview
 from wellspring.plans import access, audit, clean, profile, queues, workorders
 from wellspring.sources import Tables
 from wellspring.sources import roles as R
@@ -74,6 +75,10 @@ class Survey:
         tables = {name: df for name, df in vars(self).items() if df is not None}
         return register_survey_views(self.visits.sparkSession, tables)
 
+    def preview(self, table: str, n: int = 5, order_by: list | None = None) -> DataFrame:
+        """``SELECT * FROM table LIMIT n`` (repeatable with ``order_by``)."""
+        return preview(getattr(self, table), n, order_by)
+
     # W1, W2
     def contradictions(self) -> DataFrame:
         return clean.contradictions(self.well_pollution)
