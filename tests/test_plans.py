@@ -77,3 +77,15 @@ def test_visits_shuffled_once_per_join_key_at_scale(spark, sf_small):
             spark.conf.set(k, v)
     assert len(re.findall(r"hashpartitioning\(source_id", text)) == 3
     assert len(re.findall(r"hashpartitioning\(location_id", text)) == 2
+
+
+def test_preview_does_not_shuffle_orders_at_scale(spark, sf_small):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan_text(E.queries()["preview_limit"](spark, sf_small), "simple")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "hashpartitioning(o_custkey" not in text and "TakeOrderedAndProject" in text
