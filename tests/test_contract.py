@@ -72,3 +72,16 @@ def test_more_role_anchors(spark, sf_mid):
     assert loc.select("province_name", "town_name").distinct().count() == 25
     assert loc.select("town_name").distinct().count() == 7
     assert R.well_pollution(t).count() == 311
+
+
+def test_two_forms_give_the_same_numbers(spark, sf_mid):
+    q = E.queries()
+    by_window = sorted(map(tuple, q["share_window"](spark, sf_mid).collect()))
+    by_total = sorted(map(tuple, q["share_crossjoin"](spark, sf_mid).select(
+        "location_type", "record_count", "percentage").collect()))
+    assert by_window == by_total
+    assert q["avg_queue_filter"](spark, sf_mid).first()[0] == q["avg_queue_nullif"](spark, sf_mid).first()[0]
+    acc = q["audit_accuracy"](spark, sf_mid).first()
+    assert acc.agreeing == q["audit_match_first"](spark, sf_mid).count()
+    assert acc.disagreeing == q["audit_mismatch"](spark, sf_mid).count()
+    assert acc.agreeing + acc.disagreeing == acc.audited
