@@ -13,6 +13,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 U64 = np.uint64
@@ -127,7 +128,7 @@ def regroup(batches: Iterable[pa.RecordBatch], text: str, max_bytes: int = 8 <<
     held, size, rows = [], 0, 0
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(text))
-        lens = np.asarray(pa.compute.binary_length(col).fill_null(0).cast(pa.int64()))
+        lens = np.asarray(pc.binary_length(col).fill_null(0).cast(pa.int64()))
         start, total = 0, np.cumsum(lens)
         while start < batch.num_rows:
             before = total[start - 1] if start else 0

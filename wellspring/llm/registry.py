@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from wellspring.llm.simhash import op7_simhash_near_dedup
+from wellspring.llm.substring import op1_substring_dedup
 
-QUERIES = {f.__name__: f for f in (op7_simhash_near_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op7_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
