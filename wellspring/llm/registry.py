@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from wellspring.llm.repetition import op10_quality_rules
 from wellspring.llm.simhash import op7_simhash_near_dedup
 from wellspring.llm.substring import op1_substring_dedup
+from wellspring.llm.token_files import op9_token_files
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op7_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op7_simhash_near_dedup, op9_token_files, op10_quality_rules)}
 ORACLE: dict[str, str] = {}

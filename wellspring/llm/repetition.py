@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from wellspring.llm._stage import table, take
 from wellspring.llm._text import U64, _mix, byte_rows, find_words, hash_spans, regroup, rows_of
 
-MIN_REPEAT, MAX_COVERED, MAX_REPEAT = 8, 0.35, 150
+MIN_REPEAT, MAX_COVERED, MAX_REPEAT = 8, 0.5, 100
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
 _BLANK = np.zeros(256, bool)
