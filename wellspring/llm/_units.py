@@ -28,7 +28,7 @@ def unit_codes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, pa.Array
 class UnitCache:
     """Ids of units, remembered in a Python worker."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], entries: int = CACHE_ENTRIES):
+    def __init__(self, encode: Callable[[list[bytes]], list], entries: int = CACHE_ENTRIES):
         self.encode, self.entries = encode, entries
         self.known: dict[bytes, np.ndarray] = {}
 
