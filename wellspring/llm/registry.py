@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from wellspring.llm.pieces import op3_sentencepiece
+from wellspring.llm.quality import op8_quality_classifier
 from wellspring.llm.repetition import op10_quality_rules
 from wellspring.llm.simhash import op7_simhash_near_dedup
 from wellspring.llm.substring import op1_substring_dedup
 from wellspring.llm.token_files import op9_token_files
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op7_simhash_near_dedup, op9_token_files, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_sentencepiece, op7_simhash_near_dedup,
+                                   op8_quality_classifier, op9_token_files, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
