@@ -2,7 +2,7 @@
 bounded sample of labelled documents and scored as sparse dot products.
 
 The sample (at most ``max_rows`` labelled rows, chosen by a hash of the id, so
-reruns agree) is dealt to ``SHARDS`` groups. Each group runs per-coordinate
+reruns agree) is dealt to ``shards`` groups. Each group runs per-coordinate
 FTRL-Proximal over its rows in hash order, and a coordinate's weight is the
 mean of the groups that saw it. Weights are a vector of fixed size ``DIM``.
 Their scale and bias are then calibrated on the sample (Platt), so a score is
@@ -64,7 +64,7 @@ def sample_labels(labels: DataFrame, label: str, usable: Column, max_rows: int)
             .withColumn("turn", turn).orderBy("turn", "doc_id", "label").limit(max_rows))
 
 
-def train(features: DataFrame, epochs: int, **settings: float) -> np.ndarray:
+def train(features: DataFrame, epochs: int, shards: int = SHARDS, **settings: float) -> np.ndarray:
     """Weights from ``features(turn, label, at array<int>, x array<float>)``. At
     most DIM weights, and a margin for each sampled row, reach the driver. Without
     rows all weights are zero."""
@@ -81,7 +81,7 @@ def train(features: DataFrame, epochs: int, **settings: float) -> np.ndarray:
         seen = np.flatnonzero(ftrl.n)
         return pd.DataFrame({"at": seen, "w": ftrl.weights(seen)})
 
-    dealt = features.withColumn("shard", F.pmod(F.hash("turn"), F.lit(SHARDS)))
+    dealt = features.withColumn("shard", F.pmod(F.hash("turn"), F.lit(shards)))
     parts = dealt.groupBy("shard").applyInPandas(one, "at long, w double")
     mean = parts.groupBy("at").agg(F.avg("w").alias("w")).filter("w <> 0").toPandas()
     weights = np.zeros(DIM, np.float32)

@@ -8,7 +8,8 @@ from wellspring.llm.repetition import op10_quality_rules
 from wellspring.llm.simhash import op7_simhash_near_dedup
 from wellspring.llm.substring import op1_substring_dedup
 from wellspring.llm.token_files import op9_token_files
+from wellspring.llm.toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_sentencepiece, op7_simhash_near_dedup,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_sentencepiece, op5_toxicity, op7_simhash_near_dedup,
                                    op8_quality_classifier, op9_token_files, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
