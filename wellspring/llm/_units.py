@@ -11,9 +11,8 @@ import pyarrow as pa
 
 from wellspring.llm._text import gather_runs
 
-# Kept entries per Python worker; beyond it the cache starts anew. At about
-# 150 bytes an entry this is 60 MB.
-CACHE_ENTRIES = 400_000
+# Entries of each of the two generations that a Python worker keeps, about 60 MB in all.
+CACHE_ENTRIES = 150_000
 
 
 def unit_codes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, pa.Array]:
@@ -26,26 +25,28 @@ def unit_codes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, pa.Array
 
 
 class UnitCache:
-    """Ids of units, remembered in a Python worker."""
+    """Ids of units (as the bytes of 32-bit integers), remembered in a Python
+    worker. When the young generation is full it becomes the old one; what is
+    asked for again moves up, so frequent units stay."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list], entries: int = CACHE_ENTRIES):
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], entries: int = CACHE_ENTRIES):
         self.encode, self.entries = encode, entries
-        self.known: dict[bytes, np.ndarray] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def ids(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids of all units, with each unit's start and length in them."""
         units = units.to_pylist()
-        missing = [u for u in units if u not in self.known]
-        if len(self.known) + len(missing) > self.entries:
-            self.known.clear()
-            missing = units
-        for i in range(0, len(missing), 20_000):
-            part = missing[i:i + 20_000]
-            self.known.update(zip(part, (np.array(x, np.int32) for x in self.encode(part)), strict=True))
-        found = [self.known[u] for u in units]
-        lens = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.concatenate(found) if found else np.zeros(0, np.int32)
-        return flat, np.cumsum(lens) - lens, lens
+        young, old = self.young, self.old
+        found = [young.get(u) or old.get(u) for u in units]
+        gaps = [i for i, f in enumerate(found) if f is None]
+        for i, f in zip(gaps, self.encode([units[i] for i in gaps]), strict=True):
+            found[i] = f
+        if len(young) + len(units) > self.entries:
+            self.old, self.young = young, {}
+        self.young.update(zip(units, found, strict=True))
+        lens = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), np.int32), np.cumsum(lens) - lens, lens
 
 
 def put_together(codes: np.ndarray, flat: np.ndarray, starts: np.ndarray, lens: np.ndarray,

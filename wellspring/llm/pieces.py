@@ -37,6 +37,7 @@ from wellspring.llm._units import list_column, put_together, unit_codes
 
 DROPOUT, SEED, VARIANTS = 0.1, 42, 4
 MARK = "▁"
+BATCH_BYTES = 3 << 20  # of text encoded at once: a worker holds about 50 times that
 _LONG = 48  # symbols; longer units are encoded one by one
 _NONE = np.int32(2**31 - 1)
 _ODD1, _ODD2 = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
@@ -303,7 +304,7 @@ def decode_batch(m: Model, ids: np.ndarray, offs: np.ndarray) -> tuple[np.ndarra
 def _encode(path: str, rate: float, seed: int, variants: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for batch in regroup(batches, "_ws_text"):
+        for batch in regroup(batches, "_ws_text", max_bytes=BATCH_BYTES):
             data, offs = byte_rows(batch.column(0))
             key = np.asarray(batch.column(1)).view(U64)
             ids, at = encode_batch(m, data, offs, key, rate, seed, variants)

@@ -65,10 +65,10 @@ def _encoder(path: str) -> UnitCache:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
 
-        def ids(unit: bytes) -> list[int]:
-            return tokenizer.encode(unit.decode(), add_special_tokens=False).ids
+        def ids(unit: bytes) -> bytes:
+            return np.array(tokenizer.encode(unit.decode(), add_special_tokens=False).ids, np.int32).tobytes()
 
-        def encode(units: list[bytes]) -> list[np.ndarray]:
+        def encode(units: list[bytes]) -> list[bytes]:
             """Units that start with a space and end safely are encoded as one text and told
             apart by the tokens' places (a call for each unit would cost more than its work)."""
             data = np.frombuffer(b"".join(units), np.uint8)
@@ -79,7 +79,7 @@ def _encoder(path: str) -> UnitCache:
             plain[filled] = _SPACE[data[starts[filled]]] & _safe_end(data, ends[filled])
             out: list = [None] * len(units)
             for i in np.flatnonzero(~plain).tolist():
-                out[i] = np.array(ids(units[i]), np.int32)
+                out[i] = ids(units[i])
             own = np.flatnonzero(plain)
             for part in np.array_split(own, len(own) // 10_000 + 1):
                 texts = [units[i].decode() for i in part.tolist()]
@@ -87,8 +87,8 @@ def _encoder(path: str) -> UnitCache:
                 chars = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
                 place = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
                 cut = np.searchsorted(np.searchsorted(chars, place, side="right"), np.arange(len(part) + 1))
-                flat = np.array(found.ids, np.int32)
-                for i, a, b in zip(part.tolist(), cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                flat = np.array(found.ids, np.int32).tobytes()
+                for i, a, b in zip(part.tolist(), (4 * cut[:-1]).tolist(), (4 * cut[1:]).tolist(), strict=True):
                     out[i] = flat[a:b]
             return out
         _encoders[path] = UnitCache(encode)
