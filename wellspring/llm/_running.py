@@ -1,0 +1,32 @@
+"""Running totals over an order, for tables of any size and groups of any share."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from wellspring.llm._stage import store
+
+
+def running_totals(df: DataFrame, groups: list[str], order: list[str], value: str, out: str, name: str) -> DataFrame:
+    """``df`` with ``out``: the sum of ``value`` over the rows of the same group
+    that come earlier in ``order`` (rows that tie in it come in any order).
+
+    Rows are range-partitioned by group and order and stored with their
+    partition's number, so a large group lies in many partitions. The sums of
+    each (partition, group) block, a small table, give each block its offset;
+    inside a block a window adds up.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = store(df.repartitionByRange(parts, *groups, *order).withColumn("_ws_part", F.spark_partition_id()), name)
+    sums = placed.groupBy("_ws_part", *groups).agg(F.sum(value).alias("_ws_sum"))
+    before = Window.partitionBy(*groups).orderBy("_ws_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumn("_ws_offset", F.coalesce(F.sum("_ws_sum").over(before), F.lit(0))).drop("_ws_sum")
+    offsets = offsets.toDF(*[f"_ws_o_{c}" for c in offsets.columns])
+    same = F.col("_ws_part") == F.col("_ws_o__ws_part")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_ws_o_{g}"))
+    inside = Window.partitionBy("_ws_part", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (placed.withColumn("_ws_in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+            .join(offsets, same).withColumn(out, F.col("_ws_in") + F.col("_ws_o__ws_offset"))
+            .select(*df.columns, out))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wellspring.llm.mixing import op2_mix_sources
 from wellspring.llm.pieces import op3_sentencepiece
 from wellspring.llm.quality import op8_quality_classifier
 from wellspring.llm.repetition import op10_quality_rules
@@ -10,6 +11,6 @@ from wellspring.llm.substring import op1_substring_dedup
 from wellspring.llm.token_files import op9_token_files
 from wellspring.llm.toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_sentencepiece, op5_toxicity, op7_simhash_near_dedup,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op5_toxicity, op7_simhash_near_dedup,
                                    op8_quality_classifier, op9_token_files, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
