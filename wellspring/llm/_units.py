@@ -4,10 +4,11 @@ reach across, equal units are encoded once, and the ids are put together again.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from wellspring.llm._text import gather_runs
 
@@ -60,3 +61,15 @@ def put_together(codes: np.ndarray, flat: np.ndarray, starts: np.ndarray, lens:
 
 def list_column(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.int32)))
+
+
+def by_items(batches: Iterable[pa.RecordBatch], column: int, most: int = 500_000) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose list column has at most ``most`` items (or one row)."""
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.list_value_length(batch.column(column)).fill_null(0), dtype=np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(int(np.searchsorted(ends, before + most, side="right")), start + 1)
+            yield batch.slice(start, stop - start)
+            start = stop

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from wellspring.llm._stage import table, take, unpack, with_row
 from wellspring.llm._text import U64, _mix, byte_rows, gather_runs, hash_spans, regroup
-from wellspring.llm._units import list_column, put_together, unit_codes
+from wellspring.llm._units import by_items, list_column, put_together, unit_codes
 
 DROPOUT, SEED, VARIANTS = 0.1, 42, 4
 MARK = "▁"
@@ -337,7 +337,7 @@ def encode(docs: DataFrame, path: str | None = None, rate: float = DROPOUT, seed
 def _decode(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for batch in batches:
+        for batch in by_items(batches, 0):
             lists = batch.column(0)
             offs = np.asarray(lists.offsets).astype(np.int64)
             data, at = decode_batch(m, np.asarray(lists.flatten()), offs - offs[0] if len(offs) else offs)
@@ -361,7 +361,7 @@ def decode(encoded: DataFrame, path: str | None = None, keep: list[str] | None =
 
 
 def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in by_items(batches, 1):
         lists = batch.column(1)
         offs = np.asarray(lists.offsets).astype(np.int64)
         raw = memoryview(np.asarray(lists.flatten()).astype("<u4").tobytes())

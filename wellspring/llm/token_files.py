@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from wellspring.llm._stage import store, table, take
 from wellspring.llm._text import byte_rows, regroup
-from wellspring.llm._units import UnitCache, list_column, put_together, unit_codes
+from wellspring.llm._units import UnitCache, by_items, list_column, put_together, unit_codes
 from wellspring.operators.scans import fresh_path
 
 END_ID = 2
@@ -165,7 +165,7 @@ def read_tokens(spark: SparkSession, path: str, columns: list[str] | None = None
 
 
 def _checksums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in by_items(batches, 3):
         lists = batch.column(3)
         values = np.asarray(lists.flatten()).astype("<u4")
         offs = np.asarray(lists.offsets) - (lists.offsets[0].as_py() if len(lists) else 0)
