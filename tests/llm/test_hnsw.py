@@ -1,0 +1,72 @@
+import numpy as np
+import pytest
+
+from wellspring.llm import hnsw as H
+
+
+def brute(rows, queries, k=20):
+    out = {}
+    for i, q in queries:
+        q = np.asarray(q, float)
+        scored = sorted(((-float((np.asarray(v, float) * q).sum()), j) for j, v in rows if j != i and len(v) == len(q)))
+        out[i] = [(j, -s) for s, j in scored[:k]]
+    return out
+
+
+def recall(got, want):
+    hits = sum(len({j for _, j, _ in got.get(i, [])} & {j for j, _ in w}) for i, w in want.items())
+    return hits / max(1, sum(map(len, want.values())))
+
+
+def collected(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    return {i: sorted(v) for i, v in out.items()}
+
+
+def test_whole_table_against_brute_force(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    want = brute(rows, [r for r in rows if r[0] % 20 == 0])
+    got = collected(H.op6_nearest_neighbours(spark, "/root/testdata/sf0.1"))
+    assert set(got) == set(want) and recall(got, want) >= 0.97
+    vec = dict(rows)
+    for i, found in got.items():
+        assert [r for r, _, _ in found] == list(range(1, 21)) and i not in {j for _, j, _ in found}
+        for _, j, s in found:
+            assert abs(s - float(np.dot(np.array(vec[i], float), np.array(vec[j], float)))) < 1e-12
+        assert [(-s, j) for _, j, s in found] == sorted((-s, j) for _, j, s in found)
+
+
+@pytest.mark.parametrize("scaled", [False, True])
+def test_shards_and_lengths(spark, scaled):
+    rng = np.random.default_rng(1)
+    centre = rng.normal(size=(20, 24))
+    v = centre[rng.integers(0, 20, 1500)] + 0.4 * rng.normal(size=(1500, 24))
+    if scaled:
+        v *= rng.uniform(0.2, 3, (1500, 1))
+    rows = [(i, [float(np.float32(x)) for x in r]) for i, r in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = collected(H.nearest(df, df.filter("vec_id % 30 = 0"), shard_rows=400))
+    assert recall(got, brute(rows, rows[::30])) >= 0.95
+
+
+def test_copies_and_ties(spark):
+    one, two = [1.0, 0.0], [0.0, 1.0]
+    rows = [(i, one) for i in range(60)] + [(100 + i, two) for i in range(5)] + [(3, one)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = collected(H.nearest(df, df.filter("vec_id in (0, 30, 100)")))
+    assert [j for _, j, _ in got[0]] == list(range(1, 21))
+    assert [j for _, j, _ in got[30]] == list(range(20))
+    assert [j for _, j, _ in got[100]] == [101, 102, 103, 104, *range(16)]
+
+
+def test_edge_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0], 1), (20, None, 1), (40, [0.0, 0.0], 1), (60, [nan, 1.0], 1), (80, [inf, 1.0], 1), (100, [None, 1.0], 1),
+            (None, [1.0, 1.0], 1), (120, [1.0], 1), (1, [2.0, 1.0], 1), (2, [-1.0, 0.5], 1), (140, [], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int")
+    got = collected(H.nearest(df, df.filter("vec_id % 20 = 0")))
+    assert {i: [j for _, j, _ in v] for i, v in got.items()} == {0: [1, 2]}
+    assert H.nearest(df.limit(0), df.limit(0)).count() == 0
+    assert H.nearest(df.limit(1), df.limit(1)).count() == 0
