@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wellspring.llm.chat import op4_chat_format
 from wellspring.llm.hnsw import op6_nearest_neighbours
 from wellspring.llm.mixing import op2_mix_sources
 from wellspring.llm.pieces import op3_sentencepiece
@@ -12,6 +13,6 @@ from wellspring.llm.substring import op1_substring_dedup
 from wellspring.llm.token_files import op9_token_files
 from wellspring.llm.toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op5_toxicity, op6_nearest_neighbours, op7_simhash_near_dedup,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op4_chat_format, op5_toxicity, op6_nearest_neighbours, op7_simhash_near_dedup,
                                    op8_quality_classifier, op9_token_files, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
