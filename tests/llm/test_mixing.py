@@ -7,6 +7,10 @@ import pytest
 from wellspring.llm import mixing as M
 
 
+def WORD_COUNT(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text))
+
+
 def brute_targets(sizes):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: M.WEIGHTS[i % 3] for i, s in enumerate(order)}
