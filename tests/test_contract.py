@@ -3,13 +3,15 @@
 import pytest
 
 import __spark_entry__ as E
+from wellspring.plans.oracle import ORACLE
+from wellspring.plans.registry import QUERIES
 from compare import compare
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_returns_rows(spark):
@@ -47,11 +49,11 @@ ANCHORS = {
 
 @pytest.mark.parametrize("key,n", sorted(ANCHORS.items()))
 def test_anchor_counts(spark, sf_mid, key, n):
-    assert E.queries()[key](spark, sf_mid).count() == n
+    assert QUERIES[key](spark, sf_mid).count() == n
 
 
 def test_queries_are_independent_when_built_before_collecting(spark, sf_small, small_report):
-    frames = {k: fn(spark, sf_small) for k, fn in E.queries().items()}
+    frames = {k: fn(spark, sf_small) for k, fn in QUERIES.items()}
     counts = {k: df.count() for k, df in frames.items()}
     assert counts == {k: small_report[k]["rows"] for k in frames}
 
@@ -62,7 +64,7 @@ def test_more_role_anchors(spark, sf_mid):
     from wellspring.sources import Tables
     from wellspring.sources import roles as R
     t = Tables(spark, sf_mid)
-    q = E.queries()
+    q = QUERIES
     assert R.queue_log(t).filter(F.col("time_in_queue") == 0).count() == 178
     docs = R.documents(t)
     assert docs.filter(F.octet_length("text") != F.length("text")).count() == 385
@@ -75,7 +77,7 @@ def test_more_role_anchors(spark, sf_mid):
 
 
 def test_two_forms_give_the_same_numbers(spark, sf_mid):
-    q = E.queries()
+    q = QUERIES
     by_window = sorted(map(tuple, q["share_window"](spark, sf_mid).collect()))
     by_total = sorted(map(tuple, q["share_crossjoin"](spark, sf_mid).select(
         "location_type", "record_count", "percentage").collect()))

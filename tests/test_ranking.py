@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.util import plan_text
-from wellspring.operators import row_number_within, top_n_within
+from wellspring.operators import row_number_within, running_totals, top_n_within
 from wellspring.plans import profile
 from wellspring.sources import Tables
 from wellspring.sources import roles as R
@@ -72,13 +72,35 @@ def test_pick_ranked_ranks_before_filtering(spark):
     assert got == {1: 3, 4: 1}
 
 
-def test_pick_ranked_falls_back_to_full_rank_beyond_the_bound(spark):
-    src = spark.range(200).select(F.col("id").alias("source_id"),
-                                  F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("type_of_water_source"),
-                                  (F.col("id") % 7).cast("int").alias("number_of_people_served"))
-    picked = list(range(0, 200, 2))  # 100 picks > 64
-    got = sorted(tuple(r) for r in profile.pick_ranked(src, picked).collect())
-    want = sorted(tuple(r) for r in _window_rn(src, ["type_of_water_source"],
-                                                [F.desc("number_of_people_served"), F.asc("source_id")])
-                  .filter(F.col("source_id").isin(picked)).collect())
-    assert got == want
+def _against_plain_window(spark, n):
+    ids = F.col("id")
+    df = spark.range(n).select(ids.alias("k"), (ids % 5).alias("g"), F.pmod(F.xxhash64("id"), F.lit(1000)).alias("v"),
+                               F.concat(F.lit("payload "), ids.cast("string")).alias("payload"))
+    got = row_number_within(df, ["g"], [F.desc("v"), F.asc("k")])
+    plain = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("v"), F.asc("k"))))
+    assert got.columns == plain.columns
+    wrong = got.select("k", "payload", "rn").join(plain.select("k", F.col("rn").alias("want")), "k").filter("rn <> want")
+    assert wrong.count() == 0 and got.count() == n
+
+
+def test_row_numbers_with_a_payload_column(spark):
+    _against_plain_window(spark, 1_000_000)
+
+
+def test_row_numbers_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        _against_plain_window(spark, 200_000)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_running_totals(spark):
+    rows = [("a", i, i % 7) for i in range(500)] + [(None, i, 1) for i in range(50)] + [("b", 0, 5)]
+    df = spark.createDataFrame(rows, "g string, k int, v int")
+    got = {(r.g, r.k): r.before for r in running_totals(df, ["g"], ["k"], "v", "before").collect()}
+    for g in ("a", None, "b"):
+        total = 0
+        for _, k, v in sorted((r for r in rows if r[0] == g), key=lambda r: r[1]):
+            assert got[g, k] == total
+            total += v

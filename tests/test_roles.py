@@ -1,33 +1,29 @@
-"""Role mapping helpers: the first locations without joining every order."""
+"""Role mapping helpers."""
 
+from wellspring.plans import profile
 from wellspring.sources import Tables
 from wellspring.sources import roles as R
 
 
-def _rows(df):
-    return [tuple(r) for r in df.collect()]
+def test_counts_before_the_join_equal_counts_of_locations(spark, sf_small):
+    t = Tables(spark, sf_small)
+    for keys in (["town_name"], ["location_type"], ["province_name", "town_name"]):
+        counted = profile.count_by(R.located_customers(t), keys, weight="sites")
+        assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, profile.count_by(R.location(t), keys).collect()))
 
 
-def test_first_locations_equal_full_join(spark, sf_small):
-    t = Tables(spark, sf_small)
-    assert _rows(R.first_locations(t, 5)) == _rows(R.location(t).orderBy("location_id").limit(5))
+def test_added_files_show_in_the_next_query(spark, tmp_path):
+    path = f"{tmp_path}/part.parquet"
+    rows = spark.range(10).selectExpr("id p_partkey", "'n' p_name", "'b' p_brand", "'SMALL' p_type", "1 p_size",
+                                      "1.0D p_retailprice")
+    rows.write.parquet(path)
+    assert R.water_source(Tables(spark, str(tmp_path))).count() == 10
+    rows.write.mode("append").parquet(path)
+    assert R.water_source(Tables(spark, str(tmp_path))).count() == 20
 
 
-def test_first_locations_fall_back_when_early_orders_have_no_customer(spark, tmp_path):
-    root = tmp_path / "tables"
-    spark.createDataFrame([(0, "AFRICA")], "r_regionkey int, r_name string") \
-        .write.parquet(str(root / "region.parquet"))
-    spark.createDataFrame([(0, "N0", 0)], "n_nationkey int, n_name string, n_regionkey int") \
-        .write.parquet(str(root / "nation.parquet"))
-    spark.createDataFrame([(1, "Customer#1", 0, 0.0, "BUILDING")],
-                          "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
-                          "c_mktsegment string").write.parquet(str(root / "customer.parquet"))
-    # orders 1-4 point at a missing customer; only 5-9 are locations
-    orders = [(k, 99 if k < 5 else 1, "O", 1.0, None, "1-URGENT") for k in range(1, 10)]
-    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, "
-                                  "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string") \
-        .write.parquet(str(root / "orders.parquet"))
-    t = Tables(spark, str(root))
-    got = _rows(R.first_locations(t, 3, probe=1))   # the probe finds no match: full join
-    assert [r[0] for r in got] == [5, 6, 7]
-    assert [r[0] for r in _rows(R.first_locations(t, 3, probe=3))] == [5, 6, 7]
+def test_water_quality_has_one_row_per_record(spark, sf_small):
+    t = Tables(spark, sf_small)
+    quality = R.water_quality(t)
+    assert quality.groupBy("record_id").count().filter("count > 1").count() == 0
+    assert R.visits(t).join(quality, "record_id").count() == R.visits(t).count()

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wellspring.operators import hot_keys, hot_keys_by, row_number_within, skew_join
+from wellspring.operators import hot_keys, hot_keys_by, not_in, row_number_within, skew_join
 from wellspring.plans import access
 
 
@@ -120,9 +120,45 @@ def test_salt_counts_scale_with_share_and_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "20000")
     try:
         got = salt_counts(spark, {"hot": 1 / 3, "warm": 0.01, "tiny": 0.0001})
-        assert got == {"hot": 13334, "warm": 400, "tiny": 4}
-        assert salt_counts(spark, {"all": 0.9})["all"] == 20000  # never more than the partitions
-        assert salt_counts(spark, ["a"]) == {"a": 2500}            # share unknown: P / 8
+        assert got == {"hot": 53334, "warm": 1600, "tiny": 16}  # an eighth of an average partition each
+        assert salt_counts(spark, ["a"]) == {"a": 20000}           # share unknown: P
         assert salt_counts(spark, ["a"], salts=3) == {"a": 3}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def _largest_share(df, parts):
+    """The largest task's rows as a multiple of the mean over all tasks."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(sizes) * parts / sum(sizes)
+
+
+@pytest.fixture
+def sixty_four(shuffle_only):
+    shuffle_only.conf.set("spark.sql.adaptive.enabled", "false")
+    shuffle_only.conf.set("spark.sql.shuffle.partitions", "64")
+    yield shuffle_only
+    shuffle_only.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_alike_rows_of_a_hot_key_are_split(sixty_four):
+    spark, ids = sixty_four, F.col("id")
+    fact = spark.range(400_000).select(ids.alias("record_id"),
+                                       F.when(ids % 3 == 0, F.lit(0)).otherwise(ids % 20_000 + 1).alias("k"),
+                                       (ids % 7).alias("visit_count"))
+    dim = spark.range(20_001).select(ids.alias("k"), F.lit("x").alias("place"))
+    joined = skew_join(fact, dim, "k", row_key=["record_id"]).select("k", "place", "visit_count")
+    assert joined.count() == 400_000
+    assert _largest_share(joined, 64) < 2
+
+
+def test_null_keys_of_a_left_join_are_split(sixty_four):
+    spark, ids = sixty_four, F.col("id")
+    fact = spark.range(300_000).select(ids.alias("record_id"),
+                                       F.when(ids % 3 != 0, ids % 20_000).alias("k"))
+    dim = spark.range(20_000).select(ids.alias("k"), F.lit("x").alias("place"))
+    joined = skew_join(fact, dim, "k", "left", row_key=["record_id"])
+    assert joined.filter("place is null").count() == 100_000
+    assert _largest_share(joined, 64) < 2
+    listed = spark.range(100).select(ids.alias("k"))
+    assert not_in(fact, listed, "k", row_key=["record_id"]).count() == 200_000 - 1000

@@ -67,8 +67,6 @@ def test_violations_catch_each_rule(spark):
 
 
 def test_publish_is_idempotent_and_gated(spark, tmp_path):
-    # must not depend on the session's overwrite mode: the write sets its own
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     sources, pollution, visits, loc = _inputs(spark)
     orders = W.work_orders(sources, pollution, visits, loc, run_date="2024-05-01")
     path = str(tmp_path / "progress")
@@ -81,7 +79,27 @@ def test_publish_is_idempotent_and_gated(spark, tmp_path):
     with pytest.raises(ValueError):
         W.publish_work_orders(bad, sources, "2024-05-03", path=path)
     assert spark.read.parquet(path).count() == 18
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
+@pytest.mark.parametrize("batches", [(None, None), ("morning", "evening")])
+def test_batches_of_one_date_add_up(spark, tmp_path, batches):
+    sources, pollution, visits, loc = _inputs(spark)
+    orders = W.work_orders(sources, pollution, visits, loc, run_date="2024-05-01")
+    parts = [orders.filter("source_id < '5'"), orders.filter("source_id >= '5'")]
+    path = str(tmp_path / "progress")
+    for part, batch in zip(parts, batches, strict=True):
+        W.publish_work_orders(part, sources, "2024-05-01", path=path, batch=batch)
+    again = W.publish_work_orders(parts[0], sources, "2024-05-01", path=path, batch=batches[0])
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, orders.collect()))
+
+
+def test_a_half_written_batch_is_replaced(spark, tmp_path):
+    sources, pollution, visits, loc = _inputs(spark)
+    orders = W.work_orders(sources, pollution, visits, loc, run_date="2024-05-01")
+    path = str(tmp_path / "progress")
+    W.publish_work_orders(orders, sources, "2024-05-01", path=path, batch="b")
+    (tmp_path / "progress/run_date=2024-05-01/batch=b/_SUCCESS").unlink()
+    assert W.publish_work_orders(orders, sources, "2024-05-01", path=path, batch="b").count() == 9
 
 
 def test_rollup_levels(spark):
@@ -97,7 +115,7 @@ def test_earlier_result_survives_a_later_publish(spark, tmp_path):
     orders = W.work_orders(sources, pollution, visits, loc, run_date="2024-05-01")
     path = str(tmp_path / "progress")
     first = W.publish_work_orders(orders, sources, "2024-05-01", path=path)
-    W.publish_work_orders(orders, sources, "2024-05-01", path=path)  # rewrites the partition
+    W.publish_work_orders(orders, sources, "2024-05-01", path=path)  # the same batch: not written again
     assert first.count() == 9
     assert spark.read.parquet(path).count() == 9
 

@@ -2,11 +2,11 @@
 
 from wellspring.operators.joins import (hot_keys, hot_keys_by, not_in, salt_counts, semi_join, skew_join,
                                        skew_join_chain)
-from wellspring.operators.ranking import row_number_within, top_n_within
-from wellspring.operators.scans import append_partition, materialize, preview, snapshot
+from wellspring.operators.ranking import row_number_within, running_totals, top_n_within
+from wellspring.operators.scans import append_batch, drop_table, drop_temporaries, materialize, preview, snapshot
 
 __all__ = [
-    "append_partition", "hot_keys", "hot_keys_by", "materialize", "not_in", "preview",
-    "row_number_within", "salt_counts", "semi_join", "skew_join", "skew_join_chain", "snapshot",
+    "append_batch", "drop_table", "drop_temporaries", "hot_keys", "hot_keys_by", "materialize", "not_in", "preview",
+    "row_number_within", "running_totals", "salt_counts", "semi_join", "skew_join", "skew_join_chain", "snapshot",
     "top_n_within",
 ]

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 
 def semi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None,
-              hot: dict | list | None = None) -> DataFrame:
+              hot: dict | list | None = None, row_key: list[str] | None = None) -> DataFrame:
     """``left WHERE left_col IN (SELECT right_col FROM right)``.
 
     Written as a left join to the distinct listed values (pre-aggregated per
@@ -27,12 +27,12 @@ def semi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str |
     right_col = right_col or left_col
     listed = (right.select(F.col(right_col).alias(left_col)).filter(F.col(left_col).isNotNull())
               .distinct().withColumn("_ws_hit", F.lit(True)))
-    joined = skew_join(left, listed, left_col, "left", hot=hot)
+    joined = skew_join(left, listed, left_col, "left", hot=hot, row_key=row_key)
     return joined.filter(F.col("_ws_hit")).select(*left.columns)
 
 
 def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None,
-           hot: dict | list | None = None) -> DataFrame:
+           hot: dict | list | None = None, row_key: list[str] | None = None) -> DataFrame:
     """``left WHERE left_col NOT IN (SELECT right_col FROM right)`` with SQL's NULL rules.
 
     * empty list: every left row passes, even one whose value is NULL;
@@ -52,7 +52,7 @@ def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | No
     n_nulls = listed.select(F.count_if(F.col("_ws_key").isNull())).scalar()
     hits = (listed.filter(F.col("_ws_key").isNotNull()).distinct()
             .select(F.col("_ws_key").alias(left_col)).withColumn("_ws_hit", F.lit(True)))
-    joined = skew_join(left, hits, left_col, "left", hot=hot)
+    joined = skew_join(left, hits, left_col, "left", hot=hot, row_key=row_key)
     keep = (n_listed == 0) | ((n_nulls == 0) & F.col(left_col).isNotNull() & F.col("_ws_hit").isNull())
     return joined.filter(keep).select(*left.columns)
 
@@ -68,8 +68,14 @@ def hot_keys_by(df: DataFrame, keys: list[str], min_share: float = 0.01, fractio
     grouping set per column) and the sample size (the empty grouping set);
     since at most ``1 / min_share`` values per column can pass, all of them
     are among the ``len(keys) / min_share + 1`` largest counts, which is all
-    that reaches the driver. The sample only steers the plan; no row is
-    ever dropped.
+    that reaches the driver. NULL is a value like others here (None): its rows
+    pile up in one task of a left join.
+
+    The sample only steers the plan; no row is ever dropped. ``fraction`` sets
+    how sure a hot value is found (a value just at ``min_share`` of a million
+    rows has about 10 sampled rows), ``min_hits`` keeps chance from
+    salting the joins of small tables, where a plain join is as good, and
+    ``min_share`` is the share from which a value would outgrow its task.
     """
     sample = df.select(*keys).sample(fraction=fraction, seed=seed)
     flags = [F.grouping(k).alias("_ws_g_" + k) for k in keys]
@@ -83,7 +89,7 @@ def hot_keys_by(df: DataFrame, keys: list[str], min_share: float = 0.01, fractio
         if row["_ws_n"] < threshold:
             continue
         for k in keys:
-            if row["_ws_g_" + k] == 0 and row[k] is not None:
+            if row["_ws_g_" + k] == 0:
                 found[k][row[k]] = row["_ws_n"] / total
     return found
 
@@ -98,40 +104,45 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction: float =
 def salt_counts(spark, hot: dict | list, salts: int | None = None) -> dict:
     """How many pieces each hot value is cut into.
 
-    A value with share ``s`` of the rows is cut into ``2 * s * P`` pieces
-    (``P`` = shuffle partitions, at most ``P``), so each piece is about half
-    an average partition however hot the value is. A plain list of values
-    (share unknown) gets ``salts`` pieces each, by default ``P / 8``.
+    A value with share ``s`` of the rows is cut into ``8 * s * P`` pieces
+    (``P`` = shuffle partitions), so each piece is about an eighth of an
+    average partition however hot the value is, and partitions stay even
+    though hashing deals several pieces to some. A plain list of values
+    (share unknown) gets ``salts`` pieces each, by default ``P``.
     """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if isinstance(hot, dict):
-        return {v: max(2, min(parts, math.ceil(2 * share * parts))) for v, share in hot.items()}
-    return {v: max(2, salts or parts // 8) for v in hot}
+        return {v: max(2, math.ceil(8 * share * parts)) for v, share in hot.items()}
+    return {v: max(2, salts or parts) for v in hot}
 
 
 def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
-              salts: int | None = None, min_share: float = 0.01, hot: dict | list | None = None) -> DataFrame:
+              salts: int | None = None, min_share: float = 0.01, hot: dict | list | None = None,
+              row_key: list[str] | None = None) -> DataFrame:
     """``fact JOIN dim USING (key)`` that stays balanced when one key holds
     a large share of ``fact`` (a third of all visits at one source, say).
 
     Without hot keys this is the plain join, so Spark may still broadcast a
     small dimension. With hot keys, each hot value is cut into pieces in
     proportion to its share (``salt_counts``): its fact rows get a salt from
-    a hash of the row (deterministic, so a retried task salts the same way)
+    a hash of ``row_key``, columns that tell rows apart (by default all: give
+    them if rows may be alike; a hash, so a retried task salts the same way)
     and its dimension rows are repeated once per piece; every other row has
     salt 0. The join runs on (key, salt), so no piece is larger than about
-    half an average partition, and only hot dimension rows are repeated.
+    an eighth of an average partition, and only hot dimension rows are repeated.
+    Rows with a NULL key, which a left join keeps, are spread the same way;
+    they have no match, so nothing is repeated for them.
 
     ``hot`` may be given (``{value: share}`` or a list of values, found on
     an input scan); otherwise it is sampled from ``fact``. ``how`` is
     ``inner`` or ``left`` (fact rows kept).
     """
-    return skew_join_chain(fact, key, [(dim, how)], salts, min_share, hot)
+    return skew_join_chain(fact, key, [(dim, how)], salts, min_share, hot, row_key)
 
 
 def skew_join_chain(fact: DataFrame, key: str, dims: list[tuple[DataFrame, str]],
                     salts: int | None = None, min_share: float = 0.01,
-                    hot: dict | list | None = None) -> DataFrame:
+                    hot: dict | list | None = None, row_key: list[str] | None = None) -> DataFrame:
     """Several joins of ``fact`` on the same key, salted once (see ``skew_join``).
 
     All joins use (key, salt), so after the first one the fact side is
@@ -149,10 +160,12 @@ def skew_join_chain(fact: DataFrame, key: str, dims: list[tuple[DataFrame, str]]
         return out
     key_type = fact.schema[key].dataType
     pieces = salt_counts(fact.sparkSession, hot, salts)
-    lookup = F.create_map(*[c for v, n in pieces.items() for c in (F.lit(v).cast(key_type), F.lit(n))])
-    n_pieces = F.coalesce(F.try_element_at(lookup, F.col(key)), F.lit(1))  # 1: not hot
-    hashable = [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), n_pieces).cast("int")
+    named = [c for v, n in pieces.items() if v is not None for c in (F.lit(v).cast(key_type), F.lit(n))]
+    lookup = F.try_element_at(F.create_map(*named), F.col(key)) if named else F.lit(None).cast("int")
+    n_pieces = F.coalesce(lookup, F.lit(1))  # 1: not hot
+    of_row = F.when(F.col(key).isNull(), F.lit(pieces.get(None, 1))).otherwise(n_pieces)
+    hashable = row_key or [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), of_row).cast("int")
     out = fact.withColumn("_ws_salt", salt)
     for dim, how in dims:
         d = dim.withColumn("_ws_salt", F.explode(F.sequence(F.lit(0), n_pieces.cast("int") - 1)))

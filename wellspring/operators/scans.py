@@ -1,11 +1,11 @@
-"""Previews, snapshots, materialised tables and idempotent appends."""
+"""Previews, snapshots, materialised tables, appends in batches, and dropping them."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from wellspring.session import table_path
 
@@ -47,15 +47,35 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return _write_once(df, fresh_path(df, name, temporary=True))
 
 
-def append_partition(df: DataFrame, path: str, partition_col: str) -> str:
-    """Append ``df`` as the partitions named by ``partition_col``; returns the table path.
+def _folder(df_or_spark, path: str):
+    """Hadoop's file system and path object of a folder in any store Spark reads."""
+    spark = df_or_spark.sparkSession if isinstance(df_or_spark, DataFrame) else df_or_spark
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
-    Dynamic partition overwrite replaces only those partitions, so a re-run
-    for the same run date does not duplicate rows, and a task retried after
-    a lost executor rewrites its own files. Nothing is read back: listing a
-    large table's partitions is left to the reader that needs them.
+
+def append_batch(df: DataFrame, path: str, partition: str, value: str, batch: str) -> None:
+    """Append ``df`` to the table at ``path`` as one batch of a partition.
+
+    Each batch is a folder of its own, ``<partition>=<value>/batch=<id>``: other
+    batches of the same partition stay, a batch that is already there whole
+    (``_SUCCESS``) is not written again, and one that a lost driver left
+    half-written is replaced.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
-    return path
+    target = f"{path}/{partition}={value}/batch={batch}"
+    store, done = _folder(df, target + "/_SUCCESS")
+    if not store.exists(done):
+        df.write.mode("overwrite").parquet(target)
+
+
+def drop_table(spark: SparkSession, path: str) -> bool:
+    """Delete the folder of a snapshot, temporary or published table below the shared folder."""
+    if not path.startswith(table_path(spark) + "/"):
+        raise ValueError(f"{path} is not below {table_path(spark)}")
+    store, place = _folder(spark, path)
+    return store.delete(place, True)
+
 
+def drop_temporaries(spark: SparkSession) -> bool:
+    """Delete every temporary table that this application has written."""
+    return drop_table(spark, table_path(spark, "tmp", spark.sparkContext.applicationId))

@@ -41,7 +41,7 @@ def combined_view(visits: DataFrame, pollution: DataFrame, location: DataFrame,
     big table is shuffled twice instead of three times, and both of its
     shuffles split hot sources and hot sites over several tasks.
     """
-    v = visits.filter(F.col("visit_count") == 1).select("source_id", "location_id", "time_in_queue")
+    v = visits.filter(F.col("visit_count") == 1).select("record_id", "source_id", "location_id", "time_in_queue")
     loc = location.select("location_id", "town_name", "province_name", "location_type")
     if cleaned:
         pollution = clean.correct(pollution)
@@ -65,8 +65,8 @@ def located_sources(visits: DataFrame, sources: DataFrame, pollution: DataFrame,
     hot = hot_keys_by(visits, ["source_id", "location_id"])
     by_source = skew_join_chain(visits, "source_id",
                                 [(sources, "inner"), (pollution.select("source_id", "results"), "left")],
-                                hot=hot["source_id"])
-    return skew_join(by_source, location, "location_id", hot=hot["location_id"])
+                                hot=hot["source_id"], row_key=["record_id"])
+    return skew_join(by_source, location, "location_id", hot=hot["location_id"], row_key=["record_id"])
 
 
 def source_share(view: DataFrame, keys: Sequence[str], types: Sequence[str] = SOURCE_TYPES,

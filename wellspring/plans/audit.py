@@ -39,7 +39,7 @@ def audit_pairs(auditor: DataFrame, visits: DataFrame, quality: DataFrame | None
     a = auditor.select("location_id", F.col("type_of_water_source").alias("auditor_source"),
                        F.col("true_water_source_score").alias("auditor_score"), "statements")
     # visits are the large side; a site visited very often is split over tasks
-    return skew_join(v, a, "location_id", hot=hot_sites)
+    return skew_join(v, a, "location_id", hot=hot_sites, row_key=["record_id"])
 
 
 def agreeing(pairs: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def with_survey_source(pairs: DataFrame, sources: DataFrame, hot: dict | list |
     """Attach the surveyed source type; a source with a large share of the
     pairs is split over several tasks (``hot``: ids found on an input scan)."""
     s = sources.select("source_id", F.col("type_of_water_source").alias("survey_source"))
-    return skew_join(pairs, s, "source_id", hot=hot)
+    return skew_join(pairs, s, "source_id", hot=hot, row_key=["record_id"])
 
 
 def with_employee(pairs: DataFrame, employee: DataFrame, hot: dict | list | None = None) -> DataFrame:
@@ -74,7 +74,7 @@ def with_employee(pairs: DataFrame, employee: DataFrame, hot: dict | list | None
     is split over several tasks. ``hot`` (ids found on an input scan) saves
     sampling the joined pairs."""
     e = employee.select("assigned_employee_id", "employee_name")
-    return skew_join(pairs, e, "assigned_employee_id", hot=hot)
+    return skew_join(pairs, e, "assigned_employee_id", hot=hot, row_key=["record_id"])
 
 
 def incorrect_records(auditor: DataFrame, visits: DataFrame, employee: DataFrame,
@@ -146,7 +146,7 @@ def suspect_evidence(auditor: DataFrame, visits: DataFrame, employee: DataFrame,
     flagged = suspects(mistakes)
     evidence = statements_of(incorrect, keyword)
     if suspected:
-        picked = semi_join(evidence, flagged, "employee_name")
+        picked = semi_join(evidence, flagged, "employee_name", row_key=["record_id"])
     else:
-        picked = not_in(evidence, flagged, "employee_name")
+        picked = not_in(evidence, flagged, "employee_name", row_key=["record_id"])
     return picked.select("employee_name", "location_id", "statements")

@@ -45,6 +45,10 @@ ROLE_SQL = {
                l_linenumber AS visit_count, CAST(FLOOR(l_quantity) AS INTEGER) AS time_in_queue,
                l_linestatus AS subjective_quality_score, l_shipdate AS time_of_record
         FROM lineitem""",
+    "water_quality": """
+        SELECT l_orderkey * 100 + l_linenumber AS record_id,
+               min(l_linestatus) AS subjective_quality_score, min(l_linenumber) AS visit_count
+        FROM lineitem GROUP BY 1""",
     "employee": """
         SELECT s_suppkey AS assigned_employee_id, s_name AS employee_name,
                'Town_' || CAST(s_nationkey % 7 AS VARCHAR) AS town_name
@@ -119,12 +123,13 @@ WRONG = """
     select a.location_id, a.type_of_water_source as auditor_source, v.record_id,
            e.assigned_employee_id, e.employee_name,
            a.true_water_source_score as auditor_score,
-           v.subjective_quality_score as surveyor_score, a.statements
+           q.subjective_quality_score as surveyor_score, a.statements
     from auditor_report a
     join visits v on v.location_id = a.location_id and v.visit_count = 1
+    join water_quality q on q.record_id = v.record_id
     join employee e on e.assigned_employee_id = v.assigned_employee_id
-    where a.true_water_source_score <> v.subjective_quality_score"""
-AUDIT_ROLES = ["auditor_report", "visits", "employee"]
+    where a.true_water_source_score <> q.subjective_quality_score"""
+AUDIT_ROLES = ["auditor_report", "visits", "water_quality", "employee"]
 PER_NAME = """
     select employee_name, cast(count(employee_name) as bigint) as number_of_mistakes
     from wrong group by employee_name"""
@@ -170,7 +175,8 @@ BAD_ROW = "(description like 'Clean_%' or (results = 'Clean' and biological > 0.
 
 PAIRS = """
     from auditor_report a
-    join visits v on v.location_id = a.location_id"""
+    join visits v on v.location_id = a.location_id
+    join water_quality q on q.record_id = v.record_id"""
 
 
 def _numbered(where: str) -> str:
@@ -260,8 +266,8 @@ ORACLE: dict[str, str] = {
     "filter_gt": with_roles(["visits"], "select * from visits where time_in_queue > 49"),
     "filter_in": with_roles(["water_source"],
                             "select * from water_source where source_id in (7, 42, 99, 123, 150)"),
-    "filter_and": with_roles(["visits"], """
-    select record_id, subjective_quality_score, visit_count from visits
+    "filter_and": with_roles(["water_quality"], """
+    select record_id, subjective_quality_score, visit_count from water_quality
     where visit_count = 2 and subjective_quality_score = 'F'"""),
     "filter_contradiction": with_roles(["well_pollution"],
                                        "select * from well_pollution where biological > 0.01 and results = 'Clean'"),
@@ -314,10 +320,10 @@ ORACLE: dict[str, str] = {
     "rank_then_filter": _numbered("source_id in (3, 58, 101, 144, 199)"),
     "top_n_per_type": _numbered("source_rank <= 10"),
     "priority_ranks": with_roles(["water_source"], """
-    select source_id, type_of_water_source, number_of_people_served,
-           cast(rank() over (partition by type_of_water_source
-                             order by number_of_people_served desc, source_id) as bigint) as source_rank
-    from water_source"""),
+    select ws.source_id, ws.type_of_water_source, ws.number_of_people_served, p.p_brand as brand,
+           cast(rank() over (partition by ws.type_of_water_source
+                             order by ws.number_of_people_served desc, ws.source_id) as bigint) as source_rank
+    from water_source ws join part p on p.p_partkey = ws.source_id"""),
     # W5: queues
     "survey_span": with_roles(["queue_log"], """
     select min(time_of_record) as survey_start, max(time_of_record) as survey_end,
@@ -359,38 +365,38 @@ ORACLE: dict[str, str] = {
     join water_source ws on ws.source_id = v.source_id
     where loc.location_id = 42"""),
     # W6/W7: audit
-    "audit_match": with_roles(["auditor_report", "visits"], f"""
+    "audit_match": with_roles(["auditor_report", "visits", "water_quality"], f"""
     select a.location_id, v.record_id, a.true_water_source_score as auditor_score,
-           v.subjective_quality_score as surveyor_score
+           q.subjective_quality_score as surveyor_score
     {PAIRS}
-    where a.true_water_source_score = v.subjective_quality_score"""),
-    "audit_match_first": with_roles(["auditor_report", "visits"], f"""
+    where a.true_water_source_score = q.subjective_quality_score"""),
+    "audit_match_first": with_roles(["auditor_report", "visits", "water_quality"], f"""
     select a.location_id, v.record_id, a.true_water_source_score as auditor_score,
-           v.subjective_quality_score as surveyor_score
+           q.subjective_quality_score as surveyor_score
     {PAIRS}
-    where v.visit_count = 1 and a.true_water_source_score = v.subjective_quality_score"""),
-    "audit_mismatch": with_roles(["auditor_report", "visits"], f"""
+    where v.visit_count = 1 and a.true_water_source_score = q.subjective_quality_score"""),
+    "audit_mismatch": with_roles(["auditor_report", "visits", "water_quality"], f"""
     select a.location_id, a.type_of_water_source as auditor_source, v.record_id,
-           a.true_water_source_score as auditor_score, v.subjective_quality_score as surveyor_score
+           a.true_water_source_score as auditor_score, q.subjective_quality_score as surveyor_score
     {PAIRS}
-    where v.visit_count = 1 and a.true_water_source_score <> v.subjective_quality_score"""),
-    "audit_accuracy": with_roles(["auditor_report", "visits"], f"""
+    where v.visit_count = 1 and a.true_water_source_score <> q.subjective_quality_score"""),
+    "audit_accuracy": with_roles(["auditor_report", "visits", "water_quality"], f"""
     select count(*) as audited,
            count(*) filter (where same) as agreeing,
            count(*) filter (where not same) as disagreeing,
            round(cast(count(*) filter (where same) as double) * 100
                  / cast(nullif(count(*), 0) as double), 2) as accuracy_pct
-    from (select a.true_water_source_score = v.subjective_quality_score as same
+    from (select a.true_water_source_score = q.subjective_quality_score as same
           {PAIRS}
           where v.visit_count = 1) p
     where same is not null"""),
-    "audit_source_compare": with_roles(["auditor_report", "visits", "water_source"], f"""
+    "audit_source_compare": with_roles(["auditor_report", "visits", "water_quality", "water_source"], f"""
     select a.location_id, a.type_of_water_source as auditor_source,
            ws.type_of_water_source as survey_source, v.record_id,
-           a.true_water_source_score as auditor_score, v.subjective_quality_score as surveyor_score
+           a.true_water_source_score as auditor_score, q.subjective_quality_score as surveyor_score
     {PAIRS}
     join water_source ws on ws.source_id = v.source_id
-    where v.visit_count = 1 and a.true_water_source_score <> v.subjective_quality_score"""),
+    where v.visit_count = 1 and a.true_water_source_score <> q.subjective_quality_score"""),
     "audit_by_employee": with_roles(AUDIT_ROLES, """
     select location_id, record_id, employee_name, auditor_score, surveyor_score from wrong""",
                                     [("wrong", WRONG)]),

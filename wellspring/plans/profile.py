@@ -14,9 +14,11 @@ TYPE = "type_of_water_source"
 PEOPLE = "number_of_people_served"
 
 
-def count_by(df: DataFrame, keys: Sequence[str], name: str = "record_count") -> DataFrame:
-    """Rows per key (partial counts per task, one shuffle of the partials)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+def count_by(df: DataFrame, keys: Sequence[str], name: str = "record_count", weight: str | None = None) -> DataFrame:
+    """Rows per key (partial counts per task, one shuffle of the partials).
+    ``weight`` names a column that says how many rows each row stands for."""
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.groupBy(*keys).agg(rows.alias(name))
 
 
 def top_counts(df: DataFrame, key: str, counted: str, k: int, name: str) -> DataFrame:
@@ -60,25 +62,25 @@ def rank_types_by_people(sources: DataFrame) -> DataFrame:
             .withColumn("rank_by_people_served", F.rank().over(w).cast("bigint")))
 
 
-def share_window(df: DataFrame, key: str, digits: int = 2) -> DataFrame:
+def share_window(df: DataFrame, key: str, digits: int = 2, weight: str | None = None) -> DataFrame:
     """Share of rows per key, total taken by ``SUM(COUNT(*)) OVER ()``.
 
     The window has no partition, so it runs in one task over one row per
     key: meant for few-valued keys (location types). For keys with many
     values use ``share_of_summed_counts``, whose total is a distributed sum.
     """
-    counts = count_by(df, [key])
+    counts = count_by(df, [key], weight=weight)
     total = F.sum("record_count").over(Window.partitionBy())
     return counts.withColumn("percentage", percent(F.col("record_count"), total, digits))
 
 
-def share_of_summed_counts(df: DataFrame, key: str, digits: int = 2) -> DataFrame:
+def share_of_summed_counts(df: DataFrame, key: str, digits: int = 2, weight: str | None = None) -> DataFrame:
     """Share of rows per key, total taken as the sum of the per-key counts.
 
     The survey attaches that one-row total with a cross join; here it is a
     scalar subquery over the (already tiny) count frame, evaluated once.
     """
-    counts = count_by(df, [key])
+    counts = count_by(df, [key], weight=weight)
     total = counts.select(F.sum("record_count")).scalar()
     return counts.withColumn("percentage", percent(F.col("record_count"), total, digits))
 
@@ -89,43 +91,15 @@ def ranked_sources(sources: DataFrame) -> DataFrame:
     Uses the skew-proof numbering: five types would otherwise mean five
     tasks holding the whole table between them.
     """
-    ranked = row_number_within(sources.select("source_id", TYPE, PEOPLE), [TYPE],
+    ranked = row_number_within(sources, [TYPE],
                                [F.desc(PEOPLE), F.asc("source_id")], out="source_rank")
     return ranked.withColumn("source_rank", F.col("source_rank").cast("bigint"))
 
 
-def pick_ranked(sources: DataFrame, source_ids: Sequence, max_picks: int = 64) -> DataFrame:
+def pick_ranked(sources: DataFrame, source_ids: Sequence) -> DataFrame:
     """Rank inside type of the listed sources only, ranks counted among all
-    sources of the type (the filter must not narrow the ranking).
-
-    A source's rank is 1 + the number of same-type sources ordered before it
-    (more people, or as many people and a smaller id). For a few picked
-    sources that is one scan of the table against the picks, broadcast
-    after checking they number at most ``max_picks``, and a count per pick
-    (fused into the scan, partial per task): no shuffle of the table. Each
-    row is compared with the picks of its type, so the work grows with the
-    number of picks; beyond the bound the full skew-proof ranking runs and
-    is filtered.
-    """
-    ids = list(source_ids)
-    picks = sources.filter(F.col("source_id").isin(ids)).select("source_id", TYPE, PEOPLE)
-    if picks.limit(max_picks + 1).count() > max_picks:
-        ranked = ranked_sources(sources).filter(F.col("source_id").isin(ids))
-        return ranked.orderBy(F.asc(TYPE), F.desc("source_rank"))
-    p = picks.select(F.col("source_id").alias("_ws_pid"), F.col(TYPE).alias("_ws_ptype"),
-                     F.col(PEOPLE).alias("_ws_ppeople"))
-    people, mine = F.col(PEOPLE), F.col("_ws_ppeople")
-    # ORDER BY people DESC (NULLS LAST), source_id ASC
-    ahead = ((people.isNotNull() & (mine.isNull() | (people > mine)))
-             | (people.eqNullSafe(mine) & (F.col("source_id") < F.col("_ws_pid"))))
-    pick_cols = ["_ws_pid", "_ws_ptype", "_ws_ppeople"]
-    before = (sources.join(F.broadcast(p), F.col(TYPE).eqNullSafe(F.col("_ws_ptype")) & ahead)
-              .groupBy(*pick_cols).agg(F.count(F.lit(1)).alias("_ws_before")))
-    same_pick = ((F.col("source_id") == F.col("_ws_pid")) & F.col(TYPE).eqNullSafe(F.col("_ws_ptype"))
-                 & F.col(PEOPLE).eqNullSafe(F.col("_ws_ppeople")))
-    ranked = (picks.join(before, same_pick, "left")
-              .select("source_id", TYPE, PEOPLE,
-                      (F.coalesce(F.col("_ws_before"), F.lit(0)) + 1).cast("bigint").alias("source_rank")))
+    sources of the type (the filter must not narrow the ranking)."""
+    ranked = ranked_sources(sources).filter(F.col("source_id").isin(list(source_ids)))
     return ranked.orderBy(F.asc(TYPE), F.desc("source_rank"))
 
 

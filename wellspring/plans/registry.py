@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.functions import byte_length
-from wellspring.operators import hot_keys_by, skew_join, snapshot
+from wellspring.operators import hot_keys_by, preview, skew_join, snapshot
 from wellspring.plans import access, audit, clean, profile, queues, workorders
 from wellspring.session import table_path
 from wellspring.sources import Tables
@@ -46,9 +46,9 @@ def _t(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def _run_table(spark: SparkSession, name: str, sf_dir: str) -> str:
-    """A stable table folder per input folder, in the shared folder."""
+    """A table folder per application and input folder, in the shared folder."""
     tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-    return table_path(spark, name, tag)
+    return table_path(spark, name, spark.sparkContext.applicationId, tag)
 
 
 # --- A: scans, sources, sinks ------------------------------------------------
@@ -65,9 +65,8 @@ def project_cols(spark, d):
 
 @register("preview_limit")
 def preview_limit(spark, d):
-    """The first five locations by id; ``preview`` is the general operator,
-    here the role's join lets the first rows be found without joining all."""
-    return R.first_locations(_t(spark, d), 5)
+    """The first five locations by id: a top-k per task, then a merge of those."""
+    return preview(R.location(_t(spark, d)), 5, order_by=["location_id"])
 
 
 @register("snapshot_copy")
@@ -120,8 +119,8 @@ def filter_in(spark, d):
 
 @register("filter_and")
 def filter_and(spark, d):
-    v = R.visits(_t(spark, d))
-    return (v.filter((F.col("subjective_quality_score") == "F") & (F.col("visit_count") == 2))
+    q = R.water_quality(_t(spark, d))
+    return (q.filter((F.col("subjective_quality_score") == "F") & (F.col("visit_count") == 2))
             .select("record_id", "subjective_quality_score", "visit_count"))
 
 
@@ -145,14 +144,14 @@ def count_by_key(spark, d):
 
 @register("count_by_town")
 def count_by_town(spark, d):
-    loc = R.location(_t(spark, d))
-    return profile.count_by(loc, ["town_name"]).orderBy("town_name")
+    loc = R.located_customers(_t(spark, d))
+    return profile.count_by(loc, ["town_name"], weight="sites").orderBy("town_name")
 
 
 @register("count_by_location_type")
 def count_by_location_type(spark, d):
-    loc = R.location(_t(spark, d))
-    return profile.count_by(loc, ["location_type"]).orderBy(F.desc("record_count"))
+    loc = R.located_customers(_t(spark, d))
+    return profile.count_by(loc, ["location_type"], weight="sites").orderBy(F.desc("record_count"))
 
 
 @register("count_by_type")
@@ -163,8 +162,8 @@ def count_by_type(spark, d):
 
 @register("count_by_two")
 def count_by_two(spark, d):
-    loc = R.location(_t(spark, d))
-    return (profile.count_by(loc, ["province_name", "town_name"], "records_per_town")
+    loc = R.located_customers(_t(spark, d))
+    return (profile.count_by(loc, ["province_name", "town_name"], "records_per_town", "sites")
             .orderBy(F.asc("province_name"), F.desc("records_per_town")))
 
 
@@ -196,12 +195,12 @@ def rank_types(spark, d):
 
 @register("share_window")
 def share_window(spark, d):
-    return profile.share_window(R.location(_t(spark, d)), "location_type").orderBy(F.desc("record_count"))
+    return profile.share_window(R.located_customers(_t(spark, d)), "location_type", weight="sites").orderBy(F.desc("record_count"))
 
 
 @register("share_crossjoin")
 def share_crossjoin(spark, d):
-    return (profile.share_of_summed_counts(R.location(_t(spark, d)), "location_type")
+    return (profile.share_of_summed_counts(R.located_customers(_t(spark, d)), "location_type", weight="sites")
             .orderBy(F.desc("record_count")))
 
 
@@ -217,7 +216,9 @@ def rank_then_filter(spark, d):
 
 @register("priority_ranks")
 def priority_ranks(spark, d):
-    return profile.ranked_sources(R.water_source(_t(spark, d)))
+    t = _t(spark, d)
+    brands = t.part.select(F.col("p_partkey").alias("source_id"), F.col("p_brand").alias("brand"))
+    return profile.ranked_sources(R.water_source(t).join(brands, "source_id"))
 
 
 @register("top_n_per_type")
@@ -264,11 +265,10 @@ def queue_heatmap(spark, d):
 
 # --- J: joins --------------------------------------------------------------------
 
-def _visits_located(t: Tables, hot: dict | list | None = None, visits: DataFrame | None = None,
-                    location: DataFrame | None = None) -> DataFrame:
-    v = (R.visits(t) if visits is None else visits).select("location_id", "source_id", "visit_count")
+def _visits_located(t: Tables, hot: dict | list | None = None, location: DataFrame | None = None) -> DataFrame:
+    v = R.visits(t).select("record_id", "location_id", "source_id", "visit_count")
     loc = (R.location(t) if location is None else location).select("location_id", "province_name", "town_name")
-    return skew_join(v, loc, "location_id", hot=hot)
+    return skew_join(v, loc, "location_id", hot=hot, row_key=["record_id"])
 
 
 @register("join_two")
@@ -276,13 +276,12 @@ def join_two(spark, d):
     return _visits_located(_t(spark, d)).select("province_name", "town_name", "visit_count", "location_id")
 
 
-def _visits_located_sourced(t: Tables, visits: DataFrame | None = None,
-                            location: DataFrame | None = None) -> DataFrame:
+def _visits_located_sourced(t: Tables, hot: dict | None = None) -> DataFrame:
     ws = R.water_source(t)
-    visits = R.visits(t) if visits is None else visits
-    hot = hot_keys_by(visits, ["location_id", "source_id"])
-    return (skew_join(_visits_located(t, hot["location_id"], visits, location), ws, "source_id",
-                      hot=hot["source_id"])
+    location = R.location(t, hot=(hot or {}).get("o_custkey"))
+    hot = hot or hot_keys_by(R.visits(t), ["location_id", "source_id"])
+    return (skew_join(_visits_located(t, hot["location_id"], location), ws, "source_id",
+                      hot=hot["source_id"], row_key=["record_id"])
             .select("province_name", "town_name", "visit_count", "location_id",
                     "type_of_water_source", "number_of_people_served"))
 
@@ -295,18 +294,17 @@ def join_three(spark, d):
 
 @register("join_point_lookup")
 def join_point_lookup(spark, d):
-    """One site's visits: the site filter is applied to the inputs, so the
-    scans (and the hot-key samples) read only row groups that can match."""
+    """One site's visits: the filter stands above the joins, and Catalyst takes it to the scans
+    of both sides of the site join, so hardly a row is left to join and hot keys don't matter."""
     t = _t(spark, d)
-    visits = R.visits(t).filter(F.col("location_id") == LOOKUP_LOCATION)
-    location = R.location(t, orders=t.orders.filter(F.col("o_orderkey") == LOOKUP_LOCATION))
-    return _visits_located_sourced(t, visits, location)
+    return _visits_located_sourced(t, {"location_id": {}, "source_id": {}, "o_custkey": {}}).filter(
+        F.col("location_id") == LOOKUP_LOCATION)
 
 
 # --- W6/W7: audit ------------------------------------------------------------------
 
 def _pairs(t: Tables, first_visit_only: bool = True) -> DataFrame:
-    return audit.audit_pairs(R.auditor_report(t), R.visits(t), first_visit_only=first_visit_only)
+    return audit.audit_pairs(R.auditor_report(t), R.visits(t), R.water_quality(t), first_visit_only=first_visit_only)
 
 
 @register("audit_match")
@@ -336,7 +334,7 @@ def audit_accuracy(spark, d):
 def audit_source_compare(spark, d):
     t = _t(spark, d)
     hot = hot_keys_by(R.visits(t).filter(F.col("visit_count") == 1), ["location_id", "source_id"])
-    pairs = audit.audit_pairs(R.auditor_report(t), R.visits(t), hot_sites=hot["location_id"])
+    pairs = audit.audit_pairs(R.auditor_report(t), R.visits(t), R.water_quality(t), hot_sites=hot["location_id"])
     wrong = audit.with_survey_source(audit.disagreeing(pairs), R.water_source(t), hot=hot["source_id"])
     return wrong.select("location_id", "auditor_source", "survey_source", "record_id",
                         "auditor_score", "surveyor_score")
@@ -346,7 +344,7 @@ def audit_source_compare(spark, d):
 def audit_by_employee(spark, d):
     t = _t(spark, d)
     hot = hot_keys_by(R.visits(t).filter(F.col("visit_count") == 1), ["location_id", "assigned_employee_id"])
-    pairs = audit.audit_pairs(R.auditor_report(t), R.visits(t), hot_sites=hot["location_id"])
+    pairs = audit.audit_pairs(R.auditor_report(t), R.visits(t), R.water_quality(t), hot_sites=hot["location_id"])
     wrong = audit.with_employee(audit.disagreeing(pairs), R.employee(t), hot=hot["assigned_employee_id"])
     return wrong.select("location_id", "record_id", "employee_name", "auditor_score", "surveyor_score")
 
@@ -354,7 +352,7 @@ def audit_by_employee(spark, d):
 @register("incorrect_view")
 def incorrect_view(spark, d):
     t = _t(spark, d)
-    return (audit.incorrect_records(R.auditor_report(t), R.visits(t), R.employee(t))
+    return (audit.incorrect_records(R.auditor_report(t), R.visits(t), R.employee(t), R.water_quality(t))
             .select("location_id", "record_id", "employee_name", "auditor_score", "surveyor_score",
                     "statements"))
 
@@ -362,11 +360,11 @@ def incorrect_view(spark, d):
 @register("distinct_offenders")
 def distinct_offenders(spark, d):
     t = _t(spark, d)
-    return audit.offenders(R.auditor_report(t), R.visits(t), R.employee(t))
+    return audit.offenders(R.auditor_report(t), R.visits(t), R.employee(t), R.water_quality(t))
 
 
 def _mistakes(t: Tables) -> DataFrame:
-    return audit.mistakes_per_employee(R.auditor_report(t), R.visits(t), R.employee(t))
+    return audit.mistakes_per_employee(R.auditor_report(t), R.visits(t), R.employee(t), R.water_quality(t))
 
 
 @register("mistakes_per_employee")
@@ -387,14 +385,15 @@ def suspect_list(spark, d):
 @register("suspect_statements")
 def suspect_statements(spark, d):
     t = _t(spark, d)
-    return audit.suspect_evidence(R.auditor_report(t), R.visits(t), R.employee(t), STATEMENT_KEYWORD)
+    return audit.suspect_evidence(R.auditor_report(t), R.visits(t), R.employee(t), STATEMENT_KEYWORD,
+                                  R.water_quality(t))
 
 
 @register("nonsuspect_statements")
 def nonsuspect_statements(spark, d):
     t = _t(spark, d)
     return audit.suspect_evidence(R.auditor_report(t), R.visits(t), R.employee(t), STATEMENT_KEYWORD,
-                                  suspected=False)
+                                  R.water_quality(t), suspected=False)
 
 
 # --- W8/W9: access ------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wellspring.functions import first_match, percent
-from wellspring.operators import append_partition, materialize
+from wellspring.operators import append_batch, materialize
 from wellspring.plans import clean
 from wellspring.plans.access import located_sources
 from wellspring.session import table_path
@@ -83,7 +83,7 @@ def work_orders(sources: DataFrame, pollution: DataFrame, visits: DataFrame, loc
     run_date = run_date or dt.date.today().isoformat()
     if cleaned:
         pollution = clean.correct(pollution)
-    v = visits.filter(F.col("visit_count") == 1).select("source_id", "location_id", "time_in_queue")
+    v = visits.filter(F.col("visit_count") == 1).select("record_id", "source_id", "location_id", "time_in_queue")
     loc = location.select("location_id", "address", "town_name", "province_name")
     rows = located_sources(v, sources, pollution, loc).filter(needs_work(queue_threshold))
     return rows.select(
@@ -110,58 +110,53 @@ def _row_rules() -> list[Column]:
 
 
 def unknown_source_rows(orders: DataFrame, sources: DataFrame) -> DataFrame:
-    """One row: how many orders name a source id that is not in ``sources``.
+    """One row: how many orders name a source id that is not in ``sources``."""
+    return violations(orders, sources, []).select("unknown_source_id")
 
-    Orders are first counted per source id (partial counts per task, so a
-    source with a third of the orders costs nothing), and only those counts,
-    one row per id, meet the distinct known ids: neither side of the join
-    can hold a hot key.
-    """
-    per_id = (orders.filter(F.col("source_id").isNotNull())
-              .groupBy("source_id").agg(F.count(F.lit(1)).alias("_ws_n")))
-    known = (sources.select(F.col("source_id").cast("string").alias("source_id")).distinct()
-             .withColumn("_ws_known", F.lit(True)))
-    unknown = per_id.join(known, "source_id", "left").filter(F.col("_ws_known").isNull())
-    return unknown.agg(F.coalesce(F.sum("_ws_n"), F.lit(0)).cast("bigint").alias("unknown_source_id"))
 
-
-def violations(orders: DataFrame, sources: DataFrame) -> DataFrame:
+def violations(orders: DataFrame, sources: DataFrame, rules: list[Column] | None = None) -> DataFrame:
     """One row of rule-violation counts for a batch of work orders.
 
-    Parquet enforces neither NOT NULL nor CHECK nor REFERENCES, so the
-    declared constraints are checked here: the per-order rules as one
-    aggregation over the batch, the reference to a known source as a
-    scalar subquery over per-id counts (``unknown_source_rows``).
+    Parquet enforces neither NOT NULL nor CHECK nor REFERENCES, so the declared
+    constraints are checked here, in one pass over the orders: all rules are
+    counted per source id (partial counts per task, so a source with a third
+    of the orders costs nothing), only those counts, one row per id, meet the
+    distinct known ids, and their sums are the answer.
     """
-    unknown = unknown_source_rows(orders, sources).scalar()
-    return orders.agg(*_row_rules()).withColumn("unknown_source_id", unknown)
+    rules = _row_rules() if rules is None else rules
+    per_id = orders.groupBy("source_id").agg(F.count(F.lit(1)).alias("_ws_n"), *rules)
+    names = [c for c in per_id.columns if c not in ("source_id", "_ws_n")]
+    known = (sources.select(F.col("source_id").cast("string").alias("source_id")).distinct()
+             .withColumn("_ws_known", F.lit(True)))
+    unknown = F.when(F.col("source_id").isNotNull() & F.col("_ws_known").isNull(), F.col("_ws_n")).otherwise(0)
+    total = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in names]
+    return per_id.join(known, "source_id", "left").agg(
+        *total, F.coalesce(F.sum(unknown), F.lit(0)).cast("bigint").alias("unknown_source_id"))
 
 
 def publish_work_orders(orders: DataFrame, sources: DataFrame, run_date: str | None = None,
-                        table: str = "project_progress", path: str | None = None) -> DataFrame:
-    """Stage the batch, check it, and only then append it under its run date.
-
-    The batch is computed once into a staging folder of the shared folder,
-    with the per-order rule counts gathered in that same pass (``observe``);
-    the unknown-source check then reads only the staged source ids. Only a
-    clean batch is appended, by run-date partition with dynamic overwrite: a
-    re-run replaces its own rows instead of duplicating them. Returns this
-    run's rows, read from the staging copy: it holds exactly what was
-    appended and, unlike the table's partition, is never rewritten by a
-    later run.
+                        table: str = "project_progress", path: str | None = None,
+                        batch: str | None = None) -> DataFrame:
+    """Stage the batch, check it, append it under its run date, and read the run date back.
+
+    The orders are computed once into a staging folder, with a digest of their
+    rows gathered in the same pass (``observe``); the rules then read the
+    staged rows. Only a clean batch is appended, as ``batch`` (by default
+    the digest) of the run date: batches add up, the same batch is appended
+    once. Returns all rows that the table holds for the run date, as of now.
     """
     spark = orders.sparkSession
     run_date = run_date or dt.date.today().isoformat()
-    rules = Observation("work_order_rules")
-    staged = materialize(orders.observe(rules, *_row_rules()), table + "_staging")
-    found = dict(rules.get)
-    found.update(unknown_source_rows(staged, sources).first().asDict())
+    seen = Observation("work_order_batch")
+    digest = F.sum(F.xxhash64(*OUTPUT_COLUMNS).cast("decimal(38,0)")).cast("string")
+    staged = materialize(orders.observe(seen, F.count(F.lit(1)).alias("rows"), digest.alias("digest")), table + "_staging")
+    found = violations(staged, sources).first().asDict()
     bad = {k: v for k, v in found.items() if k != "orders_checked" and v}
     if bad:
         raise ValueError(f"work orders rejected, rule violations: {bad}")
     path = path or table_path(spark, table)
-    append_partition(staged.withColumn("run_date", F.lit(run_date)), path, "run_date")
-    return staged.select(*OUTPUT_COLUMNS)
+    append_batch(staged, path, "run_date", run_date, batch or f"{seen.get['rows']}_{seen.get['digest']}")
+    return spark.read.parquet(f"{path}/run_date={run_date}").select(*OUTPUT_COLUMNS)
 
 
 def progress_rollup(orders: DataFrame) -> DataFrame:

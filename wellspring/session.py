@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -22,11 +23,16 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "wellspring",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = None, app: str = "wellspring",
+                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """A session with ``DEFAULT_CONF``. The master and the number of shuffle partitions
+    are set only if given, so that spark-submit's and the cluster's own hold."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -36,10 +42,11 @@ def build_session(master: str = "local[*]", app: str = "wellspring",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, for checkpoints and written tables.
+    """Folder every executor can reach, for checkpoints and written tables: what
+    ``spark.checkpoint.dir`` names, or the context's checkpoint folder.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names. Only when
-    the session has none (local tests) do we create one and register it.
+    A local session (tests) without either gets a new local folder. On a
+    cluster that would scatter the files over the executors' disks: an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -47,8 +54,10 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="wellspring-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^]]*\])?", master):
+        raise RuntimeError(f"no shared folder: set spark.checkpoint.dir to one that all executors of {master} reach")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wellspring-ckpt-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 

@@ -2,9 +2,8 @@
 
 Reads are lazy: ``spark.read.schema(s).parquet`` only lists files, and with
 the schema declared no file footer is opened while planning. Catalyst later
-prunes columns and pushes filters into the scan. A table handle is reused
-per session and path, the way a catalog hands out the same table; call
-``Tables.refresh()`` after rewriting the files of an input.
+prunes columns and pushes filters into the scan. Every access lists the files
+anew, so files added to an input show in the next query.
 """
 
 from __future__ import annotations
@@ -38,11 +37,9 @@ SCHEMAS: dict[str, T.StructType] = {
     "documents": _schema(("doc_id", _L), ("text", _S), ("lang", _S), ("source", _S), ("n_chars", _L)),
 }
 
-_handles: dict[tuple, DataFrame] = {}
-
 
 class Tables:
-    """Named Parquet tables under one folder, ``<root>/<name>.parquet``."""
+    """Named Parquet tables under one folder, ``<root>/<name>.parquet``, listed anew at each use."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -51,24 +48,13 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
 
-    def _key(self, name: str) -> tuple:
-        return (self.spark.sparkContext.applicationId, id(self.spark), self.path(name))
-
     def __getitem__(self, name: str) -> DataFrame:
-        key = self._key(name)
-        if key not in _handles:
-            reader = self.spark.read
-            if name in SCHEMAS:
-                reader = reader.schema(SCHEMAS[name])
-            _handles[key] = reader.parquet(self.path(name))
-        return _handles[key]
+        reader = self.spark.read
+        if name in SCHEMAS:
+            reader = reader.schema(SCHEMAS[name])
+        return reader.parquet(self.path(name))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         return self[name]
-
-    def refresh(self) -> None:
-        """Forget the handles of this folder (after its files were rewritten)."""
-        for key in [k for k in _handles if k[2].startswith(self.root + "/")]:
-            del _handles[key]

@@ -26,6 +26,9 @@ visits             lineitem                                   record_id=l_orderk
                                                               visit_count=l_linenumber,
                                                               time_in_queue=floor(l_quantity),
                                                               subjective_quality_score=l_linestatus
+water_quality      lineitem                                   record_id as in visits,
+                                                              subjective_quality_score=min(l_linestatus),
+                                                              visit_count=l_linenumber, one row per record_id
 employee           supplier                                   assigned_employee_id=s_suppkey,
                                                               employee_name=s_name, town_name as above
 auditor_report     orders                                     location_id=o_orderkey,
@@ -40,10 +43,9 @@ staff_names        part                                       assigned_employee_
 
 Town labels repeat across provinces (seven labels, five provinces), so a
 town is only identified by (province_name, town_name), as in the survey.
-The visit row carries its own quality score: the survey joins
-``water_quality`` to ``visits`` one-to-one on the record, which here is the
-same lineitem row; ``plans.audit.audit_pairs`` still accepts a separate
-quality table.
+``water_quality`` holds the visits' scores by record id, and the audit joins it on
+that id as the survey does. The visit row also carries its score, for callers
+without a quality table.
 """
 
 from __future__ import annotations
@@ -124,36 +126,24 @@ def placed_customers(t: Tables) -> DataFrame:
 LOCATION_COLUMNS = ["location_id", "address", "province_name", "town_name", "location_type"]
 
 
-def location(t: Tables, orders: DataFrame | None = None) -> DataFrame:
+def location(t: Tables, hot: dict | list | None = None) -> DataFrame:
     """One site per order, placed by its customer's nation and region.
 
     The orders-to-customer join goes through ``skew_join``: a customer with
-    a large share of the orders is spread over several tasks. ``orders``
-    may be a filtered orders table (a point lookup), so that neither the
-    join nor its hot-key sample reads more than the filter lets through.
+    a large share of the orders is spread over several tasks. ``hot`` are
+    the hot customers, if known (found in a sample otherwise).
     """
-    orders = (t.orders if orders is None else orders).select("o_orderkey", "o_custkey")
-    return (skew_join(orders, placed_customers(t), "o_custkey")
+    orders = t.orders.select("o_orderkey", "o_custkey")
+    return (skew_join(orders, placed_customers(t), "o_custkey", hot=hot)
             .select(F.col("o_orderkey").alias("location_id"), *LOCATION_COLUMNS[1:]))
 
 
-def first_locations(t: Tables, n: int, probe: int = 64) -> DataFrame:
-    """The ``n`` locations with the smallest ids, without joining every order.
-
-    A location is an order that has a customer, so the first ``n``
-    locations are the first ``n`` orders (by key) with a customer. The first
-    ``probe * n`` orders are taken in one top-k pass (no shuffle) and joined
-    to the customers with those few rows broadcast; if at least ``n`` of them
-    have a customer they are exactly the answer. Otherwise (many orders
-    without a customer) the full join runs.
-    """
-    head = t.orders.select("o_orderkey", "o_custkey").orderBy("o_orderkey").limit(probe * n)
-    found = (placed_customers(t).join(F.broadcast(head), "o_custkey")
-             .select(F.col("o_orderkey").alias("location_id"), *LOCATION_COLUMNS[1:]))
-    first = found.orderBy("location_id").limit(n)
-    if first.count() == n:
-        return first
-    return location(t).orderBy("location_id").limit(n)
+def located_customers(t: Tables) -> DataFrame:
+    """Customers that have orders, with their place and, as ``sites``, how many: the
+    locations, counted before their join. A customer with a third of the orders
+    is one row here, so counts of locations need neither salt nor a sample."""
+    sites = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("sites"))
+    return sites.join(placed_customers(t), "o_custkey")
 
 
 def water_source(t: Tables) -> DataFrame:
@@ -190,6 +180,14 @@ def visits(t: Tables) -> DataFrame:
     )
 
 
+def water_quality(t: Tables) -> DataFrame:
+    """One score per record id, as the survey keeps it apart from the visits (the test
+    data repeat some ids: the smallest score counts)."""
+    record = (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("record_id")
+    return t.lineitem.groupBy(record).agg(F.min("l_linestatus").alias("subjective_quality_score"),
+                                          F.min("l_linenumber").alias("visit_count"))
+
+
 def employee(t: Tables) -> DataFrame:
     s = t.supplier
     return s.select(

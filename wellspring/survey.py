@@ -23,7 +23,21 @@ from wellspring.sources import roles as R
 from wellspring.sources.schemas import SURVEY_SCHEMAS
 
 TABLES = ["location", "visits", "water_source", "well_pollution", "employee", "auditor_report",
-          "queue_log"]
+          "queue_log", "water_quality"]
+OPTIONAL = ("queue_log", "water_quality")
+
+
+# Declared columns that no job uses, so stored tables may lack them.
+UNUSED = {"email", "phone_number", "description"}
+
+
+def _declared(df: DataFrame, name: str) -> DataFrame:
+    """``df`` if it has the declared columns of the table (Parquet files bring their own types)."""
+    schema = SURVEY_SCHEMAS.get(name)
+    missing = {f.name for f in schema or []} - set(df.columns) - UNUSED
+    if missing:
+        raise ValueError(f"{name} lacks the columns {sorted(missing)}")
+    return df
 
 
 @dataclass
@@ -42,11 +56,13 @@ class Survey:
         """Survey tables stored as ``<root>/<table>`` Parquet folders
         (``water_quality`` and ``queue_log`` optional)."""
         root = root.rstrip("/")
-        frames = {name: spark.read.parquet(f"{root}/{name}") for name in TABLES if name != "queue_log"}
-        for optional in ("queue_log", "water_quality"):
+        frames = {name: _declared(spark.read.parquet(f"{root}/{name}"), name) for name in TABLES if name not in OPTIONAL}
+        for optional in OPTIONAL:
             try:
-                frames[optional] = spark.read.parquet(f"{root}/{optional}")
-            except AnalysisException:  # the optional table is absent
+                frames[optional] = _declared(spark.read.parquet(f"{root}/{optional}"), optional)
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":  # there, but unreadable
+                    raise
                 frames[optional] = None
         return cls(**frames)
 
@@ -183,9 +199,9 @@ class Survey:
         return workorders.violations(self.work_orders(run_date), self.water_source)
 
     def publish_work_orders(self, run_date: str | None = None, cleaned: bool = False,
-                            path: str | None = None) -> DataFrame:
+                            path: str | None = None, batch: str | None = None) -> DataFrame:
         orders = self.work_orders(run_date, cleaned)
-        return workorders.publish_work_orders(orders, self.water_source, run_date, path=path)
+        return workorders.publish_work_orders(orders, self.water_source, run_date, path=path, batch=batch)
 
     def progress(self, orders: DataFrame) -> DataFrame:
         return workorders.progress_rollup(orders)
