@@ -36,14 +36,14 @@ def test_query_matches_oracle(small_report, key):
 ANCHORS = {
     "combined_view": 8590,
     "work_orders": 4277,
-    "audit_match_first": 2819,
-    "audit_mismatch": 5771,
+    "audit_match_first": 2847,
+    "audit_mismatch": 5743,
     "filter_contradiction": 79,
     "filter_like_prefix": 125,
     "town_source_share": 25,
     "filter_gt": 1175,
     "mistakes_per_employee": 100,
-    "suspect_list": 50,
+    "suspect_list": 52,
 }
 
 
