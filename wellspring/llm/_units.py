@@ -12,8 +12,8 @@ import pyarrow.compute as pc
 
 from wellspring.llm._text import gather_runs
 
-# Entries of each of the two generations that a Python worker keeps, about 60 MB in all.
-CACHE_ENTRIES = 150_000
+# Entries of each of the two generations that a Python worker keeps, about 200 MB in all.
+CACHE_ENTRIES = 500_000
 
 
 def unit_codes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, pa.Array]:

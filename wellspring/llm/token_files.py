@@ -49,6 +49,14 @@ _BEFORE = ~_SPACE.copy()
 _BEFORE[0x1C:0x20] = False
 _SECOND_LAST = np.zeros(256, bool)
 _SECOND_LAST[[0xC2, 0x9A, 0x80, 0x81]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK = np.zeros(256, bool)  # ASCII punctuation
+_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_AFTER_MARK = _MARK.copy()
+_AFTER_MARK[0x27] = False  # an apostrophe may take the letters behind it
+_BREAK = _SPACE.copy()
+_BREAK[0x20] = False  # a space may go with the piece behind it
 _encoders: dict[str, UnitCache] = {}
 
 
@@ -68,28 +76,27 @@ def _encoder(path: str) -> UnitCache:
         def ids(unit: bytes) -> bytes:
             return np.array(tokenizer.encode(unit.decode(), add_special_tokens=False).ids, np.int32).tobytes()
 
+        line_break = tokenizer.encode("\n", add_special_tokens=False).ids
+
         def encode(units: list[bytes]) -> list[bytes]:
-            """Units that start with a space and end safely are encoded as one text and told
-            apart by the tokens' places (a call for each unit would cost more than its work)."""
-            data = np.frombuffer(b"".join(units), np.uint8)
+            """Plain units are encoded as one text, a line break before each (a call for every unit would
+            cost more than its work): the pattern makes it a piece of its own, so its id parts them."""
+            if not units:
+                return []
+            data = np.frombuffer(b"".join(units) + b"\n\n", np.uint8)
             ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
-            starts = np.concatenate([[0], ends[:-1]])
-            filled = np.flatnonzero(ends > starts)
-            plain = np.zeros(len(units), bool)
-            plain[filled] = _SPACE[data[starts[filled]]] & _safe_end(data, ends[filled])
-            out: list = [None] * len(units)
-            for i in np.flatnonzero(~plain).tolist():
-                out[i] = ids(units[i])
+            plain = _plain(data, np.concatenate([[0], ends[:-1]]), ends) & (len(line_break) == 1)
+            out = [b"" if p else ids(u) for u, p in zip(units, plain.tolist(), strict=True)]
             own = np.flatnonzero(plain)
             for part in np.array_split(own, len(own) // 10_000 + 1):
-                texts = [units[i].decode() for i in part.tolist()]
-                found = tokenizer.encode("".join(texts), add_special_tokens=False)
-                chars = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
-                place = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
-                cut = np.searchsorted(np.searchsorted(chars, place, side="right"), np.arange(len(part) + 1))
-                flat = np.array(found.ids, np.int32).tobytes()
-                for i, a, b in zip(part.tolist(), (4 * cut[:-1]).tolist(), (4 * cut[1:]).tolist(), strict=True):
-                    out[i] = flat[a:b]
+                if len(part):
+                    text = b"\n" + b"\n".join([units[i] for i in part.tolist()])
+                    found = tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids
+                    flat = np.array(found, np.int32)
+                    cut = np.append(np.flatnonzero(flat == line_break[0]), len(flat)) * 4
+                    raw = flat.tobytes()
+                    for i, a, b in zip(part.tolist(), (cut[:-1] + 4).tolist(), cut[1:].tolist(), strict=True):
+                        out[i] = raw[a:b]
             return out
         _encoders[path] = UnitCache(encode)
     return _encoders[path]
@@ -101,14 +108,32 @@ def _safe_end(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return _BEFORE[last] & ((last < 0x80) | ~_SECOND_LAST[data[np.maximum(ends - 2, 0)]])
 
 
+def _plain(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Units without white space, or with one space in front of something else, that
+    surely neither start (behind the space) nor end with another kind of white space."""
+    first = starts + (data[starts] == 0x20)
+    lead = data[first]
+    spaces = np.concatenate([[0], np.cumsum(_SPACE[data], dtype=np.int64)])
+    fine = (first < ends) & (spaces[np.maximum(ends, first)] == spaces[first]) & ((lead < 0x80) & ((lead < 0x1C) | (lead > 0x1F)) | (lead >= 0xC3) & (lead < 0xE0))
+    out = np.zeros(len(starts), bool)
+    out[fine] = _safe_end(data, ends[fine])
+    return out
+
+
 def bpe_cuts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Row boundaries, and places between a non-space and a following space
-    character: the byte-level BPE's pattern starts a new piece at each of these
-    whatever stands around it, so a text's ids are those of its parts."""
+    """Row boundaries and places where the byte-level BPE's pattern starts a new piece
+    whatever stands around, so a text's ids are those of its parts: before white space
+    behind something else, between an ASCII letter and a mark behind it, between a
+    mark (no apostrophe) and a letter, and behind a single white-space character other than a space."""
     cut = np.zeros(len(data) + 1, bool)
-    if len(data) > 2:
-        cut[1:-1] = _SPACE[data[1:]] & _BEFORE[data[:-1]]
-        cut[2:-1] &= (data[1:-1] < 0x80) | ~_SECOND_LAST[data[:-2]]
+    if len(data) > 3:
+        here, back = data[1:], data[:-1]
+        space = _SPACE[here] & _BEFORE[back]
+        space[1:] &= (data[1:-1] < 0x80) | ~_SECOND_LAST[data[:-2]]
+        single = np.zeros(len(here), bool)  # a cut lies before the character in front of here
+        single[1:] = space[:-1] & _BREAK[back[1:]] & (_LETTER[here[1:]] | _MARK[here[1:]])
+        letter, mark = _LETTER[here], _MARK[here]
+        cut[1:-1] = space | single | (_LETTER[back] & mark) | (_AFTER_MARK[back] & letter)
     cut[offs] = True
     return np.flatnonzero(cut)
 
@@ -116,7 +141,7 @@ def bpe_cuts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 def _encode(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, shard, start = _encoder(path), TaskContext.get().partitionId(), 0
-        for batch in regroup(batches, "text", max_bytes=4 << 20):
+        for batch in regroup(batches, "text", max_bytes=6 << 20):
             data, offs = byte_rows(batch.column(1))
             cuts = bpe_cuts(data, offs)
             codes, units = unit_codes(data, cuts)
