@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from wellspring.llm._stage import store, take
 
 BITS = 20
+BATCH_BYTES = 3 << 20  # of text turned to features at once: a worker holds about 30 times that
 DIM = 1 << BITS  # hashed coordinates; coordinate 0 is the bias
 SHARDS = 8
 
@@ -72,12 +73,10 @@ def train(features: DataFrame, epochs: int, shards: int = SHARDS, **settings: fl
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["turn", "label"], kind="stable")
-        rows = [(np.append(np.asarray(a, np.int64), 0), np.append(np.asarray(x, np.float64), 1.0), y)
-                for a, x, y in zip(part["at"], part["x"], part["label"], strict=True)]
         ftrl = Ftrl(**settings)
         for _ in range(epochs):
-            for at, x, y in rows:
-                ftrl.learn(at, x, y)
+            for at, x, y in zip(part["at"], part["x"], part["label"], strict=True):
+                ftrl.learn(np.append(at, 0), np.append(x, 1.0), y)  # and the bias
         seen = np.flatnonzero(ftrl.n)
         return pd.DataFrame({"at": seen, "w": ftrl.weights(seen)})
 

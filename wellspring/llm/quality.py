@@ -66,7 +66,7 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _feature_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in regroup(batches, "text"):
+    for batch in regroup(batches, "text", _ftrl.BATCH_BYTES):
         at, x, offs = features(*byte_rows(batch.column(0)))
         xs = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(x.astype(np.float32)))
         yield pa.RecordBatch.from_arrays([*batch.columns[1:], list_column(at, offs), xs],
@@ -76,7 +76,7 @@ def _feature_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _scorer(weights):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.value
-        for batch in regroup(batches, "text"):
+        for batch in regroup(batches, "text", _ftrl.BATCH_BYTES):
             at, x, offs = features(*byte_rows(batch.column(0)))
             total = np.concatenate([[0.0], np.cumsum(w[at] * x)])
             score = _ftrl.sigmoid(total[offs[1:]] - total[offs[:-1]] + float(w[0]))

@@ -271,7 +271,7 @@ def _shouting(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.nd
 
 def _feature_rows(lm):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches, "text"):
+        for batch in regroup(batches, "text", _ftrl.BATCH_BYTES):
             at, offs = word_slots(*restore_batch(*byte_rows(batch.column(0)), lm.value, lm.id_))
             ones = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(np.ones(len(at), np.float32)))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], list_column(at, offs), ones],
@@ -283,7 +283,7 @@ def _scorer(lm, weights):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.value
         known = w != 0
-        for batch in regroup(batches, "text"):
+        for batch in regroup(batches, "text", _ftrl.BATCH_BYTES):
             at, offs = word_slots(*restore_batch(*byte_rows(batch.column(0)), lm.value, lm.id_), known)
             total = np.concatenate([[0.0], np.cumsum(w[at], dtype=np.float64)])
             score = _ftrl.sigmoid(total[offs[1:]] - total[offs[:-1]] + float(w[0]))
@@ -333,7 +333,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAI
 
 def _restorer(lm):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches, "text"):
+        for batch in regroup(batches, "text", _ftrl.BATCH_BYTES):
             data, offs = restore_batch(*byte_rows(batch.column(0)), lm.value, lm.id_)
             text = pa.Array.from_buffers(pa.large_binary(), len(offs) - 1, [None, pa.py_buffer(
                 offs.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
