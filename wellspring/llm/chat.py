@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm._running import running_totals
 from wellspring.llm._stage import store, table, take
+from wellspring.operators import running_totals
 
 START, END, TRAINED_ROLE = "<|im_start|>", "<|im_end|>", "assistant"
 CELL = 512  # characters of a stream that are matched together when intervals are read
@@ -120,11 +120,11 @@ def format_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame
         "conv_id", "root", F.element_at("steps", -1)["node"].alias("leaf"),
         F.array_join(F.col("steps.node"), "").alias("path")), "chat_conversations")
     paths = convs.groupBy("root", "path").agg(F.min("conv_id").alias("c"), F.lit(1).cast("long").alias("one"))
-    ranked = store(running_totals(paths, [], ["root", "path"], "one", "rank", "chat_paths").select("c", "rank"), "chat_ranks")
+    ranked = store(running_totals(paths, [], ["root", "path"], "one", "rank", "chat_paths", store).select("c", "rank"), "chat_ranks")
     through = turns.join(ranked, F.col("conv_id").eqNullSafe(F.col("c")))  # one conversation of each path
     owned = through.groupBy("node", "root").agg(F.min("rank").alias("rank"), *[
         F.first(c).alias(c) for c in ("depth", "position", "size", "role", "text")])
-    placed = store(running_totals(owned, ["root"], ["rank", "depth"], "size", "start", "chat_nodes"), "chat_placed")
+    placed = store(running_totals(owned, ["root"], ["rank", "depth"], "size", "start", "chat_nodes", store), "chat_placed")
     placed = placed.withColumn("stop", F.col("start") + F.col("size"))
     along = (through.select("rank", "node", "depth")
              .join(placed.select("node", F.col("rank").alias("owner"), "start", "stop"), "node")
