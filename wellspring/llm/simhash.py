@@ -224,7 +224,8 @@ def near_groups(fps: DataFrame) -> DataFrame:
     representative fingerprint of its component."""
     distinct = store(fps.select("fp").distinct(), "simhash_distinct")
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = (distinct.mapInArrow(_variants, "key long, code int")
+    # stored fingerprints lie in few files, and each becomes 196 rows: deal them out first
+    buckets = (distinct.repartition(parts, "fp").mapInArrow(_variants, "key long, code int")
                .repartition(parts, "key").sortWithinPartitions("key", "code"))
     links = buckets.mapInArrow(_links, "a long, b long")
     roots = store(components(links), "simhash_roots")
