@@ -197,7 +197,10 @@ def build(rows: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) -> DataFram
     merged = store(merged, "hnsw_vectors")
     shards = merged.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).alias("shards"))
     dealt = merged.join(shards, "dim").withColumn("shard", F.pmod("d2", F.col("shards")))
-    return store(dealt.groupBy("dim", "shard").applyInPandas(_build, INDEX), "hnsw_index")
+    # a stated number of partitions: shards are few bytes and much work, so they mustn't be coalesced
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = dealt.repartition(parts, "dim", "shard")
+    return store(spread.groupBy("dim", "shard").applyInPandas(_build, INDEX), "hnsw_index")
 
 
 def _search(k: int):
@@ -254,7 +257,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, shard_rows: int
     left = (asked.join(sizes, "dim").join(blocks, "dim").withColumn("block", F.pmod("d1", F.col("blocks")))
             .withColumn("shard", every("shards")).select("dim", "shard", "block", "vec_id", "d1", "d2", "v"))
     right = index.join(blocks, "dim").withColumn("block", every("blocks")).drop("blocks")
-    found = left.groupBy("dim", "shard", "block").cogroup(right.groupBy("dim", "shard", "block")).applyInPandas(
+    keys, parts = ["dim", "shard", "block"], int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = left.repartition(parts, *keys), right.repartition(parts, *keys)
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         _search(k), "query_id long, d1 long, d2 long, vec_id long, score double")
     order = Window.partitionBy("query_id", "d1", "d2").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
