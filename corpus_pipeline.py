@@ -1,37 +1,59 @@
 """The corpus pipeline: documents to a mixed, tokenized training set.
 
 Each stage is a function ``(spark, docs, sf_dir) -> DataFrame`` over all rows that
-the one before kept; all but the last return the columns of ``documents``.
+the one before kept; all but the last return the columns of ``documents``. Its result
+is to be written before the next one is called on what was written: when a stage
+begins, the intermediate tables that earlier stages stored are deleted, except those that
+``docs`` is still read from.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from wellspring.llm import mixing, pieces, quality, simhash, substring
-from wellspring.llm._stage import store, table
+from wellspring.llm._stage import drop_unread, recorded, store, table
+
+_stored: list[str] = []
+
+
+def _stage(run: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    @functools.wraps(run)
+    def begun(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_unread(_stored, docs)
+        with recorded(_stored):
+            return run(spark, docs, sf_dir)
+    return begun
 
 
+@_stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on ``labels``, rejects go."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+@_stage
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
     return simhash.keep_one_each(docs)
 
 
+@_stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 35 words or more that occur elsewhere are cut out of the texts."""
     return substring.remove_substrings(docs)
 
 
+@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are mixed to their targets: a document appears once for each round that takes it."""
     return mixing.mixed_documents(docs)
 
 
+@_stage
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts are encoded with merge dropout; ``n_tokens`` and ``ids`` replace the text."""
     return pieces.encode(docs, keep=[c for c in docs.columns if c != "text"])

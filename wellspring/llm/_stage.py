@@ -7,7 +7,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspring.operators import materialize
+from wellspring.operators import drop_table
+from wellspring.operators.scans import fresh_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -59,9 +60,35 @@ def _no_shuffle_kept(spark: SparkSession):
             spark.conf.set(_CLEANUP, before)
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]):
+    """While it holds, ``paths`` gets the folder of every table that ``store`` writes."""
+    _recorders.append(paths)
+    try:
+        yield
+    finally:
+        _recorders.remove(paths)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later steps
     and retried tasks start from those files, and the shuffle files behind
     them are freed as soon as the write has ended."""
+    path = fresh_path(df, name, temporary=True)
+    for paths in _recorders:
+        paths.append(path)
     with _no_shuffle_kept(df.sparkSession):
-        return materialize(df, name)
+        df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def drop_unread(paths: list[str], docs: DataFrame) -> None:
+    """Delete the stored tables of ``paths`` that ``docs`` isn't read from, and take them off the list."""
+    read = docs.inputFiles() if paths else []
+    for path in list(paths):
+        if not any(path.split(":", 1)[-1] in f for f in read):
+            drop_table(docs.sparkSession, path)
+            paths.remove(path)

@@ -20,8 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wellspring.llm._running import running_totals
 from wellspring.llm._stage import store, table, take, unpack, with_row
+from wellspring.operators import running_totals
 
 BLOCK_WORDS, MAX_EPOCHS, SEED = 32, 3, 42
 WEIGHTS = (1, 2, 3)
@@ -97,7 +97,7 @@ def mix(rows: DataFrame) -> DataFrame:
     named = items.join(sources.select(F.col("source").alias("s"), "source_id", "source_size", "target"),
                        F.col("source").eqNullSafe(F.col("s"))).drop("s")
     placed = running_totals(named.withColumn("key", key).withColumn("length", F.col("size") * F.col("copies")),
-                            ["source_id"], ["key", "doc_id", "size"], "length", "begin", "mix_placed")
+                            ["source_id"], ["key", "doc_id", "size"], "length", "begin", "mix_placed", store)
     copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
     placed = store(placed.withColumn("copy", copy).withColumn("at", F.col("begin") + F.col("copy") * F.col("size"))
                    .select("doc_id", "source", "source_id", "size", "source_size", "target", "at", "copy"), "mix_rows")
@@ -137,9 +137,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     document is taken; the document that a source's last block cuts gives its
     words up to there, joined by one space (``n_chars`` follows)."""
     columns = docs.columns
-    packed = with_row(docs, "doc_id", "source", "text").withColumn("size", word_count("text")).filter("size > 0")
+    text = F.col(f"_ws_row.c{columns.index('text')}")  # each text moves once, inside its row
+    packed = (with_row(docs, "doc_id", "source", "text").withColumn("size", word_count("text")).filter("size > 0")
+              .drop("text"))
     # rows that agree in doc_id, source and size are interchangeable to mix(): number them
-    number = Window.partitionBy("doc_id", "source", "size").orderBy(F.xxhash64("text"))
+    number = Window.partitionBy("doc_id", "source", "size").orderBy(F.xxhash64(text))
     rows = packed.withColumn("copy", F.row_number().over(number).cast("long") - 1)
     taken = mix(packed.select("doc_id", "source", "size")).filter("taken > 0").select(
         F.col("doc_id").alias("m_doc"), F.col("source").alias("m_source"), F.col("size").alias("m_size"),
@@ -149,8 +151,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     rounds = F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size"))))
     rows = rows.join(taken, same).withColumn("round", rounds).withColumn(
         "words", F.least("size", F.col("taken") - (F.col("round") - 1) * F.col("size")))
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), 1, F.col("words").cast("int")), " ")
-    rows = rows.withColumn("new", F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(part))
+    part = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)), 1, F.col("words").cast("int")), " ")
+    rows = rows.withColumn("new", F.when(F.col("words") == F.col("size"), text).otherwise(part))
     replace = {"text": F.col("new")}
     if "n_chars" in columns:
         old = F.col(f"_ws_row.c{columns.index('n_chars')}")
