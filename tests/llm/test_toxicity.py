@@ -128,3 +128,23 @@ def test_edge_rows(spark, docs):
     assert X.toxicity_scores(docs([]), labels).count() == 0
     back = {r["doc_id"]: r["restored"] for r in X.restore_texts(df).collect()}
     assert back[1] is None and back[2] == "" and back[5] == "!! ..."
+
+
+def restored(texts, lm):
+    out, at = X.restore_batch(*arrays(texts), lm)
+    return [out[a:b].tobytes().decode() for a, b in itertools.pairwise(at)]
+
+
+def test_every_word_with_readings_is_decoded(lm, monkeypatch):
+    asked = set()
+    monkeypatch.setattr(X, "_restored", lambda token, spelled, *_: asked.add((token.decode(), spelled)))
+    words = ["sh1+", "idi0+", "hat3", "a55", "455", "(rap", "<rap", "i~d~i~o~t", "a.s.s", "s.c.um", "l-o-ser", "4",
+             "stuuupid"]
+    plain = ["fine", "words,", "end.", "-", "...", "#", "&%", "a", "aé", "x=y", "odd", "too"]
+    restored([f"{w} fine" for w in words] + plain + ["s c u", "4 5 5", "x y", "s - c - u"], lm)
+    assert asked == {(w, False) for w in words} | {("s c u", True), ("4 5 5", True), ("s - c - u", True)}
+
+
+def test_disguises_at_the_end_and_short_ones(lm):
+    assert restored(["an idi0t", "an idio+", "l-o-ser", "i~d~i~o~t.", "s t u", "GOOD. 5-6, 3.14 1 2 3"], lm) == [
+        "an idiot", "an idiot", "loser", "idiot.", "stu", "GOOD. 5-6, 3.14 1 2 3"]

@@ -3,12 +3,14 @@
 1. Character language model: 4-gram counts of the letters of all words of all
    documents (a table of at most 28**4 counts whatever the corpus), smoothed by
    interpolation with shorter contexts.
-2. Restoring: words that look disguised (digits or symbols inside or before
-   letters, letters said three times or more, letters spelled out with spaces
-   or dots) become lattices: each character may stand for itself, for the letters
-   it resembles, for nothing (separators), and a run of one letter for one or two
-   of it, each at a channel cost. Viterbi finds the likeliest reading under the
-   language model, exactly (a state is the last three letters).
+2. Restoring: all words with a character that has more readings than itself (a
+   digit or symbol that resembles a letter, a separator inside), with a letter said
+   three times or more, or spelled out with spaces (three letters or more) become
+   lattices: each character may stand for itself, for the letters it resembles, for
+   nothing (separators), and a run of one letter for one or two of it, each at a
+   channel cost. Viterbi finds the likeliest reading under the language model,
+   exactly (a state is the last three letters). A word whose literal reading wins, or whose reading says no
+   letter, stays as it was; full stops and hyphens around a word aren't part of it.
 3. Scoring: words and word beginnings of the restored text are hashed features
    (present or not), and so are steps in the share of shouted words, of an
    FTRL-trained logistic regression, calibrated.
@@ -47,16 +49,19 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
-_LEADS = np.zeros(256, bool)  # bytes that make a word look disguised when a letter follows
-_LEADS[list(b"0123456789@$!|+*_")] = True
-_SEPARATES = np.zeros(256, bool)
-_SEPARATES[list(b".-_")] = True
+_LOOKS = np.zeros(256, bool)
+_LOOKS[list("".join(LOOKS_LIKE).encode())] = True
+_READS = _LOOKS.copy()  # bytes other than letters that have more readings than the literal one
+_READS[list(SEPARATORS.strip().encode())] = True
+_AROUND = np.zeros(256, bool)  # separators that are punctuation at a word's ends
+_AROUND[list(b".-")] = True
 _CODE = np.zeros(256, np.uint8)
 _CODE[0x61:0x7B] = np.arange(1, 27)
 _CODE[0xC0:] = 27
 _CODE[0x80:0xC0] = 255  # inside a character: no symbol of its own
-_SPELLED = 4  # that many one-letter words in a row are read as spelled out
-_cache: dict[tuple, bytes] = {}
+_SIZE = np.repeat([1, 2, 3, 4], [0xC0, 0x20, 0x10, 0x10])  # bytes of a character, by its first
+_SPELLED = 3  # that many letters or look-alikes as words of their own in a row are read as spelled out
+_cache: dict[tuple, dict[bytes, bytes | None]] = {}  # of one model
 
 
 # --- character language model ---------------------------------------------------------
@@ -65,8 +70,8 @@ def gram_codes(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """The 4-gram number of every letter and word end; contexts start anew with each word."""
     spaced = np.append(np.insert(_LOWER[data], offs[:-1], 0x20), np.uint8(0x20))
     codes = _CODE[spaced]
-    codes = codes[codes != 255].astype(np.int64)
-    padded = np.concatenate([np.zeros(3, np.int64), codes])
+    codes = codes[codes != 255].astype(np.int32)
+    padded = np.concatenate([np.zeros(3, np.int32), codes])
     a, b, c = padded[:-3], padded[1:-2], padded[2:-1]
     b = np.where(c == 0, 0, b)
     a = np.where(b == 0, 0, a)
@@ -161,13 +166,20 @@ def restore_word(text: str, lm: np.ndarray, spelled: bool = False) -> str:
     return "".join(reversed(said))
 
 
-def _restored(token: bytes, spelled: bool, lm: np.ndarray, name: int) -> bytes:
-    key = (name, spelled, token)
-    if key not in _cache:
-        if len(_cache) >= 200_000:
+def _restored(token: bytes, spelled: bool, lm: np.ndarray, name: int) -> bytes | None:
+    """The reading of a token; None if it is the literal one or says no letter (spelled out: fewer than two)."""
+    if (name, spelled) not in _cache:
+        if (name, not spelled) not in _cache:
             _cache.clear()
-        _cache[key] = restore_word(token.decode(), lm, spelled).encode()
-    return _cache[key]
+        _cache[name, spelled] = {}
+    known = _cache[name, spelled]
+    if token not in known:
+        if len(known) >= 200_000:
+            known.clear()
+        new = restore_word(token.decode(), lm, spelled)
+        said = sum(_symbol(c) > 0 for c in new)
+        known[token] = new.encode() if said > spelled and new.encode() != token else None
+    return known[token]
 
 
 def _ranges(mask: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -175,29 +187,40 @@ def _ranges(mask: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return total[ends] - total[starts]
 
 
+def _inner(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words without full stops and hyphens around them; none is left of a word of these alone."""
+    starts, ends = starts.copy(), ends.copy()
+    at = np.arange(len(starts))
+    while len(at := at[(starts[at] < ends[at])]) and len(at := at[_AROUND[data[starts[at]]]]):
+        starts[at] += 1
+    at = np.arange(len(starts))
+    while len(at := at[(starts[at] < ends[at])]) and len(at := at[_AROUND[data[ends[at] - 1]]]):
+        ends[at] -= 1
+    return starts, ends
+
+
+def _holds(mask: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    at = np.flatnonzero(mask)
+    return np.searchsorted(at, ends) > np.searchsorted(at, starts)
+
+
 def disguised(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray) \
         -> tuple[np.ndarray, np.ndarray]:
-    """Words that look disguised, and runs of spelled-out words as (first, last) pairs."""
-    letter, leads = _LETTER[data], np.flatnonzero(_LEADS[data])
-    letters = np.flatnonzero(letter)
-    if len(letters) == 0:
-        return np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
-    before_end = np.searchsorted(letters, ends) - 1
-    last = np.where(before_end >= 0, letters[np.maximum(before_end, 0)], -1)
-    first = np.append(leads, len(data) + 1)[np.searchsorted(leads, starts)]
-    odd = (first < last) & (last >= starts)
-    odd |= (_ranges(_SEPARATES[data], starts, ends) >= 3) & (last >= starts)
-    triple = np.zeros(len(data), bool)
+    """Words to decode (``_inner`` of them), and runs of spelled-out words as (first, last) pairs."""
+    first, last = _inner(data, starts, ends)
+    letter = _LETTER[data]
+    triple = np.zeros(len(data), bool)  # a letter said twice is ordinary spelling
     triple[:-2] = letter[:-2] & (data[:-2] < 0x80) & (data[:-2] == data[1:-1]) & (data[1:-1] == data[2:])
-    odd |= _ranges(triple, starts, np.maximum(ends - 2, starts)) > 0
-    single = _ranges((data & 0xC0) != 0x80, starts, ends) == 1
-    single &= letter[starts] | _LEADS[data[starts]]
+    odd = _holds(_READS[data], first, last) | _holds(triple, first, np.maximum(last - 2, first))
+    single = ends - starts == _SIZE[data[starts]]
+    says = single & (letter[starts] | _LOOKS[data[starts]])
+    single = says | (single & _READS[data[starts]])
     turn = np.concatenate([[True], (single[1:] != single[:-1]) | (row[1:] != row[:-1])])
     heads = np.flatnonzero(turn)
     tails = np.append(heads[1:], len(single)) - 1
-    spelled = single[heads] & (tails - heads + 1 >= _SPELLED) & (
-        _ranges(letter[starts], heads, tails + 1) >= _SPELLED - 1)
-    return np.flatnonzero(odd & ~single), np.stack([heads[spelled], tails[spelled]], axis=1)
+    spelled = single[heads] & (_ranges(says, heads, tails + 1) >= _SPELLED)
+    odd &= ~np.repeat(spelled, tails - heads + 1)
+    return np.flatnonzero(odd), np.stack([heads[spelled], tails[spelled]], axis=1)
 
 
 def restore_batch(data: np.ndarray, offs: np.ndarray, lm: np.ndarray, name: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -207,20 +230,21 @@ def restore_batch(data: np.ndarray, offs: np.ndarray, lm: np.ndarray, name: int
     if len(starts) == 0:
         return data, offs
     odd, spelled = disguised(low, starts, ends, rows_of(words))
-    spans = [(int(starts[i]), int(ends[i]), False) for i in odd]
+    first, last = _inner(low, starts[odd], ends[odd])
+    spans = list(zip(first.tolist(), last.tolist(), [False] * len(odd), strict=True))
     spans += [(int(starts[a]), int(ends[b]), True) for a, b in spelled]
-    if not spans:
-        return data, offs
+    raw = low.tobytes()
     parts, at, moved, places = [], 0, [], []
     for a, b, spell in sorted(spans):
-        token = low[a:b].tobytes()
-        if spell:
-            token = b" ".join(token.split())
-        new = _restored(token, spell, lm, name)
+        new = _restored(b" ".join(raw[a:b].split()) if spell else raw[a:b], spell, lm, name)
+        if new is None:
+            continue
         parts += [data[at:a], np.frombuffer(new, np.uint8)]
         places.append(b)
         moved.append(len(new) - (b - a))
         at = b
+    if not places:
+        return data, offs
     parts.append(data[at:])
     shift = np.concatenate([[0], np.cumsum(moved)])
     return np.concatenate(parts), offs + shift[np.searchsorted(places, offs, side="right")]
