@@ -55,8 +55,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts are encoded with merge dropout; ``n_tokens`` and ``ids`` replace the text."""
-    return pieces.encode(docs, keep=[c for c in docs.columns if c != "text"])
+    """Texts are encoded with merge dropout, each round of a document with its own; ``n_tokens`` and ``ids`` replace the text."""
+    return pieces.encode(docs, keep=[c for c in docs.columns if c != "text"], copies=True)
 
 
 STAGES = [

@@ -103,3 +103,27 @@ def test_edge_rows(spark, docs):
     assert len(back) == 6 and all((r["text"] or "") == r["decoded"] for r in back)
     assert {r["n_tokens"] for r in back if not r["text"]} == {0}
     assert P.encode(docs([])).count() == 0 and P.decode(P.encode(docs([]))).count() == 0
+
+
+def test_every_occurrence_has_its_own_draws(m):
+    texts = ["transportation " * 300, "of the in " * 200 + "ab" * 60]
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    offs = np.cumsum([0, *map(len, raw)])
+    doc_key = np.array([5, 6], np.uint64)
+    ids, at = P.encode_batch(m, data, offs, doc_key, 0.1, 1)
+    units = [[b" " + w for w in t.split()] + ([b" "] if t.endswith(b" ") else []) for t in raw]
+    keys = P.occurrence_keys(doc_key, np.cumsum([0, *map(len, units)]), 1)
+    flat, lens = P.encode_units(m, sum(units, []), keys, 0.1)
+    assert ids.tolist() == flat.tolist() and at[-1] == lens.sum()
+    found = [tuple(x) for x in np.split(flat, np.cumsum(lens)[:-1])]
+    assert len(set(found[:300])) > 4  # not bounded by a number of variants
+    some = [x for x, u in zip(found, sum(units, []), strict=True) if u == b" the"]
+    assert len(set(some)) > 1
+
+
+def test_copies_are_drawn_apart(spark, docs):
+    df = docs([(1, "the international transportation of information " * 5)] * 3)
+    assert len({tuple(r["ids"]) for r in P.encode(df).collect()}) == 1
+    assert len({tuple(r["ids"]) for r in P.encode(df, copies=True).collect()}) == 3
+    assert sorted(P.encode(df, copies=True).collect()) == sorted(P.encode(df, copies=True).collect())

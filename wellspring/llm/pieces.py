@@ -3,16 +3,16 @@
 A text is its characters with spaces as the mark U+2581 and one mark in front.
 Agenda processing merges, again and again, the adjacent pair whose joined piece
 has the best score (leftmost of equals). A candidate pair is skipped for good if a
-hash keyed by the seed, the unit, the variant, its place and its two symbols
+hash keyed by the seed, the document, the unit's place in it, its place and its two symbols
 falls below the dropout rate: other merges then shape the text, so texts are
 segmented in varied ways that only use merges of the model. What no piece
 covers falls back to byte pieces.
 
 No piece has the mark after another character, so merges never cross the place
-before a run of spaces and a text is encoded in units cut there. Every occurrence
-of a unit draws one of ``VARIANTS`` variants from a hash of the seed, the
-document and its place; equal (unit, variant) pairs of a batch are encoded
-once, all of them together in numpy (a round merges one pair of every unit).
+before a run of spaces and a text is encoded in units cut there. Distinct units of a
+batch are encoded once without dropout, all of them together in numpy (a round merges
+one pair of every unit), and the candidates met are noted. An occurrence whose own
+hashes skip none of them is segmented like that; all others are encoded each on its own.
 
 Decoding joins pieces and bytes, turns marks to spaces and drops the first. A
 literal U+2581 is encoded as its three bytes, hence every text comes back as it was.
@@ -27,18 +27,19 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wellspring.llm._stage import table, take, unpack, with_row
-from wellspring.llm._text import U64, _mix, byte_rows, gather_runs, hash_spans, regroup
+from wellspring.llm._text import U64, _mix, byte_rows, gather_runs, regroup
 from wellspring.llm._units import by_items, list_column, put_together, unit_codes
 
-DROPOUT, SEED, VARIANTS = 0.1, 42, 4
+DROPOUT, SEED = 0.1, 42
 MARK = "▁"
 BATCH_BYTES = 3 << 20  # of text encoded at once: a worker holds about 50 times that
 _LONG = 48  # symbols; longer units are encoded one by one
+_TESTS, _OWN = 1 << 20, 1 << 16  # hashes tested, and occurrences encoded, at once
 _NONE = np.int32(2**31 - 1)
 _ODD1, _ODD2 = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
 _models: dict[str, "Model"] = {}
@@ -152,13 +153,24 @@ class Model:
 
 def _dropped(key: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray, rate: float) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = key ^ (place.astype(U64) * _ODD1) ^ ((left.astype(U64) << U64(21) | right.astype(U64)) * _ODD2)
+        return _skipped(key ^ _candidate(place, left, right), rate)
+
+
+def _candidate(place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (place.astype(U64) * _ODD1) ^ ((left.astype(U64) << U64(21) | right.astype(U64)) * _ODD2)
+
+
+def _skipped(h: np.ndarray, rate: float) -> np.ndarray:
+    with np.errstate(over="ignore"):
         return (_mix(_mix(h) * _ODD1) >> U64(11)) < U64(int(rate * 2**53))
 
 
-def _merge_matrix(m: Model, symbols: np.ndarray, key: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+def _merge_matrix(m: Model, symbols: np.ndarray, key: np.ndarray, rate: float,
+                  met: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Agenda processing of units with equally many symbols (a row each): every
-    round merges the best pair of each row. Returns the matrix and the rows' lengths."""
+    round merges the best pair of each row. Returns the matrix and the rows' lengths;
+    ``met`` gets the candidates, as arrays of rows and of ``_candidate``."""
     n, width = symbols.shape
     size = np.full(n, width)
     place = np.broadcast_to(np.arange(width), (n, width)).copy()
@@ -166,7 +178,7 @@ def _merge_matrix(m: Model, symbols: np.ndarray, key: np.ndarray, rate: float) -
     best = np.full((n, width), _NONE, np.int32)
     if width > 1:
         rows, cols = np.divmod(np.arange(n * (width - 1)), width - 1)
-        _propose(m, symbols, place, made, best, key, rows, cols, rate)
+        _propose(m, symbols, place, made, best, key, rows, cols, rate, met)
     alive = np.arange(n)
     while len(alive):
         at = np.argmin(best[alive], axis=1)
@@ -183,15 +195,18 @@ def _merge_matrix(m: Model, symbols: np.ndarray, key: np.ndarray, rate: float) -
         last = size[alive] - 1
         made[alive, last], best[alive, last] = -1, _NONE
         right, left = at < last, at > 0
-        _propose(m, symbols, place, made, best, key, alive[right], at[right], rate)
-        _propose(m, symbols, place, made, best, key, alive[left], at[left] - 1, rate)
+        _propose(m, symbols, place, made, best, key, alive[right], at[right], rate, met)
+        _propose(m, symbols, place, made, best, key, alive[left], at[left] - 1, rate, met)
     return symbols, size
 
 
-def _propose(m, symbols, place, made, best, key, rows, cols, rate) -> None:
+def _propose(m, symbols, place, made, best, key, rows, cols, rate, met) -> None:
     left, right = symbols[rows, cols], symbols[rows, cols + 1]
     piece = m.joined(left, right)
     value = np.where(piece >= 0, m.priority[np.maximum(piece, 0)], _NONE)
+    if met is not None:
+        own = np.flatnonzero(piece >= 0)
+        met.append((rows[own], _candidate(place[rows[own], cols[own]], left[own], right[own])))
     if rate > 0:
         value[_dropped(key[rows], place[rows, cols], left, right, rate)] = _NONE
     made[rows, cols], best[rows, cols] = piece, value
@@ -238,8 +253,9 @@ def _merge_one(m: Model, symbols: list[int], key: int, rate: float) -> list[int]
     return [s for s in symbols if s >= 0]
 
 
-def encode_units(m: Model, units: list[bytes], key: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """Flat ids of the units and how many each has."""
+def encode_units(m: Model, units: list[bytes], key: np.ndarray, rate: float,
+                 met: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Flat ids of the units and how many each has; ``met`` gets the candidates of units up to ``_LONG``."""
     points = np.frombuffer(b"".join(units).decode().encode("utf-32-le"), "<u4")
     symbols = m.of_char[points]
     raw = np.frombuffer(b"".join(units), np.uint8)
@@ -252,17 +268,47 @@ def encode_units(m: Model, units: list[bytes], key: np.ndarray, rate: float) ->
         own = np.flatnonzero(lens == width)
         for part in np.array_split(own, len(own) * width // 400_000 + 1):
             at = starts[part][:, None] + np.arange(width)[None, :]
-            merged, size = _merge_matrix(m, symbols[at], key[part], rate)
+            found = None if met is None else []
+            merged, size = _merge_matrix(m, symbols[at], key[part], rate, found)
             flat[at], count[part] = merged, size
+            if met is not None:
+                met += [(part[rows], which) for rows, which in found]
     for i in np.flatnonzero(lens > _LONG).tolist():
         found = _merge_one(m, symbols[starts[i]:starts[i] + lens[i]].tolist(), int(key[i]), rate)
         flat[starts[i]:starts[i] + len(found)], count[i] = found, len(found)
     return m.ids(gather_runs(flat, starts, count), count)
 
 
+def occurrence_keys(doc_key: np.ndarray, rows: np.ndarray, seed: int) -> np.ndarray:
+    """The key of every unit from its document's key and its place; ``rows``: the documents' unit offsets."""
+    with np.errstate(over="ignore"):
+        row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+        nth = (np.arange(rows[-1]) - rows[row]).astype(U64)
+        return _mix(_mix(doc_key[row] + nth * _ODD2 + U64(seed)) * _ODD1)
+
+
+def _varied(codes: np.ndarray, key: np.ndarray, met: list, always: np.ndarray, rate: float) -> np.ndarray:
+    """The occurrences (by the code of their unit) that skip a candidate met without dropout."""
+    unit = np.concatenate([rows for rows, _ in met]) if met else np.zeros(0, np.int64)
+    which = np.concatenate([c for _, c in met]) if met else np.zeros(0, U64)
+    which = which[np.argsort(unit, kind="stable")]
+    count = np.bincount(unit, minlength=len(always))
+    first, out = np.cumsum(count) - count, always[codes]
+    upto = np.concatenate([[0], np.cumsum(count[codes])])
+    a = 0
+    while a < len(codes):
+        b = max(int(np.searchsorted(upto, upto[a] + _TESTS, side="right")) - 1, a + 1)
+        n = count[codes[a:b]]
+        hit = _skipped(np.repeat(key[a:b], n) ^ gather_runs(which, first[codes[a:b]], n), rate)
+        out[a:b] |= np.bincount(np.repeat(np.arange(b - a), n)[hit], minlength=b - a) > 0
+        a = b
+    return out
+
+
 def encode_batch(m: Model, data: np.ndarray, offs: np.ndarray, doc_key: np.ndarray, rate: float, seed: int,
-                 variants: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts of a batch, and the texts' offsets in them."""
+                 _: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts of a batch, and the texts' offsets in them. (The last argument was the number
+    of variants; there is no such bound any more.)"""
     filled = np.flatnonzero(np.diff(offs) > 0)
     data = np.insert(data, offs[:-1][filled], 0x20)  # the mark in front
     offs = offs + np.searchsorted(filled, np.arange(len(offs)))
@@ -274,18 +320,22 @@ def encode_batch(m: Model, data: np.ndarray, offs: np.ndarray, doc_key: np.ndarr
     rows = np.searchsorted(cuts, offs)
     if len(codes) == 0:
         return np.zeros(0, np.int32), np.zeros(len(offs), np.int64)
-    variant = np.zeros(len(codes), np.int64)
+    units, met = distinct.to_pylist(), [] if rate > 0 else None
+    flat, lens = encode_units(m, units, np.zeros(len(units), U64), 0.0, met)
     if rate > 0:
-        with np.errstate(over="ignore"):
-            row = np.repeat(np.arange(len(offs) - 1), np.diff(rows))
-            nth = (np.arange(len(codes)) - rows[row]).astype(U64)
-            variant = (_mix(_mix(doc_key[row] + nth * _ODD2 + U64(seed)) * _ODD1) % U64(variants)).astype(np.int64)
-    pairs, codes = np.unique(codes * np.int64(variants) + variant, return_inverse=True)
-    units = distinct.take(pa.array(pairs // variants))
-    raw, ends = byte_rows(units)
-    with np.errstate(over="ignore"):
-        key = hash_spans(raw, ends[:-1], ends[1:], seed) + ((pairs % variants).astype(U64) + U64(1)) * _ODD2
-    flat, lens = encode_units(m, units.to_pylist(), key, rate)
+        key = occurrence_keys(doc_key, rows, seed)
+        long = np.array([len(u) > _LONG for u in units])  # bytes: some units are encoded alone without need
+        own = np.flatnonzero(_varied(codes, key, met, long, rate))
+        del met
+        parts, sizes = [flat], [lens]
+        for i in range(0, len(own), _OWN):
+            part = own[i:i + _OWN]
+            ids, n = encode_units(m, [units[c] for c in codes[part].tolist()], key[part], rate)
+            parts.append(ids)
+            sizes.append(n)
+        codes = codes.astype(np.int64)
+        codes[own] = len(units) + np.arange(len(own))
+        flat, lens = np.concatenate(parts), np.concatenate(sizes)
     return put_together(codes, flat, np.cumsum(lens) - lens, lens, rows)
 
 
@@ -301,13 +351,13 @@ def decode_batch(m: Model, ids: np.ndarray, offs: np.ndarray) -> tuple[np.ndarra
 
 # --- the operators ------------------------------------------------------------------
 
-def _encode(path: str, rate: float, seed: int, variants: int):
+def _encode(path: str, rate: float, seed: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for batch in regroup(batches, "_ws_text", max_bytes=BATCH_BYTES):
             data, offs = byte_rows(batch.column(0))
             key = np.asarray(batch.column(1)).view(U64)
-            ids, at = encode_batch(m, data, offs, key, rate, seed, variants)
+            ids, at = encode_batch(m, data, offs, key, rate, seed)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[2:], pa.array(np.diff(at)), list_column(ids, at)],
                 names=[*batch.schema.names[2:], "_ws_n", "_ws_ids"])
@@ -315,22 +365,27 @@ def _encode(path: str, rate: float, seed: int, variants: int):
 
 
 def encode(docs: DataFrame, path: str | None = None, rate: float = DROPOUT, seed: int = SEED,
-           variants: int = VARIANTS, keep: list[str] | None = None) -> DataFrame:
+           keep: list[str] | None = None, copies: bool = False) -> DataFrame:
     """``docs`` with ``n_tokens`` and ``ids`` (array of ints) behind its columns
     (or behind those of ``keep``); an input column of one of these names is replaced.
 
     Null and empty texts have no ids (null stays null in the text column).
-    Variants are drawn by doc_id (null: 0), so repeated rows are encoded alike
-    and reruns agree. Rows are independent: nothing is shuffled.
+    Dropout is drawn by doc_id (null: 0), text and place, so rows that repeat both are
+    encoded alike and reruns agree; rows are independent, nothing is shuffled. With
+    ``copies`` such rows are numbered first (a shuffle), and each has draws of its own.
     """
     keep = docs.columns if keep is None else keep
     keep = [c for c in keep if c not in ("n_tokens", "ids")]
     packed = with_row(docs, "text", "doc_id")
     row = F.struct(*[F.col(f"_ws_row.c{docs.columns.index(c)}").alias(f"c{i}") for i, c in enumerate(keep)])
+    doc, number = [F.coalesce("doc_id", F.lit(0)), F.xxhash64("text")], F.lit(0)
+    if copies:
+        packed = packed.withColumn("_ws_doc", doc[0]).withColumn("_ws_hash", doc[1])
+        number = F.row_number().over(Window.partitionBy("_ws_doc", "_ws_hash").orderBy(F.xxhash64("_ws_row")))
     rows = packed.select(F.col("text").cast("binary").alias("_ws_text"),
-                         F.xxhash64(F.coalesce("doc_id", F.lit(0))).alias("_ws_key"), row.alias("_ws_row"))
+                         F.xxhash64(*doc, number).alias("_ws_key"), row.alias("_ws_row"))
     schema = rows.select("_ws_row").schema.add("_ws_n", "long").add("_ws_ids", T.ArrayType(T.IntegerType()))
-    done = rows.mapInArrow(_encode(path or default_model(), rate, seed, variants), schema)
+    done = rows.mapInArrow(_encode(path or default_model(), rate, seed), schema)
     return done.select(*unpack(keep), F.col("_ws_n").alias("n_tokens"), F.col("_ws_ids").alias("ids"))
 
 
