@@ -12,8 +12,10 @@ import pyarrow.compute as pc
 
 from wellspring.llm._text import gather_runs
 
-# Entries of each of the two generations that a Python worker keeps, about 200 MB in all.
-CACHE_ENTRIES = 500_000
+# What a Python worker keeps of units and their ids, by the bytes that Python's objects take.
+CACHE_BYTES = 64 << 20
+LONGEST_KEPT = 64  # bytes of a unit; longer ones seldom come again
+_OBJECTS = 66 + 100  # headers of the two bytes objects, and an entry of a dictionary
 
 
 def unit_codes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, pa.Array]:
@@ -26,29 +28,42 @@ def unit_codes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, pa.Array
 
 
 class UnitCache:
-    """Ids of units (as the bytes of 32-bit integers), remembered in a Python
-    worker. When the young generation is full it becomes the old one; what is
-    asked for again moves up, so frequent units stay."""
+    """Ids of units (as the bytes of 32-bit integers), remembered in a Python worker within a
+    budget of bytes, half of it for each of two generations. When the young one is full it becomes
+    the old one; what is asked for again moves up, so frequent units stay. Units above
+    ``LONGEST_KEPT`` bytes are never kept, so text without spaces passes through."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], entries: int = CACHE_ENTRIES):
-        self.encode, self.entries = encode, entries
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], max_bytes: int = CACHE_BYTES):
+        self.encode, self.half = encode, max_bytes // 2
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.size = 0  # of the young generation
 
     def ids(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids of all units, with each unit's start and length in them."""
         units = units.to_pylist()
         young, old = self.young, self.old
-        found = [young.get(u) or old.get(u) for u in units]
+        found = [young.get(u) for u in units]
+        for i in [i for i, f in enumerate(found) if f is None]:
+            known = old.get(units[i])
+            if known is not None:
+                found[i] = known
+                self._keep(units[i], known)
         gaps = [i for i, f in enumerate(found) if f is None]
         for i, f in zip(gaps, self.encode([units[i] for i in gaps]), strict=True):
             found[i] = f
-        if len(young) + len(units) > self.entries:
-            self.old, self.young = young, {}
-        self.young.update(zip(units, found, strict=True))
+            if len(units[i]) <= LONGEST_KEPT:
+                self._keep(units[i], f)
         lens = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return np.frombuffer(b"".join(found), np.int32), np.cumsum(lens) - lens, lens
 
+    def _keep(self, unit: bytes, ids: bytes) -> None:
+        size = len(unit) + len(ids) + _OBJECTS
+        if self.size + size > self.half:
+            self.old, self.young, self.size = self.young, {}, 0
+        self.young[unit] = ids
+        self.size += size
+
 
 def put_together(codes: np.ndarray, flat: np.ndarray, starts: np.ndarray, lens: np.ndarray,
                  rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

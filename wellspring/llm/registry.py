@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wellspring.llm.byte_bpe import op13_byte_bpe
 from wellspring.llm.chat import op4_chat_format
 from wellspring.llm.hnsw import op6_nearest_neighbours
 from wellspring.llm.mixing import op2_mix_sources
@@ -14,5 +15,5 @@ from wellspring.llm.token_files import op9_token_files
 from wellspring.llm.toxicity import op5_toxicity
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op4_chat_format, op5_toxicity, op6_nearest_neighbours, op7_simhash_near_dedup,
-                                   op8_quality_classifier, op9_token_files, op10_quality_rules)}
+                                   op8_quality_classifier, op9_token_files, op10_quality_rules, op13_byte_bpe)}
 ORACLE: dict[str, str] = {}
