@@ -19,6 +19,7 @@ that are no UTF-8 (of cut lists of ids) become U+FFFD in a string, and stay as t
 from __future__ import annotations
 
 import base64
+import functools
 import os
 from collections.abc import Iterable, Iterator
 
@@ -32,7 +33,8 @@ from wellspring.llm._stage import table, take, unpack, with_row
 from wellspring.llm._text import byte_rows, gather_runs, regroup
 from wellspring.llm._units import UnitCache, by_items, list_column, put_together, unit_codes
 
-BATCH_BYTES = 3 << 20  # of text encoded at once: a worker holds about 40 times that
+BATCH_BYTES = 2 << 20  # of text encoded at once: a worker holds about 40 times that
+_CALL = 2000  # units in a call of the library, whose answers are large objects
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _PRINTING = np.zeros(256, bool)  # an ASCII character that is surely no white space
@@ -59,36 +61,42 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Model:
-    """A rank file as the library's tokenizer, and its byte strings for decoding."""
+    """A rank file: its byte strings for decoding and, made when a text is first encoded, the library's tokenizer."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        from tokenizers import Tokenizer, models, pre_tokenizers
-        ranks, to_char = read_ranks(path), byte_table()
+        ranks = read_ranks(path)
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError(f"{path} has no rank for some single bytes")
-
-        def chars(token: bytes) -> str:
-            return "".join([to_char[b] for b in token])
-
-        merges = [(rank, k, token) for token, rank in ranks.items() for k in range(1, len(token))
-                  if token[:k] in ranks and token[k:] in ranks]
-        merges.sort()
-        vocab = {chars(token): rank for token, rank in ranks.items()}
-        self.tokenizer = Tokenizer(models.BPE(
-            vocab=vocab, merges=[(chars(t[:k]), chars(t[k:])) for _, k, t in merges], ignore_merges=True))
-        self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
-        self.cache = UnitCache(self._encode)
+        self.path, self.cache = path, UnitCache(self._encode)
+        to_char = byte_table()
         to_byte = {c: b for b, c in enumerate(to_char)}
-        shown = dict.fromkeys(range(max(ranks.values()) + 1), "") | {i: c for c, i in vocab.items()}
+        shown = [""] * (max(ranks.values()) + 1)  # the vocabulary, in the characters of the byte table
+        for token, rank in ranks.items():
+            shown[rank] = "".join([to_char[b] for b in token])
         self.size = len(shown)
-        self.length = np.fromiter((len(shown[i]) for i in range(self.size)), np.int64, self.size)
+        self.length = np.fromiter(map(len, shown), np.int64, self.size)
         self.start = np.cumsum(self.length) - self.length
-        self.flat = np.frombuffer(bytes([to_byte[c] for i in range(self.size) for c in shown[i]]), np.uint8)
+        self.flat = np.frombuffer(bytes([to_byte[c] for s in shown for c in s]), np.uint8)
+
+    @functools.cached_property
+    def tokenizer(self):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        from tokenizers import Tokenizer, models, pre_tokenizers
+        ranks, to_char = read_ranks(self.path), byte_table()
+        vocab = {"".join([to_char[b] for b in token]): rank for token, rank in ranks.items()}
+        merges = [(rank, k, s) for s, rank in vocab.items() for k in range(1, len(s)) if s[:k] in vocab and s[k:] in vocab]
+        merges.sort()
+        made = Tokenizer(models.BPE(vocab=vocab, merges=[(s[:k], s[k:]) for _, k, s in merges], ignore_merges=True))
+        made.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+        return made
 
     def _encode(self, units: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)
-        return [np.array(f.ids, np.int32).tobytes() for f in found]
+        out: list[bytes] = []
+        for i in range(0, len(units), _CALL):
+            part = [u.decode() for u in units[i:i + _CALL]]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            out += [np.array(f.ids, np.int32).tobytes() for f in found]
+        return out
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a batch's texts, and the texts' offsets in them."""
@@ -179,7 +187,7 @@ def _places(df: DataFrame, keep: list[str]) -> list[int]:
 def _decode(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for batch in by_items(batches, 0):
+        for batch in by_items(batches, 0, 250_000):
             lists = batch.column(0)
             offs = np.asarray(lists.offsets).astype(np.int64)
             ids = np.asarray(lists.flatten().fill_null(-1))
