@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wellspring.operators.heavy import heavy_keys
+
 
 def semi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None,
               hot: dict | list | None = None, row_key: list[str] | None = None) -> DataFrame:
@@ -57,48 +59,21 @@ def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | No
     return joined.filter(keep).select(*left.columns)
 
 
-def hot_keys_by(df: DataFrame, keys: list[str], min_share: float = 0.01, fraction: float = 0.001,
-                min_hits: int = 5, seed: int = 7) -> dict[str, dict]:
-    """For each column in ``keys``, the values holding at least ``min_share``
-    of the rows of ``df`` with their estimated share, from one sample.
-
-    A value must reach ``min_share`` of the sampled rows and at least
-    ``min_hits`` sampled rows (so sampling noise on small inputs flags
-    nothing). One aggregation over the sample counts every column (one
-    grouping set per column) and the sample size (the empty grouping set);
-    since at most ``1 / min_share`` values per column can pass, all of them
-    are among the ``len(keys) / min_share + 1`` largest counts, which is all
-    that reaches the driver. NULL is a value like others here (None): its rows
-    pile up in one task of a left join.
-
-    The sample only steers the plan; no row is ever dropped. ``fraction`` sets
-    how sure a hot value is found (a value just at ``min_share`` of a million
-    rows has about 10 sampled rows), ``min_hits`` keeps chance from
-    salting the joins of small tables, where a plain join is as good, and
-    ``min_share`` is the share from which a value would outgrow its task.
-    """
-    sample = df.select(*keys).sample(fraction=fraction, seed=seed)
-    flags = [F.grouping(k).alias("_ws_g_" + k) for k in keys]
-    counts = sample.groupingSets([[k] for k in keys] + [[]], *keys).agg(
-        F.count(F.lit(1)).alias("_ws_n"), *flags)
-    top = counts.orderBy(F.desc("_ws_n")).limit(len(keys) * int(1 / min_share) + 1).collect()
-    total = next((r["_ws_n"] for r in top if all(r["_ws_g_" + k] == 1 for k in keys)), 0)
-    threshold = max(total * min_share, min_hits)
-    found: dict[str, dict] = {k: {} for k in keys}
-    for row in top:
-        if row["_ws_n"] < threshold:
-            continue
-        for k in keys:
-            if row["_ws_g_" + k] == 0:
-                found[k][row[k]] = row["_ws_n"] / total
-    return found
-
-
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction: float = 0.001,
-             min_hits: int = 5, seed: int = 7) -> dict:
-    """The values of one column holding at least ``min_share`` of the rows,
-    with their estimated shares (see ``hot_keys_by``)."""
-    return hot_keys_by(df, [key], min_share, fraction, min_hits, seed)[key]
+# A value with fewer rows than this is never cut: its task is small anyhow.
+MIN_ROWS = 5000
+
+
+def hot_keys_by(df: DataFrame, keys: list[str], min_share: float = 0.01, min_hits: int = MIN_ROWS) -> dict[str, dict]:
+    """For each column in ``keys``, the values holding at least ``min_share`` of the rows of ``df`` and at least
+    ``min_hits`` rows, with their share (``heavy_keys``): found on all rows, so none is missed, in one scan that
+    an application makes once for the same rows and columns. NULL is a value like others here
+    (None): its rows pile up in one task of a left join. What is found only steers the plan."""
+    return heavy_keys(df, keys, min_share, min_hits)
+
+
+def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, min_hits: int = MIN_ROWS) -> dict:
+    """The values of one column holding at least ``min_share`` of the rows, with their shares (see ``hot_keys_by``)."""
+    return hot_keys_by(df, [key], min_share, min_hits)[key]
 
 
 def salt_counts(spark, hot: dict | list, salts: int | None = None) -> dict:
@@ -134,7 +109,7 @@ def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
     they have no match, so nothing is repeated for them.
 
     ``hot`` may be given (``{value: share}`` or a list of values, found on
-    an input scan); otherwise it is sampled from ``fact``. ``how`` is
+    an input scan); otherwise it is found on ``fact`` (``hot_keys``). ``how`` is
     ``inner`` or ``left`` (fact rows kept).
     """
     return skew_join_chain(fact, key, [(dim, how)], salts, min_share, hot, row_key)

@@ -60,7 +60,7 @@ def located_sources(visits: DataFrame, sources: DataFrame, pollution: DataFrame,
     ``visits ⋈ sources ⟕ pollution`` equals ``visits ⋈ (sources ⟕ pollution)``
     because both joins use the visit's source_id; written as one salted chain
     on source_id, the visits are shuffled once for both. Hot values of both
-    keys are found in one sampled scan of the visits, before any join.
+    keys are found in one scan of the visits, before any join.
     """
     hot = hot_keys_by(visits, ["source_id", "location_id"])
     by_source = skew_join_chain(visits, "source_id",

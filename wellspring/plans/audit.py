@@ -5,12 +5,12 @@ Inputs (columns used):
 * auditor report: location_id, type_of_water_source, true_water_source_score, statements
 * visits: location_id, record_id, assigned_employee_id, source_id, visit_count,
   and subjective_quality_score unless a separate quality table is given
-* quality (optional): record_id, subjective_quality_score
+* quality (optional): record_id, subjective_quality_score, and visit_count if it is to be pruned
 * employee: assigned_employee_id, employee_name
 
 The auditor visited each site once while surveyors came back several times,
 so every comparison keeps first visits only, and that filter is applied to
-the visits before any join (it reaches the Parquet scan).
+the visits and to their scores before any join (it reaches both Parquet scans).
 """
 
 from __future__ import annotations
@@ -27,10 +27,16 @@ KEYWORD = "cash"
 
 def audit_pairs(auditor: DataFrame, visits: DataFrame, quality: DataFrame | None = None,
                 first_visit_only: bool = True, hot_sites: dict | list | None = None) -> DataFrame:
-    """Auditor rows joined to the surveyors' visits of the same site."""
+    """Auditor rows joined to the surveyors' visits of the same site.
+
+    A quality row belongs to the visit of its record id and carries that visit's count, as the survey's
+    table does, so first visits are filtered on both sides before their join. A quality table without the column
+    is joined whole."""
     v = visits
     if first_visit_only:
         v = v.filter(F.col("visit_count") == 1)
+        if quality is not None and "visit_count" in quality.columns:
+            quality = quality.filter(F.col("visit_count") == 1)
     if quality is not None:
         v = v.drop("subjective_quality_score").join(
             quality.select("record_id", "subjective_quality_score"), "record_id")
@@ -72,7 +78,7 @@ def with_survey_source(pairs: DataFrame, sources: DataFrame, hot: dict | list |
 def with_employee(pairs: DataFrame, employee: DataFrame, hot: dict | list | None = None) -> DataFrame:
     """Attach employee names; an employee with a large share of the pairs
     is split over several tasks. ``hot`` (ids found on an input scan) saves
-    sampling the joined pairs."""
+    scanning the joined pairs for them."""
     e = employee.select("assigned_employee_id", "employee_name")
     return skew_join(pairs, e, "assigned_employee_id", hot=hot, row_key=["record_id"])
 

@@ -2,8 +2,8 @@
 
 A user who works in SQL registers the survey tables once and keeps writing
 SQL: ``combined_analysis_table`` and ``Incorrect_records`` are the survey's
-two views, built by the same DataFrame jobs as everything else, and
-``water_quality`` is exposed when the quality score travels with the visit.
+two views, built by the same DataFrame jobs as everything else. ``water_quality`` is
+one of the tables; a survey without one gets it from the scores on its visits.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from wellspring.plans import access, audit
 from wellspring.sources import Tables
 from wellspring.sources import roles as R
 
-BASE = ["location", "visits", "water_source", "well_pollution", "employee", "auditor_report", "queue_log"]
+BASE = ["location", "visits", "water_source", "well_pollution", "employee", "auditor_report", "queue_log",
+        "water_quality"]
 
 
 def role_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

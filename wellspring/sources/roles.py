@@ -27,8 +27,8 @@ visits             lineitem                                   record_id=l_orderk
                                                               time_in_queue=floor(l_quantity),
                                                               subjective_quality_score=l_linestatus
 water_quality      lineitem                                   record_id as in visits,
-                                                              subjective_quality_score=min(l_linestatus),
-                                                              visit_count=l_linenumber, one row per record_id
+                                                              visit_count=l_linenumber, one row per record_id,
+                                                              subjective_quality_score=min(l_linestatus)
 employee           supplier                                   assigned_employee_id=s_suppkey,
                                                               employee_name=s_name, town_name as above
 auditor_report     orders                                     location_id=o_orderkey,
@@ -131,7 +131,7 @@ def location(t: Tables, hot: dict | list | None = None) -> DataFrame:
 
     The orders-to-customer join goes through ``skew_join``: a customer with
     a large share of the orders is spread over several tasks. ``hot`` are
-    the hot customers, if known (found in a sample otherwise).
+    the hot customers, if known (found on all orders otherwise).
     """
     orders = t.orders.select("o_orderkey", "o_custkey")
     return (skew_join(orders, placed_customers(t), "o_custkey", hot=hot)
@@ -141,7 +141,7 @@ def location(t: Tables, hot: dict | list | None = None) -> DataFrame:
 def located_customers(t: Tables) -> DataFrame:
     """Customers that have orders, with their place and, as ``sites``, how many: the
     locations, counted before their join. A customer with a third of the orders
-    is one row here, so counts of locations need neither salt nor a sample."""
+    is one row here, so counts of locations need no salt."""
     sites = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("sites"))
     return sites.join(placed_customers(t), "o_custkey")
 
@@ -182,10 +182,12 @@ def visits(t: Tables) -> DataFrame:
 
 def water_quality(t: Tables) -> DataFrame:
     """One score per record id, as the survey keeps it apart from the visits (the test
-    data repeat some ids: the smallest score counts)."""
+    data repeat some ids: the smallest score counts). The id holds the line number, which is grouped by
+    as it stands, so that a filter on the visit count reaches the scan."""
     record = (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("record_id")
-    return t.lineitem.groupBy(record).agg(F.min("l_linestatus").alias("subjective_quality_score"),
-                                          F.min("l_linenumber").alias("visit_count"))
+    return (t.lineitem.groupBy(record, F.col("l_linenumber").alias("visit_count"))
+            .agg(F.min("l_linestatus").alias("subjective_quality_score"))
+            .select("record_id", "subjective_quality_score", "visit_count"))
 
 
 def employee(t: Tables) -> DataFrame:
