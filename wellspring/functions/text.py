@@ -23,3 +23,18 @@ def byte_length(text: Column) -> Column:
 def mentions(text: Column, word: str) -> Column:
     """Case-insensitive substring test, ``LOWER(text) LIKE '%word%'``."""
     return F.lower(text).contains(word.lower())
+
+
+# The collation of text that is compared without regard to case.
+CASE_BLIND = "UTF8_LCASE"
+
+
+def case_blind(text: Column | str) -> Column:
+    """``text`` compared like in the survey's server: ``=``, ``IN``, ``LIKE``, ``GROUP BY`` and joins on it don't tell
+    upper from lower case. The text itself stays as it is."""
+    return F.collate(F.col(text) if isinstance(text, str) else text, CASE_BLIND)
+
+
+def plain(text: Column | str) -> Column:
+    """``text`` without a collation, compared by its bytes."""
+    return F.collate(F.col(text) if isinstance(text, str) else text, "UTF8_BINARY")

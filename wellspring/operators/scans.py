@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from wellspring.session import table_path
@@ -54,18 +55,45 @@ def _folder(df_or_spark, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def append_batch(df: DataFrame, path: str, partition: str, value: str, batch: str) -> None:
-    """Append ``df`` to the table at ``path`` as one batch of a partition.
-
-    Each batch is a folder of its own, ``<partition>=<value>/batch=<id>``: other
-    batches of the same partition stay, a batch that is already there whole
-    (``_SUCCESS``) is not written again, and one that a lost driver left
-    half-written is replaced.
+def publish_folder(spark: SparkSession, written: str, target: str) -> bool:
+    """Move the folder ``written`` to ``target`` by one rename that fails if the target is there: of several drivers that
+    publish the same target, one wins, and readers see either nothing or a whole folder. The loser's folder is deleted.
+    (The store's rename must be atomic, as on HDFS and local disks; an object store needs a committer of its own.)"""
+    jvm = spark._jvm
+    source, place = jvm.org.apache.hadoop.fs.Path(written), jvm.org.apache.hadoop.fs.Path(target)
+    conf = spark._jsc.hadoopConfiguration()
+    store = source.getFileSystem(conf)
+    store.mkdirs(place.getParent())
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(store.getUri(), conf)
+    none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        files.rename(source, place, none)
+    except Py4JJavaError:
+        store.delete(source, True)
+        if not store.exists(place):  # it wasn't another driver's folder that stood in the way
+            raise
+        return False
+    return True
+
+
+def append_batch(df: DataFrame, path: str, partition: str, value: str, batch: str) -> bool:
+    """Append ``df`` to the table at ``path`` as one batch of a partition; False if the batch was there already.
+
+    Each batch is a folder of its own, ``<partition>=<value>/batch=<id>``. It is written to an attempt's own folder
+    (hidden from readers) and then moved to its name by one rename (``publish_folder``): a driver that is lost on the way
+    leaves nothing that a reader sees, and two drivers that publish the same batch leave it once. A folder of that name
+    without its ``_SUCCESS`` file, which this doesn't leave, counts as half-written and is moved aside.
     """
+    spark = df.sparkSession
     target = f"{path}/{partition}={value}/batch={batch}"
-    store, done = _folder(df, target + "/_SUCCESS")
-    if not store.exists(done):
-        df.write.mode("overwrite").parquet(target)
+    store, place = _folder(df, target)
+    if store.exists(place):
+        if store.exists(_folder(df, target + "/_SUCCESS")[1]):
+            return False
+        publish_folder(spark, target, f"{path}/_attempts/{uuid.uuid4().hex}")  # half-written, by other means: aside
+    attempt = f"{path}/_attempts/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(attempt)
+    return publish_folder(spark, attempt, target)
 
 
 def drop_table(spark: SparkSession, path: str) -> bool:

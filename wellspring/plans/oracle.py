@@ -459,3 +459,25 @@ ORACLE: dict[str, str] = {
     from (select *, coalesce(Source_status, 'Backlog') as st from orders) o
     group by rollup (province_name, town_name)""", [("orders", ORDERS)]),
 }
+
+# Other plans for questions that have their SQL above.
+ORACLE |= {
+    "combined_view_bucketed": ORACLE["combined_view"],
+    "audit_match_bucketed": ORACLE["audit_match_first"],
+    "town_access_refresh": ORACLE["town_access_mat"],
+    "correct_rows_partial": ORACLE["correct_rows"],
+    "lookup_clustered": with_roles(["visits"], "select * from visits where location_id = 42"),
+    "filter_case_blind": with_roles(["auditor_report"], """
+    select location_id, type_of_water_source, statements from auditor_report
+    where lower(statements) in ('1-urgent', '2-high', '5-low') or statements ilike '4-not spec%'"""),
+    "join_case_blind": with_roles(["auditor_report", "water_source"], """
+    select p.type_of_water_source, a.typed, a.reports, p.total_people_served
+    from (select type_of_water_source, cast(sum(number_of_people_served) as bigint) as total_people_served
+          from water_source group by 1) p
+    join (select upper(type_of_water_source) as typed, count(*) as reports from auditor_report group by 1) a
+      on lower(a.typed) = lower(p.type_of_water_source)"""),
+    "group_case_blind": with_roles(["auditor_report"], """
+    select min(statements) as statements, count(*) as n, count(distinct statements) as spellings
+    from (select statements from auditor_report union all select lower(statements) from auditor_report) s
+    group by lower(statements)"""),
+}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspring.functions import percent
-from wellspring.operators import row_number_within, top_n_within
+from wellspring.operators import row_number_within, running_totals, top_n_within
 
 TYPE = "type_of_water_source"
 PEOPLE = "number_of_people_served"
@@ -96,11 +96,39 @@ def ranked_sources(sources: DataFrame) -> DataFrame:
     return ranked.withColumn("source_rank", F.col("source_rank").cast("bigint"))
 
 
+MOST_PICKS = 64
+
+
 def pick_ranked(sources: DataFrame, source_ids: Sequence) -> DataFrame:
     """Rank inside type of the listed sources only, ranks counted among all
-    sources of the type (the filter must not narrow the ranking)."""
-    ranked = ranked_sources(sources).filter(F.col("source_id").isin(list(source_ids)))
-    return ranked.orderBy(F.asc(TYPE), F.desc("source_rank"))
+    sources of the type (the filter must not narrow the ranking).
+
+    No ranking is sorted or stored: one aggregation counts the sources per type, people served and place of the id
+    between the listed ones, and running totals over those few counts give how many come before each listed
+    source. Beyond ``MOST_PICKS`` ids the whole ranking is made and filtered, as comparing every row
+    with every listed id would cost more.
+    """
+    picked = sorted({i for i in source_ids if i is not None})
+    if len(picked) > MOST_PICKS:
+        ranked = ranked_sources(sources).filter(F.col("source_id").isin(picked))
+        return ranked.orderBy(F.asc(TYPE), F.desc("source_rank"))
+    of_type = sources.schema["source_id"].dataType
+    listed = F.col("source_id").isin(picked)
+    # an odd cell is a listed id, an even one lies between two of them; ids that are NULL come first
+    below = sum(((F.col("source_id") > F.lit(i).cast(of_type)).cast("int") for i in picked), F.lit(0))
+    cell = F.coalesce(2 * below + listed.cast("int"), F.lit(-1))
+    counts = sources.groupBy(TYPE, PEOPLE, cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    before = running_totals(counts, [TYPE], [F.desc(PEOPLE), "cell"], "n", "before", "rank_counts")
+    before = before.filter(F.col("cell") % 2 == 1).select(
+        F.col(TYPE).alias("_ws_type"), F.col(PEOPLE).alias("_ws_people"), F.col("cell").alias("_ws_cell"), "before")
+    rows = sources.filter(listed).withColumn("_ws_of", cell)
+    alike = Window.partitionBy("_ws_of", TYPE, PEOPLE).orderBy("source_id")  # rows that repeat a listed id
+    rows = rows.withColumn("_ws_nth", F.row_number().over(alike))
+    same = (F.col("_ws_of") == F.col("_ws_cell")) & F.col(TYPE).eqNullSafe(F.col("_ws_type")) \
+        & F.col(PEOPLE).eqNullSafe(F.col("_ws_people"))
+    ranked = rows.join(before, same).withColumn("source_rank", F.col("before") + F.col("_ws_nth"))
+    return (ranked.select(*sources.columns, F.col("source_rank").cast("bigint"))
+            .orderBy(F.asc(TYPE), F.desc("source_rank")))
 
 
 def top_sources_per_type(sources: DataFrame, n: int = 10) -> DataFrame:

@@ -14,12 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspring.functions import byte_length
+from wellspring.functions import byte_length, case_blind, plain
 from wellspring.operators import hot_keys_by, preview, skew_join, snapshot
-from wellspring.plans import access, audit, clean, profile, queues, workorders
+from wellspring.operators.scans import fresh_path
+from wellspring.plans import access, audit, clean, profile, queues, stored, upkeep, workorders
 from wellspring.session import table_path
 from wellspring.sources import Tables
 from wellspring.sources import roles as R
+from wellspring.sources.clustered import lookup, write_clustered
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +34,8 @@ RANKED_PICKS = [3, 58, 101, 144, 199]
 LOOKUP_LOCATION = 42
 TOP_N = 10
 STATEMENT_KEYWORD = "urgent"
+BATCH_ENDS = "1996-01-01"  # visits from this day on are a batch of their own
+PARTITIONS = 16  # of the pollution table that is corrected in place
 
 
 def register(key: str):
@@ -471,3 +475,81 @@ def work_orders_violations(spark, d):
 @register("progress_rollup")
 def progress_rollup(spark, d):
     return workorders.progress_rollup(_published(spark, d))
+
+
+# --- co-partitioned storage, upkeep, layout ------------------------------------------------
+
+@register("combined_view_bucketed")
+def combined_view_bucketed(spark, d):
+    t = _t(spark, d)
+    kept = stored.store_by_source(R.visits(t), R.water_source(t), R.well_pollution(t))
+    return stored.combined_view(kept, R.location(t))
+
+
+@register("audit_match_bucketed")
+def audit_match_bucketed(spark, d):
+    t = _t(spark, d)
+    kept = stored.store_by_record(R.visits(t), R.water_quality(t).select("record_id", "subjective_quality_score"))
+    pairs = stored.audit_pairs(kept, R.auditor_report(t))
+    return audit.agreeing(pairs).select("location_id", "record_id", "auditor_score", "surveyor_score")
+
+
+@register("town_access_refresh")
+def town_access_refresh(spark, d):
+    """Two batches of visits, added one after the other; each is read once and only its sums are kept."""
+    t = _t(spark, d)
+    path = fresh_path(t.region, "town_access_sums", temporary=True)
+    later = F.col("time_of_record") >= F.lit(BATCH_ENDS).cast("timestamp_ntz")
+    for batch, own in (("before", ~later | F.col("time_of_record").isNull()), ("after", later)):
+        view = access.combined_view(R.visits(t).filter(own), R.well_pollution(t), R.location(t), R.water_source(t))
+        upkeep.add_batch(view, path, batch)
+    return upkeep.stored_shares(spark, path)
+
+
+@register("correct_rows_partial")
+def correct_rows_partial(spark, d):
+    pollution = R.well_pollution(_t(spark, d))
+    path = fresh_path(pollution, "well_pollution", temporary=True)
+    upkeep.store_partitioned(pollution.withColumn("part", F.pmod("source_id", F.lit(PARTITIONS))), path, "part")
+    upkeep.correct_partial(spark, path, clean.corrections(), "part")
+    return spark.read.parquet(path).select(*pollution.columns)
+
+
+@register("lookup_clustered")
+def lookup_clustered(spark, d):
+    visits = R.visits(_t(spark, d))
+    path = fresh_path(visits, "visits_by_site", temporary=True)
+    write_clustered(visits, path, "location_id")
+    return lookup(spark, path, "location_id", [LOOKUP_LOCATION])
+
+
+# --- comparison without regard to case, as in the survey's server ---------------------------------
+
+@register("filter_case_blind")
+def filter_case_blind(spark, d):
+    said = case_blind("statements")
+    rows = R.auditor_report(_t(spark, d)).filter(
+        (said == "1-urgent") | said.isin("2-High", "5-lOW") | said.like("4-not spec%"))
+    return rows.select("location_id", "type_of_water_source", "statements")
+
+
+@register("join_case_blind")
+def join_case_blind(spark, d):
+    """Source types that were typed in another case still find their sources."""
+    t = _t(spark, d)
+    typed = R.auditor_report(t).groupBy(F.upper("type_of_water_source").alias("typed")).agg(
+        F.count(F.lit(1)).alias("reports"))
+    totals = profile.people_by_type(R.water_source(t))
+    same = case_blind("typed") == case_blind("type_of_water_source")
+    return totals.join(typed, same).select("type_of_water_source", "typed", "reports", "total_people_served")
+
+
+@register("group_case_blind")
+def group_case_blind(spark, d):
+    """Statements counted without regard to case; each group shows its first spelling by bytes."""
+    t = _t(spark, d)
+    said = R.auditor_report(t).select("statements")
+    both = said.unionAll(said.select(F.lower("statements").alias("statements")))
+    return (both.groupBy(case_blind("statements").alias("_ws_key"))
+            .agg(F.min(plain("statements")).alias("statements"), F.count(F.lit(1)).alias("n"),
+                 F.count_distinct(plain("statements")).alias("spellings")).drop("_ws_key"))

@@ -162,14 +162,21 @@ def publish_work_orders(orders: DataFrame, sources: DataFrame, run_date: str | N
 def progress_rollup(orders: DataFrame) -> DataFrame:
     """Order counts and status mix at national, province and town level.
 
-    ``level`` is the grouping id: 0 = town, 1 = province, 3 = national.
+    ``level`` is the grouping id: 0 = town, 1 = province, 3 = national. The orders are counted once, per town; provinces
+    and the country add up those few rows (a roll-up over the orders would read each of them three times).
     """
     st = F.coalesce(F.col("Source_status"), F.lit(BACKLOG))
-    return orders.rollup("province_name", "town_name").agg(
-        F.count(F.lit(1)).alias("work_orders"),
-        F.count_if(st == COMPLETE).cast("bigint").alias("complete"),
-        F.count_if(st == IN_PROGRESS).cast("bigint").alias("in_progress"),
-        F.count_if(st == BACKLOG).cast("bigint").alias("backlog"),
-        percent(F.count_if(st == COMPLETE), F.count(F.lit(1)), 2).alias("pct_complete"),
-        F.grouping_id().cast("bigint").alias("level"),
-    )
+    towns = orders.groupBy("province_name", "town_name").agg(
+        F.count(F.lit(1)).alias("_ws_orders"),
+        F.count_if(st == COMPLETE).cast("bigint").alias("_ws_complete"),
+        F.count_if(st == IN_PROGRESS).cast("bigint").alias("_ws_progress"),
+        F.count_if(st == BACKLOG).cast("bigint").alias("_ws_backlog"))
+
+    def total(c: str) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+    return towns.rollup("province_name", "town_name").agg(
+        total("_ws_orders").alias("work_orders"), total("_ws_complete").alias("complete"),
+        total("_ws_progress").alias("in_progress"), total("_ws_backlog").alias("backlog"),
+        percent(total("_ws_complete"), total("_ws_orders"), 2).alias("pct_complete"),
+        F.grouping_id().cast("bigint").alias("level"))
