@@ -76,16 +76,16 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, min_hits: int = M
     return hot_keys_by(df, [key], min_share, min_hits)[key]
 
 
-def salt_counts(spark, hot: dict | list, salts: int | None = None) -> dict:
+def salt_counts(spark, hot: dict | list, salts: int | None = None, parts: int | None = None) -> dict:
     """How many pieces each hot value is cut into.
 
     A value with share ``s`` of the rows is cut into ``8 * s * P`` pieces
-    (``P`` = shuffle partitions), so each piece is about an eighth of an
+    (``P`` = ``parts``, by default the shuffle partitions), so each piece is about an eighth of an
     average partition however hot the value is, and partitions stay even
     though hashing deals several pieces to some. A plain list of values
     (share unknown) gets ``salts`` pieces each, by default ``P``.
     """
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if isinstance(hot, dict):
         return {v: max(2, math.ceil(8 * share * parts)) for v, share in hot.items()}
     return {v: max(2, salts or parts) for v in hot}

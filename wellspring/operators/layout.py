@@ -51,11 +51,12 @@ class Layout:
 
 def layout_for(fact: DataFrame, key: str, buckets: int | None = None, min_share: float = 0.01,
                hot: dict | None = None) -> Layout:
-    """A layout for ``fact``: as many buckets as shuffle partitions, heavy keys cut in proportion to their shares."""
+    """A layout for ``fact``: as many buckets as shuffle partitions, heavy keys cut in proportion to their shares. The
+    pieces are a quarter of those of a shuffled join: buckets stay as they are written, so they had better be even."""
     spark = fact.sparkSession
     hot = heavy_keys(fact, [key], min_share, min_rows=2)[key] if hot is None else hot
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return Layout(key, buckets, salt_counts(spark, hot))
+    return Layout(key, buckets, {v: 4 * n for v, n in salt_counts(spark, hot, parts=buckets).items()})
 
 
 def _save(df: DataFrame, name: str, layout: Layout) -> str:
