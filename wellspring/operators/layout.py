@@ -41,7 +41,7 @@ class Layout:
         return F.when(F.col(self.key).isNull(), F.lit(self.pieces.get(None, 1))).otherwise(F.coalesce(found, F.lit(1)))
 
     def to_json(self) -> str:
-        return json.dumps({"key": self.key, "buckets": self.buckets, "pieces": list(self.pieces.items())})
+        return json.dumps({"key": self.key, "buckets": self.buckets, "pieces": list(self.pieces.items())}, default=str)
 
     @classmethod
     def from_json(cls, text: str) -> Layout:
