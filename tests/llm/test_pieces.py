@@ -27,7 +27,7 @@ def run(m, texts, rate=0.0, seed=1, variants=4):
     raw = [t.encode() for t in texts]
     offs = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
     data = np.frombuffer(b"".join(raw), np.uint8)
-    ids, at = P.encode_batch(m, data, offs, np.arange(len(texts)).astype(np.uint64), rate, seed, variants)
+    ids, at = P.encode_batch(m, data, offs, np.arange(len(texts)).astype(np.uint64), rate, seed)
     out, back = P.decode_batch(m, ids, at)
     assert [out[a:b].tobytes().decode() for a, b in zip(back[:-1], back[1:], strict=True)] == texts
     return [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
@@ -50,7 +50,7 @@ def brute(m, text, key, rate):
             piece = m.pairs.get((a, b))
             if piece is None or (i, a, b) in gone:
                 continue
-            if rate and P._dropped(np.array([key], np.uint64), np.array([i]), np.array([a]), np.array([b]), rate)[0]:
+            if rate and P._skipped(np.array([key], np.uint64) ^ P._candidate(np.array([i]), np.array([a]), np.array([b])), rate)[0]:
                 gone.add((i, a, b))
                 continue
             cand.append((int(m.priority[piece]), i, j, piece))

@@ -151,11 +151,6 @@ class Model:
         return out.astype(np.int32), np.diff(total)
 
 
-def _dropped(key: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray, rate: float) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return _skipped(key ^ _candidate(place, left, right), rate)
-
-
 def _candidate(place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return (place.astype(U64) * _ODD1) ^ ((left.astype(U64) << U64(21) | right.astype(U64)) * _ODD2)
@@ -169,47 +164,57 @@ def _skipped(h: np.ndarray, rate: float) -> np.ndarray:
 def _merge_matrix(m: Model, symbols: np.ndarray, key: np.ndarray, rate: float,
                   met: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Agenda processing of units with equally many symbols (a row each): every
-    round merges the best pair of each row. Returns the matrix and the rows' lengths;
-    ``met`` gets the candidates, as arrays of rows and of ``_candidate``."""
+    round merges the best pair of each row. Symbols stay in their places, linked to the next and the one before, so a
+    merge touches three of them. Returns the merged symbols of all rows, one row's behind the other's, and the rows'
+    lengths; ``met`` gets the candidates, as arrays of rows and of ``_candidate``."""
     n, width = symbols.shape
-    size = np.full(n, width)
-    place = np.broadcast_to(np.arange(width), (n, width)).copy()
-    made = np.full((n, width), -1, np.int32)
+    value = np.ascontiguousarray(symbols).reshape(-1).copy()
+    place = np.arange(n * width)
+    column = place % width
+    after = np.where(column < width - 1, place + 1, -1)
+    before = np.where(column > 0, place - 1, -1)
+    made = np.full(n * width, -1, np.int32)
     best = np.full((n, width), _NONE, np.int32)
+    flat = best.reshape(-1)
+
+    def propose(at: np.ndarray) -> None:
+        """The pairs of the symbols ``at`` and those behind them become candidates, or none."""
+        left, right = value[at], value[after[at]]
+        piece = m.joined(left, right)
+        own = np.flatnonzero(piece >= 0)
+        flat[at] = _NONE
+        if not len(own):
+            return
+        at, piece, row = at[own], piece[own], at[own] // width
+        rank = m.priority[piece]
+        if rate > 0 or met is not None:
+            which = _candidate(column[at], left[own], right[own])
+            if met is not None:
+                met.append((row, which))
+            if rate > 0:
+                rank = np.where(_skipped(key[row] ^ which, rate), _NONE, rank)
+        made[at], flat[at] = piece, rank
+
     if width > 1:
-        rows, cols = np.divmod(np.arange(n * (width - 1)), width - 1)
-        _propose(m, symbols, place, made, best, key, rows, cols, rate, met)
+        propose(np.flatnonzero(after >= 0))
     alive = np.arange(n)
     while len(alive):
-        at = np.argmin(best[alive], axis=1)
-        go = best[alive, at] < _NONE
+        of = best if len(alive) == n else best[alive]
+        at = alive * width + np.argmin(of, axis=1)
+        go = flat[at] < _NONE
         alive, at = alive[go], at[go]
         if not len(alive):
             break
-        symbols[alive, at] = made[alive, at]
-        cols = np.arange(width)
-        src = np.minimum(cols[None, :] + (cols[None, :] > at[:, None]), width - 1)  # close the gap
-        for x in (symbols, place, made, best):
-            x[alive] = np.take_along_axis(x[alive], src, axis=1)
-        size[alive] -= 1
-        last = size[alive] - 1
-        made[alive, last], best[alive, last] = -1, _NONE
-        right, left = at < last, at > 0
-        _propose(m, symbols, place, made, best, key, alive[right], at[right], rate, met)
-        _propose(m, symbols, place, made, best, key, alive[left], at[left] - 1, rate, met)
-    return symbols, size
-
-
-def _propose(m, symbols, place, made, best, key, rows, cols, rate, met) -> None:
-    left, right = symbols[rows, cols], symbols[rows, cols + 1]
-    piece = m.joined(left, right)
-    value = np.where(piece >= 0, m.priority[np.maximum(piece, 0)], _NONE)
-    if met is not None:
-        own = np.flatnonzero(piece >= 0)
-        met.append((rows[own], _candidate(place[rows[own], cols[own]], left[own], right[own])))
-    if rate > 0:
-        value[_dropped(key[rows], place[rows, cols], left, right, rate)] = _NONE
-    made[rows, cols], best[rows, cols] = piece, value
+        gone = after[at]
+        value[at] = made[at]
+        then, back = after[gone], before[at]
+        after[at], value[gone], flat[gone] = then, -1, _NONE
+        some = then >= 0
+        before[then[some]] = at[some]
+        flat[at[~some]] = _NONE
+        propose(np.concatenate([at[some], back[back >= 0]]))
+    kept = value >= 0
+    return value[kept], kept.reshape(n, width).sum(axis=1)
 
 
 def _merge_one(m: Model, symbols: list[int], key: int, rate: float) -> list[int]:
@@ -270,7 +275,8 @@ def encode_units(m: Model, units: list[bytes], key: np.ndarray, rate: float,
             at = starts[part][:, None] + np.arange(width)[None, :]
             found = None if met is None else []
             merged, size = _merge_matrix(m, symbols[at], key[part], rate, found)
-            flat[at], count[part] = merged, size
+            count[part] = size
+            flat[np.repeat(starts[part] - (np.cumsum(size) - size), size) + np.arange(len(merged))] = merged
             if met is not None:
                 met += [(part[rows], which) for rows, which in found]
     for i in np.flatnonzero(lens > _LONG).tolist():
@@ -305,10 +311,9 @@ def _varied(codes: np.ndarray, key: np.ndarray, met: list, always: np.ndarray, r
     return out
 
 
-def encode_batch(m: Model, data: np.ndarray, offs: np.ndarray, doc_key: np.ndarray, rate: float, seed: int,
-                 _: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts of a batch, and the texts' offsets in them. (The last argument was the number
-    of variants; there is no such bound any more.)"""
+def encode_batch(m: Model, data: np.ndarray, offs: np.ndarray, doc_key: np.ndarray, rate: float,
+                 seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts of a batch, and the texts' offsets in them."""
     filled = np.flatnonzero(np.diff(offs) > 0)
     data = np.insert(data, offs[:-1][filled], 0x20)  # the mark in front
     offs = offs + np.searchsorted(filled, np.arange(len(offs)))
