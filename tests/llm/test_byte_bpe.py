@@ -82,19 +82,27 @@ def test_columns_named_twice_stay(spark, docs):
     assert row.__fields__ == ["doc_id", "c", "c", "text", "ids"] and (row[1], row[2]) == ("en", "s")
 
 
-def test_cache_is_bounded_by_bytes():
+def test_cache_is_bounded():
+    import numpy as np
     import pyarrow as pa
 
-    from wellspring.llm._units import LONGEST_KEPT, UnitCache
+    from wellspring.llm._units import LONGEST_IDS, LONGEST_KEPT, UnitCache
     asked = []
 
     def encode(units):
         asked.extend(units)
-        return [len(u).to_bytes(4, "little") for u in units]
-    cache = UnitCache(encode, max_bytes=20_000)
-    for k in range(50):
-        units = [b"u%d" % i for i in range(40 * k, 40 * k + 40)] + [b"often", b"", b"l" * (LONGEST_KEPT + 1)]
-        flat, starts, lens = cache.ids(pa.array(units, pa.binary()))
-        assert flat[starts].tolist() == [len(u) for u in units] and set(lens) == {1}
-        assert sum(len(a) + len(b) + 166 for d in (cache.young, cache.old) for a, b in d.items()) <= 20_000
-    assert asked.count(b"often") == 1 and asked.count(b"l" * (LONGEST_KEPT + 1)) == 50
+        ids = [[len(u), *u] if u != b"many" else [7] * (LONGEST_IDS + 1) for u in units]
+        return np.array([x for i in ids for x in i], np.int32), np.array([len(i) for i in ids], np.int64)
+    cache = UnitCache(encode, most=100)
+    rnd = random.Random(1)
+    for k in range(60):
+        units = {b"u%d" % rnd.randrange(30 * k, 30 * k + 60) for _ in range(rnd.choice([0, 5, 40, 150]))}
+        units = list(units | {b"often", b"", b"many", b"l" * (LONGEST_KEPT + 1)})
+        rnd.shuffle(units)
+        flat, starts, lens = cache.ids(pa.array(units, pa.large_binary()))
+        for u, a, n in zip(units, starts.tolist(), lens.tolist(), strict=True):
+            assert flat[a:a + n].tolist() == encode([u])[0].tolist()
+            asked.pop()
+        assert max(cache.young.n, cache.old.n) <= 100
+        assert len(cache.young.flat) == cache.young.length[:cache.young.n].sum() <= 100 * LONGEST_IDS
+    assert asked.count(b"often") == 1 and asked.count(b"l" * (LONGEST_KEPT + 1)) == asked.count(b"many") == 60

@@ -10,12 +10,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from wellspring.llm._text import gather_runs
+from wellspring.llm._text import U64, byte_rows, gather_runs, hash_spans
 
-# What a Python worker keeps of units and their ids, by the bytes that Python's objects take.
-CACHE_BYTES = 64 << 20
+# Units of each of the two generations that a Python worker keeps. An entry takes about 100 bytes, with its ids.
+CACHE_UNITS = 300_000
 LONGEST_KEPT = 64  # bytes of a unit; longer ones seldom come again
-_OBJECTS = 66 + 100  # headers of the two bytes objects, and an entry of a dictionary
+_SEEDS = (0x5EED, 0xC0FFEE)
+LONGEST_IDS = 64  # ids of a unit, so that what is kept is bounded in bytes: 300 bytes an entry at most
 
 
 def unit_codes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, pa.Array]:
@@ -27,42 +28,89 @@ def unit_codes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, pa.Array
     return np.asarray(found.indices), found.dictionary
 
 
+class _Generation:
+    """Units by 128 bits of hash, with their ids, in numpy arrays: an open-addressing table of entries."""
+
+    def __init__(self, most: int):
+        self.most, self.n = most, 0
+        bits = max(4, int(np.ceil(np.log2(2 * most + 1))))
+        self.shift, self.mask = U64(64 - bits), (1 << bits) - 1
+        self.slots = np.full(1 << bits, -1, np.int32)
+        self.keys = np.zeros((2, most), U64)
+        self.start, self.length = np.zeros(most, np.int64), np.zeros(most, np.int64)
+        self.flat = np.zeros(0, np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The entry of each key (a column of two hashes), -1 if it isn't here."""
+        out = np.full(keys.shape[1], -1, np.int64)
+        open_ = np.arange(keys.shape[1])
+        slot = (keys[0] >> self.shift).astype(np.int64)
+        while len(open_):
+            entry = self.slots[slot[open_]]
+            there = entry >= 0
+            open_, entry = open_[there], entry[there]
+            hit = (self.keys[0, entry] == keys[0, open_]) & (self.keys[1, entry] == keys[1, open_])
+            out[open_[hit]] = entry[hit]
+            open_ = open_[~hit]
+            slot[open_] = (slot[open_] + 1) & self.mask
+        return out
+
+    def add(self, keys: np.ndarray, flat: np.ndarray, lens: np.ndarray) -> None:
+        """New entries (different keys that aren't here, room for them given)."""
+        entry = np.arange(self.n, self.n + len(lens))
+        self.keys[:, entry] = keys
+        self.start[entry] = len(self.flat) + np.cumsum(lens) - lens
+        self.length[entry] = lens
+        self.flat = np.concatenate([self.flat, flat])
+        self.n += len(lens)
+        slot = (keys[0] >> self.shift).astype(np.int64)
+        left = np.arange(len(lens))
+        while len(left):
+            free = left[self.slots[slot[left]] < 0]
+            self.slots[slot[free]] = entry[free]  # of several that want a slot, one gets it
+            left = left[self.slots[slot[left]] != entry[left]]
+            slot[left] = (slot[left] + 1) & self.mask
+
+
 class UnitCache:
-    """Ids of units (as the bytes of 32-bit integers), remembered in a Python worker within a
-    budget of bytes, half of it for each of two generations. When the young one is full it becomes
-    the old one; what is asked for again moves up, so frequent units stay. Units above
-    ``LONGEST_KEPT`` bytes are never kept, so text without spaces passes through."""
+    """Ids of units, remembered in a Python worker in bounded memory. When the young generation is full it becomes
+    the old one; what is asked for again moves up, so frequent units stay. Units of more than ``LONGEST_KEPT`` bytes
+    or ``LONGEST_IDS`` ids are never kept, so text without spaces passes through. ``encode`` gives the flat ids of a
+    list of units and how many each has."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], max_bytes: int = CACHE_BYTES):
-        self.encode, self.half = encode, max_bytes // 2
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.size = 0  # of the young generation
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = CACHE_UNITS):
+        self.encode, self.most = encode, most
+        self.young, self.old = _Generation(most), _Generation(1)
 
     def ids(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Flat ids of all units, with each unit's start and length in them."""
-        units = units.to_pylist()
-        young, old = self.young, self.old
-        found = [young.get(u) for u in units]
-        for i in [i for i, f in enumerate(found) if f is None]:
-            known = old.get(units[i])
-            if known is not None:
-                found[i] = known
-                self._keep(units[i], known)
-        gaps = [i for i, f in enumerate(found) if f is None]
-        for i, f in zip(gaps, self.encode([units[i] for i in gaps]), strict=True):
-            found[i] = f
-            if len(units[i]) <= LONGEST_KEPT:
-                self._keep(units[i], f)
-        lens = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        return np.frombuffer(b"".join(found), np.int32), np.cumsum(lens) - lens, lens
-
-    def _keep(self, unit: bytes, ids: bytes) -> None:
-        size = len(unit) + len(ids) + _OBJECTS
-        if self.size + size > self.half:
-            self.old, self.young, self.size = self.young, {}, 0
-        self.young[unit] = ids
-        self.size += size
+        """Flat ids of all (different) units, with each unit's start and length in them."""
+        data, offs = byte_rows(units)
+        keys = np.stack([hash_spans(data, offs[:-1], offs[1:], seed) for seed in _SEEDS])
+        starts, lens = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        new, parts, size = np.arange(len(units)), [], 0
+        for kept in (self.young, self.old):
+            entry = kept.find(keys[:, new])
+            hit = entry >= 0
+            at, entry = new[hit], entry[hit]
+            starts[at], lens[at] = kept.start[entry] + size, kept.length[entry]
+            parts.append(kept.flat)
+            size += len(kept.flat)
+            new = new[~hit]
+            if kept is self.old:
+                again = at
+        flat, sizes = self.encode(units.take(pa.array(new)).to_pylist())
+        starts[new], lens[new] = size + np.cumsum(sizes) - sizes, sizes
+        flat = np.concatenate([*parts, flat])
+        short = new[(np.diff(offs)[new] <= LONGEST_KEPT) & (lens[new] <= LONGEST_IDS)]
+        self._keep(keys, np.concatenate([again, short]), flat, starts, lens)
+        return flat, starts, lens
+
+    def _keep(self, keys, which, flat, starts, lens) -> None:
+        while len(which):
+            if self.young.n == self.most:
+                self.old, self.young = self.young, _Generation(self.most)
+            part, which = np.split(which, [self.most - self.young.n])
+            self.young.add(keys[:, part], gather_runs(flat, starts[part], lens[part]), lens[part])
 
 
 def put_together(codes: np.ndarray, flat: np.ndarray, starts: np.ndarray, lens: np.ndarray,

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
 import os
 from collections.abc import Iterable, Iterator
 
@@ -90,13 +91,14 @@ class Model:
         made.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
         return made
 
-    def _encode(self, units: list[bytes]) -> list[bytes]:
-        out: list[bytes] = []
+    def _encode(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        flat, sizes = [np.zeros(0, np.int32)], []
         for i in range(0, len(units), _CALL):
             part = [u.decode() for u in units[i:i + _CALL]]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            out += [np.array(f.ids, np.int32).tobytes() for f in found]
-        return out
+            found = [f.ids for f in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            sizes += map(len, found)
+            flat.append(np.fromiter(itertools.chain.from_iterable(found), np.int32))
+        return np.concatenate(flat), np.array(sizes, np.int64)
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a batch's texts, and the texts' offsets in them."""

@@ -6,18 +6,21 @@
    That is min(cap, level * weight) with one level for all.
 2. Stream: each source's documents in an order shuffled by a keyed hash, laid
    end to end and repeated; it is cut into blocks of ``BLOCK_WORDS`` words.
-3. Schedule: slot i gets the golden-ratio point frac(i * phi) (in 32-bit integer
-   steps, which visit every value once a round) and goes to the source in whose
-   part of the cumulative targets it falls; the k-th slot of a source takes its
-   k-th block. The points are spread so evenly that after any number of slots
-   each source has its share to within a few blocks.
-4. Slots, counted per (source, block), are joined with the documents' parts of these
-   blocks; a block is cut where a source has been taken ``MAX_EPOCHS`` times.
+3. Quotas: a source has as many slots as blocks cover its target (rounded to words); its last block is
+   cut there, so that every source reaches its target to the word, however small it is.
+4. Schedule: slot i gets the golden-ratio point i * g mod N, where N is the number of slots and g, the number
+   nearest to N / golden ratio that has no divisor in common with N, makes it visit every number below N once. The slot
+   goes to the source in whose part of the cumulative quotas the point falls; the k-th slot of a source takes its
+   k-th block. The points are spread so evenly that after any number of slots each source has its share to
+   within a few blocks.
+5. Slots are joined with the documents' parts of their blocks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspring.llm._stage import store, table, take, unpack, with_row
@@ -25,10 +28,9 @@ from wellspring.operators import running_totals
 
 BLOCK_WORDS, MAX_EPOCHS, SEED = 32, 3, 42
 WEIGHTS = (1, 2, 3)
-GOLDEN = 2654435769  # 2**32 / golden ratio, odd: steps of it visit all 32-bit values
-RING = 1 << 32
-CELLS = 1 << 10  # of the ring, to match points with sources by equality
-CHUNK = 1 << 14  # slots that are ranked together
+GOLDEN_RATIO = (1 + 5 ** 0.5) / 2
+MOST_SLOTS = 1 << 41  # products of slot numbers and halves of the step stay below 2**63
+CHUNK = 1 << 12  # points of a source that are made together
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -56,63 +58,70 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def schedule(spark: SparkSession, sources: DataFrame, slots: int) -> DataFrame:
-    """``(source, slot, block)``: for every slot its source, and which of the source's blocks it takes.
+def golden_step(slots: int) -> int:
+    """The number nearest to ``slots`` / golden ratio that has no divisor in common with ``slots``."""
+    if slots > MOST_SLOTS:
+        raise ValueError(f"{slots} slots: at most {MOST_SLOTS} blocks of {BLOCK_WORDS} words can be scheduled")
+    near = round(slots / GOLDEN_RATIO)
+    return next(g for d in range(slots + 1) for g in (near + d, near - d) if g > 0 and math.gcd(g, slots) == 1)
+
+
+def _times(x: Column, factor: int, modulus: int) -> Column:
+    """x * factor mod ``modulus`` (up to ``MOST_SLOTS``) without a product beyond 63 bits."""
+    high, low = divmod(factor, 1 << 20)
+    return (x * F.lit(high) % modulus * F.lit(1 << 20) + x * F.lit(low)) % modulus
+
+
+def schedule(sources: DataFrame, slots: int) -> DataFrame:
+    """``(source_id, slot, block)``: for every slot its source, and which of the source's blocks it takes.
 
-    ``sources(source_id, lo, hi)`` has each source's part [lo, hi) of the ring."""
-    width = RING // CELLS
-    point = (F.col("id") % RING * F.lit(GOLDEN >> 16) % RING * 65536 + F.col("id") % RING * F.lit(GOLDEN & 0xFFFF)) % RING
-    points = spark.range(slots).select(F.col("id").alias("slot"), point.alias("x"))
-    points = points.withColumn("cell", F.floor(F.col("x") / width).cast("int"))
-    cells = sources.filter("hi > lo").withColumn("cell", F.explode(F.sequence(
-        F.floor(F.col("lo") / width).cast("int"), F.floor((F.col("hi") - 1) / width).cast("int"))))
-    dealt = points.join(cells, "cell").filter("x >= lo and x < hi").select(
-        "source_id", "slot", F.floor(F.col("slot") / CHUNK).alias("chunk"))
-    counts = dealt.groupBy("source_id", "chunk").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("source_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
-    rank = F.row_number().over(Window.partitionBy("source_id", "chunk").orderBy("slot"))
-    return dealt.withColumn("nth", rank).join(first, ["source_id", "chunk"]).select(
-        "source_id", "slot", (F.col("first") + F.col("nth") - 1).alias("block"))
+    ``sources(source_id, lo, hi)`` has each source's part [lo, hi) of the points 0 to ``slots`` - 1. A point belongs to one
+    slot, so the points of a source are multiplied back to their slots; a large source's points are made by many tasks,
+    and its slots are ranked by many (``running_totals``)."""
+    back = pow(golden_step(slots), -1, slots) if slots > 1 else 0
+    parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = sources.filter("hi > lo").select("source_id", "lo", "hi", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("hi") - F.col("lo") - 1) / CHUNK))).alias("chunk"))
+    first = F.col("lo") + F.col("chunk") * CHUNK
+    points = chunks.repartition(parts, "source_id", "chunk").select("source_id", F.explode(F.sequence(
+        first, F.least(first + CHUNK, "hi") - 1)).alias("point"))
+    dealt = points.select("source_id", _times(F.col("point"), back, slots).alias("slot"))
+    return running_totals(dealt, ["source_id"], ["slot"], F.lit(1).cast("bigint"), "block", "mix_slots", store)
 
 
 def mix(rows: DataFrame) -> DataFrame:
     """``rows(doc_id, source, size)`` to ``(doc_id, source, size, source_size,
-    target, begin, at, source_taken, taken)`` for each row: its place in the source's
-    stream, the words that the mix takes of the source, and of it."""
-    spark = rows.sparkSession
+    target, at, copy, taken)`` for each row: its place in the source's
+    stream, and the words that the mix takes of it."""
     # equal rows are one item with copies, so repeated rows never gather in one block of the order
     items = store(rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("copies")), "mix_items")
     sizes = items.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
-    targets = source_targets(sizes)
     running = Window.orderBy(F.col("source").asc_nulls_last())  # one row per source
-    upto = F.sum("target").over(running)
-    share = F.when(F.sum("target").over(Window.partitionBy()) > 0, RING / F.sum("target").over(Window.partitionBy()))
-    sources = targets.withColumn("source_id", F.row_number().over(running)).withColumn(
-        "hi", F.coalesce(F.round(upto * share), F.lit(0.0)).cast("long"))
+    goal = F.least(F.round("target").cast("long"), F.col("source_size") * MAX_EPOCHS)
+    sources = source_targets(sizes).withColumn("source_id", F.row_number().over(running)).withColumn(
+        "goal", goal).withColumn("hi", F.sum(F.ceil(F.col("goal") / BLOCK_WORDS)).over(running))
     sources = store(sources.withColumn("lo", F.coalesce(F.lag("hi").over(running), F.lit(0))), "mix_sources")
-    total = sources.agg(F.sum("source_size")).first()[0] or 0
-    slots = -(-int(total) // BLOCK_WORDS)
+    slots = sources.agg(F.max("hi")).first()[0] or 0
     key = F.xxhash64(F.lit(SEED), F.coalesce("doc_id", F.lit(0)), "size")
-    named = items.join(sources.select(F.col("source").alias("s"), "source_id", "source_size", "target"),
+    named = items.join(F.broadcast(sources.select(F.col("source").alias("s"), "source_id", "source_size", "target", "goal")),
                        F.col("source").eqNullSafe(F.col("s"))).drop("s")
     placed = running_totals(named.withColumn("key", key).withColumn("length", F.col("size") * F.col("copies")),
                             ["source_id"], ["key", "doc_id", "size"], "length", "begin", "mix_placed", store)
     copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
     placed = store(placed.withColumn("copy", copy).withColumn("at", F.col("begin") + F.col("copy") * F.col("size"))
-                   .select("doc_id", "source", "source_id", "size", "source_size", "target", "at", "copy"), "mix_rows")
-    blocks = schedule(spark, sources.select("source_id", "lo", "hi"), slots)
-    blocks = blocks.groupBy("source_id", "block").agg(F.count("*").alias("times"))
+                   .select("doc_id", "source", "source_id", "size", "source_size", "target", "goal", "at", "copy"),
+                   "mix_rows")
+    blocks = schedule(sources.select("source_id", "lo", "hi"), slots).select("source_id", "block")
     epoch = F.explode(F.sequence(F.lit(0), F.lit(MAX_EPOCHS - 1)))
     # the document's words in round e lie at [from, to) of the repeated stream, in blocks from // B to (to - 1) // B
-    parts = (placed.filter("size > 0").select("doc_id", "source_id", "size", "at", "copy", "source_size", epoch.alias("epoch"))
-             .withColumn("from", F.col("epoch") * F.col("source_size") + F.col("at"))
-             .withColumn("to", F.col("from") + F.col("size"))
+    parts = (placed.filter("size > 0").select("doc_id", "source_id", "size", "at", "copy", "goal",
+                                              (epoch * F.col("source_size") + F.col("at")).alias("from"))
+             .filter("from < goal").withColumn("to", F.least(F.col("from") + F.col("size"), "goal"))
              .withColumn("block", F.explode(F.sequence(F.floor(F.col("from") / BLOCK_WORDS),
                                                        F.floor((F.col("to") - 1) / BLOCK_WORDS)))))
     words = (F.least("to", (F.col("block") + 1) * BLOCK_WORDS) - F.greatest("from", F.col("block") * BLOCK_WORDS))
     taken = (parts.join(blocks, ["source_id", "block"])
-             .groupBy("source_id", "doc_id", "size", "at", "copy").agg(F.sum(words * F.col("times")).alias("taken")))
+             .groupBy("source_id", "doc_id", "size", "at", "copy").agg(F.sum(words).alias("taken")))
     taken = taken.select(*[F.col(c).alias(f"t_{c}") for c in ("source_id", "doc_id", "size", "at", "copy")], "taken")
     same = (F.col("source_id") == F.col("t_source_id")) & (F.col("at") == F.col("t_at")) & (
         F.col("copy") == F.col("t_copy")) & (F.col("size") == F.col("t_size")) & F.col("doc_id").eqNullSafe(F.col("t_doc_id"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wellspring.llm._stage import store, table, take
-from wellspring.llm._text import byte_rows, regroup
+from wellspring.llm._text import byte_rows, gather_runs, regroup
 from wellspring.llm._units import UnitCache, by_items, list_column, put_together, unit_codes
 from wellspring.operators.scans import fresh_path
 
@@ -57,6 +57,11 @@ _AFTER_MARK = _MARK.copy()
 _AFTER_MARK[0x27] = False  # an apostrophe may take the letters behind it
 _BREAK = _SPACE.copy()
 _BREAK[0x20] = False  # a space may go with the piece behind it
+# The same as bits of one table, from the lowest: space, may stand before a cut, ASCII, second-last of a space, mark,
+# break, letter, mark that no letters belong to.
+_KIND = np.zeros(256, np.uint8)
+for _bit, _has in enumerate((_SPACE, _BEFORE, np.arange(256) < 0x80, _SECOND_LAST, _MARK, _BREAK, _LETTER, _AFTER_MARK)):
+    _KIND |= (_has.astype(np.uint8) << _bit).astype(np.uint8)
 _encoders: dict[str, UnitCache] = {}
 
 
@@ -73,31 +78,34 @@ def _encoder(path: str) -> UnitCache:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
 
-        def ids(unit: bytes) -> bytes:
-            return np.array(tokenizer.encode(unit.decode(), add_special_tokens=False).ids, np.int32).tobytes()
-
         line_break = tokenizer.encode("\n", add_special_tokens=False).ids
 
-        def encode(units: list[bytes]) -> list[bytes]:
+        def encode(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             """Plain units are encoded as one text, a line break before each (a call for every unit would
             cost more than its work): the pattern makes it a piece of its own, so its id parts them."""
-            if not units:
-                return []
             data = np.frombuffer(b"".join(units) + b"\n\n", np.uint8)
             ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
-            plain = _plain(data, np.concatenate([[0], ends[:-1]]), ends) & (len(line_break) == 1)
-            out = [b"" if p else ids(u) for u, p in zip(units, plain.tolist(), strict=True)]
+            plain = _plain(data, np.concatenate([np.zeros(1, np.int64), ends])[:-1], ends) & (len(line_break) == 1)
+            order, flat, sizes = [], [], []
+            for i in np.flatnonzero(~plain).tolist():
+                found = tokenizer.encode(units[i].decode(), add_special_tokens=False).ids
+                order.append([i])
+                flat.append(np.array(found, np.int32))
+                sizes.append([len(found)])
             own = np.flatnonzero(plain)
             for part in np.array_split(own, len(own) // 10_000 + 1):
                 if len(part):
                     text = b"\n" + b"\n".join([units[i] for i in part.tolist()])
-                    found = tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids
-                    flat = np.array(found, np.int32)
-                    cut = np.append(np.flatnonzero(flat == line_break[0]), len(flat)) * 4
-                    raw = flat.tobytes()
-                    for i, a, b in zip(part.tolist(), (cut[:-1] + 4).tolist(), cut[1:].tolist(), strict=True):
-                        out[i] = raw[a:b]
-            return out
+                    found = np.array(tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.int32)
+                    cut = np.flatnonzero(found == line_break[0])
+                    order.append(part)
+                    flat.append(np.delete(found, cut))
+                    sizes.append(np.diff(np.append(cut, len(found))) - 1)
+            if not order:
+                return np.zeros(0, np.int32), np.zeros(0, np.int64)
+            order, flat, sizes = (np.concatenate(x) for x in (order, flat, sizes))
+            back = np.argsort(order)
+            return gather_runs(flat, (np.cumsum(sizes) - sizes)[back], sizes[back]), sizes[back].astype(np.int64)
         _encoders[path] = UnitCache(encode)
     return _encoders[path]
 
@@ -127,13 +135,14 @@ def bpe_cuts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     mark (no apostrophe) and a letter, and behind a single white-space character other than a space."""
     cut = np.zeros(len(data) + 1, bool)
     if len(data) > 3:
-        here, back = data[1:], data[:-1]
-        space = _SPACE[here] & _BEFORE[back]
-        space[1:] &= (data[1:-1] < 0x80) | ~_SECOND_LAST[data[:-2]]
-        single = np.zeros(len(here), bool)  # a cut lies before the character in front of here
-        single[1:] = space[:-1] & _BREAK[back[1:]] & (_LETTER[here[1:]] | _MARK[here[1:]])
-        letter, mark = _LETTER[here], _MARK[here]
-        cut[1:-1] = space | single | (_LETTER[back] & mark) | (_AFTER_MARK[back] & letter)
+        kind = _KIND[data]  # one look-up, then bits
+        here, back, second = kind[1:], kind[:-1], kind[:-2]
+        space = here & back >> 1 & 1
+        space[1:] &= back[1:] >> 2 | ~second >> 3
+        single = here[1:] >> 6 | here[1:] >> 4  # a letter or a mark, behind a break that a cut lies before
+        single &= space[:-1] & back[1:] >> 5
+        cut[1:-1] = (space | back >> 6 & here >> 4 | back >> 7 & here >> 6) & 1
+        cut[2:-1] |= (single & 1).astype(bool)
     cut[offs] = True
     return np.flatnonzero(cut)
 
@@ -141,7 +150,7 @@ def bpe_cuts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 def _encode(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, shard, start = _encoder(path), TaskContext.get().partitionId(), 0
-        for batch in regroup(batches, "text", max_bytes=4 << 20):
+        for batch in regroup(batches, "text", max_bytes=6 << 20):
             data, offs = byte_rows(batch.column(1))
             cuts = bpe_cuts(data, offs)
             codes, units = unit_codes(data, cuts)
