@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspring.llm._stage import store, table, take, unpack, with_row
-from wellspring.operators import running_totals
+from wellspring.operators import running_totals, skew_join
 
 BLOCK_WORDS, MAX_EPOCHS, SEED = 32, 3, 42
 WEIGHTS = (1, 2, 3)
@@ -51,8 +51,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     # the level if exactly the sources before this one are capped; it holds for the first that stays under its cap
     rows = rows.withColumn("level", (F.sum("source_size").over(whole) - capped) / left)
     rows = rows.withColumn("fits", F.col("level") * F.col("weight") <= F.col("cap"))
-    level = F.min(F.struct(~F.col("fits"), F.col("cap") / F.col("weight"), "level")).over(whole)
-    rows = rows.withColumn("first", level)
+    rows = rows.withColumn("nth", F.row_number().over(by_ratio))  # sources may tie in their ratio
+    rows = rows.withColumn("first", F.min(F.struct(~F.col("fits"), "nth", "level")).over(whole))
     target = F.when(F.col("first.col1"), F.col("cap")).otherwise(
         F.least(F.col("cap"), F.col("first.level") * F.col("weight")))
     return rows.select("source", "source_size", target.alias("target"))
@@ -78,6 +78,7 @@ def schedule(sources: DataFrame, slots: int) -> DataFrame:
     ``sources(source_id, lo, hi)`` has each source's part [lo, hi) of the points 0 to ``slots`` - 1. A point belongs to one
     slot, so the points of a source are multiplied back to their slots; a large source's points are made by many tasks,
     and its slots are ranked by many (``running_totals``)."""
+    slots = max(slots, 1)
     back = pow(golden_step(slots), -1, slots) if slots > 1 else 0
     parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = sources.filter("hi > lo").select("source_id", "lo", "hi", F.explode(F.sequence(
@@ -101,10 +102,11 @@ def mix(rows: DataFrame) -> DataFrame:
     sources = source_targets(sizes).withColumn("source_id", F.row_number().over(running)).withColumn(
         "goal", goal).withColumn("hi", F.sum(F.ceil(F.col("goal") / BLOCK_WORDS)).over(running))
     sources = store(sources.withColumn("lo", F.coalesce(F.lag("hi").over(running), F.lit(0))), "mix_sources")
-    slots = sources.agg(F.max("hi")).first()[0] or 0
+    slots = sources.agg(F.max("hi")).first()[0] or 0  # none without words
     key = F.xxhash64(F.lit(SEED), F.coalesce("doc_id", F.lit(0)), "size")
-    named = items.join(F.broadcast(sources.select(F.col("source").alias("s"), "source_id", "source_size", "target", "goal")),
-                       F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    said = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("named")  # null is a source like others
+    named = skew_join(items.select("*", said), sources.select(said, "source_id", "source_size", "target", "goal"), "named",
+                      row_key=["doc_id", "size"]).drop("named")
     placed = running_totals(named.withColumn("key", key).withColumn("length", F.col("size") * F.col("copies")),
                             ["source_id"], ["key", "doc_id", "size"], "length", "begin", "mix_placed", store)
     copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
@@ -114,9 +116,8 @@ def mix(rows: DataFrame) -> DataFrame:
     blocks = schedule(sources.select("source_id", "lo", "hi"), slots).select("source_id", "block")
     epoch = F.explode(F.sequence(F.lit(0), F.lit(MAX_EPOCHS - 1)))
     # the document's words in round e lie at [from, to) of the repeated stream, in blocks from // B to (to - 1) // B
-    parts = (placed.filter("size > 0").select("doc_id", "source_id", "size", "at", "copy", "goal",
-                                              (epoch * F.col("source_size") + F.col("at")).alias("from"))
-             .filter("from < goal").withColumn("to", F.least(F.col("from") + F.col("size"), "goal"))
+    parts = (placed.filter("size > 0").withColumn("epoch", epoch)
+             .withColumn("from", F.col("epoch") * F.col("source_size") + F.col("at")).filter("from < goal").withColumn("to", F.least(F.col("from") + F.col("size"), "goal"))
              .withColumn("block", F.explode(F.sequence(F.floor(F.col("from") / BLOCK_WORDS),
                                                        F.floor((F.col("to") - 1) / BLOCK_WORDS)))))
     words = (F.least("to", (F.col("block") + 1) * BLOCK_WORDS) - F.greatest("from", F.col("block") * BLOCK_WORDS))
