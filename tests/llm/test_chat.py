@@ -98,3 +98,22 @@ def test_escaping_is_reversible(spark):
 def test_empty_table(spark):
     packed, ends = C.format_conversations(frame(spark, []))
     assert packed.count() == 0 and C.summaries(packed, ends).count() == 0
+
+
+def test_a_conversation_of_many_turns(spark, monkeypatch):
+    """Nothing that is held together grows with the turns: a path has an entry for each fork only."""
+    kept = {}
+    store = C.store
+    monkeypatch.setattr(C, "store", lambda df, name: kept.setdefault(name, store(df, name)))
+    n = 200_000
+    rows = spark.range(n).selectExpr("cast(null as long) as conv_id", "id as turn",
+                                     "if(id % 2 = 0, 'user', 'assistant') as role", "concat('t', id) as text", "1 as node")
+    forks = [(c, t, "user" if t % 2 == 0 else "assistant", f"t{t}" if t < 3 + c else f"other {c}")
+             for c in range(3) for t in range(6)]
+    packed, ends = C.format_conversations(rows.unionByName(frame(spark, forks)))
+    longest = kept["chat_conversations"].selectExpr("max(length(path))").first()[0]
+    assert longest == 32 * 4  # the first turn, and one behind each fork
+    assert packed.selectExpr("max(size(ancestors))").first()[0] <= 4
+    want = brute([*((None, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(n)), *forks])
+    assert got(C.summaries(packed, ends)) == want
+    assert packed.count() == n + sum(3 - c for c in range(3))

@@ -8,9 +8,11 @@ turn; in roles a line break is ``%0A`` and ``%`` is ``%25``.
 Conversations that share initial turns are merged: a node of the tree is a
 distinct sequence of turns (chained 128-bit hash), and its turn is emitted once. A
 tree holds what starts with one first turn; its nodes come depth first.
-Every conversation has a path, its nodes' hashes in order, and a node belongs to
+Every conversation has a path: the hashes, in order, of its nodes at which it parts from others (its first, and
+those that have a sibling), so a path is as long as there are forks on the way, not as there are turns. A node belongs to
 the smallest path through it: (path's rank, depth) is a depth-first order that a
-distributed sort gives, however large a tree is. Equal conversations are one path.
+distributed sort gives, however large a tree is. Conversations that never part have equal paths; of those that end
+in one node (equal ones) only one is followed.
 
 The output has a row per node: its place ``start``/``stop`` in its tree's stream,
 the position ids of its characters (``position`` on, counted along the path, not the
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.llm._stage import store, table, take
-from wellspring.operators import running_totals
+from wellspring.operators import running_totals, skew_join
 
 START, END, TRAINED_ROLE = "<|im_start|>", "<|im_end|>", "assistant"
 CELL = 512  # characters of a stream that are matched together when intervals are read
@@ -58,20 +60,20 @@ def _paths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chained hashes along each conversation (rows come sorted; a conversation may span batches)."""
     conv, node, at, root, depth = object(), b"", 0, b"", 0
     for batch in batches:
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[], [], [], [], []]
         for c, digest, size in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "digest", "size")), strict=True):
             if c != conv:
                 conv, node, at, depth = c, b"", 0, 0
-            node = hashlib.blake2b(node + digest, digest_size=16).digest()
+            parent, node = node, hashlib.blake2b(node + digest, digest_size=16).digest()
             depth += 1
             root = node if depth == 1 else root
-            for values, v in zip(out, (node.hex(), root.hex(), depth, at), strict=True):
+            for values, v in zip(out, (parent.hex(), node.hex(), root.hex(), depth, at), strict=True):
                 values.append(v)
             at += size
         kept = [batch.column(n) for n in ("conv_id", "role", "text", "size")]
-        types = (pa.string(), pa.string(), pa.int32(), pa.int64())
+        types = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64())
         yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, out, types)], names=[
-            "conv_id", "role", "text", "size", "node", "root", "depth", "position"])
+            "conv_id", "role", "text", "size", "parent", "node", "root", "depth", "position"])
 
 
 def _turns(conversations: DataFrame, parts: int) -> DataFrame:
@@ -82,8 +84,8 @@ def _turns(conversations: DataFrame, parts: int) -> DataFrame:
     digest = F.unhex(F.md5(F.concat_ws("\n", F.char_length("role").cast("string"), "role", "text").cast("binary")))
     placed = (rows.withColumn("digest", digest).withColumn("size", size.cast("long")).repartition(parts, "conv_id")
               .sortWithinPartitions("conv_id", "turn", "role", "text").drop("turn"))
-    return placed.mapInArrow(_paths, "conv_id long, role string, text string, size long, node string, root string, "
-                             "depth int, position long")
+    return placed.mapInArrow(_paths, "conv_id long, role string, text string, size long, parent string, node string, "
+                             "root string, depth int, position long")
 
 
 def _intervals(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,16 +113,24 @@ def format_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame
 
     Rows of a conversation go by turn, then role, then text (nulls first). Null roles and
     texts are empty, a null conv_id is one conversation of its own, repeated rows are
-    turns each. An empty table gives empty outputs; other columns are ignored.
+    turns each. An empty table gives empty outputs; other columns are ignored. A conversation of any number of turns passes
+    through its tasks row by row; what is held together is a path, one hash for each fork on its way, and a turn's text.
     """
     parts = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     turns = store(_turns(conversations, parts), "chat_turns")
-    steps = F.array_sort(F.collect_list(F.struct("depth", "node")))
-    convs = store(turns.groupBy("conv_id", "root").agg(steps.alias("steps")).select(
-        "conv_id", "root", F.element_at("steps", -1)["node"].alias("leaf"),
-        F.array_join(F.col("steps.node"), "").alias("path")), "chat_conversations")
-    paths = convs.groupBy("root", "path").agg(F.min("conv_id").alias("c"), F.lit(1).cast("long").alias("one"))
-    ranked = store(running_totals(paths, [], ["root", "path"], "one", "rank", "chat_paths", store).select("c", "rank"), "chat_ranks")
+    edges = turns.filter("depth > 1").select("parent", "node").distinct()
+    forks = edges.groupBy("parent").agg(F.count("*").alias("children")).filter("children > 1").withColumn("fork", F.lit(True))
+    # many conversations may share the turn before a fork: such a turn's rows are spread
+    forked = skew_join(turns.select("conv_id", "root", "parent", "node", "depth"), forks.drop("children"), "parent", "left",
+                       row_key=["conv_id", "depth"])
+    step = F.when((F.col("depth") == 1) | F.col("fork"), F.struct("depth", "node"))
+    convs = forked.groupBy("conv_id", "root").agg(
+        F.max_by("node", "depth").alias("leaf"), F.array_sort(F.collect_list(step)).alias("steps"))
+    convs = store(convs.select("conv_id", "root", "leaf", F.array_join(F.col("steps.node"), "").alias("path")),
+                  "chat_conversations")
+    paths = convs.groupBy("root", "path", "leaf").agg(F.min("conv_id").alias("c"), F.lit(1).cast("long").alias("one"))
+    ranked = store(running_totals(paths, [], ["root", "path", "leaf"], "one", "rank", "chat_paths", store).select("c", "rank"),
+                   "chat_ranks")
     through = turns.join(ranked, F.col("conv_id").eqNullSafe(F.col("c")))  # one conversation of each path
     owned = through.groupBy("node", "root").agg(F.min("rank").alias("rank"), *[
         F.first(c).alias(c) for c in ("depth", "position", "size", "role", "text")])
