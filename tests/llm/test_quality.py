@@ -93,3 +93,63 @@ def test_sample_is_bounded(spark):
     labels = spark.range(500).selectExpr("id doc_id", "1 quality")
     from pyspark.sql import functions as F
     assert _ftrl.sample_labels(labels, "quality", F.lit(True), 100).count() == 100
+
+
+def test_training_rows_are_bounded(spark, docs):
+    rows = [(1, f"text {i % 700}") for i in range(2000)] + [(i, f"other {i}") for i in range(2, 60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 60)], "doc_id long, quality int, toxic int")
+    sample = _ftrl.sample_labels(labels, "quality", ~_ftrl.held_out(5, 0), 30)
+    for most in (10, 500, 100_000):
+        got = _ftrl.labelled(docs(rows).select("doc_id", "text"), sample, most).collect()
+        found = {(bytes(r["text"]).decode(), r["label"]) for r in got}
+        assert len(got) == len(found) <= most  # rows that agree count once
+        again = _ftrl.labelled(docs(rows[::-1]).select("doc_id", "text"), sample, most).collect()
+        assert found == {(bytes(r["text"]).decode(), r["label"]) for r in again}
+    sampled = {r["doc_id"] for r in sample.collect()}
+    assert found == {(t, i % 2) for i, t in rows if i in sampled}
+    assert _ftrl.labelled(docs([]).select("doc_id", "text"), sample, 5).count() == 0
+
+
+def test_training_against_brute_force(spark):
+    """Coordinate by coordinate, one row at a time, with plain floats; then the mean over shards and the calibration."""
+    rnd = random.Random(3)
+    rows = []
+    for turn in range(60):
+        at = sorted(rnd.sample(range(1, 40), rnd.randrange(1, 8)))
+        rows.append((turn * 7919 - 200_000, int(sum(at) % 3 == 0), at, [rnd.random() + 0.1 for _ in at]))
+    df = spark.createDataFrame(rows, "turn long, label int, at array<int>, x array<double>").selectExpr(
+        "turn", "label", "at", "cast(x as array<float>) as x")
+    settings = {"alpha": 0.5, "beta": 1.0, "l1": 0.05, "l2": 0.1}
+    got = _ftrl.train(df, 2, 3, **settings)
+    shard = {r[0]: r[1] for r in df.selectExpr("turn", "pmod(hash(turn), 3)").collect()}
+    kept = [r for r in df.collect()]
+    weights = []
+    for k in range(3):
+        z, n = {}, {}
+
+        def weight(i, z=z, n=n):
+            l1 = 0.0 if i == 0 else settings["l1"]
+            if abs(z.get(i, 0.0)) <= l1:
+                return 0.0
+            sign = 1 if z[i] > 0 else -1
+            return (sign * l1 - z[i]) / ((settings["beta"] + n[i] ** 0.5) / settings["alpha"] + settings["l2"])
+        for _ in range(2):
+            for r in sorted((r for r in kept if shard[r["turn"]] == k), key=lambda r: (r["turn"], r["label"])):
+                pairs = [*zip(r["at"], r["x"]), (0, 1.0)]
+                now = {i: weight(i) for i, _ in pairs}
+                p = 1 / (1 + np.exp(-sum(now[i] * x for i, x in pairs)))
+                for i, x in pairs:
+                    g = (p - r["label"]) * x
+                    sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / settings["alpha"]
+                    z[i] = z.get(i, 0.0) + g - sigma * now[i]
+                    n[i] = n.get(i, 0.0) + g * g
+        weights.append({i: weight(i) for i in n if n[i] > 0})
+    want = np.zeros(_ftrl.DIM)
+    for i in set().union(*weights):
+        seen = [w[i] for w in weights if i in w]
+        want[i] = sum(seen) / len(seen)
+    margin = np.array([sum(want[i] * x for i, x in zip(r["at"], r["x"])) for r in kept])
+    scale, bias = _ftrl.calibrated(margin, np.array([r["label"] for r in kept]))
+    want *= scale
+    want[0] = bias
+    assert np.allclose(got, want, atol=1e-4) and np.count_nonzero(want) > 20

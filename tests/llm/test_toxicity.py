@@ -148,3 +148,52 @@ def test_every_word_with_readings_is_decoded(lm, monkeypatch):
 def test_disguises_at_the_end_and_short_ones(lm):
     assert restored(["an idi0t", "an idio+", "l-o-ser", "i~d~i~o~t.", "s t u", "GOOD. 5-6, 3.14 1 2 3"], lm) == [
         "an idiot", "an idiot", "loser", "idiot.", "stu", "GOOD. 5-6, 3.14 1 2 3"]
+
+
+@pytest.mark.parametrize("text", ["z" * 300_000, "a1" * 60_000, "*" * 2_000, "idi0t" * 20_000, "1" * 30_000])
+def test_a_long_word_takes_little_memory(lm, text):
+    import tracemalloc
+    tracemalloc.start()
+    X.restore_word(text, lm)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+
+
+def test_long_words_are_decoded_as_a_whole(lm):
+    """Writing off settled beginnings changes nothing: against one pass that keeps every state."""
+    def whole(text, spelled):
+        best = [{} for _ in range(len(text) + 1)]
+        best[0][0, 0, 0] = (0.0, "")
+        for i, here in enumerate(X.edges(text, spelled)):
+            for state, (cost, before) in best[i].items():
+                for used, said, more in here:
+                    now, total = state, cost + more
+                    for c in said:
+                        s = X._symbol(c)
+                        if s or now[2]:
+                            total -= float(lm[now][s])
+                        now = (now[1], now[2], s) if s else (0, 0, 0)
+                    old = best[i + used].get(now)
+                    if old is None or total < old[0]:
+                        best[i + used][now] = (total, before + said)
+        last = best[-1]
+        return last[min(last, key=lambda s: (last[s][0] - (float(lm[s][0]) if s[2] else 0.0), s))][1]
+
+    rnd = random.Random(7)
+    for k in range(12):
+        text = "".join(rnd.choice("aabstue01$.!éz ") for _ in range(rnd.randrange(200, 900)))
+        assert X.restore_word(text, lm, k % 3 == 0) == whole(text, k % 3 == 0)
+    run = "ab" + "c" * 700 + "d1"
+    assert X.restore_word(run, lm) == whole(run, False)
+
+
+def test_held_out_recall_and_ranking(spark):
+    scored = X.op5_toxicity(spark, "/root/testdata/sf0.1").toPandas()
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas()
+    held = scored[scored["held_out"]].merge(labels, on="doc_id")
+    toxic, said = held["toxic"] == 1, held["predicted"] == 1
+    assert (toxic & said).sum() / toxic.sum() >= 0.9 and (toxic & said).sum() / said.sum() >= 0.9
+    rank = held["score"].rank()
+    auc = (rank[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / (toxic.sum() * (~toxic).sum())
+    assert auc >= 0.98

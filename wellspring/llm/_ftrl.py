@@ -129,14 +129,27 @@ def calibrated(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(scale), float(theta[1] - scale * mid)
 
 
-def labelled(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """Documents with their sampled label; the sample's size is bounded, so it is broadcast."""
-    return docs.join(F.broadcast(sample), "doc_id")
+def labelled(docs: DataFrame, sample: DataFrame, max_rows: int) -> DataFrame:
+    """``(text binary, turn, label)`` of the documents that the sample's labels belong to, ``max_rows`` at most.
+
+    The sample's size is bounded, so it is broadcast. A sampled id that many rows share could still bring all
+    of these in: rows that agree in id, text and label are one, and of the others the first ``max_rows`` by id's hash and
+    text's hash stay. Hashes alone are sorted for that (``max_rows`` of them a task); the texts that stay move once.
+    """
+    joined = docs.join(F.broadcast(sample), "doc_id").withColumn("digest", F.xxhash64("text"))
+    keys = joined.select("turn", "digest", "label").distinct().orderBy("turn", "digest", "label").limit(max_rows)
+    last = keys.agg(F.max(F.struct("turn", "digest", "label")).alias("m")).first()["m"]
+    if last is None:
+        return joined.select(F.col("text").cast("binary").alias("text"), "turn", "label").limit(0)
+    top = F.struct(F.lit(last["turn"]).alias("turn"), F.lit(last["digest"]).alias("digest"),
+                   F.lit(last["label"]).alias("label"))
+    within = joined.filter(F.struct("turn", "digest", "label") <= top)
+    # one row of those that agree: a task's first ones are found before the shuffle
+    one = within.groupBy("turn", "digest", "label").agg(F.first("text").alias("text"))
+    return one.select(F.col("text").cast("binary").alias("text"), "turn", "label")
 
 
 def held_out(modulus: int, remainder: int) -> Column:
     """crc32(doc_id as text) mod ``modulus`` = ``remainder``; false for a null id."""
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     return F.coalesce(crc % modulus == remainder, F.lit(False))
-
-

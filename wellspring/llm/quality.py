@@ -88,8 +88,7 @@ def _scorer(weights):
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> np.ndarray:
     """Weights learned from labelled rows outside the held-out fold."""
     sample = _ftrl.sample_labels(labels, "quality", ~_ftrl.held_out(FOLDS, HELD), max_rows)
-    rows = _ftrl.labelled(take(docs, "doc_id", "text"), sample)
-    rows = rows.select(F.col("text").cast("binary").alias("text"), "turn", "label")
+    rows = _ftrl.labelled(take(docs, "doc_id", "text"), sample, max_rows)
     return _ftrl.train(rows.mapInArrow(_feature_rows, "turn long, label int, at array<int>, x array<float>"),
                        EPOCHS, **SETTINGS)
 
@@ -109,7 +108,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN
 
     Null and empty texts get the bias alone. Without any label to learn from
     all scores are 0.5; labels that are null, or of null ids, don't count; a
-    label that occurs twice counts twice. A null id is not held out. Other
+    label that occurs twice, and rows that agree in id and text, count once. A null id is not held out. Other
     columns are ignored; an empty table gives no rows.
     """
     scored = with_scores(docs, fit(docs, labels, max_rows), ["doc_id"])

@@ -116,37 +116,70 @@ def _symbol(c: str) -> int:
     return 27 if ord(c) >= 0x80 else 0
 
 
+def edges_at(text: str, i: int, spelled: bool) -> list[tuple[int, str, float]]:
+    """From place ``i``, the readings (characters used, what they say, cost)."""
+    c, here = text[i], []
+    if _symbol(c):
+        here.append((1, c, 0.0))
+        run = 1
+        while (i == 0 or text[i - 1] != c) and i + run < len(text) and text[i + run] == c:
+            run += 1
+        if run >= 2:
+            here.append((run, c, COST_RUN if run > 2 else 2 * COST_RUN))
+            if run > 2:
+                here.append((run, c + c, COST_RUN))
+    else:
+        here.append((1, c, 0.0 if spelled and c != " " else COST_LITERAL))
+        for letter in LOOKS_LIKE.get(c, ""):
+            here.append((1, letter, COST_ANY if c == "*" else COST_LOOKS))
+        if c in SEPARATORS:
+            here.append((1, "", 0.0 if spelled and c == " " else COST_DROP))
+    return here
+
+
 def edges(text: str, spelled: bool) -> list[list[tuple[int, str, float]]]:
-    """From each place, the readings (characters used, what they say, cost)."""
-    out: list[list[tuple[int, str, float]]] = []
-    for i, c in enumerate(text):
-        here = []
-        if _symbol(c):
-            here.append((1, c, 0.0))
-            run = 1
-            while (i == 0 or text[i - 1] != c) and i + run < len(text) and text[i + run] == c:
-                run += 1
-            if run >= 2:
-                here.append((run, c, COST_RUN if run > 2 else 2 * COST_RUN))
-                if run > 2:
-                    here.append((run, c + c, COST_RUN))
-        else:
-            here.append((1, c, 0.0 if spelled and c != " " else COST_LITERAL))
-            for letter in LOOKS_LIKE.get(c, ""):
-                here.append((1, letter, COST_ANY if c == "*" else COST_LOOKS))
-            if c in SEPARATORS:
-                here.append((1, "", 0.0 if spelled and c == " " else COST_DROP))
-        out.append(here)
-    return out
+    """The readings from every place."""
+    return [edges_at(text, i, spelled) for i in range(len(text))]
+
+
+def _said(node: list | None) -> str:
+    parts = []
+    while node is not None:
+        parts.append(node[1])
+        node = node[0]
+    return "".join(reversed(parts))
+
+
+def _settled(ends: list[list]) -> tuple[str, list] | None:
+    """What all the paths that end in these nodes say alike, and the node where that ends, cut off from what is
+    before it; None if they have nothing in common."""
+    nodes = {id(n): n for n in ends}
+    while len(nodes) > 1:
+        last = max(n[2] for n in nodes.values())
+        back = [n[0] for n in nodes.values() if n[2] == last]
+        if None in back:
+            return None
+        nodes = {k: n for k, n in nodes.items() if n[2] < last} | {id(n): n for n in back}
+    node = next(iter(nodes.values()))
+    said, node[0], node[1] = _said(node), None, ""
+    return said, node
+
+
+_SETTLE = 256  # places after which the paths' common beginning is written off
 
 
 def restore_word(text: str, lm: np.ndarray, spelled: bool = False) -> str:
-    """The likeliest reading of a disguised word."""
-    lattice = edges(text, spelled)
-    best: list[dict] = [{} for _ in range(len(text) + 1)]  # place -> last three -> (loss, place before, state, said)
-    best[0][0, 0, 0] = (0.0, -1, None, "")
-    for i, here in enumerate(lattice):
-        for state, (loss, _, _, _) in best[i].items():
+    """The likeliest reading of a disguised word.
+
+    A path is a chain of nodes [node before, letters, place behind them]; only places that lie ahead keep their states, and what
+    all living paths have in common is written off, so memory follows the stretch that is still open, not the word's
+    length."""
+    ahead: dict[int, dict] = {0: {(0, 0, 0): (0.0, [None, "", 0])}}  # place -> last three -> (loss, path)
+    done: list[str] = []
+    wait, due, upto = _SETTLE, _SETTLE, 0
+    for i in range(len(text)):
+        here = edges_at(text, i, spelled)
+        for state, (loss, path) in ahead.pop(i, {}).items():
             for used, said, cost in here:
                 now, total = state, loss + cost
                 for c in said:
@@ -154,16 +187,24 @@ def restore_word(text: str, lm: np.ndarray, spelled: bool = False) -> str:
                     if s or now[2]:
                         total -= float(lm[now][s])
                     now = (now[1], now[2], s) if s else (0, 0, 0)
-                old = best[i + used].get(now)
+                there = ahead.setdefault(i + used, {})
+                old = there.get(now)
                 if old is None or total < old[0]:
-                    best[i + used][now] = (total, i, state, said)
-    final = min(best[-1], key=lambda s: (best[-1][s][0] - (float(lm[s][0]) if s[2] else 0.0), s))
-    said, at, state = [], len(text), final
-    while at > 0:
-        _, before, earlier, part = best[at][state]
-        said.append(part)
-        at, state = before, earlier
-    return "".join(reversed(said))
+                    there[now] = (total, [path, said, i + used])
+        if i >= due:
+            found = _settled([path for states in ahead.values() for _, path in states.values()])
+            if found and found[1][2] > upto:
+                done.append(found[0])
+                wait, upto = _SETTLE, found[1][2]
+            else:  # a long run of one letter is open from its beginning: look again after twice as long
+                wait *= 2
+            due = i + wait
+    last = ahead[len(text)]
+    final = min(last, key=lambda s: (last[s][0] - (float(lm[s][0]) if s[2] else 0.0), s))
+    return "".join(done) + _said(last[final][1])
+
+
+_CACHED, _CACHED_BYTES, _LONGEST = 200_000, 32 << 20, 256  # readings kept, their bytes, and a kept word's bytes
 
 
 def _restored(token: bytes, spelled: bool, lm: np.ndarray, name: int) -> bytes | None:
@@ -173,13 +214,17 @@ def _restored(token: bytes, spelled: bool, lm: np.ndarray, name: int) -> bytes |
             _cache.clear()
         _cache[name, spelled] = {}
     known = _cache[name, spelled]
-    if token not in known:
-        if len(known) >= 200_000:
+    if token in known:
+        return known[token]
+    new = restore_word(token.decode(), lm, spelled)
+    said = sum(_symbol(c) > 0 for c in new)
+    found = new.encode() if said > spelled and new.encode() != token else None
+    if len(token) <= _LONGEST:
+        # two caches of two byte strings an entry, each with some 100 bytes around it
+        if len(known) >= min(_CACHED, _CACHED_BYTES // (2 * (_LONGEST + 100))):
             known.clear()
-        new = restore_word(token.decode(), lm, spelled)
-        said = sum(_symbol(c) > 0 for c in new)
-        known[token] = new.encode() if said > spelled and new.encode() != token else None
-    return known[token]
+        known[token] = found
+    return found
 
 
 def _ranges(mask: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -332,8 +377,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS):
     context = docs.sparkSession.sparkContext
     lm = _Sent(context.broadcast(language_model(letter_counts(docs))))
     sample = _ftrl.sample_labels(labels, "toxic", ~_ftrl.held_out(FOLDS, HELD), max_rows)
-    rows = _ftrl.labelled(take(docs, "doc_id", "text"), sample)
-    rows = rows.select(F.col("text").cast("binary").alias("text"), "turn", "label")
+    rows = _ftrl.labelled(take(docs, "doc_id", "text"), sample, max_rows)
     weights = _ftrl.train(rows.mapInArrow(_feature_rows(lm), "turn long, label int, at array<int>, x array<float>"),
                           EPOCHS, SHARDS, **SETTINGS)
     return lm, weights
@@ -344,7 +388,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAI
 
     Null and empty texts get the bias alone. Without any label to learn from
     all scores are 0.5; labels that are null, or of null ids, don't count; a
-    label that occurs twice counts twice. A null id is not held out. Other
+    label that occurs twice, and rows that agree in id and text, count once. A null id is not held out. Other
     columns are ignored; an empty table gives no rows.
     """
     lm, weights = fit(docs, labels, max_rows)
