@@ -3,13 +3,14 @@
 Each stage is a function ``(spark, docs, sf_dir) -> DataFrame`` over all rows that
 the one before kept; all but the last return the columns of ``documents``. Its result
 is to be written before the next one is called on what was written: when a stage
-begins, the intermediate tables that earlier stages stored are deleted, except those that
-``docs`` is still read from.
+begins, the intermediate tables that earlier stages over the same folder stored are deleted, except those
+that ``docs`` is still read from. Pipelines over different folders don't touch each other's.
 """
 
 from __future__ import annotations
 
 import functools
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from wellspring.llm import mixing, pieces, quality, simhash, substring
 from wellspring.llm._stage import drop_unread, recorded, store, table
 
-_stored: list[str] = []
+_stored: dict[str, list[str]] = defaultdict(list)  # by the folder that a pipeline runs over
 
 
 def _stage(run: Callable[[SparkSession, DataFrame, str], DataFrame]):
     @functools.wraps(run)
     def begun(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_unread(_stored, docs)
-        with recorded(_stored):
+        own = _stored[sf_dir]
+        drop_unread(own, docs)
+        with recorded(own):
             return run(spark, docs, sf_dir)
     return begun
 
