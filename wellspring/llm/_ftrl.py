@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from wellspring.llm._stage import store, take
 
 BITS = 20
-BATCH_BYTES = 3 << 20  # of text turned to features at once: a worker holds about 30 times that
+BATCH_BYTES = 2 << 20  # of text turned to features at once: a worker holds about 30 times that
 DIM = 1 << BITS  # hashed coordinates; coordinate 0 is the bias
 SHARDS = 8
 
