@@ -51,6 +51,50 @@ def test_shards_and_lengths(spark, scaled):
     assert recall(got, brute(rows, rows[::30])) >= 0.95
 
 
+def test_recall_of_one_large_graph():
+    """Vectors without clusters, the hardest case: a shard near the largest size still finds 95 %."""
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(20_000, 48))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    nodes, links = H.build_index(v)
+    assert links[0].shape == (20_000, 2 * H.M) and links[0].max() < 20_000
+    asked = v[::100]
+    found = H.search_index(H.unit_scale(v), nodes, links, H.unit_scale(asked))
+    truth = np.argsort(-(asked @ v.T), axis=1)[:, :20]
+    assert np.mean([len(set(f[:20]) & set(t)) / 20 for f, t in zip(found.tolist(), truth.tolist())]) >= 0.95
+
+
+def test_neighbour_arrays_are_sound():
+    """No node links to itself or twice to another; copies of one point and far lengths don't crash."""
+    rng = np.random.default_rng(4)
+    v = np.concatenate([rng.normal(size=(900, 8)), 1e150 * rng.normal(size=(50, 8)), np.ones((50, 8))])
+    nodes, links = H.build_index(v)
+    for own, level in zip(nodes, links):
+        assert len(own) == len(level)
+        for i, row in enumerate(level.tolist()):
+            used = [x for x in row if x >= 0]
+            assert i not in used and len(set(used)) == len(used)
+
+
+@pytest.mark.parametrize("few", [0, 10])
+def test_numbers_of_dimensions(spark, monkeypatch, few):
+    """Broadcast and salted ways to the shards of a vector's length agree with brute force."""
+    monkeypatch.setattr(H, "FEW_DIMS", few)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=2 + i % 3).tolist()) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collected(H.nearest(df, df.filter("vec_id % 10 = 0"), shard_rows=16))
+    assert recall(got, brute(rows, rows[::10])) == 1.0
+
+
+def test_shards_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(H, "SHARD_BYTES", 8 * 4 * 25)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(200)]
+    index = H.build(spark.createDataFrame(rows, "vec_id long, v array<double>"))
+    assert index.count() == 8
+
+
 def test_copies_and_ties(spark):
     one, two = [1.0, 0.0], [0.0, 1.0]
     rows = [(i, one) for i in range(60)] + [(100 + i, two) for i in range(5)] + [(3, one)]
