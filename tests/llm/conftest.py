@@ -20,3 +20,19 @@ def docs(spark):
 @pytest.fixture(scope="session")
 def small_docs(spark):
     return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+@pytest.fixture
+def shuffles(spark):
+    """Plain shuffled joins over 16 tasks: no broadcast, no adaptive split of hot keys."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)

@@ -1,8 +1,10 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from wellspring.llm import simhash as S
 from wellspring.llm._graph import components
@@ -18,6 +20,10 @@ def brute_fingerprint(text):
     return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
 
 
+def _signed(fp):
+    return int(np.uint64(fp).view(np.int64))
+
+
 def brute_groups(fps):
     root = list(range(len(fps)))
 
@@ -117,3 +123,15 @@ def test_components_rounds(spark):
     path = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 501), (501, 500), (7, 7)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(path).collect()}
     assert got == {**{i: 0 for i in range(1, 101)}, 501: 500}
+
+
+def test_a_third_of_the_rows_in_one_fingerprint(shuffles, docs):
+    """Copies are spread over tasks, with repeated ids too, and all are named."""
+    n = 18_000
+    df = docs([(i // 2 if i % 3 == 0 else i, "one two three" if i % 3 == 0 else f"w{i} x{i * i} y{i}") for i in range(n)])
+    out = S.simhash_groups(df)
+    rows = out.select("doc_id", "fp", "component_id", F.spark_partition_id().alias("p")).collect()
+    per_task = Counter(r["p"] for r in rows)
+    assert len(rows) == n and max(per_task.values()) <= 2 * n / 16
+    named = {r["doc_id"]: r["component_id"] for r in rows if r["fp"] == _signed(brute_fingerprint("one two three"))}
+    assert len(named) >= n // 3 - 1 and set(named.values()) == {0}

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from wellspring.llm._graph import components
 from wellspring.llm._stage import store, table, take, unpack, with_row
 from wellspring.llm._text import U64
+from wellspring.operators import skew_join
 
 RADIUS, BLOCKS, SHINGLE, SEED = 3, 4, 3, 42
 _BITS = 64 // BLOCKS
@@ -243,13 +244,15 @@ def simhash_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     columns are ignored.
     """
     base = take(docs, "text", "doc_id").select(F.col("text").cast("binary").alias("text"), "doc_id")
-    fps = store(base.mapInArrow(_fingerprints(size), "doc_id long, fp long"), "simhash_fps")
+    fps = store(base.mapInArrow(_fingerprints(size), "doc_id long, fp long")
+                .withColumn("rid", F.monotonically_increasing_id()), "simhash_fps")
     groups = near_groups(fps)
     least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     named = store(groups.join(least, "fp"), "simhash_named")
     heads = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = named.select("fp", "root").join(heads, "root").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    # a third of the rows may share a fingerprint, a third of the fingerprints a group: such keys are cut into pieces
+    by_fp = skew_join(named.select("fp", "root"), heads, "root", row_key=["fp"]).select("fp", "component_id")
+    return skew_join(fps, by_fp, "fp", row_key=["rid"]).select("doc_id", "fp", "component_id")
 
 
 def keep_one_each(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
