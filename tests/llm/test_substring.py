@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from wellspring.llm import substring as S
 
@@ -75,3 +76,20 @@ def test_boundaries_do_not_cross_documents(spark, docs):
     df = docs([(1, " ".join(w)), (2, " ".join(w[:20])), (3, " ".join(w[20:])), (4, " ".join(["z", *w[1:]]))])
     got = {r["doc_id"]: r["n_removed"] for r in S.substring_counts(df).collect()}
     assert got == {1: 35, 2: 0, 3: 0, 4: 35}
+
+
+def test_a_third_of_the_rows_in_one_text(shuffles, docs):
+    """Its rows are spread over tasks, and every row gets its result."""
+    n = 18_000
+    shared = " ".join(f"s{i}" for i in range(40))
+    df = docs([(i, shared if i % 3 == 0 else f"a{i} b{i}") for i in range(n)])
+    out = S.substring_counts(df)
+    rows = out.select("doc_id", "n_words", "n_removed", F.spark_partition_id().alias("p")).collect()
+    assert max(Counter(r["p"] for r in rows).values()) <= 2 * n / 16
+    assert {tuple(r)[:3] for r in rows} == {(i, 40, 40) if i % 3 == 0 else (i, 2, 0) for i in range(n)} and len(rows) == n
+
+
+def test_equal_first_digests_stay_apart(spark, docs, monkeypatch):
+    monkeypatch.setattr(S, "_digest", lambda text: (F.lit(1).cast("long"), F.xxhash64(text)))
+    got = sorted(map(tuple, S.substring_counts(docs([(1, "a b"), (2, "a b c"), (3, "a b"), (4, None)]), 5).collect()))
+    assert [r[:3] for r in got] == [(1, 2, 0), (2, 3, 0), (3, 2, 0), (4, 0, 0)]

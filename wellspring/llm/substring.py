@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 from wellspring.llm._stage import store, table, take, unpack, with_row
 from wellspring.llm._text import (U64, _mix, byte_rows, find_words, hash_spans, regroup, rows_of,
                                   window_hashes)
+from wellspring.operators import skew_join
+from wellspring.operators.joins import MIN_ROWS
 
 WINDOW = 35
 # Perfect difference sets: every difference modulo the period occurs once.
@@ -159,16 +161,31 @@ def _repeating(rows: DataFrame, keys: list[str], name: str, out: str) -> DataFra
     return store(hits.groupBy("rid").agg(F.collect_list("pos").alias(out)), name)
 
 
+def _distinct_texts(docs: DataFrame) -> DataFrame:
+    """The distinct texts of ``docs`` (null counts as empty), stored: rid, text, copies and digest columns."""
+    text = F.coalesce("text", F.lit(""))
+    d1, d2 = _digest(F.col("text"))
+    return store(take(docs, "text").select(text.alias("text")).groupBy("text")
+                 .agg(F.count("*").alias("copies"))
+                 .select(F.monotonically_increasing_id().alias("rid"), F.col("text").cast("binary").alias("text"),
+                         "copies", d1.alias(_DIGEST[0]), d2.alias(_DIGEST[1])), "substring_texts")
+
+
+def _hot_texts(texts: DataFrame, share: float = 0.01) -> dict[int, float]:
+    """First digests of the texts that hold ``share`` of all rows, at most 1 / share of them, with their share."""
+    total = texts.agg(F.sum("copies")).first()[0] or 0
+    hot = texts.filter(F.col("copies") >= max(share * total, MIN_ROWS)).select(_DIGEST[0], "copies").collect()
+    return {r[0]: r[1] / total for r in hot}
+
+
 def kept_texts(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
     """For every distinct text of ``docs`` (null counts as empty): its digest
     columns, n_words, n_removed, kept_sha256 and, if asked for, the kept words
     joined by one space (binary column ``kept``)."""
-    text = F.coalesce("text", F.lit(""))
-    d1, d2 = _digest(F.col("text"))
-    texts = store(take(docs, "text").select(text.alias("text")).groupBy("text")
-                  .agg(F.count("*").alias("copies"))
-                  .select(F.monotonically_increasing_id().alias("rid"), F.col("text").cast("binary").alias("text"),
-                          "copies", d1.alias(_DIGEST[0]), d2.alias(_DIGEST[1])), "substring_texts")
+    return _kept_of(_distinct_texts(docs), window, with_text)
+
+
+def _kept_of(texts: DataFrame, window: int, with_text: bool = False) -> DataFrame:
     anchors = texts.select("rid", "text").mapInArrow(_anchors(window), "h1 long, rid long, pos int, weight int")
     live = _repeating(anchors, ["h1"], "substring_anchors", "anchors")
     around = (texts.select("rid", "text", "copies").join(live, "rid")
@@ -185,11 +202,16 @@ def substring_counts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Null and empty texts have no words (0, 0 and the digest of nothing). Two rows
     with equal texts repeat each other, whatever their ids: if they have 35 words
     or more, nothing of them is kept. Ids may be null or repeat; other columns
-    are ignored; an empty table gives no rows.
+    are ignored; an empty table gives no rows. Whole texts of any length are read,
+    each in one task. Rows of a text that many share are spread by their ids.
     """
     d1, d2 = _digest(F.coalesce("text", F.lit("")))
     ids = take(docs, "doc_id", "text").select("doc_id", d1.alias(_DIGEST[0]), d2.alias(_DIGEST[1]))
-    return ids.join(kept_texts(docs, window), list(_DIGEST)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    texts = _distinct_texts(docs)
+    # joined by the first digest, cut into pieces for texts that many rows share; the second one settles the rest
+    kept = _kept_of(texts, window).withColumnRenamed(_DIGEST[1], "_ws_own")
+    joined = skew_join(ids, kept, _DIGEST[0], hot=_hot_texts(texts), row_key=["doc_id"])
+    return joined.filter(F.col(_DIGEST[1]) == F.col("_ws_own")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def remove_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
