@@ -216,9 +216,10 @@ def build(rows: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) -> DataFram
     most = F.greatest(F.lit(1), F.least(F.lit(shard_rows), F.floor(SHARD_BYTES / (8 * F.col("dim")))))
     shards = merged.groupBy("dim").agg(F.count("*").alias("n")).select("dim", F.ceil(F.col("n") / most).alias("shards"))
     dealt = _by_dim(merged, shards, ["d1", "d2"]).withColumn("shard", F.pmod("d2", F.col("shards")))
-    # a stated number of partitions: shards are few bytes and much work, so they mustn't be coalesced
+    # a stated number of partitions: shards are few bytes and much work, so they mustn't be coalesced;
+    # by range, so that neighbouring shards don't meet in one task by their hashes while others are idle
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = dealt.repartition(parts, "dim", "shard")
+    spread = dealt.repartitionByRange(parts, "dim", "shard")
     return store(spread.groupBy("dim", "shard").applyInPandas(_build, INDEX), "hnsw_index")
 
 
