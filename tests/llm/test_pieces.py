@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -127,3 +128,51 @@ def test_copies_are_drawn_apart(spark, docs):
     assert len({tuple(r["ids"]) for r in P.encode(df).collect()}) == 1
     assert len({tuple(r["ids"]) for r in P.encode(df, copies=True).collect()}) == 3
     assert sorted(P.encode(df, copies=True).collect()) == sorted(P.encode(df, copies=True).collect())
+
+
+def test_digests_are_those_of_the_decoded_rows(spark, docs):
+    enc = P.encode(docs([(i, t) for i, t in enumerate(HARD)] + [(-1, None), (None, "a b"), (None, "a b")]), keep=["doc_id"])
+    want = [(r["doc_id"], len(r["ids"]), zlib.crc32(np.array(r["ids"], "<u4").tobytes()),
+             hashlib.sha256(r["decoded"].encode()).hexdigest()) for r in P.decode(enc).collect()]
+    got = P.decode(enc, keep=["doc_id"], digest=True)
+    assert got.columns == ["doc_id", "n_tokens", "ids_crc32", "decoded_sha256"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str) and len(want) == len(HARD) + 3
+
+
+def test_a_task_has_two_python_workers(spark):
+    plan = P.op3_sentencepiece(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2
+
+
+def peak(f, *args):
+    tracemalloc.start()
+    try:
+        f(*args)
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_decoding_holds_little(m):
+    v = P.vocabulary(P.default_model())
+    assert not hasattr(v, "pairs") and not hasattr(v, "of_char")
+    assert all(np.array_equal(getattr(v, x), getattr(m, x)) for x in ("out", "out_start", "out_len"))
+    ids = np.random.default_rng(3).choice(np.flatnonzero(v.out_len > 3), 500_000).astype(np.int32)
+    offs = np.array([0, 100_000, 100_000, 500_000])
+    want = b"".join(v.out[v.out_start[i]:v.out_start[i] + v.out_len[i]].tobytes() for i in ids[:100_000].tolist())
+    data, at = P.decode_batch(v, ids, offs)
+    assert data[at[0]:at[1]].tobytes() == want[1:] and at[1] == at[2]
+    assert peak(P.decode_batch, v, ids, offs) < 16 * len(data)
+
+
+def test_few_characters_without_a_piece_cost_little(m):
+    own = [next(c for c in range(*r) if m.of_char[c] >= m.size) for r in
+           ((1, 0x80), (0x80, 0x800), (0x800, 0xD800), (0x10000, 0x110000))]  # of one to four bytes
+    symbols = np.full(500_000, m.of_char[ord("e")], np.int32)
+    symbols[1000:1004] = m.of_char[own]
+    lens = np.full(5_000, 100)
+    ids, n = m.ids(symbols, lens)
+    assert [m.out[m.out_start[i]] for i in ids[1000:1010]] == list("".join(map(chr, own)).encode())
+    assert len(ids) == 500_006 and n.tolist() == [100] * 10 + [106] + [100] * 4_989
+    assert (np.delete(ids, np.s_[1000:1010]) == symbols[0]).all()
+    assert peak(m.ids, symbols, lens) < 40 * len(symbols)

@@ -39,10 +39,12 @@ DROPOUT, SEED = 0.1, 42
 MARK = "▁"
 BATCH_BYTES = 3 << 20  # of text encoded at once: a worker holds about 50 times that
 _LONG = 48  # symbols; longer units are encoded one by one
-_TESTS, _OWN = 1 << 20, 1 << 16  # hashes tested, and occurrences encoded, at once
+_TESTS, _OWN = 1 << 18, 1 << 16  # hashes tested, and occurrences encoded, at once
+_IDS = 1 << 16  # decoded at once
 _NONE = np.int32(2**31 - 1)
 _ODD1, _ODD2 = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
 _models: dict[str, "Model"] = {}
+_vocabularies: dict[str, "Vocabulary"] = {}
 
 
 def default_model() -> str:
@@ -56,9 +58,14 @@ def model(path: str) -> "Model":
     return _models[path]
 
 
-class Model:
-    """The merges of a SentencePiece BPE model. Symbols below ``size`` are its
-    pieces, ``size`` + code point is a character without a piece."""
+def vocabulary(path: str) -> "Vocabulary":
+    if path not in _vocabularies:
+        _vocabularies[path] = Vocabulary(path)
+    return _vocabularies[path]
+
+
+class Vocabulary:
+    """The bytes of each piece, which is all that decoding needs: its workers don't hold the merges."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -67,6 +74,27 @@ class Model:
         pieces = [sp.id_to_piece(i) for i in range(self.size)]
         plain = {p: i for i, p in enumerate(pieces)
                  if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))}
+        own = set(plain.values())
+        texts = [bytes([self._byte(p)]) if sp.is_byte(i) else b"" if i not in own else
+                 p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
+        self.out_len = np.array([len(t) for t in texts], np.int64)
+        self.out_start = np.cumsum(self.out_len) - self.out_len
+        self.out = np.frombuffer(b"".join(texts), np.uint8)
+        self._merges(sp, plain)
+
+    def _merges(self, sp, plain: dict[str, int]) -> None:
+        """Nothing to keep for decoding."""
+
+    @staticmethod
+    def _byte(piece: str) -> int:
+        return int(piece[3:5], 16)
+
+
+class Model(Vocabulary):
+    """The merges of a SentencePiece BPE model. Symbols below ``size`` are its
+    pieces, ``size`` + code point is a character without a piece."""
+
+    def _merges(self, sp, plain: dict[str, int]) -> None:
         if any(MARK in p.lstrip(MARK) for p in plain):
             raise ValueError("a piece has a space inside: units can't be cut before spaces")
         self.byte_ids = np.array([sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.int32)
@@ -86,15 +114,6 @@ class Model:
         self.pairs = {(symbol[p[:k]], symbol[p[k:]]): i for p, i in plain.items() for k in range(1, len(p))
                       if p[:k] in symbol and p[k:] in symbol}
         self._index()
-        texts = [bytes([self._byte(p)]) if sp.is_byte(i) else b"" if i not in scores else
-                 p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
-        self.out_len = np.array([len(t) for t in texts], np.int64)
-        self.out_start = np.cumsum(self.out_len) - self.out_len
-        self.out = np.frombuffer(b"".join(texts), np.uint8)
-
-    @staticmethod
-    def _byte(piece: str) -> int:
-        return int(piece[3:5], 16)
 
     def _index(self) -> None:
         """The pairs as an open-addressing table in numpy."""
@@ -135,17 +154,20 @@ class Model:
 
     def ids(self, symbols: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols to ids, characters without a piece as their UTF-8 bytes; lens: symbols of each unit."""
-        point = symbols.astype(np.int64) - self.size
-        if not (point >= 0).any():
+        rare = np.flatnonzero(symbols >= self.size)
+        if not len(rare):
             return symbols, lens
-        size = np.where(point < 0x80, 1, np.where(point < 0x800, 2, np.where(point < 0x10000, 3, 4)))
-        ends = np.cumsum(size)
-        which = np.repeat(np.arange(len(symbols)), size)
-        later = (ends[which] - 1 - np.arange(len(which))) * 6  # bits of the bytes after this one
-        p, n, first = point[which], size[which], np.arange(len(which)) == (ends - size)[which]
-        lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])[n]
-        byte = np.where(first, lead | (np.maximum(p, 0) >> later), 0x80 | ((np.maximum(p, 0) >> later) & 0x3F))
-        out = np.where(p < 0, symbols[which], self.byte_ids[byte & 0xFF])
+        p = symbols[rare].astype(np.int64) - self.size
+        n = np.where(p < 0x80, 1, np.where(p < 0x800, 2, np.where(p < 0x10000, 3, 4)))
+        size = np.ones(len(symbols), np.int64)
+        size[rare] = n
+        out = np.repeat(symbols, size)
+        start = (np.cumsum(size) - size)[rare]
+        out[start] = self.byte_ids[np.array([0, 0, 0xC0, 0xE0, 0xF0])[n] | (p >> 6 * (n - 1))]
+        for k in (1, 2, 3):
+            more = n > k
+            later = 6 * (n[more] - 1 - k)  # bits of the bytes after this one
+            out[start[more] + k] = self.byte_ids[0x80 | ((p[more] >> later) & 0x3F)]
         total = np.concatenate([[0], np.cumsum(np.add.reduceat(size, np.cumsum(lens) - lens))]) \
             if len(lens) else np.zeros(1, np.int64)
         return out.astype(np.int32), np.diff(total)
@@ -344,11 +366,15 @@ def encode_batch(m: Model, data: np.ndarray, offs: np.ndarray, doc_key: np.ndarr
     return put_together(codes, flat, np.cumsum(lens) - lens, lens, rows)
 
 
-def decode_batch(m: Model, ids: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def decode_batch(m: Vocabulary, ids: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts, and the texts' offsets in them."""
     lens = m.out_len[ids]
-    data = gather_runs(m.out, m.out_start[ids], lens)
-    at = np.concatenate([[0], np.cumsum(lens)])[offs]
+    at = np.concatenate([[0], np.cumsum(lens)])
+    data = np.empty(at[-1], np.uint8)
+    for i in range(0, len(ids), _IDS):  # the bytes' places take much more than the bytes
+        part = slice(i, i + _IDS)
+        data[at[i]:at[min(i + _IDS, len(ids))]] = gather_runs(m.out, m.out_start[ids[part]], lens[part])
+    at = at[offs]
     filled = np.flatnonzero(np.diff(at) > 0)
     data = np.delete(data, at[:-1][filled])
     return data, at - np.searchsorted(filled, np.arange(len(at)))
@@ -394,48 +420,59 @@ def encode(docs: DataFrame, path: str | None = None, rate: float = DROPOUT, seed
     return done.select(*unpack(keep), F.col("_ws_n").alias("n_tokens"), F.col("_ws_ids").alias("ids"))
 
 
-def _decode(path: str):
+def _decode(path: str, digest: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model(path)
+        m = vocabulary(path)
         for batch in by_items(batches, 0):
             lists = batch.column(0)
             offs = np.asarray(lists.offsets).astype(np.int64)
-            data, at = decode_batch(m, np.asarray(lists.flatten()), offs - offs[0] if len(offs) else offs)
-            text = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(at.astype(np.int64)),
-                                                                         pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], text.cast(pa.binary())],
-                                             names=[*batch.schema.names[1:], "_ws_text"])
+            offs = offs - offs[0] if len(offs) else offs
+            ids = np.asarray(lists.flatten())
+            data, at = decode_batch(m, ids, offs)
+            if digest:
+                names, new = _DIGESTS.names, _digests(ids, offs, data, at)
+            else:
+                text = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(at.astype(np.int64)),
+                                                                             pa.py_buffer(data)])
+                names, new = ["_ws_text"], [text.cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], names=[*batch.schema.names[1:], *names])
     return run
 
 
+_DIGESTS = T.StructType().add("n_tokens", "long").add("ids_crc32", "long").add("decoded_sha256", "string")
+
+
+def _digests(ids: np.ndarray, offs: np.ndarray, data: np.ndarray, at: np.ndarray) -> list[pa.Array]:
+    """The columns of ``_DIGESTS`` for rows of ids and of decoded bytes, given with their offsets."""
+    def rows(raw, ends):
+        return (raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+
+    crc = [zlib.crc32(r) for r in rows(memoryview(ids.astype("<u4").tobytes()), 4 * offs)]
+    sha = [hashlib.sha256(r).hexdigest() for r in rows(memoryview(data), at)]
+    return [pa.array(np.diff(offs)), pa.array(crc, pa.int64()), pa.array(sha, pa.string())]
+
+
 def decode(encoded: DataFrame, path: str | None = None, keep: list[str] | None = None,
-           out: str = "decoded") -> DataFrame:
-    """The columns of ``keep`` (all, if none are named) with the text of each row's ``ids`` as ``out``."""
-    keep = [c for c in (encoded.columns if keep is None else keep) if c != out]
+           out: str = "decoded", digest: bool = False) -> DataFrame:
+    """The columns of ``keep`` (all, if none are named) with the text of each row's ``ids`` as ``out``.
+
+    With ``digest``, the number of the ids (``n_tokens``), the unsigned crc32 of the ids as little-endian 32-bit
+    integers and the decoded text's SHA-256 (``decoded_sha256``) instead of the text, computed by the worker that
+    decodes: neither ids nor texts are sent on to another.
+    """
+    replaced = _DIGESTS.names if digest else [out]
+    keep = [c for c in (encoded.columns if keep is None else keep) if c not in replaced]
     packed = with_row(encoded, "ids")
     row = F.struct(*[F.col(f"_ws_row.c{encoded.columns.index(c)}").alias(f"c{i}") for i, c in enumerate(keep)])
     rows = packed.select(F.coalesce("ids", F.array().cast("array<int>")).alias("ids"), row.alias("_ws_row"))
-    schema = rows.select("_ws_row").schema.add("_ws_text", "binary")
-    done = rows.mapInArrow(_decode(path or default_model()), schema)
-    return done.select(*unpack(keep), F.col("_ws_text").cast("string").alias(out))
-
-
-def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in by_items(batches, 1):
-        lists = batch.column(1)
-        offs = np.asarray(lists.offsets).astype(np.int64)
-        raw = memoryview(np.asarray(lists.flatten()).astype("<u4").tobytes())
-        offs = offs - offs[0] if len(offs) else offs
-        crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
-        sha = [hashlib.sha256(t.as_py() or b"").hexdigest() for t in batch.column(2)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(offs)), pa.array(crc, pa.int64()), pa.array(sha)],
-            names=["doc_id", "n_tokens", "ids_crc32", "decoded_sha256"])
+    schema = rows.select("_ws_row").schema
+    schema = T.StructType([*schema, *_DIGESTS]) if digest else schema.add("_ws_text", "binary")
+    done = rows.mapInArrow(_decode(path or default_model(), digest), schema)
+    return done.select(*unpack(keep), *(replaced if digest else [F.col("_ws_text").cast("string").alias(out)]))
 
 
 def op3_sentencepiece(spark, sf_dir: str) -> DataFrame:
     """Every text encoded with dropout and decoded again: doc_id, n_tokens, the
     unsigned crc32 of the ids as little-endian 32-bit integers, and the SHA-256 of the decoded text."""
     encoded = encode(take(table(spark, sf_dir, "documents"), "doc_id", "text"), keep=["doc_id"])
-    back = decode(encoded).select("doc_id", "ids", F.col("decoded").cast("binary").alias("decoded"))
-    return back.mapInArrow(_digests, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string")
+    return decode(encoded, keep=["doc_id"], digest=True)
